@@ -9,24 +9,15 @@ from pyspark.sql import functions as F
 
 from alambique.operators.joins import lookup_join
 from alambique.schemas import DATE_DIM, KEYS, PRODUCT_DIM, STORE_DIM
-from alambique.storage import materialize
 
 #: Order in which the foreign keys are checked; the first to fail is reported.
 CHECK_ORDER = (DATE_DIM, STORE_DIM, PRODUCT_DIM)
 
 
-def dimension_keys(dims: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Distinct keys of each dimension, written once and read back."""
-    keys = {}
-    for table in CHECK_ORDER:
-        distinct = dims[table].select(KEYS[table]).dropna().distinct()
-        keys[table] = materialize(distinct, f"keys-{table}")
-    return keys
-
-
 def enforce(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Facts whose date, store and product exist."""
-    for table, keys in dimension_keys(dims).items():
+    for table in CHECK_ORDER:
+        keys = dims[table].select(KEYS[table]).dropna().distinct()
         fact = lookup_join(fact, keys, KEYS[table], "left_semi")
     return fact
 
@@ -34,10 +25,10 @@ def enforce(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
 def first_missing(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Facts with ``clave_huerfana``: the first key not found, else NULL."""
     checks = []
-    for table, keys in dimension_keys(dims).items():
+    for table in CHECK_ORDER:
         found = f"__{table}"
-        marked = keys.withColumn(found, F.lit(True))
-        fact = lookup_join(fact, marked, KEYS[table], "left")
+        keys = dims[table].select(KEYS[table]).dropna().distinct()
+        fact = lookup_join(fact, keys.withColumn(found, F.lit(True)), KEYS[table])
         checks.append(F.when(F.col(found).isNull(), KEYS[table]))
     helpers = [f"__{table}" for table in CHECK_ORDER]
     return fact.withColumn("clave_huerfana", F.coalesce(*checks)).drop(*helpers)

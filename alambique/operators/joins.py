@@ -11,7 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from alambique.storage import Measured, materialize_measured
 
 BROADCAST_BYTES = 128 << 20
 BROADCAST_ROWS = 8_000_000
@@ -20,39 +21,29 @@ _BUCKETS = 1 << 16
 _SALT = "__salt"
 
 
-def measured_size(df: DataFrame) -> tuple[int, int]:
-    """Rows and in-memory bytes of a table, from one aggregate over it."""
-    fixed, variable = 16, []
-    for field in df.schema:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            fixed += 16
-            variable.append(F.sum(F.octet_length(F.col(f"`{field.name}`"))))
-        else:
-            fixed += 16 if isinstance(field.dataType, T.DecimalType) else 8
-    text = sum((F.coalesce(c, F.lit(0)) for c in variable), F.lit(0))
-    rows, text_bytes = df.agg(F.count(F.lit(1)), text).first()
-    return rows, rows * fixed + text_bytes
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    rows, size = measured_size(df)
-    return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+def fits_broadcast(side: Measured) -> bool:
+    return side.rows <= BROADCAST_ROWS and side.size <= BROADCAST_BYTES
 
 
 def lookup_join(
-    large: DataFrame, side: DataFrame, keys: str | Sequence[str], how: str = "left"
+    large: DataFrame,
+    side: DataFrame | Measured,
+    keys: str | Sequence[str],
+    how: str = "left",
 ) -> DataFrame:
     """Join a large table to a side table that is unique on ``keys``.
 
-    ``side`` is read twice, to measure and to join: pass a table, or a derived
-    frame that was materialized. The large table's column order is kept.
+    A side not measured yet is written to shared storage once, which measures
+    it. The large table's column order is kept.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    if not isinstance(side, Measured):
+        side = materialize_measured(side, "side")
     if fits_broadcast(side):
-        joined = large.join(F.broadcast(side), keys, how)
+        joined = large.join(F.broadcast(side.df), keys, how)
     else:
-        joined = skew_join(large, side, keys, how)
-    return joined.select(*_output_columns(large, side, keys, how))
+        joined = skew_join(large, side.df, keys, how)
+    return joined.select(*_output_columns(large, side.df, keys, how))
 
 
 def skew_join(

@@ -38,9 +38,7 @@ def restrict_target(
     With a date as the column, a load reads only the days it brings when the
     target is partitioned by it, and shuffles only those in any case.
     """
-    values = materialize(
-        staging.select(column).dropna().distinct(), f"staged-{column}"
-    )
+    values = staging.select(column).dropna().distinct()
     return lookup_join(target, values, column, "left_semi")
 
 

@@ -22,7 +22,7 @@ from alambique.functions.draws import (
 )
 from alambique.operators.joins import lookup_join
 from alambique.schemas import DATE_DIM, FACT, PRODUCT_DIM, STORE_DIM, source_schema
-from alambique.storage import materialize
+from alambique.storage import materialize_measured
 
 # Fault ratios, labels with their shares, first product id.
 RATIO = 0.0025
@@ -186,21 +186,19 @@ def generate_fact_ventas(
     spark = dim_tiempo.sparkSession
     valid = dim_tiempo.filter(F.col("Fecha_ID").rlike(dates.DIGITS))
     in_month = Window.partitionBy("Mes").orderBy("Fecha_ID")
-    days = materialize(
-        valid.select("Mes", "Fecha_ID", (F.row_number().over(in_month) - 1).alias("__day")),
-        "synth-days",
-    )
+    position = (F.row_number().over(in_month) - 1).alias("__day")
+    days = materialize_measured(valid.select("Mes", "Fecha_ID", position), "days")
+    usable = F.count_if(F.col("Fecha_ID").rlike(dates.DIGITS)).alias("n")
     # At most twelve rows reach the driver.
-    months = [r.Mes for r in dim_tiempo.select("Mes").distinct().orderBy("Mes").collect()]
-    per_month = {r.Mes: r.n for r in days.groupBy("Mes").agg(F.count("*").alias("n")).collect()}
-    sizes = F.array(*[F.lit(per_month.get(m, 0)) for m in months])
+    months = dim_tiempo.groupBy("Mes").agg(usable).orderBy("Mes").collect()
+    names, sizes = (F.array(*[F.lit(m[c]) for m in months]) for c in ("Mes", "n"))
     first_store, stores = _consecutive(dim_tienda, "Tienda_ID")
     first_product, products = _consecutive(dim_producto, "Producto_ID")
     draw = _draws("id", seed)
     slot = (F.col("id") % len(months)).cast("int") + 1
     drawn = spark.range(num_rows).select(
         "id",
-        F.element_at(F.array(*[F.lit(m) for m in months]), slot).alias("Mes"),
+        F.element_at(names, slot).alias("Mes"),
         F.floor(draw(31) * F.element_at(sizes, slot)).cast("int").alias("__day"),
         (F.floor(draw(32) * stores) + first_store).cast("int").alias("Tienda_ID"),
         (F.floor(draw(33) * products) + first_product).cast("int").alias("Producto_ID"),

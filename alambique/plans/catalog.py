@@ -7,7 +7,7 @@ last digits depend on the order of summation are rounded by ``_digits``.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,9 +29,10 @@ from alambique.schemas import (
     TARGET_NAMES,
     target_schema,
 )
+from alambique.session import tune
 from alambique.sinks import export
 from alambique.sources import files
-from alambique.storage import scratch_path
+from alambique.storage import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,8 +42,14 @@ SEED, FAULTS = 7, 0.05
 
 
 def query(run: Query) -> Query:
-    QUERIES[run.__name__] = run
-    return run
+    """Register a query; it runs in a session tuned for the operators."""
+
+    @wraps(run)
+    def tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return run(tune(spark), sf_dir)
+
+    QUERIES[run.__name__] = tuned
+    return tuned
 
 
 def _digits(df: DataFrame, *columns: str, scale: int = 10_000) -> DataFrame:
@@ -55,13 +62,15 @@ def _text_dates(df: DataFrame) -> DataFrame:
 
 
 def _clean_dims(spark, sf_dir):
-    return {
+    """Clean dimensions as the tables they are to what follows."""
+    clean = {
         DATE_DIM: cleaning.clean_dim_tiempo(view(spark, sf_dir, DATE_DIM)),
         STORE_DIM: cleaning.clean_dim_tienda(
             view(spark, sf_dir, STORE_DIM), VIEW_REGIONS
         ),
         PRODUCT_DIM: cleaning.clean_dim_producto(view(spark, sf_dir, PRODUCT_DIM)),
     }
+    return {name: materialize(df, name) for name, df in clean.items()}
 
 
 def _clean_star(spark, sf_dir):
@@ -537,14 +546,14 @@ def _classified(spark, sf_dir):
 
 
 def _fact_target(spark, sf_dir):
-    return _classified(spark, sf_dir).filter(
-        (F.col("Fecha_ID") < "20000101") & F.col("Tienda_ID").isNotNull()
-    )
+    known = (F.col("Fecha_ID") < "20000101") & F.col("Tienda_ID").isNotNull()
+    return materialize(_classified(spark, sf_dir).filter(known), "target")
 
 
 def _fact_staging(spark, sf_dir):
     staged = _classified(spark, sf_dir).filter(F.col("Fecha_ID") >= "19990101")
-    return staged.unionByName(staged.filter(F.col("Producto_ID") % 100 == 0))
+    again = staged.filter(F.col("Producto_ID") % 100 == 0)
+    return materialize(staged.unionByName(again), "staging")
 
 
 def _dim_loads(spark, sf_dir):

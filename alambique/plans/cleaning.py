@@ -9,7 +9,7 @@ through a single scan; ``fact_report`` counts what it did in another.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,13 +28,14 @@ from alambique.operators.stats import (
 )
 from alambique.schemas import (
     DATE_DIM,
+    DIMENSIONS,
     FACT,
     PRODUCT_DIM,
     STORE_DIM,
     UNKNOWN_DATE,
     target_schema,
 )
-from alambique.storage import materialize
+from alambique.storage import Measured, materialize, materialize_measured
 
 _UNKNOWN_MEMBER = UNKNOWN_DATE[:4] + "-" + UNKNOWN_DATE[4:6] + "-" + UNKNOWN_DATE[6:]
 
@@ -135,11 +136,16 @@ STRICT = FactOptions(remove_null_precio=True, remove_null_volumen=True)
 class Prices:
     """Average price per product, and the median for products without one."""
 
-    averages: DataFrame
+    averages: Measured
     fallback: float | None
     products_missing: int
     null_distributions: int
 
+    @property
+    def complete(self) -> bool:
+        """Every product has a price to impute; otherwise none has."""
+        return self.fallback is not None or not self.products_missing
+
 
 @dataclass(frozen=True)
 class FactFit:
@@ -153,21 +159,20 @@ class FactFit:
 
 def fit_prices(fact: DataFrame, options: FactOptions = FactOptions()) -> Prices:
     """One pass over the fact table; a second only if a product has no average."""
-    products = materialize(product_profile(fact), "product-prices")
+    products = materialize_measured(product_profile(fact), "product-prices")
     average = F.col("Precio_Promedio_Producto")
     usable = F.col("Producto_ID").isNotNull() & average.isNotNull()
-    missing, nulls = products.agg(
+    missing, nulls = products.df.agg(
         F.count_if(~usable), F.coalesce(F.sum("dist_nulas"), F.lit(0))
     ).first()
     fallback = None
     if missing:
         fallback = options.quantile(fact.filter(F.col("Precio") > 0), "Precio")
-    return Prices(
-        products.filter(usable).select("Producto_ID", "Precio_Promedio_Producto"),
-        fallback,
-        missing,
-        nulls,
+    averages = products.df.filter(usable).select(
+        "Producto_ID", "Precio_Promedio_Producto"
     )
+    # Fewer rows and columns than what was measured.
+    return Prices(replace(products, df=averages), fallback, missing, nulls)
 
 
 def with_average_price(fact: DataFrame, prices: Prices) -> DataFrame:
@@ -231,9 +236,7 @@ def fit_fact(fact: DataFrame, options: FactOptions = FactOptions()) -> FactFit:
     """Measure the fact table; columns a statistic does not need are not read."""
     prices = fit_prices(fact, options)
     bounds = distribution = None
-    # Only the price filter looks at a repaired column.
-    rows = repair_fact(fact, prices) if options.remove_null_precio else fact
-    rows = rows.filter(_priced(options) & _counted(options))
+    rows = fact.filter(_priced(options, prices) & _counted(options))
     if options.remove_outliers:
         bounds = outlier_bounds(rows, "Ventas_Volumen", options.outlier_std_threshold)
         rows = rows.filter(within_bounds(F.col("Ventas_Volumen"), bounds))
@@ -242,10 +245,21 @@ def fit_fact(fact: DataFrame, options: FactOptions = FactOptions()) -> FactFit:
     return FactFit(options, prices, bounds, distribution)
 
 
-def _priced(options: FactOptions) -> Column:
+def _priced(
+    options: FactOptions, prices: Prices, price: str = "Precio"
+) -> Column:
+    """Rows whose repaired price is positive, told from the raw price.
+
+    Averages and medians of positive prices are positive, so a row that will be
+    imputed passes if there is anything to impute. That needs no join.
+    """
     if not options.remove_null_precio:
         return F.lit(True)
-    return F.coalesce(F.col("Precio") > 0, F.lit(False))
+    raw, volume = F.col(price), F.col("Ventas_Volumen")
+    passes = raw > 0
+    if prices.complete:
+        passes = passes | raw.isNull() | (volume > 0)
+    return F.coalesce(passes, F.lit(False))
 
 
 def _counted(options: FactOptions) -> Column:
@@ -269,10 +283,13 @@ def impute(column: str, value: float) -> Column:
 
 
 def apply_fact(fact: DataFrame, fit: FactFit) -> DataFrame:
-    """The clean fact table, as one plan over one scan."""
+    """The clean fact table, as one plan over one scan.
+
+    Rows are dropped on their raw columns, before the join and the repairs.
+    """
     options = fit.options
-    repaired = repair_fact(fact, fit.prices, options.recalculate_valor)
-    kept = repaired.filter(_priced(options) & _counted(options) & _usual(fit) & _keyed())
+    wanted = _priced(options, fit.prices) & _counted(options) & _usual(fit) & _keyed()
+    kept = repair_fact(fact.filter(wanted), fit.prices, options.recalculate_valor)
     if fit.distribution is not None:
         kept = kept.withColumn(
             "Distribucion_Ponderada", impute("Distribucion_Ponderada", fit.distribution)
@@ -295,7 +312,7 @@ def clean_all(
 ) -> dict[str, DataFrame]:
     """Clean the tables that are there, then drop facts without their dimensions.
 
-    Without ``fact_options`` rows with no usable price or volume are removed.
+    Clean dimensions are written once, as everything after reads them. Without ``fact_options`` rows with no usable price or volume are removed.
     """
     options = fact_options if fact_options is not None else STRICT
     if not isinstance(options, FactOptions):
@@ -307,6 +324,9 @@ def clean_all(
         FACT: lambda df: apply_fact(df, fit_fact(df, options)),
     }
     clean = {name: run(tables[name]) for name, run in cleaners.items() if name in tables}
+    for name in DIMENSIONS:
+        if name in clean:
+            clean[name] = materialize(clean[name], name)
     if enforce_integrity and len(clean) == len(cleaners):
         clean[FACT] = integrity.enforce(clean[FACT], clean)
     return clean
@@ -391,7 +411,8 @@ def fact_metrics(fit: FactFit) -> dict[str, Column]:
     volume, kind = F.col("Ventas_Volumen"), F.col("Tipo_Transaccion")
     raw_key = F.col("Fecha_ID_original")
     valid_key = dates.is_date_key(dates.trimmed_key(raw_key))
-    before_outliers = _priced(options) & _counted(options)
+    priced = _priced(options, fit.prices, "Precio_Original")
+    before_outliers = priced & _counted(options)
     kept = before_outliers & _usual(fit) & _keyed()
     changed = rules.value_changed(F.col("Ventas_Valor"), F.col("Ventas_Valor_Original"))
     return {

@@ -32,8 +32,8 @@ def _label(key: str, labels: dict[str, str]) -> str:
     """Look a cleaned label up, else capitalise each of its words."""
     cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in labels.items())
     words = (
-        f"array_to_string(list_transform(string_split({key}, ' '), "
-        "w -> upper(left(w, 1)) || substr(w, 2)), ' ')"
+        "array_to_string([upper(left(w, 1)) || substr(w, 2) "
+        f"for w in string_split({key}, ' ')], ' ')"
     )
     return f"CASE {key} {cases} ELSE {words} END"
 

@@ -22,7 +22,6 @@ from alambique.functions.rules import (
 )
 from alambique.operators.joins import lookup_join
 from alambique.schemas import DATE_DIM, FACT, PRODUCT_DIM, STORE_DIM
-from alambique.storage import materialize
 
 _MONEY = "decimal(20,4)"
 
@@ -70,9 +69,8 @@ def impact_rate(star: Star) -> DataFrame:
 
 
 def impact_by_month(star: Star) -> DataFrame:
-    days = materialize(totals(star[FACT], "Fecha_ID"), "day-totals")
-    months = materialize(star[DATE_DIM].select("Fecha_ID", "Anio", "Mes"), "months")
-    dated = lookup_join(days, months, "Fecha_ID", "inner")
+    months = star[DATE_DIM].select("Fecha_ID", "Anio", "Mes")
+    dated = lookup_join(totals(star[FACT], "Fecha_ID"), months, "Fecha_ID", "inner")
     return with_rate(_again(dated, "Anio", "Mes")).orderBy("Anio", "Mes")
 
 
@@ -123,10 +121,8 @@ def risk_map(star: Star) -> DataFrame:
 
     The ranking sees one row per pair of labels, however many facts there are.
     """
-    regions = materialize(star[STORE_DIM].select("Tienda_ID", "Region"), "regions")
-    segments = materialize(
-        star[PRODUCT_DIM].select("Producto_ID", "Segmento"), "segments"
-    )
+    regions = star[STORE_DIM].select("Tienda_ID", "Region")
+    segments = star[PRODUCT_DIM].select("Producto_ID", "Segmento")
     placed = lookup_join(star[FACT], regions, "Tienda_ID", "inner")
     placed = lookup_join(placed, segments, "Producto_ID", "inner")
     sums = totals(placed, "Region", "Segmento")

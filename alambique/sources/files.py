@@ -43,6 +43,9 @@ def load_table(
         ignoreLeadingWhiteSpace=True,
         ignoreTrailingWhiteSpace=True,
     )
+    if keep_corrupt:
+        # A pruned read would judge a line by the chosen columns only.
+        reader = reader.option("columnPruning", False)
     try:
         return reader.csv(filepath)
     except AnalysisException as error:
@@ -67,8 +70,8 @@ def load_all_tables(
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows read in full, and the quarantined rest with their raw lines.
 
-    The read keeps every column whenever the raw line is asked for, so a row
-    lands on the same side whichever columns a query uses.
+    A line with too few or too many fields, or with a field that does not fit
+    its type, is corrupt whichever columns a query goes on to use.
     """
     corrupt = F.col(CORRUPT).isNotNull()
     return df.filter(~corrupt).drop(CORRUPT), df.filter(corrupt)

@@ -8,9 +8,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -39,7 +42,41 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back with file statistics."""
+    return materialize_measured(df, label).df
+
+
+@dataclass(frozen=True)
+class Measured:
+    """A written table with its number of rows and its in-memory bytes."""
+
+    df: DataFrame
+    rows: int
+    size: int
+
+
+def materialize_measured(df: DataFrame, label: str) -> Measured:
+    """Write ``df`` once, counting its rows and text as they pass."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    rows = F.count(F.lit(1)).alias("rows")
+    df.observe(seen, rows, _text_bytes(df).alias("text")).write.parquet(path)
+    n = seen.get.get("rows") or 0
+    size = n * _fixed_bytes(df) + (seen.get.get("text") or 0)
+    return Measured(spark.read.schema(df.schema).parquet(path), n, size)
+
+
+def _is_text(field: T.StructField) -> bool:
+    return isinstance(field.dataType, (T.StringType, T.BinaryType))
+
+
+def _text_bytes(df: DataFrame):
+    text = [f"`{f.name}`" for f in df.schema if _is_text(f)]
+    lengths = (F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in text)
+    return F.sum(sum(lengths, F.lit(0)).cast("long"))
+
+
+def _fixed_bytes(df: DataFrame) -> int:
+    """Row header, and a word per column or two for text and decimals."""
+    wide = (T.StringType, T.BinaryType, T.DecimalType)
+    return 16 + sum(16 if isinstance(f.dataType, wide) else 8 for f in df.schema)
