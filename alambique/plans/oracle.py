@@ -533,7 +533,7 @@ _RATE = (
 
 def _worst(dim: str, key: str, columns: str) -> str:
     return f"""SELECT {key}, {columns}, {_RATE}, posicion FROM (
-  SELECT *, row_number() OVER (ORDER BY c DESC, {key}) AS posicion
+  SELECT *, CAST(row_number() OVER (ORDER BY c DESC, {key}) AS INT) AS posicion
   FROM ({_sums("f_integro", key)})) JOIN {dim} USING ({key}) WHERE posicion <= 20"""
 
 
@@ -588,8 +588,8 @@ FROM f_clave GROUP BY 1, 2""",
     "profile_key_pattern": f"""
 SELECT {_key_class("Fecha_ID")} AS clase, count(*) AS filas FROM fact_ventas GROUP BY 1""",
     "profile_examples": f"""
-SELECT * FROM (SELECT clase, Fecha_ID, row_number() OVER
-    (PARTITION BY clase ORDER BY Fecha_ID NULLS LAST) AS posicion
+SELECT * FROM (SELECT clase, Fecha_ID, CAST(row_number() OVER
+    (PARTITION BY clase ORDER BY Fecha_ID NULLS LAST) AS INT) AS posicion
   FROM (SELECT {_key_class("Fecha_ID")} AS clase, Fecha_ID FROM fact_ventas))
 WHERE posicion <= 5""",
     "profile_distinct": "SELECT DISTINCT Nombre_Mes FROM dim_tiempo",
@@ -832,8 +832,8 @@ FROM (SELECT Tipo_Transaccion, count(*) AS transacciones, {_COST} AS c FROM f_in
     "risk_stores": _worst("c_tienda", "Tienda_ID", "Region, Formato_Tienda"),
     "risk_products": _worst("c_producto", "Producto_ID", "Marca, Segmento"),
     "risk_map": f"""
-SELECT Region, Segmento, ntile(4) OVER (ORDER BY c DESC, Region NULLS LAST,
-    Segmento NULLS LAST) AS cuartil, {_RATE}
+SELECT Region, Segmento, CAST(ntile(4) OVER (ORDER BY c DESC, Region NULLS LAST,
+    Segmento NULLS LAST) AS INT) AS cuartil, {_RATE}
 FROM ({_sums('''(SELECT f.*, Region, Segmento FROM f_integro f
   JOIN c_tienda USING (Tienda_ID) JOIN c_producto USING (Producto_ID))''', "Region, Segmento")})""",
 }

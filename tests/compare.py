@@ -22,6 +22,16 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+#: Type of a Spark column and the one DuckDB must return for it.
+TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+}
+
+
 def _plain(value):
     if isinstance(value, float) and math.isnan(value):
         return "nan"
@@ -42,6 +52,10 @@ def compare(spark, con, run, sql: str, sf_dir: str) -> str:
     columns = [d[0] for d in result.description]
     if sorted(columns) != sorted(df.columns):
         return f"columns {sorted(df.columns)} against {sorted(columns)}"
+    theirs = {d[0]: str(d[1]) for d in result.description}
+    wrong = [(c, t, theirs[c]) for c, t in df.dtypes if TYPES.get(t) != theirs[c]]
+    if wrong:
+        return f"types {wrong}"
     ours = rows_of(df.columns, [tuple(r) for r in df.collect()])
     theirs = rows_of(columns, result.fetchall())
     if ours == theirs:
