@@ -9,28 +9,38 @@ from pyspark.sql import functions as F
 
 from alambique.operators.joins import lookup_join
 from alambique.schemas import DATE_DIM, KEYS, PRODUCT_DIM, STORE_DIM
+from alambique.storage import Measured, materialize_all
 
 #: Order in which the foreign keys are checked; the first to fail is reported.
 CHECK_ORDER = (DATE_DIM, STORE_DIM, PRODUCT_DIM)
 
 
+def _dimension_keys(
+    dims: Mapping[str, DataFrame], marker: str | None = None
+) -> dict[str, Measured]:
+    """Distinct keys of each dimension, written once, with an optional marker."""
+    keys = {}
+    for table in CHECK_ORDER:
+        keys[table] = dims[table].select(KEYS[table]).dropna().distinct()
+        if marker:
+            keys[table] = keys[table].withColumn(marker + table, F.lit(True))
+    return materialize_all(keys)
+
+
 def enforce(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Facts whose date, store and product exist."""
-    for table in CHECK_ORDER:
-        keys = dims[table].select(KEYS[table]).dropna().distinct()
+    for table, keys in _dimension_keys(dims).items():
         fact = lookup_join(fact, keys, KEYS[table], "left_semi")
     return fact
 
 
 def first_missing(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Facts with ``clave_huerfana``: the first key not found, else NULL."""
-    checks = []
-    for table in CHECK_ORDER:
-        found = f"__{table}"
-        keys = dims[table].select(KEYS[table]).dropna().distinct()
-        fact = lookup_join(fact, keys.withColumn(found, F.lit(True)), KEYS[table])
-        checks.append(F.when(F.col(found).isNull(), KEYS[table]))
-    helpers = [f"__{table}" for table in CHECK_ORDER]
+    checks, marker = [], "__"
+    for table, keys in _dimension_keys(dims, marker).items():
+        fact = lookup_join(fact, keys, KEYS[table])
+        checks.append(F.when(F.col(marker + table).isNull(), KEYS[table]))
+    helpers = [marker + table for table in CHECK_ORDER]
     return fact.withColumn("clave_huerfana", F.coalesce(*checks)).drop(*helpers)
 
 

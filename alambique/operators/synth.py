@@ -22,7 +22,7 @@ from alambique.functions.draws import (
 )
 from alambique.operators.joins import lookup_join
 from alambique.schemas import DATE_DIM, FACT, PRODUCT_DIM, STORE_DIM, source_schema
-from alambique.storage import materialize_measured
+from alambique.storage import materialize_all, materialize_measured
 
 # Fault ratios, labels with their shares, first product id.
 RATIO = 0.0025
@@ -228,10 +228,16 @@ def with_factors(
     facts: DataFrame, dim_tienda: DataFrame, dim_producto: DataFrame
 ) -> DataFrame:
     """Look up the store's appeal and the product's demand and base price."""
-    stores = dim_tienda.select("Tienda_ID", "Atractivo_Factor")
-    products = dim_producto.select("Producto_ID", "Demanda_Factor", "Precio_Base")
-    return facts.transform(lookup_join, stores, "Tienda_ID").transform(
-        lookup_join, products, "Producto_ID"
+    sides = materialize_all(
+        {
+            "stores": dim_tienda.select("Tienda_ID", "Atractivo_Factor"),
+            "products": dim_producto.select(
+                "Producto_ID", "Demanda_Factor", "Precio_Base"
+            ),
+        }
+    )
+    return facts.transform(lookup_join, sides["stores"], "Tienda_ID").transform(
+        lookup_join, sides["products"], "Producto_ID"
     )
 
 

@@ -32,7 +32,7 @@ from alambique.schemas import (
 from alambique.session import tune
 from alambique.sinks import export
 from alambique.sources import files
-from alambique.storage import materialize, scratch_path
+from alambique.storage import materialize, materialize_all, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,11 +70,24 @@ def _clean_dims(spark, sf_dir):
         ),
         PRODUCT_DIM: cleaning.clean_dim_producto(view(spark, sf_dir, PRODUCT_DIM)),
     }
-    return {name: materialize(df, name) for name, df in clean.items()}
+    return {name: m.df for name, m in materialize_all(clean).items()}
+
+
+def _stored_fact(spark, sf_dir):
+    """The dirty fact as a table, for queries that pass over it several times.
+
+    Over the view each pass would derive every fault again from most columns of
+    its source; over the table it reads the one to five columns it needs.
+    """
+    return materialize(view(spark, sf_dir, FACT), FACT)
+
+
+def _stored_star(spark, sf_dir):
+    return {**star(spark, sf_dir), FACT: _stored_fact(spark, sf_dir)}
 
 
 def _clean_star(spark, sf_dir):
-    return cleaning.clean_all(star(spark, sf_dir), region_labels=VIEW_REGIONS)
+    return cleaning.clean_all(_stored_star(spark, sf_dir), region_labels=VIEW_REGIONS)
 
 
 # -- Sources and sinks --------------------------------------------------------
@@ -233,7 +246,7 @@ def dup_keys(spark, sf_dir):
 @query
 def cleaning_report(spark, sf_dir):
     return cleaning.cleaning_report(
-        star(spark, sf_dir), region_labels=VIEW_REGIONS
+        _stored_star(spark, sf_dir), region_labels=VIEW_REGIONS
     )
 
 
@@ -338,7 +351,7 @@ def classify_tx(spark, sf_dir):
 
 @query
 def price_impute(spark, sf_dir):
-    fact = view(spark, sf_dir, FACT)
+    fact = _stored_fact(spark, sf_dir)
     priced = cleaning.with_average_price(fact, cleaning.fit_prices(fact))
     columns = ["Precio_Original", "Precio", "Precio_Promedio_Producto"]
     fixed = cleaning.with_repaired_price(priced)
@@ -355,7 +368,7 @@ def value_recalc(spark, sf_dir):
 
 @query
 def value_discrepancy(spark, sf_dir):
-    fact = view(spark, sf_dir, FACT)
+    fact = _stored_fact(spark, sf_dir)
     repaired = cleaning.repair_fact(fact, cleaning.fit_prices(fact))
     new, old = F.col("Ventas_Valor"), F.col("Ventas_Valor_Original")
     changed = repaired.filter(rules.value_changed(new, old))
@@ -392,14 +405,14 @@ _COMPUTED = ("Precio", "Precio_Promedio_Producto", "Ventas_Valor")
 
 @query
 def fact_clean(spark, sf_dir):
-    clean = cleaning.clean_fact_ventas(view(spark, sf_dir, FACT))
+    clean = cleaning.clean_fact_ventas(_stored_fact(spark, sf_dir))
     return _digits(clean, *_COMPUTED)
 
 
 @query
 def fact_clean_strict(spark, sf_dir):
     clean = cleaning.clean_fact_ventas(
-        view(spark, sf_dir, FACT), remove_null_precio=True, remove_null_volumen=True
+        _stored_fact(spark, sf_dir), remove_null_precio=True, remove_null_volumen=True
     )
     return _digits(clean, *_COMPUTED)
 
@@ -407,7 +420,7 @@ def fact_clean_strict(spark, sf_dir):
 @query
 def fact_clean_outliers(spark, sf_dir):
     clean = cleaning.clean_fact_ventas(
-        view(spark, sf_dir, FACT),
+        _stored_fact(spark, sf_dir),
         recalculate_valor=False,
         remove_outliers=True,
         outlier_std_threshold=1.5,
@@ -431,7 +444,7 @@ def price_avg(spark, sf_dir):
 
 @query
 def price_avg_join(spark, sf_dir):
-    fact = view(spark, sf_dir, FACT)
+    fact = _stored_fact(spark, sf_dir)
     joined = cleaning.with_average_price(fact, cleaning.fit_prices(fact))
     return _digits(
         joined.select("Tienda_ID", "Producto_ID", "Fecha_ID", "Precio_Promedio_Producto"),
@@ -461,7 +474,7 @@ def median_price(spark, sf_dir):
 
 @query
 def quantiles_value(spark, sf_dir):
-    fact = view(spark, sf_dir, FACT)
+    fact = _stored_fact(spark, sf_dir)
     found = [
         _one_value(fact, "valor", exact_quantile(fact, "Ventas_Valor", q)).withColumn(
             "cuantil", F.lit(q)
@@ -473,7 +486,7 @@ def quantiles_value(spark, sf_dir):
 
 @query
 def dist_impute(spark, sf_dir):
-    fact = view(spark, sf_dir, FACT)
+    fact = _stored_fact(spark, sf_dir)
     median = exact_quantile(fact, "Distribucion_Ponderada")
     filled = cleaning.impute("Distribucion_Ponderada", median)
     return fact.select(
@@ -637,7 +650,7 @@ def load_log(spark, sf_dir):
 
 @query
 def conform_fact(spark, sf_dir):
-    fact = view(spark, sf_dir, FACT)
+    fact = _stored_fact(spark, sf_dir)
     fit = cleaning.FactFit(
         cleaning.FactOptions(), cleaning.fit_prices(fact), None, None
     )

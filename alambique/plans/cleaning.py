@@ -28,14 +28,18 @@ from alambique.operators.stats import (
 )
 from alambique.schemas import (
     DATE_DIM,
-    DIMENSIONS,
     FACT,
     PRODUCT_DIM,
     STORE_DIM,
     UNKNOWN_DATE,
     target_schema,
 )
-from alambique.storage import Measured, materialize, materialize_measured
+from alambique.storage import (
+    Measured,
+    materialize,
+    materialize_measured,
+    run_together,
+)
 
 _UNKNOWN_MEMBER = UNKNOWN_DATE[:4] + "-" + UNKNOWN_DATE[4:6] + "-" + UNKNOWN_DATE[6:]
 
@@ -312,7 +316,8 @@ def clean_all(
 ) -> dict[str, DataFrame]:
     """Clean the tables that are there, then drop facts without their dimensions.
 
-    Clean dimensions are written once, as everything after reads them. Without ``fact_options`` rows with no usable price or volume are removed.
+    The tables are cleaned at the same time. Clean dimensions are written once,
+    as everything after reads them. Without ``fact_options`` rows with no usable price or volume are removed.
     """
     options = fact_options if fact_options is not None else STRICT
     if not isinstance(options, FactOptions):
@@ -323,10 +328,13 @@ def clean_all(
         PRODUCT_DIM: clean_dim_producto,
         FACT: lambda df: apply_fact(df, fit_fact(df, options)),
     }
-    clean = {name: run(tables[name]) for name, run in cleaners.items() if name in tables}
-    for name in DIMENSIONS:
-        if name in clean:
-            clean[name] = materialize(clean[name], name)
+
+    def clean_one(name: str) -> DataFrame:
+        cleaned = cleaners[name](tables[name])
+        return cleaned if name == FACT else materialize(cleaned, name)
+
+    wanted = [name for name in cleaners if name in tables]
+    clean = run_together({n: lambda n=n: clean_one(n) for n in wanted})
     if enforce_integrity and len(clean) == len(cleaners):
         clean[FACT] = integrity.enforce(clean[FACT], clean)
     return clean

@@ -22,6 +22,7 @@ from alambique.functions.rules import (
 )
 from alambique.operators.joins import lookup_join
 from alambique.schemas import DATE_DIM, FACT, PRODUCT_DIM, STORE_DIM
+from alambique.storage import materialize_all
 
 _MONEY = "decimal(20,4)"
 
@@ -123,8 +124,9 @@ def risk_map(star: Star) -> DataFrame:
     """
     regions = star[STORE_DIM].select("Tienda_ID", "Region")
     segments = star[PRODUCT_DIM].select("Producto_ID", "Segmento")
-    placed = lookup_join(star[FACT], regions, "Tienda_ID", "inner")
-    placed = lookup_join(placed, segments, "Producto_ID", "inner")
+    sides = materialize_all({"regions": regions, "segments": segments})
+    placed = lookup_join(star[FACT], sides["regions"], "Tienda_ID", "inner")
+    placed = lookup_join(placed, sides["segments"], "Producto_ID", "inner")
     sums = totals(placed, "Region", "Segmento")
     order = Window.orderBy(
         F.desc("costo"),

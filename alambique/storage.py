@@ -8,10 +8,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,11 +69,26 @@ def materialize_measured(df: DataFrame, label: str) -> Measured:
     return Measured(spark.read.schema(df.schema).parquet(path), n, size)
 
 
+def run_together(jobs: Mapping[str, Callable[[], object]]) -> dict[str, object]:
+    """Results of independent jobs, submitted at the same time."""
+    inherit = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(max_workers=max(len(jobs), 1)) as pool:
+        running = {name: pool.submit(inherit(job)) for name, job in jobs.items()}
+        return {name: future.result() for name, future in running.items()}
+
+
+def materialize_all(frames: Mapping[str, DataFrame]) -> dict[str, Measured]:
+    """Write several independent tables at the same time."""
+    return run_together(
+        {n: lambda n=n, df=df: materialize_measured(df, n) for n, df in frames.items()}
+    )
+
+
 def _is_text(field: T.StructField) -> bool:
     return isinstance(field.dataType, (T.StringType, T.BinaryType))
 
 
-def _text_bytes(df: DataFrame):
+def _text_bytes(df: DataFrame) -> Column:
     text = [f"`{f.name}`" for f in df.schema if _is_text(f)]
     lengths = (F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in text)
     return F.sum(sum(lengths, F.lit(0)).cast("long"))
