@@ -24,6 +24,14 @@ FACT_KEY = ("Producto_ID", "Tienda_ID", "Fecha_ID", "Tipo_Transaccion")
 #: Key given to facts whose date is unknown.
 UNKNOWN_DATE = "19000101"
 
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "date": T.DateType(),
+    "boolean": T.BooleanType(),
+}
+
 _SOURCE_DDL = {
     DATE_DIM: "Fecha_ID string, Fecha string, Anio int, Mes int, Nombre_Mes string, "
     "Numero_Semana int, Trimestre string, Estacionalidad_Factor double",
@@ -85,7 +93,12 @@ def target_schema(table: str) -> T.StructType:
     return _schema(_TARGET_DDL, table)
 
 
-def _schema(ddl: dict[str, str], table: str) -> T.StructType:
-    if table not in ddl:
-        raise ValueError(f"no schema for {table!r}; known tables: {', '.join(ddl)}")
-    return T.StructType.fromDDL(ddl[table])
+def _schema(texts: dict[str, str], table: str) -> T.StructType:
+    """Schema from its text; unlike Spark's own parser this needs no session."""
+    if table not in texts:
+        raise ValueError(f"no schema for {table!r}; known tables: {', '.join(texts)}")
+    fields = []
+    for text in texts[table].split(", "):
+        name, kind, *rest = text.split(" ")
+        fields.append(T.StructField(name, _TYPES[kind], rest != ["not", "null"]))
+    return T.StructType(fields)
