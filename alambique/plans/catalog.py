@@ -553,20 +553,16 @@ def dim_lookup(spark, sf_dir):
 # -- Load ---------------------------------------------------------------------
 
 
-def _classified(spark, sf_dir):
+def _fact_load(spark, sf_dir):
+    """Staged facts and the target so far, both cut from one stored table."""
     fact = cleaning.with_class(cleaning.with_date_key(view(spark, sf_dir, FACT)))
-    return fact.filter(F.col("Ventas_Volumen").isNotNull())
-
-
-def _fact_target(spark, sf_dir):
-    known = (F.col("Fecha_ID") < "20000101") & F.col("Tienda_ID").isNotNull()
-    return materialize(_classified(spark, sf_dir).filter(known), "target")
-
-
-def _fact_staging(spark, sf_dir):
-    staged = _classified(spark, sf_dir).filter(F.col("Fecha_ID") >= "19990101")
-    again = staged.filter(F.col("Producto_ID") % 100 == 0)
-    return materialize(staged.unionByName(again), "staging")
+    # Dropped after the write: pushed into the view, the condition would derive
+    # every fault a second time.
+    stored = materialize(fact, "classified").filter("Ventas_Volumen IS NOT NULL")
+    key, store, product = F.col("Fecha_ID"), F.col("Tienda_ID"), F.col("Producto_ID")
+    target = stored.filter((key < "20000101") & store.isNotNull())
+    staged = stored.filter(key >= "19990101")
+    return staged.unionByName(staged.filter(product % 100 == 0)), target
 
 
 def _dim_loads(spark, sf_dir):
@@ -606,28 +602,19 @@ def load_dim_existing(spark, sf_dir):
 
 @query
 def load_fact_new(spark, sf_dir):
-    return load.new_rows(
-        _fact_staging(spark, sf_dir),
-        _fact_target(spark, sf_dir),
-        FACT_KEY,
-        prune_by="Fecha_ID",
-    )
+    staging, target = _fact_load(spark, sf_dir)
+    return load.new_rows(staging, target, FACT_KEY, prune_by="Fecha_ID")
 
 
 @query
 def load_fact_first(spark, sf_dir):
-    return load.new_rows(
-        _fact_staging(spark, sf_dir),
-        _fact_target(spark, sf_dir),
-        FACT_KEY,
-        policy=load.KEEP_FIRST,
-        prune_by="Fecha_ID",
-    )
+    staging, target = _fact_load(spark, sf_dir)
+    return load.new_rows(staging, target, FACT_KEY, load.KEEP_FIRST, "Fecha_ID")
 
 
 @query
 def staging_remainder(spark, sf_dir):
-    staging, target = _fact_staging(spark, sf_dir), _fact_target(spark, sf_dir)
+    staging, target = _fact_load(spark, sf_dir)
     loaded = target.unionByName(load.new_rows(staging, target, FACT_KEY))
     rest = load.purge_loaded(staging, loaded, FACT_KEY)
     return rest.select(*FACT_KEY, "Ventas_Volumen")
@@ -636,7 +623,7 @@ def staging_remainder(spark, sf_dir):
 @query
 def load_log(spark, sf_dir):
     loads = _dim_loads(spark, sf_dir)
-    loads[FACT] = (_fact_staging(spark, sf_dir), _fact_target(spark, sf_dir), FACT_KEY)
+    loads[FACT] = (*_fact_load(spark, sf_dir), FACT_KEY)
     entries = []
     for name, (staging, target, keys) in loads.items():
         prune = "Fecha_ID" if name == FACT else None
@@ -670,7 +657,7 @@ def contract_violations(spark, sf_dir):
 
 @query
 def error_detail(spark, sf_dir):
-    staging, dims = _fact_staging(spark, sf_dir), _clean_dims(spark, sf_dir)
+    (staging, _), dims = _fact_load(spark, sf_dir), _clean_dims(spark, sf_dir)
     sample = list(FACT_KEY)
     missing = integrity.orphans(staging, dims)
     repeated = duplicate_keys(staging.dropna(subset=sample), sample)
