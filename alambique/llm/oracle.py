@@ -48,3 +48,65 @@ FROM k
 """
 
 ORACLES = {"op3_source_mix": MIX}
+
+QUALITY = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d
+), tri AS (
+  SELECT rid, i, hash(w[i], w[i + 1], w[i + 2]) AS g
+  FROM w, unnest(range(1, len(w) - 1)) AS u(i)
+), twice AS (
+  SELECT rid, i FROM (SELECT *, count(*) OVER (PARTITION BY rid, g) AS c FROM tri) WHERE c > 1
+), cover AS (
+  SELECT rid, count(DISTINCT p) AS n
+  FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY rid
+), split AS (
+  SELECT rid, source, unnest(string_split(t, chr(10))) AS line FROM d
+), worded AS (
+  SELECT *, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS lw FROM split
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), lines AS (
+  SELECT rid, source, line, len(lw) AS words,
+    regexp_replace(translate(array_to_string(lw, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[0-9]+', '0', 'g') AS norm,
+    list_max(list_transform(lw, lambda x: {'n': length(x), 'w': x})) AS top
+  FROM worded
+), best AS (
+  SELECT rid, arg_max(norm, top) AS norm, max(top) AS top FROM lines GROUP BY rid
+), second AS (
+  SELECT l.rid, max(l.top) AS top FROM lines l JOIN best b ON l.rid = b.rid AND l.norm <> b.norm
+  GROUP BY l.rid
+), held AS (
+  SELECT DISTINCT l.source, l.norm,
+    CASE WHEN l.norm = b.norm THEN s.top.w ELSE b.top.w END AS rest
+  FROM lines l JOIN best b ON l.rid = b.rid LEFT JOIN second s ON l.rid = s.rid
+), total AS (
+  SELECT source, count(*) AS n FROM d GROUP BY source
+), frequent AS (
+  SELECT h.source, h.norm FROM (
+    SELECT source, norm, count(*) AS docs FROM held GROUP BY source, norm
+  ) h JOIN total t ON h.source IS NOT DISTINCT FROM t.source
+  WHERE docs >= 10 AND docs > t.n * 0.02::DOUBLE
+), lost AS (
+  SELECT l.rid, sum(l.words) AS n FROM lines l JOIN frequent f
+    ON l.norm = f.norm AND l.source IS NOT DISTINCT FROM f.source GROUP BY l.rid
+), dup AS (
+  SELECT rid, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY rid
+), figures AS (
+  SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(length(translate(t, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), ''))
+      AS BIGINT) AS word_chars,
+    CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+    CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(cover.n, 0) AS BIGINT) AS n_repeat_words,
+    CAST(coalesce(lost.n, 0) AS BIGINT) AS words_lost
+  FROM w LEFT JOIN cover USING (rid) LEFT JOIN dup USING (rid) LEFT JOIN lost USING (rid)
+), failed AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM figures
+)
+SELECT *, NOT base_failed AND n_words - words_lost >= n_words * 0.3::DOUBLE AS kept FROM failed
+"""
+
+ORACLES["op9_quality_rules"] = QUALITY

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alambique.llm import licenses, mixing, packing
+from alambique.llm import licenses, mixing, packing, quality
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -42,8 +42,13 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_source_mix": op3_source_mix,
     "op4_license_scan": op4_license_scan,
     "op8_packing": op8_packing,
+    "op9_quality_rules": op9_quality_rules,
 }
