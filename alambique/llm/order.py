@@ -11,16 +11,21 @@ from alambique.storage import materialize
 
 
 def with_neighbours(
-    df: DataFrame, order: Sequence[str], carry: Sequence[str], label: str
+    df: DataFrame,
+    order: Sequence[str],
+    carry: Sequence[str],
+    label: str,
+    circular: bool = False,
 ) -> DataFrame:
     """Add the structs ``prev`` and ``next``: ``carry`` of the neighbouring rows.
 
     Rows are dealt out by ranges of ``order`` and stored with the number of
     their range, so every reader sees the same ranges. Neighbours within a range
     come from a window, those across a border from the first and last row of
-    each range: one row per range, which is as many as there are tasks. The
-    ends of the table have NULL. Equal rows follow each other in any order;
-    give ``order`` enough columns to tell rows apart that differ in ``carry``.
+    each range: one row per range, which is as many as there are tasks. At the
+    ends of the table they are NULL or, if ``circular``, the other end. Equal
+    rows follow each other in any order; give ``order`` enough columns to tell
+    rows apart that differ in ``carry``.
     """
     ranged = df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id())
     stored = materialize(ranged, label)
@@ -30,10 +35,15 @@ def with_neighbours(
         F.min_by(value, key).alias("__first"), F.max_by(value, key).alias("__last")
     )
     ranges = Window.orderBy("__range")
+    before, after = F.lag("__last").over(ranges), F.lead("__first").over(ranges)
+    if circular:
+        whole = ranges.rowsBetween(
+            Window.unboundedPreceding, Window.unboundedFollowing
+        )
+        before = F.coalesce(before, F.last("__last").over(whole))
+        after = F.coalesce(after, F.first("__first").over(whole))
     borders = ends.select(
-        "__range",
-        F.lag("__last").over(ranges).alias("__before"),
-        F.lead("__first").over(ranges).alias("__after"),
+        "__range", before.alias("__before"), after.alias("__after")
     )
     inside = Window.partitionBy("__range").orderBy(*order)
     return (
