@@ -110,3 +110,27 @@ SELECT *, NOT base_failed AND n_words - words_lost >= n_words * 0.3::DOUBLE AS k
 """
 
 ORACLES["op9_quality_rules"] = QUALITY
+
+CHAT = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), e AS (
+  SELECT *,
+    length(replace(replace(replace(role, '\', '\0'), '<|', '<\1|'), chr(10), '\2'))
+      + length(replace(replace(text, '\', '\0'), '<|', '<\1|'))
+      + length('<|im_start|>' || chr(10) || '<|im_end|>' || chr(10)) AS chars
+  FROM c
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn))
+    AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+ORACLES["op2_chat_format"] = CHAT
