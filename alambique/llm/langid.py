@@ -9,115 +9,253 @@ the filter of each language gives by how full it is.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections import defaultdict
+from collections.abc import Iterable, Iterator, Sequence
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from alambique.llm.batches import ROWS, map_rows
+from alambique.llm.batches import ROWS
 
 UNKNOWN = "und"
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
-#: Fixed odd factors that spread an n-gram's code points and its slots.
-_FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+#: Code points that are looked at together.
+CHUNK = 1 << 20
+
+#: Odd factors that spread code points and n-grams over 64 bits.
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+_SLOT = (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``rows`` bounds the training texts of a language, ``min_share`` is the
-    part of them an n-gram must occur in, and ``grams`` bounds a language's
-    n-grams, the commonest first."""
+    """``rows`` is about the number of training texts of a language, and
+    ``min_share`` the part of them that an n-gram must occur in. The table has
+    ``2 ** slot_bits`` slots, whatever is learned."""
 
     n: int = 4
-    rows: int = 4000
-    min_share: float = 0.004
-    grams: int = 1 << 16
+    rows: int = 3000
+    min_share: float = 0.01
     slot_bits: int = 20
     hashes: int = 3
 
 
 @dataclass(frozen=True)
 class Filters:
-    """``slots`` has a word of bits for each slot; ``false_rate`` is the chance
-    that an unknown n-gram seems to be in a language."""
+    """``slots`` has words of 64 languages for each slot; ``false_rate`` is the
+    chance that an n-gram foreign to a language seems to be in it. ``langs`` has
+    the commonest language first."""
 
     langs: tuple[str, ...]
-    slots: np.ndarray
+    slots: np.ndarray | None
     false_rate: np.ndarray
     settings: Settings
 
 
-def remainder(doc_id: str | Column = "doc_id") -> Column:
-    """crc32 of the id as text, modulo 5; 0 is held out. A NULL id is not."""
-    column = F.col(doc_id) if isinstance(doc_id, str) else doc_id
-    return F.coalesce(F.pmod(F.crc32(column.cast("string").cast("binary")), F.lit(5)), F.lit(-1))
-
-
-def gram_hashes(texts: list[str], n: int) -> tuple[np.ndarray, np.ndarray, list[bool]]:
-    """Hashes of all letter n-grams, the text each is from, and which texts have
-    a letter. Anything but letters counts as one kind of blank."""
-    joined = "\n".join(t.lower() for t in texts)
-    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    distinct, inverse = np.unique(codes, return_inverse=True)
-    letters = np.array([chr(c).isalpha() for c in distinct.tolist()], bool)
-    is_letter = letters[inverse] if len(codes) else np.zeros(0, bool)
-    lengths = np.array([len(t.lower()) + 1 for t in texts], np.int64)
-    ends = np.cumsum(lengths)
-    owner = np.repeat(np.arange(len(texts)), lengths)[: len(codes)]
-    starts = ends - lengths
-    has = [bool(is_letter[a : b - 1].any()) for a, b in zip(starts, ends)]
-    value = np.where(is_letter, codes, 32).astype(np.uint64)
-    size = len(codes) - n + 1
-    if size <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), has
-    hashed = np.zeros(size, np.uint64)
-    for k in range(n):
-        hashed = (hashed ^ value[k : k + size]) * np.uint64(_FACTORS[0])
-        hashed ^= hashed >> np.uint64(29)
-    # A gram starts with a letter or the blank before one, and stays in its text.
-    inside = owner[:size] == owner[n - 1 :]
-    return hashed[m := inside & is_letter[1 : size + 1]], owner[:size][m], has
+def remainder() -> Column:
+    """crc32 of ``doc_id`` as text, modulo 5; rows with 0 are held out."""
+    known = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
+    return F.coalesce(known, F.lit(-1))
+
+
+def _letters() -> np.ndarray:
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+
+
+def _pieces(texts: Sequence[str], n: int) -> Iterator[list[tuple[int, str]]]:
+    """Texts with a blank around them, cut so that each n-gram is in one piece."""
+    group, size = [], 0
+    for owner, text in enumerate(texts):
+        padded = f" {text.lower()}  "
+        for start in range(0, len(padded), CHUNK):
+            piece = padded[start : start + CHUNK + n - 1]
+            group.append((owner, piece))
+            size += len(piece)
+            if size >= CHUNK:
+                yield group
+                group, size = [], 0
+    if group:
+        yield group
+
+
+def grams(
+    texts: Sequence[str], n: int, letters: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashes of the n-grams of words and the number of the text each is from.
+
+    Anything but letters is one kind of blank. A gram's second sign is a letter,
+    so every text with a letter has one.
+    """
+    for group in _pieces(texts, n):
+        joined = "".join(p for _, p in group).encode("utf-32-le", "surrogatepass")
+        codes = np.frombuffer(joined, np.uint32)
+        lengths = np.array([len(p) for _, p in group])
+        owner = np.repeat(np.array([o for o, _ in group]), lengths)
+        piece = np.repeat(np.arange(len(group)), lengths)
+        is_letter = letters[codes]
+        value = np.where(is_letter, codes, 32).astype(np.uint64)
+        size = len(codes) - n + 1
+        if size <= 0:
+            continue
+        hashed = np.zeros(size, np.uint64)
+        for k in range(n):
+            hashed ^= value[k : k + size]
+            hashed *= _SPREAD
+            hashed ^= hashed >> np.uint64(29)
+        whole = (piece[:size] == piece[n - 1 :]) & is_letter[1 : size + 1]
+        yield hashed[whole], owner[:size][whole]
 
 
 def slot_numbers(hashed: np.ndarray, settings: Settings) -> Iterator[np.ndarray]:
     shift = np.uint64(64 - settings.slot_bits)
     for k in range(settings.hashes):
-        yield (hashed * np.uint64(_FACTORS[k] ^ (2 * k * 0x5851F42D4C957F2D & 2**64 - 2))) >> shift
+        yield ((hashed * np.uint64(_SLOT[k])) >> shift).astype(np.int64)
 
 
 def fit(docs: DataFrame, settings: Settings = Settings()) -> Filters:
     """Filters of all languages, from rows that are not held out.
 
-    Texts are a sample of about ``settings.rows`` of each language, by a hash of
-    the id, so their number does not grow with the corpus; all of a language's
-    texts are counted. One row per n-gram kept reaches the driver, at most
-    ``settings.grams`` of each language.
+    The training texts are a sample by a hash of the id, about ``rows`` of each
+    language, so their number does not grow with the corpus. Only the finished
+    table reaches the driver, at most a row for each slot and 64 languages, and
+    one row a language before.
     """
-    known = docs.filter((remainder() != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return Filters((), np.zeros(1 << settings.slot_bits, np.uint64), np.zeros(0), settings)
-    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, settings.rows / n)])
-    draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("langid")), F.lit(1 << 20)) / float(1 << 20)
-    sample = known.filter(draw < share[F.col("lang")]).select("lang", "text")
-    n = settings.n
-
-    def make():
-        def grams(lang, text):
-            return [(lang, g) for g in np.unique(gram_hashes([text], n)[0]).astype(np.int64).tolist()]
-
-        return grams
-
-    held = map_rows(sample, "lang string, gram long", make)
-    texts = sample.groupBy("lang").agg(F.count("*").alias("texts"))
+    known = docs.filter((remainder() != 0) & F.col("lang").isNotNull())
+    counted = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = {r["lang"]: r["n"] for r in counted}
+    langs = tuple(sorted(counts, key=lambda x: (-counts[x], x)))
+    words = -(-len(langs) // 64) or 1
+    slots = np.zeros((1 << settings.slot_bits, words), np.uint64)
+    if not langs:
+        return Filters((), slots, np.zeros(0), settings)
+    share = {x: settings.rows / counts[x] for x in langs}
+    number = F.create_map(*[F.lit(v) for i, x in enumerate(langs) for v in (x, i)])
+    chance = F.create_map(*[F.lit(v) for x in langs for v in (x, share[x])])
+    draw = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 20)) / float(1 << 20)
+    sample = known.filter(F.col("text").isNotNull() & (draw < chance[F.col("lang")])).select(
+        number[F.col("lang")].alias("lang"), "text"
+    )
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Texts that hold each n-gram, and at -1 all texts, summed by task."""
+        letters, held = _letters(), defaultdict(list)
+        size = 0
+        for batch in batches:
+            for lang, text in zip(*batch.to_pydict().values()):
+                found = [g for g, _ in grams([text], settings.n, letters)]
+                own = np.unique(np.concatenate(found)).view(np.int64)
+                held[lang].append(own)
+                size += len(own)
+                if size > 1 << 22:
+                    yield _summed(held)
+                    held, size = defaultdict(list), 0
+        if held:
+            yield _summed(held)
+
+    partial = sample.mapInArrow(count, "lang int, gram long, n long, is_total boolean")
+    summed = partial.groupBy("lang", "gram", "is_total").agg(F.sum("n").alias("n"))
+    totals = summed.filter("is_total").select("lang", F.col("n").alias("texts"))
     common = (
-        held.groupBy("lang", "gram")
-        .agg(F.count("*").alias("n"))
-        .join(F.broadcast(texts), "lang")
+        summed.filter("NOT is_total")
+        .join(F.broadcast(totals), "lang")  # one row a language
         .filter(F.col("n") >= F.greatest(F.lit(2), F.col("texts") * settings.min_share))
+        .select("lang", "gram")
     )
-    return common
+
+    def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lang = batch.column(0).to_numpy().astype(np.int64)
+            hashed = batch.column(1).to_numpy().view(np.uint64)
+            for slot in slot_numbers(hashed, settings):
+                bit = np.left_shift(np.uint64(1), (lang % 64).astype(np.uint64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(slot), pa.array((lang // 64).astype(np.int32)), pa.array(bit.view(np.int64))],
+                    ["slot", "word", "bits"],
+                )
+
+    placed = common.mapInArrow(place, "slot long, word int, bits long")
+    table = placed.groupBy("slot", "word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    slots[table["slot"].to_numpy(), table["word"].to_numpy()] = (
+        table["bits"].to_numpy().astype(np.int64).view(np.uint64)
+    )
+    full = [(slots[:, i // 64] >> np.uint64(i % 64) & np.uint64(1)).mean() for i in range(len(langs))]
+    return Filters(langs, slots, np.array(full) ** settings.hashes, settings)
+
+
+def _summed(held: dict[int, list[np.ndarray]]) -> pa.RecordBatch:
+    langs, keys, counts, total = [], [], [], []
+    for lang, found in held.items():
+        gram, n = np.unique(np.concatenate(found), return_counts=True)
+        keys += [gram, np.array([-1])]
+        counts += [n, np.array([len(found)])]
+        langs.append(np.full(len(gram) + 1, lang, np.int32))
+        total.append(np.arange(len(gram) + 1) == len(gram))
+    columns = [np.concatenate(x) for x in (langs, keys, counts, total)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c) for c in columns], ["lang", "gram", "n", "is_total"]
+    )
+
+
+def predict_texts(
+    texts: Sequence[str], model: Filters, letters: np.ndarray
+) -> tuple[list[str], list[float]]:
+    """Language and score of each text; UNKNOWN and 0 without a letter."""
+    total = np.zeros(len(texts))
+    hits = np.zeros((len(model.langs), len(texts)))
+    for hashed, owner in grams(texts, model.settings.n, letters):
+        shared = None
+        for slot in slot_numbers(hashed, model.settings):
+            found = model.slots[slot]
+            shared = found if shared is None else shared & found
+        total += np.bincount(owner, minlength=len(texts))
+        for i in range(len(model.langs)):
+            one = shared[:, i // 64] >> np.uint64(i % 64) & np.uint64(1)
+            hits[i] += np.bincount(owner, weights=one, minlength=len(texts))
+    if not model.langs:
+        return [UNKNOWN] * len(texts), [0.0] * len(texts)
+    rate = model.false_rate[:, None]
+    share = (hits / np.maximum(total, 1) - rate) / (1 - np.minimum(rate, 0.999))
+    share = np.clip(share, 0, 1)
+    best = share.argmax(axis=0)
+    names = [model.langs[b] if t else UNKNOWN for b, t in zip(best, total)]
+    return names, [float(s) for s in share[best, np.arange(len(texts))]]
+
+
+def predict(docs: DataFrame, model: Filters, keep: Sequence[str] = ()) -> DataFrame:
+    """Predicted language of each row's whole text, from the text alone.
+
+    ``docs`` needs ``doc_id`` and ``text``. Returns ``doc_id, held_out,
+    lang_pred, score``, a row for each row, repeats and NULL ids too, and the
+    columns named in ``keep``. A NULL text or one without a letter is UNKNOWN
+    with score 0; the score of others is the corrected share of their n-grams
+    that the language knows. Ties go to the commoner language. Columns to keep
+    must not have one of the result's names. The model is a table of fixed size
+    that Spark broadcasts once.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model.slots)
+    small = replace(model, slots=None)
+    rows = docs.select(
+        *keep,
+        F.col("doc_id").cast("long").alias("__id"),
+        (remainder() == 0).alias("__held"),
+        F.col("text").cast("string").alias("__text"),
+    )
+    schema = T.StructType([*docs.select(*keep).schema, *T.StructType.fromDDL(SCHEMA)])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letters, filters = _letters(), replace(small, slots=shared.value)
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                names, scores = predict_texts(
+                    [t or "" for t in part.column("__text").to_pylist()], filters, letters
+                )
+                columns = part.columns[:-1] + [pa.array(names, pa.string()), pa.array(scores)]
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    return rows.mapInArrow(run, schema)
