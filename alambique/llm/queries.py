@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alambique.llm import chat, fingerprints, langid, licenses, mixing, packing, quality
+from alambique.llm import chat, fingerprints, langid, licenses, mixing, packing, quality, toxicity
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -62,6 +62,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, langid.fit(docs))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER)
     return pieces.select(
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_source_mix": op3_source_mix,
     "op4_license_scan": op4_license_scan,
     "op5_language_id": op5_language_id,
+    "op6_toxicity": op6_toxicity,
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,
 }
