@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alambique.llm import chat, fingerprints, langid, licenses, mixing, packing, quality, toxicity
+from alambique.llm import chat, fingerprints, langid, licenses, mixing, packing, pages, quality, toxicity
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -67,6 +67,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(_table(spark, sf_dir, "pages"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER)
     return pieces.select(
@@ -93,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_license_scan": op4_license_scan,
     "op5_language_id": op5_language_id,
     "op6_toxicity": op6_toxicity,
+    "op7_html_extraction": op7_html_extraction,
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,
 }
