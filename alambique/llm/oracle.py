@@ -134,3 +134,36 @@ FROM e GROUP BY conv_id
 """
 
 ORACLES["op2_chat_format"] = CHAT
+
+NEAR = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, w[i] || ' ' || w[i + 1] AS g
+  FROM d, unnest(range(1, len(w))) AS u(i)
+  UNION ALL SELECT doc_id, w[1] FROM d WHERE len(w) = 1
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), c AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), l AS (
+  SELECT x, y FROM c JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
+  WHERE 100 * shared >= 80 * (a.n + b.n - shared)
+), e AS (
+  SELECT x, y FROM l UNION ALL SELECT y, x FROM l
+), r AS (
+  WITH RECURSIVE r(doc_id, reached) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.reached
+  ) SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.component_id,
+  d.doc_id = r.component_id AS kept
+FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id JOIN r ON r.doc_id = d.doc_id
+"""
+
+ORACLES["op10_near_duplicates"] = NEAR

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alambique.llm import chat, fingerprints, langid, licenses, mixing, packing, pages, quality, toxicity
+from alambique.llm import chat, fingerprints, langid, licenses, mixing, neardup, packing, pages, quality, toxicity
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -90,6 +90,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_document_fingerprints": op1_document_fingerprints,
     "op2_chat_format": op2_chat_format,
@@ -100,4 +104,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_html_extraction": op7_html_extraction,
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,
+    "op10_near_duplicates": op10_near_duplicates,
 }
