@@ -22,8 +22,6 @@ from pyspark.sql import types as T
 from alambique.llm.batches import ROWS
 
 UNKNOWN = "und"
-SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
-
 #: Code points that are looked at together.
 CHUNK = 1 << 20
 
@@ -226,36 +224,52 @@ def predict_texts(
     return names, [float(s) for s in share[best, np.arange(len(texts))]]
 
 
-def predict(docs: DataFrame, model: Filters, keep: Sequence[str] = ()) -> DataFrame:
-    """Predicted language of each row's whole text, from the text alone.
+def with_language(docs: DataFrame, model: Filters) -> DataFrame:
+    """``docs`` with ``__lang`` and ``__score``, from ``text`` alone.
 
-    ``docs`` needs ``doc_id`` and ``text``. Returns ``doc_id, held_out,
-    lang_pred, score``, a row for each row, repeats and NULL ids too, and the
-    columns named in ``keep``. A NULL text or one without a letter is UNKNOWN
-    with score 0; the score of others is the corrected share of their n-grams
-    that the language knows. Ties go to the commoner language. Columns to keep
-    must not have one of the result's names. The model is a table of fixed size
-    that Spark broadcasts once.
+    The model is a table of fixed size that Spark broadcasts once.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model.slots)
     small = replace(model, slots=None)
-    rows = docs.select(
-        *keep,
-        F.col("doc_id").cast("long").alias("__id"),
-        (remainder() == 0).alias("__held"),
-        F.col("text").cast("string").alias("__text"),
-    )
-    schema = T.StructType([*docs.select(*keep).schema, *T.StructType.fromDDL(SCHEMA)])
+    added = T.StructType.fromDDL("__lang string, __score double")
+    schema = T.StructType([*docs.schema, *added])
+    text = docs.columns.index("text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, filters = _letters(), replace(small, slots=shared.value)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
-                names, scores = predict_texts(
-                    [t or "" for t in part.column("__text").to_pylist()], filters, letters
-                )
-                columns = part.columns[:-1] + [pa.array(names, pa.string()), pa.array(scores)]
-                yield pa.RecordBatch.from_arrays(columns, schema.names)
+                texts = [t or "" for t in part.column(text).to_pylist()]
+                names, scores = predict_texts(texts, filters, letters)
+                found = [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+                yield pa.RecordBatch.from_arrays([*part.columns, *found], schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
+def predict(docs: DataFrame, model: Filters) -> DataFrame:
+    """Predicted language of each row: ``doc_id, held_out, lang_pred, score``.
 
-    return rows.mapInArrow(run, schema)
+    ``docs`` needs ``doc_id`` and ``text``; other columns are ignored. A row for
+    each row, repeats and NULL ids too. A NULL text or one without a letter is
+    UNKNOWN with score 0; the score of others is the corrected share of their
+    n-grams that the language knows. Ties go to the commoner language. Without
+    training texts all are UNKNOWN.
+    """
+    return with_language(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        (remainder() == 0).alias("held_out"),
+        F.col("__lang").alias("lang_pred"),
+        F.col("__score").alias("score"),
+    )
+
+
+def identified_documents(docs: DataFrame, model: Filters, least: float = 0.3) -> DataFrame:
+    """The documents in a known language, with the columns of ``docs``.
+
+    Those of UNKNOWN language go, and those of which the language knows less
+    than ``least`` of the n-grams.
+    """
+    known = (F.col("__lang") != UNKNOWN) & (F.col("__score") >= least)
+    return with_language(docs, model).filter(known).select(*docs.columns)

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from alambique.llm import shingles as sh
@@ -440,3 +440,24 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
             "component_id"
         ),
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+
+
+def deduplicated(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """One document of each component, with the columns of ``docs``.
+
+    It is the one with the smallest id; rows that share that id leave the one
+    whose text comes first. Rows with a NULL id go.
+    """
+    found = near_duplicates(docs.select("doc_id", "text"), settings)
+    kept = found.filter("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    kept = materialize(kept, "kept-documents")
+    once = kept.filter("n = 1").select("doc_id")
+    more = kept.filter("n > 1").select("doc_id")
+    own = Window.partitionBy("doc_id").orderBy("text")
+    first = (
+        lookup_join(docs, more, "doc_id", "left_semi")
+        .withColumn("__nth", F.row_number().over(own))
+        .filter("__nth = 1")
+    )
+    single = lookup_join(docs, once, "doc_id", "left_semi")
+    return single.select(*docs.columns).union(first.select(*docs.columns))

@@ -72,18 +72,12 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER)
-    return pieces.select(
-        "doc_id",
-        "start",
-        "length",
-        F.crc32("ids").alias("ids_crc32"),
-        "doc_tokens",
-        "sequence_id",
-        "offset",
-        "window",
-        "step_group",
-    )
+    return piece_digests(packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER))
+
+
+def piece_digests(pieces: DataFrame) -> DataFrame:
+    """Pieces with a checksum in place of their ids."""
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
