@@ -143,7 +143,9 @@ def _plan(
         .filter((F.col("__left") >= 0) & (F.col("__left") < words_in))
         .select(
             "__source",
-            F.struct("__key", "__id", "__size").alias("__border"),
+            F.col("__key").alias("__border_key"),
+            F.col("__id").alias("__border_id"),
+            F.col("__size").alias("__border_size"),
             F.floor(F.col("__left") / F.col("__rows")).alias("__part"),
         )
     )
@@ -158,9 +160,14 @@ def _named() -> Column:
 def _repeats() -> tuple[Column, Column]:
     """Whole times a row is taken, and words of it after those."""
     own = F.struct("__key", "__id", "__size")
-    before = F.coalesce(own < F.col("__border"), F.lit(False))
+    border = F.struct(
+        F.col("__border_key").alias("__key"),
+        F.col("__border_id").alias("__id"),
+        F.col("__border_size").alias("__size"),
+    )
+    before = F.col("__border_key").isNotNull() & (own < border)
     whole_times = F.col("__epochs") + before.cast("long")
-    part = F.when(own == F.col("__border"), F.col("__part")).otherwise(0)
+    part = F.when(own == border, F.col("__part")).otherwise(0)
     return whole_times, part
 
 
