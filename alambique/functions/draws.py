@@ -6,8 +6,6 @@ after any retry. Integer arithmetic modulo a prime keeps them portable.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,33 +21,11 @@ def uniform(row_id: Column, seed: int, stream: int) -> Column:
     """A number in [0, 1): two squaring rounds between linear ones."""
     a, b = coefficients(seed, stream)
     p = F.lit(PRIME).cast("long")
-    x = (F.pmod(row_id.cast("long"), p) * a + b) % p
+    row = row_id.cast("long")
+    # What of an id is above the prime is added before the squaring rounds.
+    high = F.pmod(F.call_function("div", row, p), p)
+    x = (F.pmod(row, p) * a + b + high * 40692 % p) % p
     x = (x * x + a) % p
     x = (x * 16807 + b) % p
     x = (x * x + a) % p
     return x / F.lit(float(PRIME))
-
-
-def between(draw: Column, low: float, high: float) -> Column:
-    return F.lit(low) + draw * F.lit(high - low)
-
-
-def choice(draw: Column, values: Sequence[str]) -> Column:
-    """One of the values with equal chances."""
-    options = F.array(*[F.lit(v) for v in values])
-    return F.element_at(options, F.floor(draw * len(values)).cast("int") + 1)
-
-
-def weighted_choice(draw: Column, weights: dict[str, float]) -> Column:
-    """One of the keys by its share; shares sum to one."""
-    *head, (last, _) = weights.items()
-    picked, bound = F.lit(last), sum(w for _, w in head)
-    for value, weight in reversed(head):
-        picked = F.when(draw < round(bound, 9), value).otherwise(picked)
-        bound -= weight
-    return picked
-
-
-def cents(amount: Column) -> Column:
-    """Round to two digits, halves up."""
-    return F.floor(amount * 100 + 0.5) / 100.0

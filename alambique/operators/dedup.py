@@ -12,7 +12,8 @@ def keep_one(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """One row per key: the smallest by the other columns in order, NULLs last.
 
     A minimum of structs is combined before the shuffle, so a key with any
-    number of copies sends one row per task.
+    number of copies sends one row per task. Structs are combined in sorted
+    order: each task sorts its rows by key first.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     rest = [c for c in df.columns if c not in keys]

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from alambique.storage import Measured, materialize_measured
 
@@ -18,6 +19,7 @@ BROADCAST_BYTES = 128 << 20
 BROADCAST_ROWS = 8_000_000
 
 _BUCKETS = 1 << 16
+_MAX_PARTS = 1 << 40
 _SALT = "__salt"
 
 
@@ -51,16 +53,16 @@ def skew_join(
     side: DataFrame,
     keys: Sequence[str],
     how: str = "left",
-    salts: int = 64,
     hot_share: float = 1 / 4096,
     hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """Shuffle join in which no key's rows all go to one task.
 
     One narrow pass counts the large side's rows by hash bucket of the key, at
-    most 65,536 groups. Rows of a bucket above ``hot_share`` of the table and
-    ``hot_rows`` rows are spread by the input split they come from, and only
-    that bucket's rows of ``side`` are repeated for each salt.
+    most 65,536 groups. A bucket above ``hot_share`` of the table and
+    ``hot_rows`` rows is cut into as many parts as it has times ``hot_rows``, by
+    a hash of whole rows, and only that bucket's rows of ``side`` are repeated
+    for each part. The hash keeps a row in its part when a task is run again.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot split the large side of a {how!r} join")
@@ -68,25 +70,30 @@ def skew_join(
     hot = hot_buckets(large, keys, hot_share, hot_rows)
     if not hot:
         return large.join(side, keys, how)
-    is_hot = _bucket(keys).isin(hot)
-    spread = F.pmod(F.spark_partition_id(), F.lit(salts))
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    left = large.withColumn(_SALT, F.when(is_hot, spread).otherwise(0))
-    right = side.withColumn(
-        _SALT, F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0))))
-    )
+    parts = F.lit(1)
+    for bucket, rows in hot.items():
+        parts = F.when(_bucket(keys) == bucket, -(-rows // hot_rows)).otherwise(parts)
+    whole = [f"`{f.name}`" for f in large.schema if not _has_map(f.dataType)]
+    spread = F.pmod(F.xxhash64(*whole, F.lit(_SALT)), F.lit(_MAX_PARTS))
+    left = large.withColumn(_SALT, F.pmod(spread, parts).cast("int"))
+    right = side.withColumn(_SALT, F.explode(F.sequence(F.lit(0), parts - 1)))
     return left.join(right, [*keys, _SALT], how).drop(_SALT)
 
 
+def _has_map(kind: T.DataType) -> bool:
+    """Whether a type holds a map, which cannot be hashed."""
+    return "map<" in kind.simpleString()
+
+
 def hot_buckets(
     df: DataFrame, keys: Sequence[str], share: float, rows: int
-) -> list[int]:
-    """Hash buckets above both bounds; fewer than 1/share of them."""
+) -> dict[int, int]:
+    """Rows of the hash buckets above both bounds; fewer than 1/share of them."""
     counts = df.groupBy(_bucket(keys).alias("bucket")).agg(F.count("*").alias("n"))
     total = F.sum("n").over(Window.partitionBy())
     large = (F.col("n") > total * share) & (F.col("n") > rows)
-    flagged = counts.select("bucket", large.alias("hot"))
-    return [row.bucket for row in flagged.filter("hot").collect()]
+    flagged = counts.select("bucket", "n", large.alias("hot")).filter("hot")
+    return {row.bucket: row.n for row in flagged.collect()}
 
 
 def anti_join_unknown(

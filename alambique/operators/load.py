@@ -12,12 +12,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from alambique.functions.rules import CLASSES
 from alambique.operators.dedup import keep_one
 from alambique.operators.joins import anti_join_unknown, lookup_join, skew_join
 from alambique.operators.profile import long_form
-from alambique.schemas import target_schema
+from alambique.schemas import LENGTHS, LOAD_STATES, target_schema
 from alambique.storage import materialize
 
 NEW, EXISTING, KEYLESS = "NUEVO", "EXISTENTE", "SIN_CLAVE"
@@ -35,8 +36,7 @@ def restrict_target(
 ) -> DataFrame:
     """Target rows that share a value of ``column`` with staging.
 
-    With a date as the column, a load reads only the days it brings when the
-    target is partitioned by it, and shuffles only those in any case.
+    With a date as the column, a load shuffles only the days it brings.
     """
     values = staging.select(column).dropna().distinct()
     return lookup_join(target, values, column, "left_semi")
@@ -52,23 +52,36 @@ def new_rows(
     """Staged rows to insert; ``keep_first`` takes one row per new key."""
     if policy not in (KEEP_ALL, KEEP_FIRST):
         raise ValueError(f"unknown policy {policy!r}")
+    keyed = staging.filter(_has_key(keys))
     if prune_by:
         target = restrict_target(target, staging, prune_by)
-    new = anti_join_unknown(staging.filter(_has_key(keys)), target, keys)
+        new = anti_join_unknown(keyed, target, keys)
+    else:
+        new = lookup_join(keyed, _known(target, keys), list(keys), "left_anti")
     return keep_one(new, keys) if policy == KEEP_FIRST else new
 
 
+def _known(target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return target.select(*keys).dropna().distinct()
+
+
 def mark_staging(
     staging: DataFrame,
     target: DataFrame,
     keys: Sequence[str],
     prune_by: str | None = None,
 ) -> DataFrame:
-    """Staged rows with ``estado_carga``: new, existing or without a key."""
+    """Staged rows with ``estado_carga``: new, existing or without a key.
+
+    With ``prune_by`` the target is taken to be large: its keys are shuffled,
+    and staging is read twice more for its values and its hot keys alone.
+    Otherwise the target's keys are measured and broadcast if they fit.
+    """
     if prune_by:
         target = restrict_target(target, staging, prune_by)
-    known = target.select(*keys).dropna().distinct().withColumn("__known", F.lit(True))
-    marked = skew_join(staging, known, keys, "left")
+    known = _known(target, keys).withColumn("__known", F.lit(True))
+    join = skew_join if prune_by else lookup_join
+    marked = join(staging, known, list(keys), "left")
     state = (
         F.when(~_has_key(keys), KEYLESS)
         .when(F.col("__known").isNotNull(), EXISTING)
@@ -81,8 +94,8 @@ def existing_rows(
     staging: DataFrame, target: DataFrame, keys: Sequence[str]
 ) -> DataFrame:
     """Staged rows whose key the target already has, counted before the load."""
-    known = target.select(*keys).dropna().distinct()
-    return skew_join(staging, known, keys, "left_semi").select(*staging.columns)
+    known = _known(target, keys)
+    return lookup_join(staging, known, list(keys), "left_semi")
 
 
 def purge_loaded(
@@ -131,7 +144,12 @@ def log_entry(counts: DataFrame, source: str, target: str, note: str) -> DataFra
 # -- Contract -----------------------------------------------------------------
 
 #: Allowed values per column, NULL allowed unless the schema says no.
-ALLOWED = {"Tipo_Transaccion": CLASSES, "Out_Of_Stock_Flag": (0, 1)}
+ALLOWED = {
+    "Tipo_Transaccion": CLASSES,
+    "Out_Of_Stock_Flag": (0, 1),
+    "Estado": LOAD_STATES,
+}
+DAY = r"^\d{4}-\d{2}-\d{2}$"
 
 
 def contract_rules(
@@ -140,12 +158,19 @@ def contract_rules(
     """Condition that is true for a row breaking the rule, per rule."""
     rules = {}
     for field in target_schema(table):
+        value = F.col(field.name)
         if field.name not in df.columns:
             rules[f"{field.name} presente"] = F.lit(True)
-        elif not field.nullable:
-            rules[f"{field.name} no nulo"] = F.col(field.name).isNull()
+            continue
+        if not field.nullable:
+            rules[f"{field.name} no nulo"] = value.isNull()
+        if field.name in LENGTHS:
+            longest = LENGTHS[field.name]
+            rules[f"{field.name} hasta {longest}"] = F.length(value) > longest
+        if field.dataType == T.DateType() and df.schema[field.name].dataType != field.dataType:
+            rules[f"{field.name} es fecha"] = ~value.cast("string").rlike(DAY)
     for column, values in allowed.items():
-        if column in df.columns:
+        if column in df.columns and column in target_schema(table).names:
             known = F.col(column).isin(*values)
             rules[f"{column} permitido"] = ~F.coalesce(known, F.lit(True))
     return rules

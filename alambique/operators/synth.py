@@ -1,227 +1,53 @@
-"""Dirty star-schema data, seeded and the same on any partitioning.
+"""Faults planted in given data, and the star's helper tables.
 
-Faults are planted by a draw per row and fault, so each row has the given
-chance whatever the table's size.
+Faults are drawn per row from its id, so each row has the given chance whatever
+the table's size and partitioning.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from alambique.functions import dates, text
-from alambique.functions.draws import (
-    between,
-    cents,
-    choice,
-    uniform,
-    weighted_choice,
-)
+from alambique.functions import dates
 from alambique.operators.joins import lookup_join
-from alambique.schemas import DATE_DIM, FACT, PRODUCT_DIM, STORE_DIM, source_schema
-from alambique.storage import materialize_all, materialize_measured
+from alambique.storage import materialize_all
 
-# Fault ratios, labels with their shares, first product id.
-RATIO = 0.0025
-PRICE_RATIO = 0.001
-BAD_KEYS = ("ID_ERRONEO", "FECHA_INCORRECTA", "2024-X-01")
-REGION_SHARES = {"Norte": 0.25, "Centro": 0.35, "Sur": 0.20, "Occidente": 0.20}
-FORMAT_SHARES = {
-    "Supermercado": 0.5,
-    "Tienda_Especializada": 0.3,
-    "Tienda_Conveniencia": 0.2,
-}
-BRANDS = ("Acuavida", "SaborMax", "UltraFizz", "Vitality", "Frescura")
-SEGMENTS = ("Agua", "Gaseosa", "Jugo", "Energetica")
-FLAVOURS = ("Original", "Naranja", "Limon", "Manzana", "Uva", "Fresa")
-PACKAGES = ("Botella_PET", "Lata", "Carton", "Vidrio")
-SIZES = ("250ml", "500ml", "1L", "2L")
-FIRST_PRODUCT = 1001
-FIRST_DAY = "2023-01-01"
 
-
-# -- Faults -------------------------------------------------------------------
-
-
-def nulled(value: Column, draw: Column, ratio: float = RATIO) -> Column:
-    """NULL with chance ``ratio``."""
-    return F.when(draw >= ratio, value)
-
-
-def broken_key(
-    key: Column, draw: Column, pick: Column, ratio: float = RATIO
-) -> Column:
-    """NULL in the lower half of the ratio, a malformed key in the upper half."""
-    bad = F.when(draw >= ratio / 2, choice(pick, BAD_KEYS))
-    return F.when(draw < ratio, bad).otherwise(key)
-
-
-def bad_price(price: Column, draw: Column, pick: Column, ratio: float) -> Column:
-    """A price from -0.50 to 0 with chance ``ratio``."""
-    return F.when(draw < ratio, cents(between(pick, -0.5, 0.0))).otherwise(price)
-
-
-def zeroed(volume: Column, draw: Column, ratio: float = RATIO) -> Column:
-    return F.when(draw < ratio, 0).otherwise(volume)
-
-
-def noisy_month(name: Column, draw: Column, pick: Column, ratio: float) -> Column:
-    """Upper case or an abbreviation, evenly."""
-    noise = F.when(pick < 0.5, F.upper(name)).otherwise(text.abbreviate(name))
-    return F.when(draw < ratio, noise).otherwise(name)
-
-
-def noisy_region(
-    name: Column, draw: Column, pick: Column, again: Column, ratio: float
+def inject(
+    value: Column, draw: Column, faults: Sequence[tuple[float, Column | None]]
 ) -> Column:
-    """Upper case, a wrong accent or a trailing space."""
-    noise = (
-        F.when(pick < 0.3, F.upper(name))
-        .when(again < 0.6, F.replace(name, F.lit("e"), F.lit("é")))
-        .otherwise(F.concat(name, F.lit(" ")))
-    )
-    return F.when(draw < ratio, noise).otherwise(name)
-
-
-def synonym(
-    value: Column, draw: Column, old: str, new: str, ratio: float = RATIO
-) -> Column:
-    """Another name for one label."""
-    return F.when((draw < ratio) & (value == old), new).otherwise(value)
-
-
-# -- Dimensions ---------------------------------------------------------------
-
-
-def _draws(row_id: str, seed: int) -> Callable[[int], Column]:
-    return lambda stream: uniform(F.col(row_id), seed, stream)
-
-
-def calendar(spark: SparkSession, start: Column | str, end: Column | str) -> DataFrame:
-    """One row per day from start to end, with the date dimension's columns."""
-    first, last = (F.lit(d).cast("date") for d in (start, end))
-    days = spark.range(1).select(F.explode(F.sequence(first, last)).alias("dia"))
-    return days.select(
-        *[c.alias(name) for name, c in dates.calendar_columns(F.col("dia")).items()]
-    )
-
-
-def generate_dim_tiempo(
-    spark: SparkSession, start, end, ratio: float = RATIO, seed: int = 42
+    """The value, or with each fault's share what that fault makes of it."""
+    faulty, bound = None, 0.0
+    for share, wrong in faults:
+        bound = round(bound + share, 9)
+        wrong = F.lit(None) if wrong is None else wrong
+        below = draw < bound
+        faulty = F.when(below, wrong) if faulty is None else faulty.when(below, wrong)
+    return value if faulty is None else faulty.otherwise(value)
+
+
+def calendar(
+    facts: DataFrame, date: str, rows: str = "filas"
 ) -> DataFrame:
-    days = calendar(spark, start, end).withColumn("__id", F.unix_date("Fecha"))
-    draw = _draws("__id", seed)
-    dirty = days.withColumns(
-        {
-            "Fecha_ID": broken_key(F.col("Fecha_ID"), draw(1), draw(2), ratio),
-            "Nombre_Mes": noisy_month(F.col("Nombre_Mes"), draw(3), draw(4), ratio),
-        }
-    )
-    return _as_source(dirty, DATE_DIM)
-
-
-def generate_dim_tienda(
-    spark: SparkSession, num_tiendas: int, ratio: float = RATIO, seed: int = 42
-) -> DataFrame:
-    stores = spark.range(1, num_tiendas + 1).withColumnRenamed("id", "Tienda_ID")
-    draw = _draws("Tienda_ID", seed)
-    region = weighted_choice(draw(11), REGION_SHARES)
-    kind = weighted_choice(draw(12), FORMAT_SHARES)
-    dirty = stores.select(
-        "Tienda_ID",
-        noisy_region(region, draw(14), draw(15), draw(16), ratio).alias("Region"),
-        synonym(kind, draw(17), "Tienda_Conveniencia", "MiniMarket", ratio).alias(
-            "Formato_Tienda"
-        ),
-        cents(between(draw(13), 0.5, 1.5)).alias("Atractivo_Factor"),
-    )
-    return _as_source(dirty, STORE_DIM)
-
+    """One row per day from the first to the last of ``date``.
 
-def generate_dim_producto(
-    spark: SparkSession,
-    num_productos: int,
-    ratio: float = RATIO,
-    price_ratio: float = PRICE_RATIO,
-    seed: int = 42,
-) -> DataFrame:
-    ids = spark.range(FIRST_PRODUCT, FIRST_PRODUCT + num_productos)
-    products = ids.withColumnRenamed("id", "Producto_ID")
-    draw = _draws("Producto_ID", seed)
-    price = cents(between(draw(26), 0.5, 5.0))
-    dirty = products.select(
-        "Producto_ID",
-        synonym(choice(draw(21), BRANDS), draw(30), "Acuavida", "AcuaVida", ratio).alias(
-            "Marca"
-        ),
-        choice(draw(22), SEGMENTS).alias("Segmento"),
-        choice(draw(23), FLAVOURS).alias("Sabor"),
-        choice(draw(24), PACKAGES).alias("Tipo_Envase"),
-        choice(draw(25), SIZES).alias("Tamano"),
-        bad_price(price, draw(28), draw(29), price_ratio).alias("Precio_Base"),
-        cents(between(draw(27), 0.8, 1.2)).alias("Demanda_Factor"),
-    )
-    return _as_source(dirty, PRODUCT_DIM)
-
-
-# -- Fact ---------------------------------------------------------------------
-
-
-def generate_fact_ventas(
-    dim_tiempo: DataFrame,
-    dim_producto: DataFrame,
-    dim_tienda: DataFrame,
-    num_rows: int,
-    ratio: float = RATIO,
-    seed: int = 42,
-) -> DataFrame:
-    """Sales spread evenly over the months, a remainder over the first of them.
-
-    Dates are drawn from the calendar's numeric keys. Stores and products are
-    drawn by position, so their ids must be consecutive.
+    It has the date dimension's columns and the day's number of facts. Facts are
+    counted per day before they meet the days.
     """
-    spark = dim_tiempo.sparkSession
-    valid = dim_tiempo.filter(F.col("Fecha_ID").rlike(dates.DIGITS))
-    in_month = Window.partitionBy("Mes").orderBy("Fecha_ID")
-    position = (F.row_number().over(in_month) - 1).alias("__day")
-    days = materialize_measured(valid.select("Mes", "Fecha_ID", position), "days")
-    usable = F.count_if(F.col("Fecha_ID").rlike(dates.DIGITS)).alias("n")
-    # At most twelve rows reach the driver.
-    months = dim_tiempo.groupBy("Mes").agg(usable).orderBy("Mes").collect()
-    names, sizes = (F.array(*[F.lit(m[c]) for m in months]) for c in ("Mes", "n"))
-    first_store, stores = _consecutive(dim_tienda, "Tienda_ID")
-    first_product, products = _consecutive(dim_producto, "Producto_ID")
-    draw = _draws("id", seed)
-    slot = (F.col("id") % len(months)).cast("int") + 1
-    drawn = spark.range(num_rows).select(
-        "id",
-        F.element_at(names, slot).alias("Mes"),
-        F.floor(draw(31) * F.element_at(sizes, slot)).cast("int").alias("__day"),
-        (F.floor(draw(32) * stores) + first_store).cast("int").alias("Tienda_ID"),
-        (F.floor(draw(33) * products) + first_product).cast("int").alias("Producto_ID"),
-        cents(between(draw(34), 0.5, 1.0)).alias("Distribucion_Numerica"),
-        cents(between(draw(35), 0.6, 1.0)).alias("Distribucion_Ponderada"),
-    )
-    facts = lookup_join(drawn, days, ["Mes", "__day"], "inner")
-    facts = with_factors(facts, dim_tienda, dim_producto)
-    price = cents(F.col("Precio_Base") * between(draw(36), 0.9, 1.1))
-    season = dates.season_of_key(F.col("Fecha_ID"))
-    demand = F.col("Demanda_Factor") * F.col("Atractivo_Factor")
-    volume = (demand * season * between(draw(38), 80.0, 120.0)).cast("int")
-    sales = facts.withColumns({"Precio": price, "Ventas_Volumen": volume}).withColumn(
-        "Ventas_Valor", cents(F.col("Ventas_Volumen") * F.col("Precio"))
+    per_day = facts.groupBy(F.col(date).cast("date").alias("dia")).agg(
+        F.count(F.lit(1)).alias(rows)
     )
-    dirty = sales.withColumns(
-        {
-            "Out_Of_Stock_Flag": F.when(draw(37) < 0.05, 1).otherwise(0),
-            "Precio": nulled(F.col("Precio"), draw(39), ratio),
-            "Ventas_Volumen": zeroed(F.col("Ventas_Volumen"), draw(40), ratio),
-        }
+    ends = per_day.agg(F.min("dia").alias("first"), F.max("dia").alias("last"))
+    known = ends.filter("first IS NOT NULL")
+    days = known.select(F.explode(F.sequence("first", "last")).alias("dia"))
+    return days.join(per_day, "dia", "left").select(
+        *[c.alias(name) for name, c in dates.calendar_columns(F.col("dia")).items()],
+        F.coalesce(rows, F.lit(0)).alias(rows),
     )
-    return _as_source(dirty, FACT)
 
 
 def with_factors(
@@ -241,41 +67,6 @@ def with_factors(
     )
 
 
-def _consecutive(dim: DataFrame, key: str) -> tuple[int, int]:
-    low, high, n = dim.agg(F.min(key), F.max(key), F.count_distinct(key)).first()
-    if not n or high - low + 1 != n:
-        raise ValueError(f"{key} must be consecutive to be drawn by position")
-    return low, n
-
-
-def _as_source(df: DataFrame, table: str) -> DataFrame:
-    return df.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in source_schema(table)]
-    )
-
-
-# -- Whole set ----------------------------------------------------------------
-
-
-def generate_star(
-    spark: SparkSession,
-    num_dias: int = 730,
-    num_tiendas: int = 50,
-    num_productos: int = 100,
-    num_rows_fact: int = 1_000_000,
-    start: str = FIRST_DAY,
-    ratio: float = RATIO,
-    seed: int = 42,
-) -> dict[str, DataFrame]:
-    """All four tables; the sinks write them."""
-    end = F.date_add(F.lit(start).cast("date"), num_dias - 1)
-    days = generate_dim_tiempo(spark, start, end, ratio, seed)
-    stores = generate_dim_tienda(spark, num_tiendas, ratio, seed)
-    products = generate_dim_producto(spark, num_productos, ratio, seed=seed)
-    fact = generate_fact_ventas(days, products, stores, num_rows_fact, ratio, seed)
-    return {DATE_DIM: days, STORE_DIM: stores, PRODUCT_DIM: products, FACT: fact}
-
-
 def append_frames(frames: Iterable[DataFrame]) -> DataFrame:
     """Rows of all frames, columns matched by name."""
     return reduce(DataFrame.unionByName, frames)

@@ -16,14 +16,16 @@ from alambique.functions import dates, rules, text
 from alambique.functions.draws import uniform
 from alambique.operators import integrity, load, profile, stats, synth
 from alambique.operators.dedup import duplicate_keys, keep_one
-from alambique.operators.quantiles import exact_quantile
+from alambique.operators.quantiles import exact_quantile, exact_quantiles
 from alambique.plans import cleaning, reports
+from alambique.plans.loading import run_load
 from alambique.plans.star_views import VIEW_REGIONS, star, table, view
 from alambique.schemas import (
     DATE_DIM,
     FACT,
     FACT_KEY,
     KEYS,
+    LOG,
     PRODUCT_DIM,
     STORE_DIM,
     TARGET_NAMES,
@@ -32,12 +34,12 @@ from alambique.schemas import (
 from alambique.session import tune
 from alambique.sinks import export
 from alambique.sources import files
-from alambique.storage import materialize, materialize_all, scratch_path
+from alambique.storage import materialize_all, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-#: Options of the queries that generate data or plant faults.
+#: Options of the queries that plant faults.
 SEED, FAULTS = 7, 0.05
 
 
@@ -57,6 +59,11 @@ def _digits(df: DataFrame, *columns: str, scale: int = 10_000) -> DataFrame:
     return df.withColumns(rounded)
 
 
+def _day(column: str):
+    """A date as text, the same in both engines."""
+    return F.date_format(column, "yyyy-MM-dd")
+
+
 def _text_dates(df: DataFrame) -> DataFrame:
     return df.withColumn("Fecha", F.col("Fecha").cast("string"))
 
@@ -73,21 +80,8 @@ def _clean_dims(spark, sf_dir):
     return {name: m.df for name, m in materialize_all(clean).items()}
 
 
-def _stored_fact(spark, sf_dir):
-    """The dirty fact as a table, for queries that pass over it several times.
-
-    Over the view each pass would derive every fault again from most columns of
-    its source; over the table it reads the one to five columns it needs.
-    """
-    return materialize(view(spark, sf_dir, FACT), FACT)
-
-
-def _stored_star(spark, sf_dir):
-    return {**star(spark, sf_dir), FACT: _stored_fact(spark, sf_dir)}
-
-
 def _clean_star(spark, sf_dir):
-    return cleaning.clean_all(_stored_star(spark, sf_dir), region_labels=VIEW_REGIONS)
+    return cleaning.clean_all(star(spark, sf_dir), region_labels=VIEW_REGIONS)
 
 
 # -- Sources and sinks --------------------------------------------------------
@@ -97,7 +91,7 @@ def _clean_star(spark, sf_dir):
 def csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "csv")
     fact = view(spark, sf_dir, FACT)
-    export.export_to_csv(fact, path, num_files=4, compression="gzip")
+    export.export_to_csv(fact, path, compression="bzip2")
     return files.load_table(spark, FACT, path)
 
 
@@ -139,6 +133,30 @@ def load_star(spark, sf_dir):
     return reduce(DataFrame.unionByName, counts)
 
 
+@query
+def load_star_missing(spark, sf_dir):
+    """A folder in which one table's file is missing: the others are loaded."""
+    base = scratch_path(spark, "partial-star")
+    tables = star(spark, sf_dir)
+    for name in (DATE_DIM, STORE_DIM, FACT):
+        export.export_to_csv(tables[name], f"{base}/{files.PREFIX}_{name}.csv")
+    return files.table_counts(files.load_all_tables(spark, base))
+
+
+@query
+def export_append(spark, sf_dir):
+    """Overwritten twice, then appended to, and read back."""
+    path = scratch_path(spark, "append")
+    fact = view(spark, sf_dir, FACT)
+    returned = fact.filter(F.col("Ventas_Volumen") < 0)
+    for rows, mode in ((returned, "overwrite"), (fact, "overwrite"), (returned, "append")):
+        export.export_to_csv(rows, path, mode=mode)
+    back = files.load_table(spark, FACT, path)
+    return back.groupBy("Producto_ID").agg(
+        F.count("*").alias("filas"), F.sum("Ventas_Volumen").alias("volumen")
+    )
+
+
 @query
 def table_counts(spark, sf_dir):
     return files.table_counts(star(spark, sf_dir))
@@ -166,7 +184,7 @@ def export_star(spark, sf_dir):
 def export_stats(spark, sf_dir):
     tables, base = star(spark, sf_dir), scratch_path(spark, "stats")
     tables["sin_filas"] = tables[STORE_DIM].filter(F.col("Tienda_ID") < 0)
-    done = export.export_multiple_tables_to_csv(tables, base, num_files=2)
+    done = export.export_multiple_tables_to_csv(tables, base)
     name = F.element_at(F.split("destino", "/"), -1).alias("tabla")
     shown = ["exito", "filas", "modo", "archivos", "compresion", "intentos"]
     return export.export_stats(spark, done.values()).select(name, *shown)
@@ -246,7 +264,7 @@ def dup_keys(spark, sf_dir):
 @query
 def cleaning_report(spark, sf_dir):
     return cleaning.cleaning_report(
-        _stored_star(spark, sf_dir), region_labels=VIEW_REGIONS
+        star(spark, sf_dir), region_labels=VIEW_REGIONS
     )
 
 
@@ -351,7 +369,7 @@ def classify_tx(spark, sf_dir):
 
 @query
 def price_impute(spark, sf_dir):
-    fact = _stored_fact(spark, sf_dir)
+    fact = view(spark, sf_dir, FACT)
     priced = cleaning.with_average_price(fact, cleaning.fit_prices(fact))
     columns = ["Precio_Original", "Precio", "Precio_Promedio_Producto"]
     fixed = cleaning.with_repaired_price(priced)
@@ -368,7 +386,7 @@ def value_recalc(spark, sf_dir):
 
 @query
 def value_discrepancy(spark, sf_dir):
-    fact = _stored_fact(spark, sf_dir)
+    fact = view(spark, sf_dir, FACT)
     repaired = cleaning.repair_fact(fact, cleaning.fit_prices(fact))
     new, old = F.col("Ventas_Valor"), F.col("Ventas_Valor_Original")
     changed = repaired.filter(rules.value_changed(new, old))
@@ -386,16 +404,8 @@ def season_factor(spark, sf_dir):
 
 @query
 def calendar_dim(spark, sf_dir):
-    return _digits(
-        _text_dates(synth.calendar(spark, *_date_range(spark, sf_dir))),
-        "Estacionalidad_Factor",
-        scale=1_000_000,
-    )
-
-
-def _date_range(spark, sf_dir):
-    shipped = F.col("l_shipdate").cast("date")
-    return table(spark, sf_dir, "lineitem").agg(F.min(shipped), F.max(shipped)).first()
+    days = synth.calendar(table(spark, sf_dir, "lineitem"), "l_shipdate")
+    return _digits(_text_dates(days), "Estacionalidad_Factor", scale=1_000_000)
 
 
 # -- Fact cleaning ------------------------------------------------------------
@@ -405,14 +415,14 @@ _COMPUTED = ("Precio", "Precio_Promedio_Producto", "Ventas_Valor")
 
 @query
 def fact_clean(spark, sf_dir):
-    clean = cleaning.clean_fact_ventas(_stored_fact(spark, sf_dir))
+    clean = cleaning.clean_fact_ventas(view(spark, sf_dir, FACT))
     return _digits(clean, *_COMPUTED)
 
 
 @query
 def fact_clean_strict(spark, sf_dir):
     clean = cleaning.clean_fact_ventas(
-        _stored_fact(spark, sf_dir), remove_null_precio=True, remove_null_volumen=True
+        view(spark, sf_dir, FACT), remove_null_precio=True, remove_null_volumen=True
     )
     return _digits(clean, *_COMPUTED)
 
@@ -420,7 +430,7 @@ def fact_clean_strict(spark, sf_dir):
 @query
 def fact_clean_outliers(spark, sf_dir):
     clean = cleaning.clean_fact_ventas(
-        _stored_fact(spark, sf_dir),
+        view(spark, sf_dir, FACT),
         recalculate_valor=False,
         remove_outliers=True,
         outlier_std_threshold=1.5,
@@ -444,7 +454,7 @@ def price_avg(spark, sf_dir):
 
 @query
 def price_avg_join(spark, sf_dir):
-    fact = _stored_fact(spark, sf_dir)
+    fact = view(spark, sf_dir, FACT)
     joined = cleaning.with_average_price(fact, cleaning.fit_prices(fact))
     return _digits(
         joined.select("Tienda_ID", "Producto_ID", "Fecha_ID", "Precio_Promedio_Producto"),
@@ -459,34 +469,27 @@ def price_missing_products(spark, sf_dir):
     return products.agg(F.count_if(missing).alias("productos_sin_precio"))
 
 
-def _one_value(source: DataFrame, name: str, value: float | None) -> DataFrame:
-    """A scalar computed over ``source`` next to the number of its rows."""
-    return source.agg(
-        F.count("*").alias("filas"), F.lit(value).cast("double").alias(name)
-    )
-
-
 @query
 def median_price(spark, sf_dir):
     priced = view(spark, sf_dir, FACT).filter(F.col("Precio") > 0)
-    return _one_value(priced, "mediana", exact_quantile(priced, "Precio"))
+    found = exact_quantiles(priced, "Precio", [0.5])
+    return spark.createDataFrame(
+        [(found.rows, found.values[0.5])], "filas long, mediana double"
+    )
 
 
 @query
 def quantiles_value(spark, sf_dir):
-    fact = _stored_fact(spark, sf_dir)
-    found = [
-        _one_value(fact, "valor", exact_quantile(fact, "Ventas_Valor", q)).withColumn(
-            "cuantil", F.lit(q)
-        )
-        for q in (0.01, 0.25, 0.5, 0.75, 0.99)
-    ]
-    return reduce(DataFrame.unionByName, found)
+    found = exact_quantiles(
+        view(spark, sf_dir, FACT), "Ventas_Valor", (0.01, 0.25, 0.5, 0.75, 0.99)
+    )
+    rows = [(found.rows, value, q) for q, value in found.values.items()]
+    return spark.createDataFrame(rows, "filas long, valor double, cuantil double")
 
 
 @query
 def dist_impute(spark, sf_dir):
-    fact = _stored_fact(spark, sf_dir)
+    fact = view(spark, sf_dir, FACT)
     median = exact_quantile(fact, "Distribucion_Ponderada")
     filled = cleaning.impute("Distribucion_Ponderada", median)
     return fact.select(
@@ -519,9 +522,8 @@ def tx_distribution(spark, sf_dir):
 
 @query
 def dedup_key(spark, sf_dir):
-    return keep_one(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"]).drop(
-        "l_shipdate"
-    )
+    kept = keep_one(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+    return kept.withColumn("l_shipdate", _day("l_shipdate"))
 
 
 @query
@@ -554,14 +556,16 @@ def dim_lookup(spark, sf_dir):
 
 
 def _fact_load(spark, sf_dir):
-    """Staged facts and the target so far, both cut from one stored table."""
+    """Staged facts and the target so far: a third of the products each way.
+
+    Products tell them apart, so facts of any date are staged, those of the
+    unknown date too. A third of the staged facts are in the target already, and
+    some are staged twice.
+    """
     fact = cleaning.with_class(cleaning.with_date_key(view(spark, sf_dir, FACT)))
-    # Dropped after the write: pushed into the view, the condition would derive
-    # every fault a second time.
-    stored = materialize(fact, "classified").filter("Ventas_Volumen IS NOT NULL")
-    key, store, product = F.col("Fecha_ID"), F.col("Tienda_ID"), F.col("Producto_ID")
-    target = stored.filter((key < "20000101") & store.isNotNull())
-    staged = stored.filter(key >= "19990101")
+    group, product = F.col("Producto_ID") % 3, F.col("Producto_ID")
+    target = fact.filter(group != 2)
+    staged = fact.filter(F.coalesce(group != 0, F.lit(True)))
     return staged.unionByName(staged.filter(product % 100 == 0)), target
 
 
@@ -637,7 +641,7 @@ def load_log(spark, sf_dir):
 
 @query
 def conform_fact(spark, sf_dir):
-    fact = _stored_fact(spark, sf_dir)
+    fact = view(spark, sf_dir, FACT)
     fit = cleaning.FactFit(
         cleaning.FactOptions(), cleaning.fit_prices(fact), None, None
     )
@@ -646,13 +650,27 @@ def conform_fact(spark, sf_dir):
     return _digits(cleaning.conform(reordered, FACT), *_COMPUTED)
 
 
+def _dimension_run(spark, sf_dir):
+    """The log of a run that loads the clean dimensions into new targets."""
+    dims, base = _clean_dims(spark, sf_dir), scratch_path(spark, "targets")
+    targets = {name: f"{base}/{name}" for name in dims}
+    return run_load(dims, targets, f"{base}/log")
+
+
 @query
 def contract_violations(spark, sf_dir):
-    # Raw rows with their class: prices are not repaired yet.
-    fact = cleaning.with_class(view(spark, sf_dir, FACT)).withColumn(
-        "Precio_Promedio_Producto", F.col("Precio")
-    )
-    return load.contract_violations(fact, FACT)
+    """Rules broken in all tables before cleaning, in the clean fact, in the log."""
+    raw, clean = star(spark, sf_dir), _clean_star(spark, sf_dir)
+    checked = {
+        **{name: (df, name) for name, df in raw.items()},
+        f"{FACT} limpio": (clean[FACT], FACT),
+        LOG: (_dimension_run(spark, sf_dir), LOG),
+    }
+    found = [
+        load.contract_violations(df, contract).select(F.lit(name).alias("tabla"), "*")
+        for name, (df, contract) in checked.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
 
 
 @query
@@ -671,87 +689,53 @@ def error_detail(spark, sf_dir):
     return load.error_detail("clean_fact_ventas", errors, sample)
 
 
-# -- Synthetic data -----------------------------------------------------------
-
-
-def _synth_dims(spark, sf_dir):
-    """Dimensions as large as the given tables."""
-    stores = table(spark, sf_dir, "supplier").count()
-    products = table(spark, sf_dir, "part").count()
-    first, last = _date_range(spark, sf_dir)
-    return {
-        DATE_DIM: synth.generate_dim_tiempo(spark, first, last, FAULTS, SEED),
-        STORE_DIM: synth.generate_dim_tienda(spark, stores, FAULTS, SEED),
-        PRODUCT_DIM: synth.generate_dim_producto(spark, products, FAULTS, FAULTS, SEED),
-    }
-
-
-@query
-def synth_calendar(spark, sf_dir):
-    return _digits(
-        _synth_dims(spark, sf_dir)[DATE_DIM], "Estacionalidad_Factor", scale=1_000_000
-    )
-
-
-@query
-def synth_stores(spark, sf_dir):
-    return _synth_dims(spark, sf_dir)[STORE_DIM]
-
-
-@query
-def synth_products(spark, sf_dir):
-    return _synth_dims(spark, sf_dir)[PRODUCT_DIM]
-
-
-@query
-def synth_fact(spark, sf_dir):
-    dims = _synth_dims(spark, sf_dir)
-    rows = table(spark, sf_dir, "lineitem").count()
-    return synth.generate_fact_ventas(
-        dims[DATE_DIM], dims[PRODUCT_DIM], dims[STORE_DIM], rows, FAULTS, SEED
-    )
+# -- Planted faults -----------------------------------------------------------
 
 
 @query
 def fault_nulls(spark, sf_dir):
+    price = F.col("o_totalprice")
     draw = uniform(F.col("o_orderkey"), SEED, 1)
     return table(spark, sf_dir, "orders").select(
-        "o_orderkey",
-        synth.nulled(F.col("o_totalprice"), draw, FAULTS).alias("o_totalprice"),
+        "o_orderkey", synth.inject(price, draw, [(FAULTS, None)]).alias("o_totalprice")
     )
 
 
 @query
 def fault_keys(spark, sf_dir):
-    order = F.col("o_orderkey")
     key = dates.date_key(F.col("o_orderdate"))
-    draw, pick = uniform(order, SEED, 1), uniform(order, SEED, 2)
+    broken = F.concat(F.substring(key, 1, 4), F.lit("-X-"), F.substring(key, 7, 2))
+    faults = [(FAULTS / 2, None), (FAULTS / 2, broken)]
+    draw = uniform(F.col("o_orderkey"), SEED, 1)
     return table(spark, sf_dir, "orders").select(
-        "o_orderkey", synth.broken_key(key, draw, pick, FAULTS).alias("Fecha_ID")
+        "o_orderkey", synth.inject(key, draw, faults).alias("Fecha_ID")
     )
 
 
 @query
 def fault_numbers(spark, sf_dir):
-    part = F.col("p_partkey")
-    price = synth.bad_price(
-        F.col("p_retailprice"), uniform(part, SEED, 1), uniform(part, SEED, 2), FAULTS
-    )
-    size = synth.zeroed(F.col("p_size"), uniform(part, SEED, 3), FAULTS)
+    part, price, size = F.col("p_partkey"), F.col("p_retailprice"), F.col("p_size")
+    prices = [(FAULTS, -price), (FAULTS, F.lit(0.0))]
+    sizes = [(FAULTS, F.lit(0))]
     return table(spark, sf_dir, "part").select(
-        "p_partkey", price.alias("p_retailprice"), size.alias("p_size")
+        "p_partkey",
+        synth.inject(price, uniform(part, SEED, 1), prices).alias("p_retailprice"),
+        synth.inject(size, uniform(part, SEED, 2), sizes).alias("p_size"),
     )
 
 
 @query
 def fault_labels(spark, sf_dir):
-    customer, name = F.col("c_custkey"), F.initcap("c_mktsegment")
-    draws = [uniform(customer, SEED, s) for s in range(1, 6)]
+    name = F.initcap("c_mktsegment")
+    faults = [
+        (FAULTS, F.upper(name)),
+        (FAULTS, text.abbreviate(name)),
+        (FAULTS, F.replace(name, F.lit("u"), F.lit("ú"))),
+        (FAULTS, F.concat(name, F.lit(" "))),
+    ]
+    draw = uniform(F.col("c_custkey"), SEED, 1)
     return table(spark, sf_dir, "customer").select(
-        "c_custkey",
-        synth.noisy_month(name, draws[0], draws[1], FAULTS).alias("abreviado"),
-        synth.noisy_region(name, draws[0], draws[1], draws[2], FAULTS).alias("acentuado"),
-        synth.synonym(name, draws[3], "Machinery", "Maquinaria", 0.5).alias("sinonimo"),
+        "c_custkey", synth.inject(name, draw, faults).alias("segmento")
     )
 
 
@@ -766,7 +750,8 @@ def union_parts(spark, sf_dir):
 
 @query
 def row_shuffle(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").drop("o_orderdate")
+    orders = table(spark, sf_dir, "orders")
+    orders = orders.withColumn("o_orderdate", _day("o_orderdate"))
     return synth.shuffle_rows(orders, "o_orderkey", SEED)
 
 

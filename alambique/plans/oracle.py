@@ -4,20 +4,45 @@ from __future__ import annotations
 
 import re
 
-from alambique.functions import dates, rules
-from alambique.functions.draws import PRIME, coefficients
-from alambique.functions.text import MONTH_LABELS, MONTHS
-from alambique.operators import synth
-from alambique.plans.catalog import FAULTS, SEED
-from alambique.plans.star_views import VIEW_REGIONS, VIEWS, duckdb_text
-from alambique.schemas import (
-    FACT,
-    FACT_KEY,
-    KEYS,
-    TARGET_NAMES,
-    source_schema,
-    target_schema,
-)
+from alambique.plans.star_views import VIEWS, duckdb_text
+
+# Fixed values, written out here so that an error in the package's own shows.
+FACT = "fact_ventas"
+FACT_KEY = ("Producto_ID", "Tienda_ID", "Fecha_ID", "Tipo_Transaccion")
+KEYS = {"dim_tiempo": "Fecha_ID", "dim_tienda": "Tienda_ID", "dim_producto": "Producto_ID"}
+TARGET_NAMES = {
+    "dim_producto": "tbl_producto",
+    "dim_tienda": "tbl_tienda",
+    "dim_tiempo": "tbl_fecha",
+    "fact_ventas": "tbl_facts",
+}
+CLASSES = (
+    "VENTA_NORMAL", "DEVOLUCION", "AJUSTE_INVENTARIO", "VENTA_PERDIDA",
+    "REGISTRO_SIN_VENTA", "ANOMALO",
+)
+COST_CLASSES = ("DEVOLUCION", "AJUSTE_INVENTARIO", "ANOMALO")
+FLAGS = {
+    "Es_Devolucion": "DEVOLUCION",
+    "Es_Ajuste": "AJUSTE_INVENTARIO",
+    "Es_Venta_Normal": "VENTA_NORMAL",
+    "Es_Anomalo": "ANOMALO",
+}
+MONTHS = (
+    "Enero", "Febrero", "Marzo", "Abril", "Mayo", "Junio", "Julio", "Agosto",
+    "Septiembre", "Octubre", "Noviembre", "Diciembre",
+)
+VIEW_REGIONS = {
+    "africa": "Africa", "america": "America", "asia": "Asia", "europe": "Europe",
+}
+_ENGLISH = (
+    "january february march april may june july august september october november december"
+).split()
+MONTH_LABELS = {
+    label: name
+    for name, english in zip(MONTHS, _ENGLISH)
+    for label in (name.lower(), name[:3].lower(), f"{name[:3].lower()}.", english)
+}
+PRIME, SEED, FAULTS = 2147483647, 7, 0.05
 
 
 def _list(values) -> str:
@@ -54,35 +79,16 @@ def _valid(key: str) -> str:
 
 
 def _uniform(row_id: str, stream: int, seed: int = SEED) -> str:
-    a, b = coefficients(seed, stream)
-    x = f"((CAST({row_id} AS BIGINT) % {PRIME}) * {a} + {b}) % {PRIME}"
+    a = 48271 * (2 * stream + 1) % PRIME
+    b = (69621 * seed + 40692 * stream) % PRIME
+    row = f"CAST({row_id} AS BIGINT)"
+    x = f"(({row} % {PRIME}) * {a} + {b} + ({row} // {PRIME}) % {PRIME} * 40692 % {PRIME}) % {PRIME}"
     x = f"(({x}) * ({x}) + {a}) % {PRIME}"
     x = f"(({x}) * 16807 + {b}) % {PRIME}"
     x = f"(({x}) * ({x}) + {a}) % {PRIME}"
     return f"(({x}) / {float(PRIME)}e0)"
 
 
-def _between(draw: str, low: float, high: float) -> str:
-    return f"({low!r}e0 + {draw} * {high - low!r}e0)"
-
-
-def _cents(amount: str) -> str:
-    return f"(floor({amount} * 100 + 0.5e0) / 100e0)"
-
-
-def _choice(draw: str, values) -> str:
-    return f"([{_list(values)}])[CAST(floor({draw} * {len(values)}) AS INT) + 1]"
-
-
-def _weighted(draw: str, shares: dict[str, float]) -> str:
-    *head, last = shares
-    bound, cases = 0.0, []
-    for value in head:
-        bound = round(bound + shares[value], 9)
-        cases.append(f"WHEN {draw} < {bound!r}e0 THEN '{value}'")
-    return f"CASE {' '.join(cases)} ELSE '{last}' END"
-
-
 _KIND = """CASE WHEN Ventas_Volumen < 0 AND Precio > 0 THEN 'DEVOLUCION'
   WHEN Ventas_Volumen < 0 AND (Precio <= 0 OR Precio IS NULL) THEN 'AJUSTE_INVENTARIO'
   WHEN Ventas_Volumen = 0 AND Out_Of_Stock_Flag = 1
@@ -91,7 +97,7 @@ _KIND = """CASE WHEN Ventas_Volumen < 0 AND Precio > 0 THEN 'DEVOLUCION'
        AND (Ventas_Valor = 0 OR Ventas_Valor IS NULL) THEN 'REGISTRO_SIN_VENTA'
   WHEN Ventas_Volumen > 0 AND Precio > 0 AND Ventas_Valor > 0 THEN 'VENTA_NORMAL'
   ELSE 'ANOMALO' END"""
-_FLAGS = ", ".join(f"Tipo_Transaccion = '{c}' AS {f}" for f, c in rules.FLAGS.items())
+_FLAGS = ", ".join(f"Tipo_Transaccion = '{c}' AS {f}" for f, c in FLAGS.items())
 
 
 def _one_per_key(source: str, key: str, columns: list[str]) -> str:
@@ -103,11 +109,25 @@ def _one_per_key(source: str, key: str, columns: list[str]) -> str:
     )
 
 
-_DATE_COLUMNS = target_schema("dim_tiempo").names
-_STORE_COLUMNS = target_schema("dim_tienda").names
-_PRODUCT_COLUMNS = target_schema("dim_producto").names
-_FACT_COLUMNS = target_schema(FACT).names
-_RAW_COLUMNS = source_schema(FACT).names
+_DATE_COLUMNS = (
+    "Fecha_ID Fecha Anio Mes Nombre_Mes Numero_Semana Trimestre Estacionalidad_Factor"
+).split()
+_STORE_COLUMNS = (
+    "Tienda_ID Region Formato_Tienda Atractivo_Factor Region_original"
+).split()
+_PRODUCT_COLUMNS = (
+    "Producto_ID Marca Segmento Sabor Tipo_Envase Tamano Precio_Base Demanda_Factor"
+).split()
+_RAW_COLUMNS = (
+    "Tienda_ID Producto_ID Fecha_ID Distribucion_Numerica Distribucion_Ponderada Precio "
+    "Out_Of_Stock_Flag Ventas_Volumen Ventas_Valor"
+).split()
+_FACT_COLUMNS = (
+    "Producto_ID Tienda_ID Fecha_ID Distribucion_Numerica Distribucion_Ponderada Precio "
+    "Out_Of_Stock_Flag Ventas_Volumen Ventas_Valor Fecha_ID_original "
+    "Precio_Promedio_Producto Tipo_Transaccion Es_Devolucion Es_Ajuste Es_Venta_Normal "
+    "Es_Anomalo Precio_Original Ventas_Valor_Original"
+).split()
 
 _CTES: dict[str, str] = {name: duckdb_text(name) for name in VIEWS}
 _CTES["fechas"] = f"""
@@ -197,11 +217,11 @@ SELECT f.*, CASE WHEN NOT {_exists("c_tiempo", "Fecha_ID")} THEN 'Fecha_ID'
 FROM fact_ventas f"""
 
 _CTES["clasificado"] = f"""
-SELECT *, {_FLAGS} FROM (SELECT *, {_KIND} AS Tipo_Transaccion FROM f_clave)
-WHERE Ventas_Volumen IS NOT NULL"""
+SELECT *, {_FLAGS} FROM (SELECT *, {_KIND} AS Tipo_Transaccion FROM f_clave)"""
 _CTES["destino"] = """
-SELECT * FROM clasificado WHERE Fecha_ID < '20000101' AND Tienda_ID IS NOT NULL"""
-_CTES["etapa0"] = "SELECT * FROM clasificado WHERE Fecha_ID >= '19990101'"
+SELECT * FROM clasificado WHERE Producto_ID % 3 <> 2"""
+_CTES["etapa0"] = """
+SELECT * FROM clasificado WHERE Producto_ID % 3 <> 0 OR Producto_ID IS NULL"""
 _CTES["etapa"] = """
 SELECT * FROM etapa0 UNION ALL SELECT * FROM etapa0 WHERE Producto_ID % 100 = 0"""
 _SAME = " AND ".join(f"t.{k} = s.{k}" for k in FACT_KEY)
@@ -213,7 +233,7 @@ _LOAD_COLUMNS = [
     *_RAW_COLUMNS,
     "Fecha_ID_original",
     "Tipo_Transaccion",
-    *rules.FLAGS,
+    *FLAGS,
 ]
 
 _KNOWN = {
@@ -345,7 +365,7 @@ def _report() -> str:
         "outliers_removed": "false",
         **{
             f"tipo_{c.lower()}": f"{kept} AND Tipo_Transaccion = '{c}'"
-            for c in rules.CLASSES
+            for c in CLASSES
         },
     }
     fact = {
@@ -408,11 +428,11 @@ _CLEAN = {
 
 # -- Synthetic data -----------------------------------------------------------
 
-_HALF = FAULTS / 2
-_DAY = "(dia - DATE '1970-01-01')"
+_CTES["por_dia"] = """
+SELECT CAST(l_shipdate AS DATE) AS dia, count(*) AS hechos FROM lineitem GROUP BY 1"""
 _CTES["dias"] = """
-SELECT CAST(unnest(generate_series(min(CAST(l_shipdate AS DATE)),
-  max(CAST(l_shipdate AS DATE)), INTERVAL 1 DAY)) AS DATE) AS dia FROM lineitem"""
+SELECT CAST(unnest(generate_series(min(dia), max(dia), INTERVAL 1 DAY)) AS DATE) AS dia
+FROM por_dia"""
 _MONTH = f"([{_list(MONTHS)}])[month(dia)]"
 _CTES["calendario"] = f"""
 SELECT strftime(dia, '%Y%m%d') AS Fecha_ID, CAST(dia AS VARCHAR) AS Fecha,
@@ -420,87 +440,17 @@ SELECT strftime(dia, '%Y%m%d') AS Fecha_ID, CAST(dia AS VARCHAR) AS Fecha,
   CAST(weekofyear(dia) AS INT) AS Numero_Semana,
   concat(year(dia), 'Q', quarter(dia)) AS Trimestre,
   {_digits("cos((dayofyear(dia) - 180) * 2 * pi() / 365)", 1_000_000)}
-    AS Estacionalidad_Factor, dia FROM dias"""
-
-
-def _broken_key(key: str, draw: str, pick: str) -> str:
-    return f"""CASE WHEN {draw} < {_HALF!r}e0 THEN NULL
-  WHEN {draw} < {FAULTS!r}e0 THEN {_choice(pick, synth.BAD_KEYS)} ELSE {key} END"""
-
-
-def _noisy_month(name: str, draw: str, pick: str) -> str:
-    return f"""CASE WHEN {draw} >= {FAULTS!r}e0 THEN {name}
-  WHEN {pick} < 0.5e0 THEN upper({name}) ELSE upper(left({name}, 3)) || '.' END"""
-
-
-def _noisy_region(name: str, draw: str, pick: str, again: str) -> str:
-    return f"""CASE WHEN {draw} >= {FAULTS!r}e0 THEN {name}
-  WHEN {pick} < 0.3e0 THEN upper({name})
-  WHEN {again} < 0.6e0 THEN replace({name}, 'e', 'é') ELSE {name} || ' ' END"""
-
-
-def _synonym(value: str, draw: str, old: str, new: str, ratio: float) -> str:
-    return f"CASE WHEN {draw} < {ratio!r}e0 AND {value} = '{old}' THEN '{new}' ELSE {value} END"
-
-
-def _bad_price(price: str, draw: str, pick: str) -> str:
-    bad = _cents(_between(pick, -0.5, 0.0))
-    return f"CASE WHEN {draw} < {FAULTS!r}e0 THEN {bad} ELSE {price} END"
-
-
-_CTES["s_fechas"] = f"""
-SELECT * EXCLUDE (dia) REPLACE (
-  {_broken_key("Fecha_ID", _uniform(_DAY, 1), _uniform(_DAY, 2))} AS Fecha_ID,
-  {_noisy_month("Nombre_Mes", _uniform(_DAY, 3), _uniform(_DAY, 4))} AS Nombre_Mes)
-FROM calendario"""
-_S = "Tienda_ID"
-_CTES["s_tiendas"] = f"""
-SELECT Tienda_ID,
-  {_noisy_region("region", _uniform(_S, 14), _uniform(_S, 15), _uniform(_S, 16))} AS Region,
-  {_synonym("formato", _uniform(_S, 17), "Tienda_Conveniencia", "MiniMarket", FAULTS)}
-    AS Formato_Tienda,
-  {_cents(_between(_uniform(_S, 13), 0.5, 1.5))} AS Atractivo_Factor
-FROM (SELECT Tienda_ID, {_weighted(_uniform(_S, 11), synth.REGION_SHARES)} AS region,
-        {_weighted(_uniform(_S, 12), synth.FORMAT_SHARES)} AS formato
-      FROM (SELECT CAST(unnest(range(1, (SELECT count(*) FROM supplier) + 1)) AS INT)
-              AS Tienda_ID))"""
-_P = "Producto_ID"
-_CTES["s_productos"] = f"""
-SELECT Producto_ID, {_synonym("marca0", _uniform(_P, 30), "Acuavida", "AcuaVida", FAULTS)} AS Marca,
-  {_choice(_uniform(_P, 22), synth.SEGMENTS)} AS Segmento,
-  {_choice(_uniform(_P, 23), synth.FLAVOURS)} AS Sabor,
-  {_choice(_uniform(_P, 24), synth.PACKAGES)} AS Tipo_Envase,
-  {_choice(_uniform(_P, 25), synth.SIZES)} AS Tamano,
-  {_bad_price(_cents(_between(_uniform(_P, 26), 0.5, 5.0)), _uniform(_P, 28), _uniform(_P, 29))}
-    AS Precio_Base,
-  {_cents(_between(_uniform(_P, 27), 0.8, 1.2))} AS Demanda_Factor
-FROM (SELECT Producto_ID, {_choice(_uniform(_P, 21), synth.BRANDS)} AS marca0
-      FROM (SELECT CAST(unnest(range(1001, (SELECT count(*) FROM part) + 1001)) AS INT)
-              AS Producto_ID))"""
-_CTES["s_dias"] = """
-SELECT Mes, Fecha_ID, row_number() OVER (PARTITION BY Mes ORDER BY Fecha_ID) - 1 AS pos,
-  count(*) OVER (PARTITION BY Mes) AS n
-FROM s_fechas WHERE regexp_full_match(Fecha_ID, '[0-9]+')"""
-_CTES["s_meses"] = "SELECT list(DISTINCT Mes ORDER BY Mes) AS meses FROM s_fechas"
-_CTES["s_sorteo"] = f"""
-SELECT i.id, meses[i.id % len(meses) + 1] AS Mes,
-  CAST(floor({_uniform("i.id", 32)} * (SELECT count(*) FROM s_tiendas)) AS INT) + 1 AS Tienda_ID,
-  CAST(floor({_uniform("i.id", 33)} * (SELECT count(*) FROM s_productos)) AS INT) + 1001
-    AS Producto_ID
-FROM (SELECT unnest(range(0, (SELECT count(*) FROM lineitem))) AS id) i, s_meses"""
-_CTES["s_ventas"] = f"""
-SELECT s.id, s.Tienda_ID, s.Producto_ID, d.Fecha_ID,
-  {_cents(_between(_uniform("s.id", 34), 0.5, 1.0))} AS Distribucion_Numerica,
-  {_cents(_between(_uniform("s.id", 35), 0.6, 1.0))} AS Distribucion_Ponderada,
-  {_cents(f"(p.Precio_Base * {_between(_uniform('s.id', 36), 0.9, 1.1)})")} AS Precio0,
-  CASE WHEN {_uniform("s.id", 37)} < 0.05e0 THEN 1 ELSE 0 END AS Out_Of_Stock_Flag,
-  CAST(trunc(p.Demanda_Factor * t.Atractivo_Factor
-    * cos((CAST(substr(d.Fecha_ID, 5, 4) AS INT) - 601) * 2 * pi() / 1200)
-    * {_between(_uniform("s.id", 38), 80.0, 120.0)}) AS INT) AS Volumen0
-FROM s_sorteo s
-JOIN s_dias d ON d.Mes = s.Mes AND d.pos = CAST(floor({_uniform("s.id", 31)} * d.n) AS INT)
-JOIN s_tiendas t ON t.Tienda_ID = s.Tienda_ID
-JOIN s_productos p ON p.Producto_ID = s.Producto_ID"""
+    AS Estacionalidad_Factor, coalesce(hechos, 0) AS filas
+FROM dias LEFT JOIN por_dia USING (dia)"""
+
+
+def _inject(value: str, draw: str, *faults: str) -> str:
+    """A share of FAULTS for each fault, one after the other."""
+    cases = " ".join(
+        f"WHEN {draw} < {round(FAULTS * (i + 1), 9)!r}e0 THEN {f}" for i, f in enumerate(faults)
+    )
+    return f"CASE {cases} ELSE {value} END"
+
 
 _O, _PK, _C = "o_orderkey", "p_partkey", "c_custkey"
 _SEGMENT = "(upper(left(c_mktsegment, 1)) || lower(substr(c_mktsegment, 2)))"
@@ -510,7 +460,7 @@ _SEGMENT = "(upper(left(c_mktsegment, 1)) || lower(substr(c_mktsegment, 2)))"
 _MONEY = "DECIMAL(20,4)"
 _COST = (
     f"coalesce(sum(CAST(abs(Ventas_Valor) AS {_MONEY})) "
-    f"FILTER (Tipo_Transaccion IN ({_list(rules.COST_CLASSES)})), 0)"
+    f"FILTER (Tipo_Transaccion IN ({_list(COST_CLASSES)})), 0)"
 )
 _SALES = (
     f"coalesce(sum(CAST(Ventas_Valor AS {_MONEY})) "
@@ -537,6 +487,82 @@ def _worst(dim: str, key: str, columns: str) -> str:
   FROM ({_sums("f_integro", key)})) JOIN {dim} USING ({key}) WHERE posicion <= 20"""
 
 
+_RAW_DAY = "NOT regexp_full_match(Fecha, '[0-9]{4}-[0-9]{2}-[0-9]{2}')"
+_FACT_RULES = {
+    "Fecha_ID hasta 50": "length(Fecha_ID) > 50",
+    "Precio no nulo": "Precio IS NULL",
+    "Out_Of_Stock_Flag permitido": "Out_Of_Stock_Flag NOT IN (0, 1)",
+}
+_DERIVED = (
+    "Precio_Promedio_Producto", "Tipo_Transaccion", "Es_Devolucion", "Es_Ajuste",
+    "Es_Venta_Normal", "Es_Anomalo",
+)
+_BROKEN = [
+    (
+        "dim_tiempo",
+        "dim_tiempo",
+        {
+            "Fecha_ID hasta 50": "length(Fecha_ID) > 50",
+            "Fecha es fecha": _RAW_DAY,
+            "Nombre_Mes hasta 50": "length(Nombre_Mes) > 50",
+            "Trimestre hasta 10": "length(Trimestre) > 10",
+        },
+    ),
+    (
+        "dim_tienda",
+        "dim_tienda",
+        {
+            "Region hasta 100": "length(Region) > 100",
+            "Formato_Tienda hasta 50": "length(Formato_Tienda) > 50",
+            "Region_original presente": "true",
+        },
+    ),
+    (
+        "dim_producto",
+        "dim_producto",
+        {
+            **{
+                f"{c} hasta 100": f"length({c}) > 100"
+                for c in ("Marca", "Segmento", "Sabor", "Tipo_Envase")
+            },
+            "Tamano hasta 50": "length(Tamano) > 50",
+        },
+    ),
+    (
+        FACT,
+        FACT,
+        {
+            **_FACT_RULES,
+            "Fecha_ID_original presente": "true",
+            "Precio_Original presente": "true",
+            "Ventas_Valor_Original presente": "true",
+            **{f"{c} presente": "true" for c in _DERIVED},
+        },
+    ),
+    (
+        f"{FACT} limpio",
+        "f_integro",
+        {
+            **_FACT_RULES,
+            "Fecha_ID_original hasta 50": "length(Fecha_ID_original) > 50",
+            **{f"{c} no nulo": f"{c} IS NULL" for c in _DERIVED},
+            "Tipo_Transaccion hasta 50": "length(Tipo_Transaccion) > 50",
+            "Tipo_Transaccion permitido": f"Tipo_Transaccion NOT IN ({_list(CLASSES)})",
+        },
+    ),
+    (
+        "etl_log",
+        "(SELECT unnest(range(3)))",
+        {
+            "Tabla_Origen hasta 100": "false",
+            "Tabla_Destino hasta 100": "false",
+            "Estado hasta 20": "false",
+            "Usuario hasta 100": "false",
+            "Estado permitido": "false",
+        },
+    ),
+]
+
 # -- The queries --------------------------------------------------------------
 
 _TEXTS = {
@@ -561,6 +587,11 @@ WHERE vol IN ('abc', '2.0') OR valor IS NULL""",
             FACT: "trim(Fecha_ID)",
         }.items()
     ),
+    "load_star_missing": _counts({n: n for n in VIEWS if n != "dim_producto"}),
+    "export_append": """
+SELECT Producto_ID, count(*) AS filas, CAST(sum(Ventas_Volumen) AS BIGINT) AS volumen
+FROM (SELECT * FROM fact_ventas UNION ALL SELECT * FROM fact_ventas WHERE Ventas_Volumen < 0)
+GROUP BY Producto_ID""",
     "table_counts": _counts({n: n for n in VIEWS}),
     "export_star": _union(
         f"SELECT '{n}' AS tabla, true AS exito, count(*) AS filas_escritas, "
@@ -569,7 +600,7 @@ WHERE vol IN ('abc', '2.0') OR valor IS NULL""",
     ),
     "export_stats": _union(
         f"SELECT '{n}' AS tabla, count(*) > 0 AS exito, count(*) AS filas, "
-        "'overwrite' AS modo, CAST(2 AS INT) AS archivos, CAST(NULL AS VARCHAR) AS compresion, "
+        "'overwrite' AS modo, CAST(NULL AS INT) AS archivos, CAST(NULL AS VARCHAR) AS compresion, "
         f"CAST(1 AS INT) AS intentos FROM {s}"
         for n, s in {
             **{n: n for n in VIEWS},
@@ -659,7 +690,7 @@ SELECT Fecha_ID, {_digits('''CASE WHEN md = 0 THEN 1e0
   ELSE cos((md - 601) * 2 * pi() / 1200) END''', 1_000_000)} AS factor
 FROM (SELECT Fecha_ID, CASE WHEN regexp_full_match(substr(Fecha_ID, 5, 4), ' *[0-9]+ *')
     THEN CAST(substr(Fecha_ID, 5, 4) AS INT) ELSE 0 END AS md FROM fact_ventas)""",
-    "calendar_dim": "SELECT * EXCLUDE (dia) FROM calendario",
+    "calendar_dim": "SELECT * FROM calendario",
     "fact_clean": _computed("f_limpio"),
     "fact_clean_strict": _computed("f_estricto"),
     "fact_clean_outliers": _computed("f_atipicos"),
@@ -695,7 +726,8 @@ SELECT Producto_ID, Tienda_ID, Fecha_ID, Ventas_Volumen FROM fact_ventas WHERE {
     "tx_distribution": f"""
 SELECT {_KIND} AS Tipo_Transaccion, count(*) AS filas FROM fact_ventas GROUP BY 1""",
     "dedup_key": """
-SELECT * EXCLUDE (rn, l_shipdate) FROM (SELECT *, row_number() OVER
+SELECT * EXCLUDE (rn) REPLACE (strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate)
+FROM (SELECT *, row_number() OVER
   (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey NULLS LAST, l_suppkey NULLS LAST,
    l_quantity NULLS LAST, l_extendedprice NULLS LAST, l_discount NULLS LAST, l_tax NULLS LAST,
    l_returnflag NULLS LAST, l_linestatus NULLS LAST, l_shipdate NULLS LAST) AS rn
@@ -728,9 +760,12 @@ LEFT JOIN c_producto p ON p.Producto_ID = f.Producto_ID""",
     "load_fact_new": "SELECT * FROM nuevos",
     "load_fact_first": _one_per_key("nuevos", ", ".join(FACT_KEY), _LOAD_COLUMNS),
     "staging_remainder": f"""
-SELECT {", ".join(FACT_KEY)}, Ventas_Volumen FROM etapa s
-WHERE NOT EXISTS (SELECT 1 FROM (SELECT * FROM destino UNION ALL SELECT * FROM nuevos) t
-  WHERE {_SAME})""",
+WITH guardado AS MATERIALIZED (SELECT {", ".join(FACT_KEY)}, Ventas_Volumen FROM etapa),
+viejas AS MATERIALIZED (SELECT DISTINCT {", ".join(FACT_KEY)} FROM destino),
+nuevas AS MATERIALIZED (SELECT DISTINCT {", ".join(f"s.{k}" for k in FACT_KEY)}
+  FROM guardado s ANTI JOIN viejas t ON {_SAME} WHERE {_KEYED})
+SELECT s.* FROM guardado s ANTI JOIN viejas t ON {_SAME} ANTI JOIN nuevas u
+  ON {_SAME.replace("t.", "u.")}""",
     "load_log": _union(
         [
             *[
@@ -756,21 +791,9 @@ WHERE NOT EXISTS (SELECT 1 FROM (SELECT * FROM destino UNION ALL SELECT * FROM n
         "WHERE Tienda_ID IS NOT NULL AND Producto_ID IS NOT NULL)"
     ),
     "contract_violations": _union(
-        f"SELECT '{r}' AS regla, count(*) FILTER ({c}) AS filas FROM fact_ventas"
-        for r, c in {
-            "Precio no nulo": "Precio IS NULL",
-            "Fecha_ID_original presente": "true",
-            "Precio_Promedio_Producto no nulo": "Precio IS NULL",
-            "Tipo_Transaccion no nulo": "false",
-            "Es_Devolucion no nulo": "false",
-            "Es_Ajuste no nulo": "false",
-            "Es_Venta_Normal no nulo": "false",
-            "Es_Anomalo no nulo": "false",
-            "Precio_Original presente": "true",
-            "Ventas_Valor_Original presente": "true",
-            "Tipo_Transaccion permitido": "false",
-            "Out_Of_Stock_Flag permitido": "Out_Of_Stock_Flag NOT IN (0, 1)",
-        }.items()
+        f"SELECT '{t}' AS tabla, '{r}' AS regla, count(*) FILTER ({c}) AS filas FROM {source}"
+        for t, source, broken in _BROKEN
+        for r, c in broken.items()
     ),
     "error_detail": f"""
 WITH malos AS (
@@ -791,31 +814,26 @@ SELECT 'clean_fact_ventas' AS Tabla, Tipo_Error, Descripcion,
   count(*) AS Registros_Afectados,
   '[' || string_agg(texto, ',' ORDER BY rn) FILTER (rn <= 3) || ']' AS Datos_Ejemplo
 FROM puestos GROUP BY Tipo_Error, Descripcion""",
-    "synth_calendar": "SELECT * FROM s_fechas",
-    "synth_stores": "SELECT * FROM s_tiendas",
-    "synth_products": "SELECT * FROM s_productos",
-    "synth_fact": f"""
-SELECT Tienda_ID, Producto_ID, Fecha_ID, Distribucion_Numerica, Distribucion_Ponderada,
-  CASE WHEN {_uniform("id", 39)} >= {FAULTS!r}e0 THEN Precio0 END AS Precio,
-  Out_Of_Stock_Flag,
-  CASE WHEN {_uniform("id", 40)} < {FAULTS!r}e0 THEN 0 ELSE Volumen0 END AS Ventas_Volumen,
-  {_cents("(Volumen0 * Precio0)")} AS Ventas_Valor FROM s_ventas""",
     "fault_nulls": f"""
-SELECT o_orderkey, CASE WHEN {_uniform(_O, 1)} >= {FAULTS!r}e0 THEN o_totalprice END
-  AS o_totalprice FROM orders""",
+SELECT o_orderkey, {_inject("o_totalprice", _uniform(_O, 1), "NULL")} AS o_totalprice
+FROM orders""",
     "fault_keys": f"""
-SELECT o_orderkey, {_broken_key("strftime(o_orderdate, '%Y%m%d')", _uniform(_O, 1), _uniform(_O, 2))}
-  AS Fecha_ID FROM orders""",
+SELECT o_orderkey, CASE WHEN {_uniform(_O, 1)} < 0.025e0 THEN NULL
+  WHEN {_uniform(_O, 1)} < 0.05e0
+    THEN strftime(o_orderdate, '%Y') || '-X-' || strftime(o_orderdate, '%d')
+  ELSE strftime(o_orderdate, '%Y%m%d') END AS Fecha_ID FROM orders""",
     "fault_numbers": f"""
-SELECT p_partkey, {_bad_price("p_retailprice", _uniform(_PK, 1), _uniform(_PK, 2))} AS p_retailprice,
-  CASE WHEN {_uniform(_PK, 3)} < {FAULTS!r}e0 THEN 0 ELSE p_size END AS p_size FROM part""",
+SELECT p_partkey, {_inject("p_retailprice", _uniform(_PK, 1), "-p_retailprice", "0e0")}
+    AS p_retailprice,
+  {_inject("p_size", _uniform(_PK, 2), "0")} AS p_size FROM part""",
     "fault_labels": f"""
-SELECT c_custkey, {_noisy_month(_SEGMENT, _uniform(_C, 1), _uniform(_C, 2))} AS abreviado,
-  {_noisy_region(_SEGMENT, _uniform(_C, 1), _uniform(_C, 2), _uniform(_C, 3))} AS acentuado,
-  {_synonym(_SEGMENT, _uniform(_C, 4), "Machinery", "Maquinaria", 0.5)} AS sinonimo
+SELECT c_custkey, {_inject(_SEGMENT, _uniform(_C, 1), f"upper({_SEGMENT})",
+    f"upper(left({_SEGMENT}, 3)) || '.'", f"replace({_SEGMENT}, 'u', 'ú')",
+    f"{_SEGMENT} || ' '")} AS segmento
 FROM customer""",
     "union_parts": "SELECT * FROM f_clave",
-    "row_shuffle": "SELECT * EXCLUDE (o_orderdate) FROM orders",
+    "row_shuffle": """
+SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate) FROM orders""",
     "impact_rate": f"SELECT {_RATE} FROM ({_sums('f_integro')})",
     "impact_by_month": f"""
 SELECT Anio, Mes, {_RATE} FROM ({_sums(
@@ -828,7 +846,7 @@ SELECT Tipo_Transaccion, CASE Tipo_Transaccion WHEN 'DEVOLUCION' THEN 'Calidad'
       "CAST(c AS DOUBLE) / nullif(CAST(sum(c) OVER () AS DOUBLE), 0)"
   )} AS participacion
 FROM (SELECT Tipo_Transaccion, count(*) AS transacciones, {_COST} AS c FROM f_integro
-  WHERE Tipo_Transaccion IN ({_list(rules.COST_CLASSES)}) GROUP BY Tipo_Transaccion)""",
+  WHERE Tipo_Transaccion IN ({_list(COST_CLASSES)}) GROUP BY Tipo_Transaccion)""",
     "risk_stores": _worst("c_tienda", "Tienda_ID", "Region, Formato_Tienda"),
     "risk_products": _worst("c_producto", "Producto_ID", "Marca, Segmento"),
     "risk_map": f"""

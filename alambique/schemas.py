@@ -14,6 +14,7 @@ PRODUCT_DIM = "dim_producto"
 FACT = "fact_ventas"
 DIMENSIONS = (DATE_DIM, STORE_DIM, PRODUCT_DIM)
 TABLES = (*DIMENSIONS, FACT)
+LOG = "etl_log"
 
 #: Primary key of each dimension.
 KEYS = {DATE_DIM: "Fecha_ID", STORE_DIM: "Tienda_ID", PRODUCT_DIM: "Producto_ID"}
@@ -30,6 +31,9 @@ _TYPES = {
     "double": T.DoubleType(),
     "date": T.DateType(),
     "boolean": T.BooleanType(),
+    "long": T.LongType(),
+    "timestamp": T.TimestampType(),
+    "decimal(10,2)": T.DecimalType(10, 2),
 }
 
 _SOURCE_DDL = {
@@ -76,6 +80,22 @@ LOAD_LOG = (
     "Mensaje string, Usuario string, Fecha_Inicio timestamp, Fecha_Fin timestamp"
 )
 
+ERROR_DETAIL = (
+    "Ejecucion_ID string, Tabla string, Tipo_Error string, Descripcion string, "
+    "Registros_Afectados long, Datos_Ejemplo string, Fecha_Error timestamp"
+)
+
+#: Longest texts the target tables take.
+LENGTHS = {
+    **dict.fromkeys(("Marca", "Segmento", "Sabor", "Tipo_Envase"), 100),
+    **dict.fromkeys(("Region", "Region_original", "Tabla_Origen", "Tabla_Destino"), 100),
+    **dict.fromkeys(("Tamano", "Formato_Tienda", "Fecha_ID", "Nombre_Mes"), 50),
+    **dict.fromkeys(("Fecha_ID_original", "Tipo_Transaccion"), 50),
+    "Trimestre": 10,
+    "Estado": 20,
+    "Usuario": 100,
+}
+
 #: Allowed values of the load log's ``Estado``.
 LOAD_STATES = ("EXITOSO", "ERROR", "ADVERTENCIA", "EN_PROCESO")
 
@@ -89,8 +109,8 @@ def source_schema(table: str) -> T.StructType:
 
 
 def target_schema(table: str) -> T.StructType:
-    """Schema of the table a cleaned table is loaded into."""
-    return _schema(_TARGET_DDL, table)
+    """Schema of the table a cleaned table is loaded into, or of the load log."""
+    return _schema({**_TARGET_DDL, LOG: LOAD_LOG}, table)
 
 
 def _schema(texts: dict[str, str], table: str) -> T.StructType:

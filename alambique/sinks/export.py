@@ -148,12 +148,16 @@ class JdbcConnection:
 
 
 def jdbc_write_options(
-    connection: JdbcConnection, table: str, batchsize: int, max_partitions: int
+    connection: JdbcConnection,
+    table: str,
+    batchsize: int,
+    max_partitions: int,
+    isolation: str = "READ_COMMITTED",
 ) -> dict[str, str]:
     return {
         **connection.options(table),
         "batchsize": str(batchsize),
-        "isolationLevel": "READ_UNCOMMITTED",
+        "isolationLevel": isolation,
         "numPartitions": str(max_partitions),
         "queryTimeout": "0",
     }
@@ -176,6 +180,7 @@ def export_to_sql(
     max_partitions: int = 8,
     retries: int = 3,
     key_columns: Sequence[str] | None = None,
+    isolation: str = "READ_COMMITTED",
     save: Callable = _save,
     read: Callable = _read,
     wait: Callable[[float], None] = time.sleep,
@@ -189,7 +194,9 @@ def export_to_sql(
     """
     if not connection.is_complete():
         return ExportStats(table_name, False, error="url, user and password required")
-    options = jdbc_write_options(connection, table_name, batchsize, max_partitions)
+    options = jdbc_write_options(
+        connection, table_name, batchsize, max_partitions, isolation
+    )
     attempts = retries if mode == "overwrite" or key_columns else 1
     attempt = 0
 

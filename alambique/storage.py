@@ -6,12 +6,10 @@ its lineage and survives the loss of any executor.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import lru_cache
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -20,27 +18,37 @@ from pyspark.sql import types as T
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, else the warehouse.
 
-    Where it is unset, a local-mode session gets a temporary folder of its own;
-    on a cluster that folder would not be shared, so it is an error there.
+    Executors share both; a folder of the driver's machine is never used.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return _local_root(spark.conf.get("spark.app.id"))
+    for setting in ("spark.checkpoint.dir", "spark.sql.warehouse.dir"):
+        root = spark.conf.get(setting, None)
+        if root:
+            return root.rstrip("/")
+    raise ValueError("set spark.checkpoint.dir to a folder all executors share")
 
 
-@lru_cache
-def _local_root(app_id: str) -> str:
-    return tempfile.mkdtemp(prefix=f"alambique-{app_id}-")
+def run_folder(spark: SparkSession) -> str:
+    """The one folder that all tables of this application are written to."""
+    return f"{scratch_root(spark)}/alambique/{spark.conf.get('spark.app.id')}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that no other call returns."""
-    return f"{scratch_root(spark)}/alambique/{label}-{uuid.uuid4().hex}"
+    """A path under the run's folder that no other call returns."""
+    return f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> bool:
+    """Delete the run's folder; frames that read from it can no longer be used."""
+    return delete(spark, run_folder(spark))
+
+
+def delete(spark: SparkSession, name: str) -> bool:
+    """Delete a file or folder of any file system that Spark reads."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -48,6 +56,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return materialize_measured(df, label).df
 
 
+#: Bytes a row is taken to have where its columns are nested.
+UNMEASURED = 1 << 40
+
+
 @dataclass(frozen=True)
 class Measured:
     """A written table with its number of rows and its in-memory bytes."""
@@ -95,6 +107,13 @@ def _text_bytes(df: DataFrame) -> Column:
 
 
 def _fixed_bytes(df: DataFrame) -> int:
-    """Row header, and a word per column or two for text and decimals."""
+    """Row header, and a word per column or two for text and decimals.
+
+    Nested columns have no bound, so a table with any counts as too large to
+    broadcast unless its caller knows better.
+    """
+    nested = (T.ArrayType, T.MapType, T.StructType)
+    if any(isinstance(f.dataType, nested) for f in df.schema):
+        return UNMEASURED
     wide = (T.StringType, T.BinaryType, T.DecimalType)
     return 16 + sum(16 if isinstance(f.dataType, wide) else 8 for f in df.schema)

@@ -1,19 +1,23 @@
-"""Drain staged fact files in batches into the target.
+"""Drain staged files into the target.
 
-The staging folder is the stream: each micro-batch takes some files, inserts
-the rows whose key the target does not have, and is then recorded in the
-checkpoint. A batch that is replayed after a failure inserts nothing twice.
+The staging folder is the stream: each micro-batch keeps the rows of some new
+files under its own number, so a batch that is replayed replaces itself. What
+was kept is then loaded at once and compared with the target as it was before,
+so the number of files in a batch changes nothing.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import functions as F
 
 from alambique.operators.load import KEEP_ALL
 from alambique.plans.loading import load_table_into
 from alambique.schemas import FACT, target_schema
 
+BATCH = "lote"
+
 
 def drain_staging(
     spark: SparkSession,
@@ -23,20 +27,51 @@ def drain_staging(
     table: str = FACT,
     files_per_batch: int = 1000,
     policy: str = KEEP_ALL,
-) -> StreamingQuery:
-    """Load all files now in staging, then stop; new files wait for the next run."""
+) -> DataFrame | None:
+    """Load all files now in staging; returns the counts, None if none is new.
+
+    New files wait for the next call. A call that failed while loading is made
+    good by the next one: batches are recorded as loaded after the insert, and
+    rows that already arrived are in the target by then.
+    """
+    kept, loaded = f"{checkpoint_path}/rows", f"{checkpoint_path}/loaded"
 
-    def load_batch(batch: DataFrame, _batch_id: int) -> None:
-        load_table_into(batch, table, target_path, policy)
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{kept}/{BATCH}={number}")
 
     staged = (
         spark.readStream.schema(target_schema(table))
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(staging_path)
     )
-    return (
-        staged.writeStream.foreachBatch(load_batch)
-        .option("checkpointLocation", checkpoint_path)
+    query = (
+        staged.writeStream.foreachBatch(keep)
+        .option("checkpointLocation", f"{checkpoint_path}/stream")
         .trigger(availableNow=True)
         .start()
     )
+    query.awaitTermination()
+    rows = _read(spark, kept)
+    if rows is None:
+        return None
+    done = _read(spark, loaded)
+    seen = [] if done is None else [r[0] for r in done.distinct().collect()]
+    pending = rows.filter(~F.col(BATCH).isin(seen)) if seen else rows
+    batches = [r[0] for r in pending.select(BATCH).distinct().collect()]
+    if not batches:
+        return None
+    columns = target_schema(table).names
+    _, counts = load_table_into(pending.select(*columns), table, target_path, policy)
+    counts = spark.createDataFrame(counts.collect(), counts.schema)
+    numbers = spark.createDataFrame([(b,) for b in batches], f"{BATCH} long")
+    numbers.write.mode("append").parquet(loaded)
+    return counts
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None

@@ -32,7 +32,11 @@ HEADLINE = (
     "load_fact_first",
     "load_log",
     "error_detail",
-    "synth_fact",
+    "quantiles_value",
+    "staging_remainder",
+    "value_discrepancy",
+    "export_star",
+    "profile_distinct_counts",
     "impact_rate",
     "impact_by_month",
     "loss_by_cause",

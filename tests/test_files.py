@@ -154,7 +154,7 @@ def test_jdbc_options(spark):
         "password": "secret",
         "driver": "some.Driver",
         "batchsize": "500",
-        "isolationLevel": "READ_UNCOMMITTED",
+        "isolationLevel": "READ_COMMITTED",
         "numPartitions": "4",
         "queryTimeout": "0",
     }

@@ -1,8 +1,10 @@
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from alambique.operators import load
-from alambique.plans.loading import read_target, run_load
+from alambique.plans import loading
+from alambique.plans.loading import read_target, run_load, staged_months
 from alambique.schemas import FACT, FACT_KEY, PRODUCT_DIM, target_schema
 from alambique.streaming.staged_load import drain_staging
 
@@ -125,22 +127,99 @@ def test_error_detail_of_a_common_error(spark):
     assert row.Datos_Ejemplo == '[{"k":1},{"k":2},{"k":3}]'
 
 
-def test_drain_staging_in_batches(spark, tmp_path):
-    staging, target = str(tmp_path / "in"), str(tmp_path / "out")
-    rows = [(i, 1, "20240101", "A", i) for i in range(40)]
-    facts(spark, rows).repartition(4).write.parquet(staging)
-    facts(spark, rows[:10]).write.mode("append").parquet(staging)
-
-    def drain():
-        query = drain_staging(
-            spark, staging, target, str(tmp_path / "state"), files_per_batch=2
-        )
-        query.awaitTermination(120)
-        assert query.exception() is None
-        return read_target(spark, target, FACT)
-
-    loaded = drain()
-    assert loaded.select("Producto_ID").distinct().count() == 40
-    before = loaded.count()
-    facts(spark, [*rows[:5], (99, 1, "20240102", "A", 1)]).write.mode("append").parquet(staging)
-    assert drain().count() == before + 1
+def test_the_target_is_read_by_month(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    rows = [(i, 1, f"2024{1 + i % 6:02d}01", "VENTA_NORMAL", 1) for i in range(60)]
+    run_load({FACT: facts(spark, rows)}, {FACT: path}, str(tmp_path / "log"))
+    staging = facts(spark, [(1, 1, "20240201", "VENTA_NORMAL", 1)])
+    months = staged_months(staging, FACT)
+    assert months == ["202402"]
+    read = read_target(spark, path, FACT, months)
+    text = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(Mes_Carga" in text
+    assert read.count() == 10 and len(read.inputFiles()) <= read_target(spark, path, FACT).count()
+    assert read_target(spark, path, FACT).count() == 60
+
+
+def test_staged_files_that_arrive_late_stay(spark, tmp_path):
+    staged, target = str(tmp_path / "staging"), str(tmp_path / "facts")
+    facts(spark, [(1, 1, "20240101", "A", 1), (None, 1, "20240101", "A", 2)]).write.parquet(staged)
+    staging = spark.read.parquet(staged)
+    staging.count()
+    facts(spark, [(7, 1, "20240101", "A", 7)]).write.mode("append").parquet(staged)
+    run_load({FACT: staging}, {FACT: target}, str(tmp_path / "log"), {FACT: staged})
+    left = spark.read.parquet(staged)
+    assert sorted(r.Ventas_Volumen for r in left.collect()) == [2, 7]
+    assert read_target(spark, target, FACT).count() == 1
+
+
+def test_a_failing_table_is_logged(spark, tmp_path):
+    log = str(tmp_path / "log")
+    product = spark.createDataFrame(
+        [(1, "m", "s", "s", "e", "t", 2.0, 1.0)], target_schema(PRODUCT_DIM)
+    )
+    broken = facts(spark, [(1, 1, "20240101", "A", 1)]).drop("Fecha_ID")
+    targets = {PRODUCT_DIM: str(tmp_path / "p"), FACT: str(tmp_path / "f")}
+    with pytest.raises(AnalysisException):
+        run_load({PRODUCT_DIM: product, FACT: broken}, targets, log)
+    entries = {r.Tabla_Destino: r for r in spark.read.parquet(log).collect()}
+    assert entries["tbl_producto"].Estado == "EXITOSO"
+    assert entries["tbl_facts"].Estado == "ERROR" and entries["tbl_facts"].Mensaje
+    detail = spark.read.parquet(f"{log}_errores").collect()
+    (failed,) = [r for r in detail if r.Tipo_Error == "SISTEMA"]
+    assert failed.Ejecucion_ID == entries["tbl_facts"].Ejecucion_ID and failed.Fecha_Error
+
+
+def test_error_detail_is_written_by_a_run(spark, tmp_path):
+    log, targets = str(tmp_path / "log"), {FACT: str(tmp_path / "f")}
+    rows = [(1, 1, "20240101", "A", 1), (1, 1, "20240101", "A", 2), (None, 1, "x", "A", 3)]
+    run_load({FACT: facts(spark, rows)}, targets, log)
+    detail = spark.read.parquet(f"{log}_errores").collect()
+    found = {(r.Tipo_Error, r.Registros_Afectados) for r in detail}
+    assert found == {("VALIDACION", 1), ("DUPLICADO", 1)}
+    assert all(r.Ejecucion_ID and r.Fecha_Error for r in detail)
+
+
+def _staged_copies(spark, staging):
+    """Four files; one key is in all of them and one in none of the target."""
+    for i in range(4):
+        rows = facts(spark, [(1, 1, "20240101", "A", i), (10 + i, 1, "20240102", "A", i)])
+        rows.coalesce(1).write.mode("append").parquet(staging)
+
+
+@pytest.mark.parametrize("policy", [load.KEEP_ALL, load.KEEP_FIRST])
+def test_batches_change_nothing(spark, tmp_path, policy):
+    loaded = {}
+    for size in (1, 2, 1000):
+        base = tmp_path / f"{policy}-{size}"
+        _staged_copies(spark, str(base / "in"))
+        drain_staging(
+            spark, str(base / "in"), str(base / "out"), str(base / "state"),
+            files_per_batch=size, policy=policy,
+        )
+        loaded[size] = values(read_target(spark, str(base / "out"), FACT))
+    assert loaded[1] == loaded[2] == loaded[1000]
+    assert len(loaded[1]) == (8 if policy == load.KEEP_ALL else 5)
+
+
+def test_a_drain_that_failed_is_made_good(spark, tmp_path, monkeypatch):
+    staging, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    _staged_copies(spark, staging)
+    insert = loading.insert_marked
+
+    def failing(*args):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(loading, "insert_marked", failing)
+    with pytest.raises(RuntimeError, match="lost"):
+        drain_staging(spark, staging, target, state, files_per_batch=2)
+    monkeypatch.setattr(loading, "insert_marked", insert)
+    drain_staging(spark, staging, target, state, files_per_batch=2)
+    assert read_target(spark, target, FACT).count() == 8
+    assert drain_staging(spark, staging, target, state) is None
+    facts(spark, [(1, 1, "20240101", "A", 9), (99, 1, "20240102", "A", 1)]).write.mode(
+        "append"
+    ).parquet(staging)
+    counts = drain_staging(spark, staging, target, state).first()
+    assert (counts.Registros_Insertados, counts.Registros_Existentes) == (1, 1)
+    assert read_target(spark, target, FACT).count() == 9

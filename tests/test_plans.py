@@ -4,7 +4,8 @@ import re
 
 import pytest
 
-from alambique.operators import integrity, profile
+from alambique import storage
+from alambique.operators import integrity, joins, profile
 from alambique.operators.stats import product_profile
 from alambique.plans import cleaning, reports
 from alambique.plans.catalog import QUERIES
@@ -24,11 +25,21 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["fact_clean_ri", "risk_map", "cleaning_report", "synth_fact"])
-def test_no_python_and_no_cross_join(spark, small_dir, name):
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_python_no_cross_join_and_no_copy_of_the_fact(spark, small_dir, name, monkeypatch):
+    """Queries may store side tables, staged rows and their output only."""
+    stored, write = [], storage.materialize_measured
+
+    def noted(df, label):
+        stored.append(label)
+        return write(df, label)
+
+    for module in (storage, joins, cleaning):
+        monkeypatch.setattr(module, "materialize_measured", noted)
     text = plan(QUERIES[name](spark, small_dir))
     for node in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in text
+    assert FACT not in stored and "classified" not in stored
 
 
 def test_integrity_is_three_broadcast_semi_joins(spark, tables):

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from alambique.operators.quantiles import approx_quantile, exact_quantile
+from alambique.operators.quantiles import approx_quantile, exact_quantile, exact_quantiles
 
 RNG = random.Random(5)
 CASES = {
@@ -14,6 +14,7 @@ CASES = {
     "hot": [3.0] * 600 + [RNG.random() for _ in range(900)],
     "negative": [-float(i) for i in range(100)],
     "signed zero": [0.0, -0.0, 0.0],
+    "huge": [1.0, 1e301, 1e302, 1.7e308, -1.7e308],
     "one": [42.5],
     "two": [1.0, 2.0],
 }
@@ -43,3 +44,21 @@ def test_approximate_rank(spark):
     df = spark.range(100_001).select(F.col("id").cast("double").alias("x"))
     assert abs(approx_quantile(df, "x") - 50_000) <= 10
     assert exact_quantile(df, "x") == 50_000
+
+
+def test_many_shares_in_one_search(spark):
+    rng = random.Random(7)
+    values = [round(rng.gauss(0, 3000), 2) for _ in range(5000)]
+    df = spark.createDataFrame([(v,) for v in [*values, None, None]], "x double")
+    shares = (0.01, 0.25, 0.5, 0.75, 0.99)
+    found = exact_quantiles(df, "x", shares)
+    ranked = sorted(values)
+    assert found.values == {q: ranked[max(1, math.ceil(q * 5000)) - 1] for q in shares}
+    assert found.rows == 5002 and found.passes <= 3
+
+
+def test_rows_are_counted_without_values(spark):
+    found = exact_quantiles(spark.createDataFrame([(None,)], "x double"), "x", [0.5])
+    assert found.values == {0.5: None} and found.rows == 1
+    empty = exact_quantiles(spark.createDataFrame([], "x double"), "x", [0.5])
+    assert empty.values == {0.5: None} and empty.rows == 0

@@ -1,5 +1,6 @@
 import pytest
 
+from alambique import storage
 from alambique.storage import run_together, scratch_path, scratch_root
 
 
@@ -11,17 +12,33 @@ class Session:
 
 
 def test_the_named_folder_is_used():
-    session = Session(spark_checkpoint_dir="s3a://bucket/shared/", spark_master="yarn")
+    session = Session(
+        spark_checkpoint_dir="s3a://bucket/shared/", spark_master="yarn", spark_app_id="app-1"
+    )
     assert scratch_root(session) == "s3a://bucket/shared"
     one, two = (scratch_path(session, "x") for _ in range(2))
-    assert one.startswith("s3a://bucket/shared/alambique/x-") and one != two
+    assert one.startswith("s3a://bucket/shared/alambique/app-1/x-") and one != two
 
 
-def test_a_temporary_folder_only_in_local_mode():
-    local = Session(spark_master="local[2]", spark_app_id="app-1")
-    assert scratch_root(local) == scratch_root(local)
+def test_the_warehouse_where_none_is_named():
+    session = Session(**{"spark_sql_warehouse_dir": "hdfs://cluster/warehouse"})
+    assert scratch_root(session) == "hdfs://cluster/warehouse"
     with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
-        scratch_root(Session(spark_master="yarn", spark_app_id="app-2"))
+        scratch_root(Session(spark_master="yarn"))
+
+
+def test_a_runs_folder_is_cleared(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(storage, "run_folder", lambda _: str(tmp_path / "run"))
+    stored = storage.materialize(spark.range(3), "x")
+    assert stored.count() == 3 and (tmp_path / "run").exists()
+    assert storage.clear(spark)
+    assert not (tmp_path / "run").exists()
+    assert not storage.clear(spark)
+
+
+def test_nested_columns_are_never_small(spark):
+    nested = storage.materialize_measured(spark.sql("SELECT array(1, 2) AS a"), "nested")
+    assert nested.rows == 1 and nested.size >= storage.UNMEASURED
 
 
 def test_jobs_run_together(spark):

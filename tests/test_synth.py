@@ -1,71 +1,40 @@
 import pytest
 from pyspark.sql import functions as F
 
+from alambique.functions.draws import PRIME, uniform
 from alambique.operators import synth
-from alambique.plans import cleaning
-from alambique.schemas import DATE_DIM, FACT, PRODUCT_DIM, STORE_DIM, TABLES
-from alambique.schemas import source_schema
-from alambique.sinks.export import export_multiple_tables_to_csv
-from alambique.sources.files import PREFIX, load_all_tables
-
-
-@pytest.fixture(scope="module")
-def star(spark):
-    return synth.generate_star(spark, 400, 60, 100, 20_000, ratio=0.02, seed=3)
 
 
 def share(df, condition):
     return df.agg(F.avg(F.when(condition, 1).otherwise(0))).first()[0]
 
 
-def test_shape(star):
-    sizes = {name: star[name].count() for name in TABLES}
-    assert sizes == {DATE_DIM: 400, STORE_DIM: 60, PRODUCT_DIM: 100, FACT: 20_000}
-    for name in TABLES:
-        assert star[name].dtypes == [
-            (f.name, f.dataType.simpleString()) for f in source_schema(name)
-        ]
-
-
-def test_rows_are_even_over_the_months(star):
-    months = F.substring("Fecha_ID", 5, 2)
-    counts = [r["count"] for r in star[FACT].groupBy(months).count().collect()]
-    assert len(counts) == 12 and max(counts) - min(counts) <= 1
-
-
-def test_fault_shares(star):
-    fact, days = star[FACT], star[DATE_DIM]
-    assert abs(share(fact, F.col("Precio").isNull()) - 0.02) < 0.005
-    assert abs(share(fact, F.col("Out_Of_Stock_Flag") == 1) - 0.05) < 0.01
-    stale = (F.col("Ventas_Volumen") == 0) & (F.col("Ventas_Valor") != 0)
-    assert 0.01 < share(fact, stale) < 0.03
-    assert share(days, F.col("Fecha_ID").isNull()) > 0
-    bad = set(synth.BAD_KEYS)
-    assert {r.Fecha_ID for r in days.filter("NOT Fecha_ID RLIKE '^[0-9]+$'").collect()} <= bad
-    assert share(fact, F.col("Fecha_ID").rlike("^[0-9]{8}$")) == 1.0
-
-
-def test_same_seed_same_rows(spark, star):
-    again = synth.generate_star(spark, 400, 60, 100, 20_000, ratio=0.02, seed=3)
-    other = synth.generate_star(spark, 400, 60, 100, 20_000, ratio=0.02, seed=4)
-    assert again[FACT].exceptAll(star[FACT]).isEmpty()
-    assert not other[FACT].exceptAll(star[FACT]).isEmpty()
-
-
-def test_ids_must_be_consecutive(star):
-    gaps = star[STORE_DIM].filter("Tienda_ID <> 5")
-    with pytest.raises(ValueError, match="consecutive"):
-        synth.generate_fact_ventas(star[DATE_DIM], star[PRODUCT_DIM], gaps, 10)
-
-
-def test_generate_write_read_clean(spark, star, tmp_path):
-    named = {f"{PREFIX}_{name}.csv": df for name, df in star.items()}
-    assert all(s.exito for s in export_multiple_tables_to_csv(named, str(tmp_path)).values())
-    loaded = load_all_tables(spark, str(tmp_path))
-    clean = cleaning.clean_all(loaded)
-    assert clean[DATE_DIM].count() == 400
-    assert 0 < clean[FACT].count() <= 20_000
-    assert clean[FACT].filter("Precio IS NULL OR Precio <= 0").isEmpty()
+def test_fault_shares(spark):
+    draw = uniform(F.col("id"), 3, 1)
+    faults = [(0.02, None), (0.05, F.lit(-1)), (0.01, -F.col("id"))]
+    df = spark.range(1, 50_001).withColumn("x", synth.inject(F.col("id"), draw, faults))
+    assert share(df, F.col("x").isNull()) == pytest.approx(0.02, abs=0.005)
+    assert share(df, F.col("x") == -1) == pytest.approx(0.05, abs=0.005)
+    assert share(df, F.col("x") == F.col("id")) == pytest.approx(0.92, abs=0.01)
+    assert df.select(synth.inject(F.col("id"), draw, [])).exceptAll(spark.range(1, 50_001)).isEmpty()
+
+
+def test_draws_do_not_repeat_beyond_the_prime(spark):
+    ids = spark.range(1000)
+    low, high = uniform(F.col("id"), 3, 1), uniform(F.col("id") + PRIME, 3, 1)
+    assert ids.filter(low == high).count() < 5
+    other = uniform(F.col("id") + 2 * PRIME, 3, 1)
+    assert ids.filter(high == other).count() < 5
+    assert ids.agg(F.avg(high)).first()[0] == pytest.approx(0.5, abs=0.05)
+
+
+def test_a_calendar_counts_its_facts(spark):
+    facts = spark.sql("SELECT explode(array('2024-01-01', '2024-01-03', '2024-01-03')) AS d")
+    days = synth.calendar(facts, "d").orderBy("Fecha_ID").collect()
+    assert [(r.Fecha_ID, r.filas) for r in days] == [
+        ("20240101", 1), ("20240102", 0), ("20240103", 2)
+    ]
+    assert synth.calendar(facts.limit(0), "d").isEmpty()
 
 
 def test_shuffled_rows(spark):
