@@ -3,10 +3,15 @@
 Texts with one set of shingles are a class, and classes are compared once. Every
 class walks down random trees: each node chooses one or two of its minwise
 tokens, and the class goes to the child of each token's value. Two classes of
-similarity s go the same way with chance s a step. Nodes with few classes are
-compared exhaustively by sketches; a node with more compares all to several
-leaders, settles those that are surely like one, and lets the others walk on.
-Links are confirmed on full sets, and connected classes share a component.
+similarity s go the same way with chance s a step. The classes of a small node
+are compared exhaustively by sketches, and pairs that may be alike are confirmed
+on full sets.
+
+That is done twice. The first time a node gives only the pairs that connect what
+is alike in it, so a group of n near copies costs about n pairs and not n * n;
+large nodes give pairs with a few leaders. The second time every pair between
+classes not yet connected is taken, and large nodes walk on until they are small
+or all of one component. No link between components is left out.
 """
 
 from __future__ import annotations
@@ -14,6 +19,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +29,7 @@ from pyspark.sql import functions as F
 from alambique.llm import shingles as sh
 from alambique.llm.components import components
 from alambique.operators.joins import lookup_join, skew_join
-from alambique.storage import materialize, materialize_measured
+from alambique.storage import Measured, materialize, materialize_measured
 
 
 @dataclass(frozen=True)
@@ -35,7 +41,7 @@ class Settings:
     percent: int = 80
     miss: float = 1e-5
     coords: int = 64
-    node_rows: int = 32
+    node_rows: int = 2048
     leaders: int = 8
     seed: int = 1
 
@@ -52,7 +58,7 @@ class Settings:
         met = 1.0
         for _ in range(depth):
             one = self.limit * met
-            met = 0.75 * one + 0.25 * (1 - (1 - one) ** 2)
+            met = 0.75 * one + 0.25 * (1 - (1 - one) ** 2)  # see _choose
         return math.ceil(math.log(self.miss) / math.log(1 - met))
 
     @property
@@ -61,11 +67,6 @@ class Settings:
         spread = math.sqrt(self.coords * self.limit * (1 - self.limit))
         return math.floor(self.coords * self.limit - 4.1 * spread)
 
-    @property
-    def sure(self) -> int:
-        """Equal coordinates that two classes below the limit hardly ever reach."""
-        return math.ceil(self.coords * (1 + self.limit) / 2)
-
 
 def described(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``doc_id``, size ``n``, signature ``sig`` and sketch ``coords`` of each
@@ -92,12 +93,14 @@ def described(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, n long, sig long, coords binary")
 
 
-def _choose(node: np.ndarray, owner: np.ndarray, coords: np.ndarray) -> tuple:
-    """Children of nodes: one chosen coordinate each, and a second at one in four."""
+def _choose(
+    node: np.ndarray, owner: np.ndarray, coords: np.ndarray, twice: int
+) -> tuple:
+    """Children of nodes: one chosen coordinate each, a second at one in ``twice``."""
     width = np.uint64(coords.shape[1])
     first = sh.mix(node ^ np.uint64(0x51ED270B)) % width
     step = sh.mix(node ^ np.uint64(0x2545F491)) % (width - np.uint64(1)) + np.uint64(1)
-    more = sh.mix(node ^ np.uint64(0x632BE59B)) % np.uint64(4) == 0
+    more = sh.mix(node ^ np.uint64(0x632BE59B)) % np.uint64(twice) == 0
     nodes = np.concatenate([node, node[more]])
     owners = np.concatenate([owner, owner[more]])
     chosen = np.concatenate([first, ((first + step) % width)[more]])
@@ -105,9 +108,11 @@ def _choose(node: np.ndarray, owner: np.ndarray, coords: np.ndarray) -> tuple:
     return sh.mix(sh.mix(nodes + chosen) + value), owners
 
 
-def _walk(node: np.ndarray, owner: np.ndarray, coords: np.ndarray, depth: int) -> tuple:
+def _walk(
+    node: np.ndarray, owner: np.ndarray, coords: np.ndarray, depth: int, twice: int
+) -> tuple:
     for _ in range(depth):
-        node, owner = _choose(node, owner, coords)
+        node, owner = _choose(node, owner, coords, twice)
     return node, owner
 
 
@@ -121,11 +126,12 @@ def _binary(rows: np.ndarray) -> pa.Array:
     return pa.array([r.tobytes() for r in flat], pa.binary())
 
 
-def _paths(
-    classes: DataFrame, depth: int, trees: int, payload: str | None
-) -> DataFrame:
-    """``node`` and ``cls`` of each class at the end of its paths, with no more,
-    its low bytes (``sketch``) or all of its ``coords``."""
+def _paths(classes: DataFrame, depth: int, trees: int, payload: str) -> DataFrame:
+    """``node``, ``cls`` and ``label`` of each class at the end of its paths.
+
+    ``payload`` is nothing, the low bytes of its coordinates (``sketch``) or all
+    of them (``coords``).
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
@@ -133,39 +139,41 @@ def _paths(
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                coords, cls = _matrix(part.column(1)), part.column(0).to_numpy()
+                coords, cls = _matrix(part.column(2)), part.column(0).to_numpy()
                 owner = np.tile(np.arange(len(cls)), trees)
-                node, owner = _walk(np.repeat(roots, len(cls)), owner, coords, depth)
-                columns = [pa.array(node.view(np.int64)), pa.array(cls[owner])]
+                node, owner = _walk(np.repeat(roots, len(cls)), owner, coords, depth, 4)
+                taken = pa.array(owner)
+                columns = [pa.array(node.view(np.int64))]
+                columns += [part.column(0).take(taken), part.column(1).take(taken)]
                 if payload:
                     held = coords if payload == "coords" else coords.astype(np.uint8)
-                    columns.append(_binary(held).take(pa.array(owner)))
-                yield pa.RecordBatch.from_arrays(
-                    columns, ["node", "cls", "payload"][: len(columns)]
-                )
+                    columns.append(_binary(held).take(taken))
+                names = ["node", "cls", "label", "payload"]
+                yield pa.RecordBatch.from_arrays(columns, names[: len(columns)])
 
     extra = ", payload binary" if payload else ""
-    rows = classes.select("sig", "coords")
-    return rows.mapInArrow(run, "node long, cls long" + extra)
+    rows = classes.select("sig", "label", "coords")
+    return rows.mapInArrow(run, "node long, cls long, label long" + extra)
 
 
-def _compare_nodes(rows: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs of classes that may be alike within each node, all of them compared.
+def _compare_nodes(rows: DataFrame, settings: Settings, spanning: bool) -> DataFrame:
+    """Pairs of classes of different labels that may be alike in one node.
 
-    Pairs that surer pairs already connect are left out. ``payload`` has one
-    byte of each coordinate. Rows come sorted by node, and those of a node are
-    compared at each distance in turn.
+    All classes of a node are compared, at each distance in turn. ``spanning``
+    keeps of a node's pairs those that connect it. ``payload`` has one byte of
+    each coordinate.
     """
-    maybe, sure = settings.maybe, settings.sure
+    maybe = settings.maybe
 
-    def pairs(node: np.ndarray, cls: np.ndarray, held: np.ndarray) -> pa.RecordBatch:
+    def pairs(node, cls, label, held) -> pa.RecordBatch:
         left, right, score = [], [], []
         for apart in range(1, len(node)):
-            same = np.flatnonzero(node[:-apart] == node[apart:])
-            if not len(same):
+            same = node[:-apart] == node[apart:]
+            if not same.any():
                 break
-            for at in range(0, len(same), 1 << 16):
-                i = same[at : at + (1 << 16)]
+            other = np.flatnonzero(same & (label[:-apart] != label[apart:]))
+            for at in range(0, len(other), 1 << 16):
+                i = other[at : at + (1 << 16)]
                 equal = (held[i] == held[i + apart]).sum(axis=1)
                 found = i[equal >= maybe]
                 left.append(found)
@@ -174,16 +182,18 @@ def _compare_nodes(rows: DataFrame, settings: Settings) -> DataFrame:
         if not left:
             return _pairs([], [])
         a, b, equal = map(np.concatenate, (left, right, score))
-        keep = _spanning(node[a], a, b, equal, sure)
-        return _pairs(cls[a[keep]], cls[b[keep]])
+        if spanning:
+            keep = _connecting(node, a, b, equal)
+            a, b = a[keep], b[keep]
+        return _pairs(cls[a], cls[b])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
-            node, cls = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            now = [node, cls, _matrix(batch.column(2), np.uint8)]
-            if rest is not None:
-                now = [np.concatenate(x) for x in zip(rest, now)]
+            now = [batch.column(i).to_numpy() for i in range(3)]
+            now.append(_matrix(batch.column(3), np.uint8))
+            if rest is not None and len(rest[0]):
+                now = [np.concatenate(x) for x in zip(rest, now)] if len(now[0]) else rest
             if not len(now[0]):
                 continue
             # The last node may go on in the next batch.
@@ -203,148 +213,161 @@ def _pairs(a: Iterable[int], b: Iterable[int]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
 
-def _spanning(
-    node: np.ndarray, a: np.ndarray, b: np.ndarray, equal: np.ndarray, sure: int
+def _connecting(
+    node: np.ndarray, a: np.ndarray, b: np.ndarray, equal: np.ndarray
 ) -> np.ndarray:
-    """Pairs that connect what no surer sure pair of their node does.
-
-    Unsure pairs between different parts are all kept: any of them may be
-    confirmed.
-    """
-    alone = np.bincount(np.unique(node, return_inverse=True)[1])
-    if not len(alone) or alone.max() == 1:
-        return np.arange(len(a))
-    order = np.lexsort((b, a, -equal))
-    root: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        while root.get(x, x) != x:
-            root[x] = root.get(root[x], root[x])
-            x = root[x]
-        return x
-
+    """Pairs that connect what is alike in each node: a spanning forest of the
+    most alike, and all pairs of the row that is most alike to the others."""
+    order = np.lexsort((b, a, -equal, node[a]))
+    of = node[a[order]]
+    edges = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
     kept = []
-    for i in order.tolist():
-        x, y = find(int(a[i])), find(int(b[i]))
-        if x == y:
+    for start, end in zip(edges, [*edges[1:], len(of)]):
+        own = order[start:end]
+        if len(own) < 3:
+            kept.append(own)
             continue
-        kept.append(i)
-        if equal[i] >= sure:
+        least = a[own].min()
+        left, right, rows = a[own] - least, b[own] - least, b[own].max() - least + 1
+        mass = np.bincount(left, equal[own], rows) + np.bincount(right, equal[own], rows)
+        center = mass.argmax()
+        kept.append(own[(left == center) | (right == center)])
+        kept.append(own[_forest(left.tolist(), right.tolist(), rows)])
+    return np.unique(np.concatenate(kept)) if kept else np.zeros(0, np.int64)
+
+
+def _forest(left: list[int], right: list[int], rows: int) -> list[int]:
+    """Places of the edges, in their order, that join two trees."""
+    root, kept = list(range(rows)), []
+    for i, (x, y) in enumerate(zip(left, right)):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        while root[y] != y:
+            root[y] = y = root[root[y]]
+        if x != y:
             root[max(x, y)] = min(x, y)
-    return np.array(kept, np.int64)
+            kept.append(i)
+            if len(kept) == rows - 1:
+                break
+    return kept
 
 
-def _split_heavy(rows: DataFrame, settings: Settings) -> DataFrame:
-    """One round of heavy nodes: pairs with leaders, and rows that walk on.
+def _leader_pairs(rows: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs of the classes of large nodes with their most alike leader.
 
-    Leaders are drawn by hash. A class surely like a leader is settled: it needs
-    no more than that pair. All others, the leaders too, are paired with every
-    leader they may be like and take two more steps.
+    Leaders are drawn by a hash of the class alone, so that one group has much
+    the same leaders in all its nodes.
     """
-
-    def drawn(r: int):
-        order = F.xxhash64("cls", "node", F.lit(r))
-        return F.min(F.struct(order.alias("o"), "cls", "payload")).alias(f"l{r}")
-
-    n = settings.leaders
-    leaders = rows.groupBy("node").agg(*[drawn(r) for r in range(n)])
+    n, maybe = settings.leaders, settings.maybe
+    drawn = [
+        F.min(F.struct(F.xxhash64("cls", F.lit(r)).alias("o"), "cls", "payload")).alias(f"l{r}")
+        for r in range(n)
+    ]
+    leaders = rows.groupBy("node").agg(*drawn)
     listed = leaders.select(
         "node",
         *[F.col(f"l{r}.cls").alias(f"c{r}") for r in range(n)],
         *[F.col(f"l{r}.payload").alias(f"p{r}") for r in range(n)],
     )
-    joined = lookup_join(rows, listed, "node", "inner")
-    maybe, sure = settings.maybe, settings.sure
+    joined = lookup_join(rows.select("node", "cls", "payload"), listed, "node", "inner")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        np.seterr(over="ignore")
         for batch in batches:
             get = batch.schema.get_field_index
-            node, cls = batch.column(get("node")).to_numpy(), batch.column(get("cls")).to_numpy()
-            own = _matrix(batch.column(get("payload")))
+            cls, own = batch.column(get("cls")).to_numpy(), _matrix(batch.column(get("payload")))
             names = np.stack([batch.column(get(f"c{r}")).to_numpy() for r in range(n)])
             equal = np.stack(
                 [(own == _matrix(batch.column(get(f"p{r}")))).sum(axis=1) for r in range(n)]
             )
             equal[names == cls] = -1
-            settled = (equal.max(axis=0) >= sure) & ~(names == cls).any(axis=0)
-            best = np.arange(n)[:, None] == equal.argmax(axis=0)
-            r, i = np.nonzero((equal >= maybe) & (best | ~settled))
-            low, high = np.minimum(cls[i], names[r, i]), np.maximum(cls[i], names[r, i])
-            on = np.flatnonzero(~settled)
-            child, owner = _walk(node[on].view(np.uint64), np.arange(len(on)), own[on], 2)
-            nothing = np.zeros(len(low), np.int64)
+            best, at = equal.argmax(axis=0), np.arange(len(cls))
+            alike = equal[best, at] >= maybe
+            yield _pairs(cls[alike], names[best, at][alike])
+
+    return joined.mapInArrow(run, "a long, b long")
+
+
+def _one_step(rows: DataFrame, steps: int) -> DataFrame:
+    """Rows that take more steps down their trees.
+
+    Every second node has two children now, so that a link is hardly lost,
+    however many steps a large node takes.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        np.seterr(over="ignore")
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            node, coords = batch.column(0).to_numpy(), _matrix(batch.column(3))
+            child, owner = _walk(
+                node.view(np.uint64), np.arange(len(node)), coords, steps, 2
+            )
+            taken = pa.array(owner)
+            columns = [batch.column(i).take(taken) for i in (1, 2, 3)]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([nothing, child.view(np.int64)])),
-                    pa.array(np.concatenate([low, cls[on][owner]])),
-                    pa.array([*high.tolist(), *[None] * len(owner)], pa.int64()),
-                    pa.concat_arrays(
-                        [pa.nulls(len(low), pa.binary()), _binary(own[on]).take(pa.array(owner))]
-                    ),
-                ],
-                ["node", "cls", "b", "payload"],
+                [pa.array(child.view(np.int64)), *columns], ["node", "cls", "label", "payload"]
             )
 
-    return joined.mapInArrow(run, "node long, cls long, b long, payload binary")
+    return rows.mapInArrow(run, "node long, cls long, label long, payload binary")
+
+
+def _low_bytes(rows: DataFrame) -> DataFrame:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                low = _binary(_matrix(batch.column(3)).astype(np.uint8))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], low], batch.schema.names)
+
+    return rows.mapInArrow(run, "node long, cls long, label long, payload binary")
 
 
-def candidates(classes: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Pairs ``a < b`` of classes (``sig``, ``coords``) that may be linked."""
+def _heavy(rows: DataFrame, settings: Settings) -> Measured:
+    """Nodes with more rows than may be compared at once, and not of one label."""
+    sizes = rows.groupBy("node").agg(
+        F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")
+    )
+    large = sizes.filter((F.col("n") > settings.node_rows) & (F.col("low") < F.col("high")))
+    return materialize_measured(large.select("node"), "heavy-nodes")
+
+
+#: Rounds of two steps after which nodes are compared whatever their size.
+ROUNDS = 48
+
+
+def candidates(classes: DataFrame, settings: Settings, spanning: bool) -> DataFrame:
+    """Pairs ``a < b`` of classes (``sig``, ``label``, ``coords``) that may be
+    linked and have different labels.
+
+    ``spanning`` takes the pairs that connect each node, and with leaders in
+    large nodes. Otherwise all pairs are taken, and large nodes walk on; those
+    of one label are done.
+    """
     number = classes.count()
     depth = settings.depth(number)
     trees = settings.trees(depth)
-    nodes = _paths(classes, depth, trees, None).groupBy("node").agg(F.count(F.lit(1)).alias("n"))
-    heavy = materialize_measured(
-        nodes.filter(F.col("n") > settings.node_rows).select("node"), "heavy-nodes"
-    )
+    heavy = _heavy(_paths(classes, depth, trees, ""), settings)
     light = lookup_join(_paths(classes, depth, trees, "sketch"), heavy, "node", "left_anti")
-    found = [_compare_nodes(light, settings)]
+    found = _compare_nodes(light, settings, spanning)
     if heavy.rows:
         rows = lookup_join(_paths(classes, depth, trees, "coords"), heavy, "node", "left_semi")
-        found += _walk_on(rows, settings)
-    return materialize(_union(found).distinct(), "candidates")
-
-
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.union(frame)
-    return out
-
-
-#: Rounds after which nodes are compared exhaustively whatever their size.
-ROUNDS = 24
+        rows = materialize(rows, "heavy-rows")
+        rest = [_leader_pairs(rows, settings)] if spanning else _walk_on(rows, settings)
+        found = reduce(DataFrame.union, rest, found)
+    return materialize(found.distinct(), "candidates")
 
 
 def _walk_on(rows: DataFrame, settings: Settings) -> list[DataFrame]:
     found = []
-    rows = materialize(rows, "heavy-rows")
     for _ in range(ROUNDS):
-        split = materialize(_split_heavy(rows, settings), "heavy-round")
-        found.append(split.filter("b IS NOT NULL").select(F.col("cls").alias("a"), "b"))
-        going = split.filter("b IS NULL").select("node", "cls", "payload")
-        sizes = going.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
-        heavy = materialize_measured(
-            sizes.filter(F.col("n") > settings.node_rows).select("node"), "heavy-nodes"
-        )
-        light = lookup_join(going, heavy, "node", "left_anti")
-        found.append(_compare_nodes(_low_bytes(light), settings))
+        rows = materialize(_one_step(rows, 2), "heavy-steps")
+        heavy = _heavy(rows, settings)
+        light = lookup_join(rows, heavy, "node", "left_anti")
+        found.append(_compare_nodes(_low_bytes(light), settings, spanning=False))
         if not heavy.rows:
             return found
-        rows = materialize(lookup_join(going, heavy, "node", "left_semi"), "heavy-rows")
-    found.append(_compare_nodes(_low_bytes(rows), settings))
-    return found
-
-
-def _low_bytes(rows: DataFrame) -> DataFrame:
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                low = _binary(_matrix(batch.column(2)).astype(np.uint8))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:2], low], ["node", "cls", "payload"])
-
-    return rows.mapInArrow(run, "node long, cls long, payload binary")
+        rows = lookup_join(rows, heavy, "node", "left_semi")
+    return [*found, _compare_nodes(_low_bytes(rows), settings, spanning=False)]
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -402,6 +425,23 @@ def _full_sets(docs: DataFrame, ids: DataFrame, sigs: DataFrame, settings: Setti
     return lookup_join(read, sigs, "sig", "left_semi").dropDuplicates(["sig"])
 
 
+def _linked(
+    docs: DataFrame, named: DataFrame, pairs: DataFrame, settings: Settings
+) -> DataFrame:
+    """The pairs of classes that are linked by the full sets of one text each."""
+    pairs = materialize(pairs, "pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
+    ends = materialize_measured(ends, "pair-classes")
+    ids = lookup_join(named, ends, "sig", "left_semi")
+    ids = ids.filter(F.col("first").isNotNull()).select(F.col("first").alias("doc_id")).distinct()
+    sets = materialize(_full_sets(docs, ids, ends, settings), "pair-sets")
+    return materialize(confirmed(pairs, sets, settings), "links")
+
+
+def _labels(links: DataFrame) -> DataFrame:
+    return components(links).select(F.col("node").alias("sig"), "label")
+
+
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Component of each document: ``doc_id, n_shingles, component_id, kept``.
 
@@ -420,17 +460,21 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         "shingle-classes",
     )
     named = classes.select("sig", "first")
-    pairs = candidates(classes, settings)
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
-    ends = materialize_measured(ends, "candidate-classes")
-    ids = lookup_join(named, ends, "sig", "left_semi")
-    ids = ids.filter(F.col("first").isNotNull()).select(F.col("first").alias("doc_id")).distinct()
-    sets = materialize(_full_sets(docs, ids, ends, settings), "candidate-sets")
-    labels = components(confirmed(pairs, sets, settings))
+    alone = classes.withColumn("label", F.col("sig"))
+    first = candidates(alone, settings, spanning=True)
+    links = _linked(docs, named, first, settings)
+    labels = _labels(links)
+    known = lookup_join(classes, labels, "sig", "left").withColumn(
+        "label", F.coalesce("label", "sig")
+    )
+    known = materialize(known, "labelled-classes")
+    more = candidates(known, settings, spanning=False)
+    # Pairs that were not confirmed once are not looked at again.
+    new = more.join(first, ["a", "b"], "left_anti")
+    links = links.union(_linked(docs, named, new, settings))
+    labels = _labels(links)
     label = F.coalesce("label", "sig")
-    grouped = lookup_join(
-        named, labels.select(F.col("node").alias("sig"), "label"), "sig", "left"
-    ).withColumn("label", label)
+    grouped = lookup_join(named, labels, "sig", "left").withColumn("label", label)
     least = grouped.groupBy("label").agg(F.min("first").alias("component_id"))
     placed = lookup_join(grouped, least, "label", "inner").select("sig", "component_id")
     return lookup_join(rows.select("doc_id", "n", "sig"), placed, "sig", "left").select(
