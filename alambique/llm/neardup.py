@@ -68,6 +68,12 @@ class Settings:
         return math.floor(self.coords * self.limit - 4.1 * spread)
 
 
+    @property
+    def clear(self) -> int:
+        """Equal coordinates that few pairs below the limit reach."""
+        return math.ceil(self.coords * (1 + self.limit) / 2)
+
+
 def described(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``doc_id``, size ``n``, signature ``sig`` and sketch ``coords`` of each
     row's set; of an empty set the last two are NULL."""
@@ -156,14 +162,17 @@ def _paths(classes: DataFrame, depth: int, trees: int, payload: str) -> DataFram
     return rows.mapInArrow(run, "node long, cls long, label long" + extra)
 
 
-def _compare_nodes(rows: DataFrame, settings: Settings, spanning: bool) -> DataFrame:
+def _compare_nodes(
+    rows: DataFrame, settings: Settings, spanning: bool | None
+) -> DataFrame:
     """Pairs of classes of different labels that may be alike in one node.
 
     All classes of a node are compared, at each distance in turn. ``spanning``
-    keeps of a node's pairs those that connect it. ``payload`` has one byte of
-    each coordinate.
+    keeps of a node's pairs those that connect it; None gives the rows of the
+    classes that are in a pair instead. ``payload`` has one byte of each
+    coordinate.
     """
-    maybe = settings.maybe
+    maybe, clear = settings.maybe, settings.clear
 
     def pairs(node, cls, label, held) -> pa.RecordBatch:
         left, right, score = [], [], []
@@ -179,11 +188,17 @@ def _compare_nodes(rows: DataFrame, settings: Settings, spanning: bool) -> DataF
                 left.append(found)
                 right.append(found + apart)
                 score.append(equal[equal >= maybe])
+        if spanning is None:
+            at = np.unique(np.concatenate([*left, *right])) if left else np.zeros(0, np.int64)
+            columns = [pa.array(x[at]) for x in (node, cls, label)]
+            return pa.RecordBatch.from_arrays(
+                [*columns, _binary(held[at])], ["node", "cls", "label", "payload"]
+            )
         if not left:
             return _pairs([], [])
         a, b, equal = map(np.concatenate, (left, right, score))
         if spanning:
-            keep = _connecting(node, a, b, equal)
+            keep = _connecting(node, a, b, equal, clear)
             a, b = a[keep], b[keep]
         return _pairs(cls[a], cls[b])
 
@@ -204,7 +219,99 @@ def _compare_nodes(rows: DataFrame, settings: Settings, spanning: bool) -> DataF
             yield pairs(*rest)
 
     dealt = rows.repartition("node").sortWithinPartitions("node", "cls")
-    return dealt.mapInArrow(run, "a long, b long")
+    result = "a long, b long"
+    if spanning is None:
+        result = "node long, cls long, label long, payload binary"
+    return dealt.mapInArrow(run, result)
+
+
+def _involved(rows: DataFrame, settings: Settings) -> DataFrame:
+    """Rows of the classes that may be linked with another label in their node."""
+    return _compare_nodes(rows, settings, spanning=None)
+
+
+def _confirm_nodes(rows: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """Links between different labels within each node, by full sets.
+
+    A class's set comes once for each node it is involved in, not once a pair. A
+    node's classes are compared until their labels are connected: what is left
+    out would connect nothing.
+    """
+    maybe, percent = settings.maybe, settings.percent
+
+    def links(label, cls, held, own) -> list[tuple[int, int]]:
+        group = {x: x for x in label.tolist()}
+
+        def find(x: int) -> int:
+            while group[x] != x:
+                group[x] = x = group[group[x]]
+            return x
+
+        sets = [np.frombuffer(x, np.uint64) for x in own]
+        sizes = np.array([len(x) for x in sets])
+        every, found = np.concatenate(sets), []
+        starts = np.cumsum(sizes) - sizes
+        # Labels with few classes first: each is held against all the others.
+        counts = dict(zip(*np.unique(label, return_counts=True)))
+        done = np.zeros(len(cls), bool)
+        for i in sorted(range(len(cls)), key=lambda i: (counts[label[i]], cls[i])):
+            done[i] = True
+            mine = find(int(label[i]))
+            open_ = ~done & (np.array([find(x) for x in label.tolist()]) != mine)
+            other = np.flatnonzero(open_)
+            other = other[(held[other] == held[i]).sum(axis=1) >= maybe]
+            if not len(other):
+                continue
+            if len(other) * 4 > len(sets):
+                at = np.searchsorted(sets[i], every)
+                at[at == sizes[i]] = 0
+                shared = np.add.reduceat(sets[i][at] == every, starts, dtype=np.int64)[other]
+            else:
+                shared = np.array(
+                    [len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for j in other]
+                )
+            linked = 100 * shared >= percent * (sizes[i] + sizes[other] - shared)
+            for j in other[linked].tolist():
+                x, y = find(int(label[i])), find(int(label[j]))
+                if x != y:
+                    group[max(x, y)] = min(x, y)
+                    found.append((int(cls[i]), int(cls[j])))
+        return found
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.Table | None = None
+        for batch in batches:
+            now = pa.Table.from_batches([batch])
+            now = now if rest is None else pa.concat_tables([rest, now])
+            if not now.num_rows:
+                continue
+            node = now.column("node").to_numpy()
+            end = int(np.searchsorted(node, node[-1]))
+            yield from nodes(now.slice(0, end))
+            rest = now.slice(end)
+        if rest is not None:
+            yield from nodes(rest)
+
+    def nodes(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        if not table.num_rows:
+            return
+        node = table.column("node").to_numpy()
+        edges = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
+        pairs = []
+        for start, end in zip(edges, [*edges[1:], len(node)]):
+            part = table.slice(start, end - start)
+            pairs += links(
+                part.column("label").to_numpy(),
+                part.column("cls").to_numpy(),
+                _matrix(part.column("payload"), np.uint8),
+                part.column("shingles").to_pylist(),
+            )
+        yield _pairs([a for a, _ in pairs], [b for _, b in pairs])
+
+    full = sets.select(F.col("sig").alias("cls"), "shingles")
+    joined = skew_join(rows, full, ["cls"], "inner")
+    dealt = joined.select("node", "cls", "label", "payload", "shingles").repartition("node")
+    return dealt.sortWithinPartitions("node", "cls").mapInArrow(run, "a long, b long")
 
 
 def _pairs(a: Iterable[int], b: Iterable[int]) -> pa.RecordBatch:
@@ -213,11 +320,19 @@ def _pairs(a: Iterable[int], b: Iterable[int]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
 
+#: Pairs of a row that a node gives in the first pass, besides those that connect it.
+NEAREST = 12
+
+
 def _connecting(
-    node: np.ndarray, a: np.ndarray, b: np.ndarray, equal: np.ndarray
+    node: np.ndarray, a: np.ndarray, b: np.ndarray, equal: np.ndarray, clear: int
 ) -> np.ndarray:
-    """Pairs that connect what is alike in each node: a spanning forest of the
-    most alike, and all pairs of the row that is most alike to the others."""
+    """Pairs that connect what is alike in each node.
+
+    They are a spanning forest of the most alike, all pairs of the row that is
+    most alike to the others, and the NEAREST pairs of each row that is not
+    clearly alike to that one.
+    """
     order = np.lexsort((b, a, -equal, node[a]))
     of = node[a[order]]
     edges = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
@@ -231,11 +346,28 @@ def _connecting(
         left, right, rows = a[own] - least, b[own] - least, b[own].max() - least + 1
         mass = np.bincount(left, equal[own], rows) + np.bincount(right, equal[own], rows)
         center = mass.argmax()
-        kept.append(own[(left == center) | (right == center)])
+        star = (left == center) | (right == center)
+        kept.append(own[star])
+        near = np.zeros(rows, np.int64)
+        near[left[star]] = near[right[star]] = equal[own[star]]
+        weak = near < clear
+        weak[center] = False
+        kept.append(own[_nearest(left, right, weak)])
         kept.append(own[_forest(left.tolist(), right.tolist(), rows)])
     return np.unique(np.concatenate(kept)) if kept else np.zeros(0, np.int64)
 
 
+def _nearest(left: np.ndarray, right: np.ndarray, weak: np.ndarray) -> np.ndarray:
+    """Places of the first NEAREST edges, in their order, of each weak row."""
+    row = np.concatenate([left, right])
+    edge = np.tile(np.arange(len(left)), 2)
+    order = np.lexsort((edge, row))
+    row, edge = row[order], edge[order]
+    starts = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+    place = np.arange(len(row)) - np.repeat(starts, np.diff(np.append(starts, len(row))))
+    return np.unique(edge[(place < NEAREST) & weak[row]])
+
+
 def _forest(left: list[int], right: list[int], rows: int) -> list[int]:
     """Places of the edges, in their order, that join two trees."""
     root, kept = list(range(rows)), []
@@ -335,26 +467,36 @@ def _heavy(rows: DataFrame, settings: Settings) -> Measured:
 ROUNDS = 48
 
 
-def candidates(classes: DataFrame, settings: Settings, spanning: bool) -> DataFrame:
-    """Pairs ``a < b`` of classes (``sig``, ``label``, ``coords``) that may be
-    linked and have different labels.
+def first_pairs(classes: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs ``a < b`` of classes (``sig``, ``label``, ``coords``) that connect
+    what may be alike in each node; with leaders in large nodes."""
+    depth, trees, heavy = _shape(classes, settings)
+    light = lookup_join(_paths(classes, depth, trees, "sketch"), heavy, "node", "left_anti")
+    found = _compare_nodes(light, settings, spanning=True)
+    if heavy.rows:
+        rows = lookup_join(_paths(classes, depth, trees, "coords"), heavy, "node", "left_semi")
+        found = found.union(_leader_pairs(materialize(rows, "heavy-rows"), settings))
+    return materialize(found.distinct(), "first-pairs")
 
-    ``spanning`` takes the pairs that connect each node, and with leaders in
-    large nodes. Otherwise all pairs are taken, and large nodes walk on; those
-    of one label are done.
-    """
-    number = classes.count()
-    depth = settings.depth(number)
-    trees = settings.trees(depth)
-    heavy = _heavy(_paths(classes, depth, trees, ""), settings)
+
+def open_rows(classes: DataFrame, settings: Settings) -> DataFrame:
+    """Rows of small nodes whose classes may be linked though their labels
+    differ. Large nodes walk on until they are small; those of one label are
+    done."""
+    depth, trees, heavy = _shape(classes, settings)
     light = lookup_join(_paths(classes, depth, trees, "sketch"), heavy, "node", "left_anti")
-    found = _compare_nodes(light, settings, spanning)
+    found = _involved(light, settings)
     if heavy.rows:
         rows = lookup_join(_paths(classes, depth, trees, "coords"), heavy, "node", "left_semi")
-        rows = materialize(rows, "heavy-rows")
-        rest = [_leader_pairs(rows, settings)] if spanning else _walk_on(rows, settings)
-        found = reduce(DataFrame.union, rest, found)
-    return materialize(found.distinct(), "candidates")
+        found = reduce(DataFrame.union, _walk_on(rows, settings), found)
+    return materialize(found, "open-rows")
+
+
+def _shape(classes: DataFrame, settings: Settings) -> tuple[int, int, Measured]:
+    """Depth and number of the trees, and their large nodes."""
+    depth = settings.depth(classes.count())
+    trees = settings.trees(depth)
+    return depth, trees, _heavy(_paths(classes, depth, trees, ""), settings)
 
 
 def _walk_on(rows: DataFrame, settings: Settings) -> list[DataFrame]:
@@ -363,11 +505,11 @@ def _walk_on(rows: DataFrame, settings: Settings) -> list[DataFrame]:
         rows = materialize(_one_step(rows, 2), "heavy-steps")
         heavy = _heavy(rows, settings)
         light = lookup_join(rows, heavy, "node", "left_anti")
-        found.append(_compare_nodes(_low_bytes(light), settings, spanning=False))
+        found.append(_involved(_low_bytes(light), settings))
         if not heavy.rows:
             return found
         rows = lookup_join(rows, heavy, "node", "left_semi")
-    return [*found, _compare_nodes(_low_bytes(rows), settings, spanning=False)]
+    return [*found, _involved(_low_bytes(rows), settings)]
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -392,9 +534,17 @@ def confirmed(pairs: DataFrame, sets: DataFrame, settings: Settings = Settings()
     return both.select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long")
 
 
-def _full_sets(docs: DataFrame, ids: DataFrame, sigs: DataFrame, settings: Settings) -> DataFrame:
-    """``sig`` and ``shingles`` of the classes named, from one text of each."""
+def _full_sets(
+    docs: DataFrame, named: DataFrame, ends: DataFrame, settings: Settings
+) -> DataFrame:
+    """``sig`` and ``shingles`` of the classes in ``ends``, from one text of each.
+
+    ``named`` has the ``first`` document of each class.
+    """
     words = settings.words
+    sigs = materialize_measured(ends.distinct(), "ends")
+    ids = lookup_join(named, sigs, "sig", "left_semi").filter(F.col("first").isNotNull())
+    ids = ids.select(F.col("first").alias("doc_id")).distinct()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
@@ -422,20 +572,8 @@ def _full_sets(docs: DataFrame, ids: DataFrame, sigs: DataFrame, settings: Setti
     ).select("text")
     read = texts.mapInArrow(run, "sig long, shingles binary")
     # Rows that share an id may have other texts, or the same one again.
-    return lookup_join(read, sigs, "sig", "left_semi").dropDuplicates(["sig"])
-
-
-def _linked(
-    docs: DataFrame, named: DataFrame, pairs: DataFrame, settings: Settings
-) -> DataFrame:
-    """The pairs of classes that are linked by the full sets of one text each."""
-    pairs = materialize(pairs, "pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
-    ends = materialize_measured(ends, "pair-classes")
-    ids = lookup_join(named, ends, "sig", "left_semi")
-    ids = ids.filter(F.col("first").isNotNull()).select(F.col("first").alias("doc_id")).distinct()
-    sets = materialize(_full_sets(docs, ids, ends, settings), "pair-sets")
-    return materialize(confirmed(pairs, sets, settings), "links")
+    own = lookup_join(read, sigs, "sig", "left_semi").dropDuplicates(["sig"])
+    return materialize(own, "full-sets")
 
 
 def _labels(links: DataFrame) -> DataFrame:
@@ -461,18 +599,19 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     )
     named = classes.select("sig", "first")
     alone = classes.withColumn("label", F.col("sig"))
-    first = candidates(alone, settings, spanning=True)
-    links = _linked(docs, named, first, settings)
+    pairs = first_pairs(alone, settings)
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("sig"))
+    sets = _full_sets(docs, named, ends, settings)
+    links = materialize(confirmed(pairs, sets, settings), "links")
     labels = _labels(links)
     known = lookup_join(classes, labels, "sig", "left").withColumn(
         "label", F.coalesce("label", "sig")
     )
     known = materialize(known, "labelled-classes")
-    more = candidates(known, settings, spanning=False)
-    # Pairs that were not confirmed once are not looked at again.
-    new = more.join(first, ["a", "b"], "left_anti")
-    links = links.union(_linked(docs, named, new, settings))
-    labels = _labels(links)
+    rest = open_rows(known, settings)
+    sets = _full_sets(docs, named, rest.select(F.col("cls").alias("sig")), settings)
+    more = materialize(_confirm_nodes(rest, sets, settings), "more-links")
+    labels = _labels(links.union(more))
     label = F.coalesce("label", "sig")
     grouped = lookup_join(named, labels, "sig", "left").withColumn("label", label)
     least = grouped.groupBy("label").agg(F.min("first").alias("component_id"))

@@ -38,7 +38,7 @@ def test_false_positives_are_corrected():
     known = np.unique(np.concatenate([g for g, _ in langid.grams(["river stone"], 4, langid._letters())]))
     for slot in langid.slot_numbers(known, settings):
         slots[slot, 0] |= np.uint64(2)
-    model = langid.Filters(("full", "some"), slots, np.array([0.999, 0.0]), settings)
+    model = langid.Filters(("full", "some"), slots, np.array([1.0, 0.0]), settings)
     names, scores = langid.predict_texts(["stone river", "zzzz", "12"], model, langid._letters())
     assert names[0] == "some" and scores[0] > 0.5
     assert names[2] == langid.UNKNOWN

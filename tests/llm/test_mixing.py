@@ -65,7 +65,7 @@ def test_the_mixed_texts(spark, table):
 
 def test_quality_draws_first(spark):
     texts = [prose(i, 50) + (" ###" * 100 if i % 2 else "") for i in range(400)]
-    found = mix(docs(spark, rows(texts, source=lambda i: "a" if i < 300 else "b"))).collect()
+    found = mix(docs(spark, rows(texts, source=lambda i: "a" if i < 200 else "b"))).collect()
     drawn = [r for r in found if r.source == "b"]
     clean = sum(r.taken > 0 for r in drawn if r.doc_id % 2 == 0)
     assert clean > 1.5 * sum(r.taken > 0 for r in drawn if r.doc_id % 2)

@@ -70,7 +70,7 @@ def test_a_large_group_gives_few_candidates(spark):
     classes = described.select("sig", "coords").withColumn("label", F.col("sig"))
     for node_rows in (2048, 64):
         settings = neardup.Settings(node_rows=node_rows)
-        assert neardup.candidates(classes, settings, spanning=True).count() < 400 * 24
+        assert neardup.first_pairs(classes, settings).count() < 400 * 24
 
 
 def test_one_document_of_each_group_stays(spark, corpus):
