@@ -11,14 +11,15 @@ text, and unchanged subsets keep their signature when part of a text changes.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from alambique.llm.order import with_neighbours
 from alambique.llm.text import whole
-from alambique.operators.joins import lookup_join
-from alambique.storage import materialize, materialize_measured
+from alambique.storage import materialize
 
 
 @dataclass(frozen=True)
@@ -46,29 +47,83 @@ def lexicon(docs: DataFrame, band: Band = Band()) -> DataFrame:
     return counted.filter(F.col("docs").between(max(1, total * band.low), total * band.high))
 
 
+def _membership(words: DataFrame) -> np.ndarray:
+    """A Bloom filter of the lexicon: BITS a term, PROBES of them set.
+
+    The lexicon's bound, see Band, bounds what reaches the driver and the
+    filter's size. One term in four hundred that is not in the lexicon passes,
+    the same one in every text.
+    """
+    found = words.select("term").toArrow()["term"].to_numpy().astype(np.int64)
+    bits = 64 * max(1, -(-len(found) * BITS // 64))
+    held = np.zeros(bits, bool)
+    for k in range(PROBES):
+        held[_probe(found, k) % bits] = True
+    packed = np.packbits(held, bitorder="little").view(np.int64)
+    return packed if len(found) else np.zeros(1, np.int64)
+
+
+def _probe(hashed: np.ndarray, k: int) -> np.ndarray:
+    """The k-th 31 bits of a term's hash."""
+    return (hashed.view(np.uint64) >> np.uint64(11 * k)) & np.uint64(0x7FFFFFFF)
+
+
+BITS, PROBES = 16, 4
+
+
+def within(found: str, member: np.ndarray) -> Column:
+    """The terms of a column that are in the lexicon."""
+    table = F.lit(member)
+    bits = 64 * len(member)
+
+    def known(t: Column) -> Column:
+        tests = []
+        for k in range(PROBES):
+            at = F.shiftrightunsigned(t, 11 * k).bitwiseAND(F.lit(0x7FFFFFFF)) % bits
+            word = F.get(table, F.shiftright(at, 6).cast("int"))
+            shifted = F.call_function(
+                "shiftrightunsigned", word, at.bitwiseAND(F.lit(63)).cast("int")
+            )
+            tests.append(shifted.bitwiseAND(F.lit(1)) == 1)
+        return reduce(lambda x, y: x & y, tests)
+
+    return F.filter(found, known)
+
+
 def level_of(kept: Column) -> Column:
     """The level at which a subset keeps one or two of the terms on average."""
     return F.greatest(F.lit(0), F.ceil(F.log2(F.size(kept) / 2.0))).cast("int")
 
 
-def fingerprint(kept: str, level: str, lone: str, band: Band = Band()) -> Column:
+def subsets(kept: str, level: str, band: Band = Band()) -> Column:
+    """The terms of a column that each random subset keeps at a level: those
+    whose hash by the subset's number ends in as many zero bits."""
+    return F.expr(
+        f"transform(sequence(0, {band.subsets - 1}), k -> filter({kept}, "
+        f"t -> (xxhash64(t, k) & (shiftleft(1L, {level}) - 1)) = 0))"
+    )
+
+
+def fingerprint(kept: str, subset: str, level: str, lone: str) -> Column:
     """Fingerprint of a column of sorted term hashes from the lexicon.
 
     ``level:`` with the signatures of the subsets at that level and the next,
     then the signature of the whole lexicon. A text without a term of the
     lexicon has ``lone`` alone, a hash of all its terms.
     """
-
-    def subset(k: int, step: int) -> Column:
-        # The level's low bits of the k-th hash of a term must be zero.
-        mask = F.expr(f"shiftleft(1L, {level} + {step}) - 1")
-        own = F.filter(kept, lambda t: F.xxhash64(t, F.lit(k)).bitwiseAND(mask) == 0)
-        hashed = F.xxhash64(own).bitwiseAND(F.lit(0xFFFF))
-        return F.when(F.size(own) == 0, "-").otherwise(F.lpad(F.hex(hashed), 4, "0"))
-
-    parts = [subset(k, step) for step in (0, 1) for k in range(band.subsets)]
+    sign = (
+        "CASE WHEN size({a}) = 0 THEN '-' "
+        "ELSE lpad(hex(xxhash64({a}) & 65535L), 4, '0') END"
+    )
+    deeper = f"filter(a, t -> (xxhash64(t, k) & (shiftleft(1L, {level} + 1) - 1)) = 0)"
+    parts = F.concat(
+        F.expr(f"transform({subset}, a -> {sign.format(a='a')})"),
+        F.expr(
+            f"transform(transform({subset}, (a, k) -> {deeper}), b -> {sign.format(a='b')})"
+        ),
+    )
     known = F.concat_ws(
-        ":", F.col(level).cast("string"), F.concat_ws(",", *parts), _hex(F.xxhash64(kept))
+        ":", F.col(level).cast("string"), F.array_join(parts, ","), _hex(F.xxhash64(kept))
     )
     return F.when(F.size(kept) == 0, F.concat_ws(":", F.lit("x"), _hex(lone))).otherwise(known)
 
@@ -124,17 +179,19 @@ def fingerprint_edits(docs: DataFrame, band: Band = Band()) -> DataFrame:
     known = keyed.groupBy("__k", "__h").agg(
         F.count(F.lit(1)).alias("__copies"),
         F.max(F.length("text")).cast("long").alias("__n"),
+        F.max("doc_id").alias("doc_id"),
     )
     ordered = with_neighbours(
         known, ["__k", "__h"], ["__k", "__h", "__n"], "fingerprint-order", circular=True
     )
     places = materialize(
-        ordered.select("__k", "__h", "__n", "__copies", "prev", "next"), "fingerprint-places"
+        ordered.select("__k", "__h", "__n", "__copies", "doc_id", "prev", "next"),
+        "fingerprint-places",
     )
-    words = lexicon(docs, band).select("term")
+    member = _membership(lexicon(docs, band))
     # Not row_number: its limit would sort the texts once more before the shuffle.
     alike = Window.partitionBy("__k", "__h").orderBy("__k")
-    once = keyed.withColumn("__twin", F.lag(F.lit(1)).over(alike)).filter("__twin IS NULL")
+    once = keyed.drop("doc_id").withColumn("__twin", F.lag(F.lit(1)).over(alike)).filter("__twin IS NULL")
     placed = once.join(places, ["__k", "__h"])
     quarter = F.floor(F.col("__n") / 4).cast("int")
     heads = placed.select(
@@ -145,7 +202,7 @@ def fingerprint_edits(docs: DataFrame, band: Band = Band()) -> DataFrame:
     edited = F.concat(
         F.substring("text", F.lit(1), F.col("__n").cast("int") - quarter), F.col("__head")
     )
-    both = (
+    kept = (
         placed.join(heads, ["__k", "__h"])
         .withColumn("__edited", edited)
         .select(
@@ -161,15 +218,23 @@ def fingerprint_edits(docs: DataFrame, band: Band = Band()) -> DataFrame:
         )
         .withColumn("__x0", F.xxhash64("__t0"))
         .withColumn("__x1", F.xxhash64("__t1"))
+        .withColumn("__kept0", within("__t0", member))
+        .withColumn("__kept1", within("__t1", member))
+        .drop("__t0", "__t1")
     )
-    kept = _within(both, words)
     for side in ("0", "1"):
         kept = kept.withColumn(f"__level{side}", level_of(F.col(f"__kept{side}")))
-    prints = kept.withColumn("__f0", fingerprint("__kept0", "__level0", "__x0", band)).withColumn(
-        "__f1", fingerprint("__kept1", "__level1", "__x1", band)
+        kept = kept.withColumn(f"__sub{side}", subsets(f"__kept{side}", f"__level{side}", band))
+    prints = kept.withColumns(
+        {
+            f"__f{side}": fingerprint(
+                f"__kept{side}", f"__sub{side}", f"__level{side}", f"__x{side}"
+            )
+            for side in ("0", "1")
+        }
     )
     narrow = materialize(
-        prints.drop("__kept0", "__kept1", "__x0", "__x1", "__level0", "__level1"),
+        prints.drop(*[f"__{c}{s}" for c in ("kept", "sub", "x", "level") for s in "01"]),
         "fingerprints",
     )
     following = narrow.select(
@@ -190,32 +255,3 @@ def fingerprint_edits(docs: DataFrame, band: Band = Band()) -> DataFrame:
         )
     )
 
-
-_CARRIED = ("__n", "__copies", "doc_id", "next", "__sha", "__x0", "__x1")
-
-
-def _within(texts: DataFrame, words: DataFrame) -> DataFrame:
-    """Sorted terms of both texts that are in the lexicon, ``__kept0`` and ``1``.
-
-    Terms are exploded, joined with the lexicon and gathered by the key that the
-    texts are already dealt out by.
-    """
-    none = texts.sparkSession.range(1).select(F.lit(0).cast("long").alias("term"))
-    side = materialize_measured(words.union(none), "fingerprint-lexicon")
-
-    def marked(name: str, number: int) -> Column:
-        return F.transform(name, lambda t: F.struct(t.alias("t"), F.lit(number).alias("s")))
-
-    # The term 0 keeps texts without a term of the lexicon.
-    lone = F.array(F.struct(F.lit(0).cast("long").alias("t"), F.lit(2).alias("s")))
-    every = F.concat(marked("__t0", 0), marked("__t1", 1), lone)
-    rows = texts.withColumn("__term", F.explode(every)).select(
-        "__k", "__h", *_CARRIED, F.col("__term.t").alias("term"), F.col("__term.s").alias("__s")
-    )
-    found = lookup_join(rows, side, "term", "inner")
-    gathered = [
-        F.array_sort(F.collect_list(F.when(F.col("__s") == s, F.col("term")))).alias(f"__kept{s}")
-        for s in (0, 1)
-    ]
-    carried = [F.any_value(c).alias(c) for c in _CARRIED]
-    return found.groupBy("__k", "__h").agg(*gathered, *carried)
