@@ -189,9 +189,14 @@ def cleaned_documents(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     ``n_chars``, if there is such a column, counts the text that is left. The
     texts are read twice and not shuffled. The rest is as in ``judge``.
     """
-    rows = measured(docs.withColumn("__source", _source()))
+    # The row number keeps the filter above the figures: pushed below them it
+    # would derive each word again within their inner loops.
+    rows = measured(docs.withColumn("__source", _source())).withColumn(
+        "__row", F.monotonically_increasing_id()
+    )
     narrow = materialize(rows.select("__source", "__described"), "quality-lines")
-    kept = _judged(rows, frequent_lines(narrow, limits), limits).filter("__kept")
+    judged = _judged(rows, frequent_lines(narrow, limits), limits)
+    kept = judged.filter(F.col("__kept") & (F.col("__row") >= 0))
     shorter = F.array_join(
         F.filter(
             F.split("text", "\n"),
