@@ -1,10 +1,11 @@
 """Quality rules, with lines that many documents of a source share.
 
 Lines are normalised and hashed, and the distinct documents of each source that
-hold a line are counted. Copies and near copies of a document do not count
-anew: two documents are distinct for a line if the longest word of what else
-they say is. Lines above the limit are removed, and documents that lose most of
-their words are rejected.
+hold a line are counted. Copies of a document do not count anew, and near copies
+hardly: a document is known by the least hash of its windows of three words, and
+of several such hashes the one counts that tells most documents of a line apart.
+Lines above the limit are removed, and documents that lose most of their words
+are rejected.
 """
 
 from __future__ import annotations
@@ -22,17 +23,25 @@ from alambique.storage import Measured, materialize, materialize_measured
 @dataclass(frozen=True)
 class Limits:
     """A line is frequent in a source if it is in ``min_docs`` distinct documents
-    and in more than ``doc_share`` of the source's documents; a source has at
-    most its mean number of lines a document over ``doc_share`` of them. A
-    document is depleted if less than ``left_share`` of its words are left."""
+    and in more than ``doc_share`` of the source's distinct documents, or in more
+    than ``many_docs`` of them. A document is depleted if less than
+    ``left_share`` of its words are left."""
 
     min_words: int = 50
     max_repeat_percent: int = 50
     min_docs: int = 10
     doc_share: float = 0.02
+    many_docs: int = 5000
     left_share: float = 0.3
 
 
+#: Numbers that change the order of the windows' hashes, one for each least hash.
+_ORDERS = (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179, 0x3C6EF372FE94F82B, 0x6A09E667F3BCC908)
+
+#: Up to so many frequent lines of all sources are looked up as lists.
+LISTED = 20_000
+
+
 def normalised(line: Column) -> Column:
     """Words between single blanks, A-Z lower-cased, each number as 0."""
     plain = F.array_join(words(line), " ")
@@ -40,12 +49,18 @@ def normalised(line: Column) -> Column:
 
 
 def _described(line: Column) -> Column:
-    own = words(line)
-    top = F.array_max(F.transform(own, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))
     return F.struct(
-        top.alias("top"),
         F.xxhash64(normalised(line)).alias("line"),
-        F.size(own).alias("words"),
+        F.size(words(line)).alias("words"),
+    )
+
+
+def _least() -> Column:
+    """Least hash of the windows in each order; of all words if there is none."""
+    least = ", ".join(f"array_min(transform(__h, h -> h ^ {x}L))" for x in _ORDERS)
+    return F.expr(
+        f"CASE WHEN size(__h) > 0 THEN array({least}) "
+        f"ELSE array_repeat(xxhash64(__w), {len(_ORDERS)}) END"
     )
 
 
@@ -98,6 +113,7 @@ def measured(docs: DataFrame) -> DataFrame:
             "__n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
             "__n_repeat_words": covered,
             "__described": F.transform(lines, _described),
+            "__least": _least(),
         }
     ).drop("__w", "__lines", "__h", "__s", "__at")
 
@@ -106,51 +122,59 @@ def _source() -> Column:
     return F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("s"), "source"))
 
 
+def _distinct(rows: DataFrame, *keys: str) -> DataFrame:
+    """``docs``: the distinct documents of each key, from ``__least``."""
+    every = rows.select(*keys, F.posexplode("__least").alias("__order", "__doc")).distinct()
+    counts = every.groupBy(*keys, "__order").agg(F.count(F.lit(1)).alias("__n"))
+    return counts.groupBy(*keys).agg(F.max("__n").alias("__docs"))
+
+
 def frequent_lines(rows: DataFrame, limits: Limits) -> Measured:
-    """Hashes of the frequent lines of each source, from ``__source`` and
-    ``__described``."""
-    best = F.array_max("__described")
-    others = F.filter("__described", lambda x: x["line"] != F.col("__best.line"))
-    lines = (
-        rows.select("__source", "__described", best.alias("__best"))
-        .select("__source", "__described", "__best", F.array_max(others).alias("__second"))
-        .select(
-            "__source",
-            "__best",
-            "__second",
-            F.explode(F.array_distinct("__described.line")).alias("__line"),
-        )
-    )
-    is_best = F.col("__line") == F.col("__best.line")
-    rest = F.when(is_best, F.col("__second.top.w")).otherwise(F.col("__best.top.w"))
-    distinct = (
-        lines.select("__source", "__line", F.xxhash64(rest).alias("__rest"))
-        .groupBy("__source", "__line", "__rest")
-        .agg(F.lit(1))
+    """``__source`` and ``__line``, a hash, of the frequent lines, from
+    ``__source``, ``__described`` and ``__least``."""
+    line = F.explode(F.array_distinct("__described.line")).alias("__line")
+    # What is in few rows is in few documents; other lines are counted exactly.
+    some = rows.select("__source", line).groupBy("__source", "__line").agg(
+        F.count(F.lit(1)).alias("__n")
     )
-    counts = distinct.groupBy("__source", "__line").agg(F.count(F.lit(1)).alias("__docs"))
-    totals = rows.groupBy("__source").agg(F.count(F.lit(1)).alias("__total"))
-    many = counts.filter(F.col("__docs") >= limits.min_docs)
-    frequent = lookup_join(many, totals, "__source", "inner").filter(
-        F.col("__docs") > F.col("__total") * limits.doc_share
+    some = some.filter(F.col("__n") >= limits.min_docs).select("__source", "__line")
+    held = lookup_join(
+        rows.select("__source", "__least", line), some, ["__source", "__line"], "left_semi"
     )
-    found = materialize_measured(frequent.select("__source", "__line"), "frequent-lines")
-    lists = found.df.groupBy("__source").agg(F.collect_list("__line").alias("__frequent"))
-    return replace(found, df=lists)  # fewer rows and bytes than what was measured
+    counts = _distinct(held, "__source", "__line").filter(F.col("__docs") >= limits.min_docs)
+    totals = _distinct(rows, "__source").withColumnRenamed("__docs", "__total")
+    limit = F.least(F.col("__total") * limits.doc_share, F.lit(float(limits.many_docs)))
+    frequent = lookup_join(counts, totals, "__source", "inner").filter(F.col("__docs") > limit)
+    return materialize_measured(frequent.select("__source", "__line"), "frequent-lines")
 
 
-def _judged(rows: DataFrame, frequent: Measured, limits: Limits) -> DataFrame:
+def _with_lost(rows: DataFrame, frequent: Measured) -> DataFrame:
+    """``rows`` with the frequent lines they hold in ``__frequent``, perhaps with
+    others of their source, and the words in them."""
     none = F.array().cast("array<bigint>")
-    joined = lookup_join(rows, frequent, "__source", "left").withColumn(
-        "__frequent", F.coalesce("__frequent", none)
-    )
+    if frequent.rows <= LISTED:
+        lists = frequent.df.groupBy("__source").agg(F.collect_list("__line").alias("__frequent"))
+        # Fewer rows and bytes than what was measured.
+        joined = lookup_join(rows, replace(frequent, df=lists), "__source", "left")
+    else:
+        # Rows of a source with the same lines hold the same frequent lines.
+        named = rows.withColumn("__same", F.xxhash64("__source", "__described"))
+        lines = named.select("__same", "__source", F.explode("__described.line").alias("__line"))
+        held = lookup_join(lines, frequent, ["__source", "__line"], "left_semi")
+        lists = held.groupBy("__same").agg(F.collect_set("__line").alias("__frequent"))
+        joined = lookup_join(named, lists, "__same", "left").drop("__same")
+    joined = joined.withColumn("__frequent", F.coalesce("__frequent", none))
     lost = F.filter("__described", lambda x: F.array_contains(F.col("__frequent"), x["line"]))
     lost_words = F.aggregate(lost, F.lit(0).cast("long"), lambda s, x: s + x["words"])
+    return joined.withColumn("__lost", lost_words)
+
+
+def _judged(rows: DataFrame, frequent: Measured, limits: Limits) -> DataFrame:
     n = F.col("__n_words")
     failed = (n < limits.min_words) | (
         F.col("__n_repeat_words") * 100 > n * limits.max_repeat_percent
     )
-    return joined.withColumn("__lost", lost_words).withColumns(
+    return _with_lost(rows, frequent).withColumns(
         {
             "__base_failed": failed,
             "__kept": ~failed & ((n - F.col("__lost")) >= n * limits.left_share),
@@ -187,14 +211,15 @@ def cleaned_documents(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The documents kept, with the columns of ``docs`` and without frequent lines.
 
     ``n_chars``, if there is such a column, counts the text that is left. The
-    texts are read twice and not shuffled. The rest is as in ``judge``.
+    texts are read twice, and not shuffled unless there are more than LISTED
+    frequent lines. The rest is as in ``judge``.
     """
     # The row number keeps the filter above the figures: pushed below them it
     # would derive each word again within their inner loops.
     rows = measured(docs.withColumn("__source", _source())).withColumn(
         "__row", F.monotonically_increasing_id()
     )
-    narrow = materialize(rows.select("__source", "__described"), "quality-lines")
+    narrow = materialize(rows.select("__source", "__described", "__least"), "quality-lines")
     judged = _judged(rows, frequent_lines(narrow, limits), limits)
     kept = judged.filter(F.col("__kept") & (F.col("__row") >= 0))
     shorter = F.array_join(

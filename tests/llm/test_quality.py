@@ -1,5 +1,7 @@
+import pytest
 from frames import awkward, docs, prose, rows
 
+from alambique.llm import quality
 from alambique.llm.quality import Limits, cleaned_documents, judge
 
 NOTICE = "Subscribe to our letter number 7 today"
@@ -65,3 +67,37 @@ def test_awkward_rows(spark):
     kept = cleaned_documents(data, Limits(min_words=1))
     assert kept.columns == data.columns and kept.count() == data.count() - 4
     assert judge(data.limit(0)).isEmpty() and cleaned_documents(data.limit(0)).isEmpty()
+
+
+SHARED = [
+    "Write to editorial-department@neighbourhood-chronicle-archive.example for corrections",
+    "Home News Sport Culture Travel Weather",
+    "All rights reserved by the owners of this site",
+]
+
+
+@pytest.mark.parametrize("listed", [quality.LISTED, 0])
+def test_a_shared_long_word_hides_no_other_shared_line(spark, monkeypatch, listed):
+    monkeypatch.setattr(quality, "LISTED", listed)
+    texts = ["\n".join([*SHARED, prose(i, 70)]) for i in range(60)]
+    table = docs(spark, rows(texts, source=lambda i: "a"))
+    words = sum(len(x.split()) for x in SHARED)
+    assert all(r.kept and r.words_lost == words for r in judge(table).collect())
+    left = {r.doc_id: r.text for r in cleaned_documents(table).collect()}
+    assert left == {i: prose(i, 70) for i in range(60)}
+
+
+def test_few_words_and_many_copies_hide_no_shared_line(spark):
+    """All words are from a small vocabulary, and most rows are copies of one text."""
+    plain = lambda i, n: "".join(c for c in prose(i, n) if not c.isdigit())
+    texts = [f"{plain(i, 70)}\n{SHARED[1]}" for i in range(40)] + [plain(999, 80)] * 3000
+    found = judge(docs(spark, rows(texts, source=lambda i: "a"))).collect()
+    assert all(r.words_lost == (6 if r.doc_id < 40 else 0) for r in found)
+
+
+def test_lines_in_many_documents_are_frequent(spark):
+    texts = [f"{prose(i, 70)}\n{SHARED[1] if i < 30 else ''}" for i in range(400)]
+    table = docs(spark, rows(texts, source=lambda i: "a"))
+    assert not any(r.words_lost for r in judge(table, Limits(doc_share=0.1)).collect())
+    found = judge(table, Limits(doc_share=0.1, many_docs=20)).collect()
+    assert all(r.words_lost == (6 if r.doc_id < 30 else 0) for r in found)
