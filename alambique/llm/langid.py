@@ -145,7 +145,8 @@ def fit(docs: DataFrame, settings: Settings = Settings()) -> Filters:
         size = 0
         for batch in batches:
             for lang, text in zip(*batch.to_pydict().values()):
-                found = [g for g, _ in grams([text], settings.n, letters)]
+                found = [np.zeros(0, np.uint64)]  # a text may have no n-grams
+                found += [g for g, _ in grams([text], settings.n, letters)]
                 own = np.unique(np.concatenate(found)).view(np.int64)
                 held[lang].append(own)
                 size += len(own)

@@ -76,3 +76,12 @@ def test_more_languages_than_a_word_has_bits(spark):
     found = langid.predict(table, langid.fit(table)).collect()
     truth = {d[0]: d[2] for d in data}
     assert sum(r.lang_pred == truth[r.doc_id] for r in found) >= 0.99 * len(found)
+
+
+def test_texts_without_ngrams_are_training_texts_too(spark):
+    ids = [i for i in range(60) if crc(i) != 0]
+    texts = ["", " ", "7", "a", *[prose(i, 20) for i in ids[4:]]]
+    data = [(i, *r[1:]) for i, r in zip(ids, rows(texts))]
+    assert langid.fit(docs(spark, data)).langs == ("en",)
+    assert langid.fit(docs(spark, data[:1])).langs == ("en",)
+    assert langid.fit(awkward(spark)).langs == ("en",)
