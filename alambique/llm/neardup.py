@@ -34,13 +34,18 @@ from alambique.storage import Measured, materialize, materialize_measured
 
 @dataclass(frozen=True)
 class Settings:
-    """``words`` a shingle, links from ``percent`` similarity on. ``trees`` is
-    set so that a link at the limit is missed with a chance of ``miss``."""
+    """``words`` a shingle, links from ``percent`` similarity on. ``trees`` and
+    ``maybe`` are set so that a link at the limit is missed with a chance of
+    ``miss``, over all that a sketch of ``coords`` may happen to be and with the
+    steps of large nodes. Each tree has coordinates of its own for its first
+    steps and OWN_STEPS more, and takes any after these; pairs in a node are
+    compared by the first ``compared``."""
 
     words: int = 2
     percent: int = 80
     miss: float = 1e-5
-    coords: int = 64
+    coords: int = 192
+    compared: int = 64
     node_rows: int = 2048
     leaders: int = 8
     seed: int = 1
@@ -54,24 +59,59 @@ class Settings:
         as classes that are not alike share a token in thirty at most."""
         return 3 + max(0, math.ceil(math.log(max(classes, 1) / 1e6, 30)))
 
+    @property
+    def twice(self) -> tuple[int, int]:
+        """One node in so many has two children: in the first steps, and in the
+        steps of large nodes, where links have to survive any number of them."""
+        return (4, 2) if self.percent >= 80 else (2, 1)
+
+    def _met(self, share: np.ndarray, twice: int, steps: int, met: np.ndarray) -> np.ndarray:
+        """Chance to meet after these steps and others that have the chance ``met``."""
+        for _ in range(steps):
+            one = share * met
+            met = (1 - 1 / twice) * one + (1 - (1 - one) ** 2) / twice  # see _choose
+        return met
+
+    def missed(self, depth: int, trees: int) -> float:
+        """Chance that two classes at the limit meet in no tree, with STEPS steps
+        of large nodes, over all shares of equal coordinates of the sketch and of
+        each tree."""
+        part, (first, later) = self.coords // trees, self.twice
+        share = np.arange(self.coords + 1) / self.coords
+        own = np.arange(part + 1)[None, :] / part
+        met = self._met(share, later, STEPS, np.ones(len(share)))[:, None]
+        met = self._met(own, first, depth, self._met(own, later, OWN_STEPS, met))
+        alike = np.array([_binomial(part, x) for x in share])
+        missed = (1 - (alike * met).sum(axis=1)).clip(0) ** trees
+        return float(np.dot(_binomial(self.coords, self.limit), missed))
+
     def trees(self, depth: int) -> int:
-        met = 1.0
-        for _ in range(depth):
-            one = self.limit * met
-            met = 0.75 * one + 0.25 * (1 - (1 - one) ** 2)  # see _choose
-        return math.ceil(math.log(self.miss) / math.log(1 - met))
+        """Trees that miss a link at the limit in ``miss``, less a fifth; if the
+        limit is too low for that, as many as leave each six coordinates."""
+        most = self.coords // 6
+        enough = (n for n in range(1, most) if self.missed(depth, n) <= 0.8 * self.miss)
+        return next(enough, most)
 
     @property
     def maybe(self) -> int:
-        """Equal coordinates that a link at the limit hardly ever falls below."""
-        spread = math.sqrt(self.coords * self.limit * (1 - self.limit))
-        return math.floor(self.coords * self.limit - 4.1 * spread)
-
+        """Equal coordinates that a link at the limit falls below in a fifth of
+        ``miss``."""
+        chances = np.cumsum(_binomial(self.compared, self.limit))
+        return int(np.searchsorted(chances, 0.2 * self.miss, "right"))
 
     @property
     def clear(self) -> int:
         """Equal coordinates that few pairs below the limit reach."""
-        return math.ceil(self.coords * (1 + self.limit) / 2)
+        return math.ceil(self.compared * (1 + self.limit) / 2)
+
+
+#: Steps of large nodes on coordinates of the tree, and further steps that the
+#: number of trees allows for.
+OWN_STEPS, STEPS = 8, 88
+
+
+def _binomial(n: int, share: float) -> list[float]:
+    return [math.comb(n, x) * share**x * (1 - share) ** (n - x) for x in range(n + 1)]
 
 
 def described(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -88,7 +128,8 @@ def described(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
                 own = sh.shingle_set(hasher(text.as_py() or ""), words)
                 sizes.append(len(own))
                 sigs.append(sh.signature(own) if len(own) else None)
-                sketches.append(sh.sketch(own, factors).tobytes() if len(own) else None)
+                sketch = sh.sketch(own, factors).astype(np.uint16)
+                sketches.append(sketch.tobytes() if len(own) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(sigs, pa.int64()),
                  pa.array(sketches, pa.binary())],
@@ -122,7 +163,7 @@ def _walk(
     return node, owner
 
 
-def _matrix(column: pa.Array, dtype: type = np.uint32) -> np.ndarray:
+def _matrix(column: pa.Array, dtype: type = np.uint8) -> np.ndarray:
     joined = b"".join(column.to_pylist())
     return np.frombuffer(joined, dtype).reshape(len(column), -1)
 
@@ -132,12 +173,15 @@ def _binary(rows: np.ndarray) -> pa.Array:
     return pa.array([r.tobytes() for r in flat], pa.binary())
 
 
-def _paths(classes: DataFrame, depth: int, trees: int, payload: str) -> DataFrame:
+def _paths(
+    classes: DataFrame, depth: int, trees: int, payload: str, settings: Settings
+) -> DataFrame:
     """``node``, ``cls`` and ``label`` of each class at the end of its paths.
 
-    ``payload`` is nothing, the low bytes of its coordinates (``sketch``) or all
-    of them (``coords``).
+    ``payload`` is nothing, the low bytes of the coordinates compared (``sketch``)
+    or the coordinates of the node's tree and all coordinates (``walk``).
     """
+    compared, twice = settings.compared, settings.twice[0]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
@@ -145,15 +189,20 @@ def _paths(classes: DataFrame, depth: int, trees: int, payload: str) -> DataFram
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                coords, cls = _matrix(part.column(2)), part.column(0).to_numpy()
-                owner = np.tile(np.arange(len(cls)), trees)
-                node, owner = _walk(np.repeat(roots, len(cls)), owner, coords, depth, 4)
-                taken = pa.array(owner)
+                coords, n = _matrix(part.column(2), np.uint16), part.num_rows
+                width = coords.shape[1] // trees
+                own = coords[:, : width * trees].reshape(n, trees, width)
+                own = own.transpose(1, 0, 2).reshape(n * trees, width)  # a row a tree and class
+                node, row = _walk(np.repeat(roots, n), np.arange(n * trees), own, depth, twice)
+                taken = pa.array(row % n)
                 columns = [pa.array(node.view(np.int64))]
                 columns += [part.column(0).take(taken), part.column(1).take(taken)]
                 if payload:
-                    held = coords if payload == "coords" else coords.astype(np.uint8)
-                    columns.append(_binary(held).take(taken))
+                    if payload == "walk":
+                        held = _binary(np.hstack([own[row], coords[row % n]]))
+                    else:
+                        held = _binary(coords[:, :compared].astype(np.uint8)).take(taken)
+                    columns.append(held)
                 names = ["node", "cls", "label", "payload"]
                 yield pa.RecordBatch.from_arrays(columns, names[: len(columns)])
 
@@ -206,7 +255,7 @@ def _compare_nodes(
         rest = None
         for batch in batches:
             now = [batch.column(i).to_numpy() for i in range(3)]
-            now.append(_matrix(batch.column(3), np.uint8))
+            now.append(_matrix(batch.column(3)))
             if rest is not None and len(rest[0]):
                 now = [np.concatenate(x) for x in zip(rest, now)] if len(now[0]) else rest
             if not len(now[0]):
@@ -303,7 +352,7 @@ def _confirm_nodes(rows: DataFrame, sets: DataFrame, settings: Settings) -> Data
             pairs += links(
                 part.column("label").to_numpy(),
                 part.column("cls").to_numpy(),
-                _matrix(part.column("payload"), np.uint8),
+                _matrix(part.column("payload")),
                 part.column("shingles").to_pylist(),
             )
         yield _pairs([a for a, _ in pairs], [b for _, b in pairs])
@@ -406,10 +455,15 @@ def _leader_pairs(rows: DataFrame, settings: Settings) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             get = batch.schema.get_field_index
+            if not batch.num_rows:
+                continue
             cls, own = batch.column(get("cls")).to_numpy(), _matrix(batch.column(get("payload")))
             names = np.stack([batch.column(get(f"c{r}")).to_numpy() for r in range(n)])
             equal = np.stack(
-                [(own == _matrix(batch.column(get(f"p{r}")))).sum(axis=1) for r in range(n)]
+                [
+                    (own == _matrix(batch.column(get(f"p{r}")))).sum(axis=1)
+                    for r in range(n)
+                ]
             )
             equal[names == cls] = -1
             best, at = equal.argmax(axis=0), np.arange(len(cls))
@@ -419,22 +473,20 @@ def _leader_pairs(rows: DataFrame, settings: Settings) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
-def _one_step(rows: DataFrame, steps: int) -> DataFrame:
-    """Rows that take more steps down their trees.
-
-    Every second node has two children now, so that a link is hardly lost,
-    however many steps a large node takes.
-    """
+def _one_step(rows: DataFrame, steps: int, settings: Settings, own: bool) -> DataFrame:
+    """Rows that take more steps down their trees, see ``Settings.twice``, on
+    coordinates of the tree or on any."""
+    whole, twice = settings.coords, settings.twice[1]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
         for batch in batches:
             if not batch.num_rows:
                 continue
-            node, coords = batch.column(0).to_numpy(), _matrix(batch.column(3))
-            child, owner = _walk(
-                node.view(np.uint64), np.arange(len(node)), coords, steps, 2
-            )
+            held = _matrix(batch.column(3), np.uint16)
+            coords = held[:, :-whole] if own else held[:, -whole:]
+            node = batch.column(0).to_numpy().view(np.uint64)
+            child, owner = _walk(node, np.arange(len(node)), coords, steps, twice)
             taken = pa.array(owner)
             columns = [batch.column(i).take(taken) for i in (1, 2, 3)]
             yield pa.RecordBatch.from_arrays(
@@ -444,11 +496,15 @@ def _one_step(rows: DataFrame, steps: int) -> DataFrame:
     return rows.mapInArrow(run, "node long, cls long, label long, payload binary")
 
 
-def _low_bytes(rows: DataFrame) -> DataFrame:
+def _compared(rows: DataFrame, settings: Settings) -> DataFrame:
+    """Rows of ``walk`` as rows of ``sketch``."""
+    whole, compared = settings.coords, settings.compared
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                low = _binary(_matrix(batch.column(3)).astype(np.uint8))
+                held = _matrix(batch.column(3), np.uint16)[:, -whole:][:, :compared]
+                low = _binary(held.astype(np.uint8))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:3], low], batch.schema.names)
 
     return rows.mapInArrow(run, "node long, cls long, label long, payload binary")
@@ -469,12 +525,14 @@ ROUNDS = 48
 
 def first_pairs(classes: DataFrame, settings: Settings) -> DataFrame:
     """Pairs ``a < b`` of classes (``sig``, ``label``, ``coords``) that connect
-    what may be alike in each node; with leaders in large nodes."""
-    depth, trees, heavy = _shape(classes, settings)
-    light = lookup_join(_paths(classes, depth, trees, "sketch"), heavy, "node", "left_anti")
+    what may be alike in each node; with leaders in large nodes. Half the trees are
+    enough here: ``open_rows`` finds in all of them what is not connected yet."""
+    depth, trees, heavy = _shape(classes, settings, 2)
+    light = lookup_join(_paths(classes, depth, trees, "sketch", settings), heavy, "node", "left_anti")
     found = _compare_nodes(light, settings, spanning=True)
     if heavy.rows:
-        rows = lookup_join(_paths(classes, depth, trees, "coords"), heavy, "node", "left_semi")
+        paths = _paths(classes, depth, trees, "sketch", settings)
+        rows = lookup_join(paths, heavy, "node", "left_semi")
         found = found.union(_leader_pairs(materialize(rows, "heavy-rows"), settings))
     return materialize(found.distinct(), "first-pairs")
 
@@ -484,32 +542,35 @@ def open_rows(classes: DataFrame, settings: Settings) -> DataFrame:
     differ. Large nodes walk on until they are small; those of one label are
     done."""
     depth, trees, heavy = _shape(classes, settings)
-    light = lookup_join(_paths(classes, depth, trees, "sketch"), heavy, "node", "left_anti")
+    light = lookup_join(_paths(classes, depth, trees, "sketch", settings), heavy, "node", "left_anti")
     found = _involved(light, settings)
     if heavy.rows:
-        rows = lookup_join(_paths(classes, depth, trees, "coords"), heavy, "node", "left_semi")
+        paths = _paths(classes, depth, trees, "walk", settings)
+        rows = lookup_join(paths, heavy, "node", "left_semi")
         found = reduce(DataFrame.union, _walk_on(rows, settings), found)
     return materialize(found, "open-rows")
 
 
-def _shape(classes: DataFrame, settings: Settings) -> tuple[int, int, Measured]:
-    """Depth and number of the trees, and their large nodes."""
+def _shape(
+    classes: DataFrame, settings: Settings, one_in: int = 1
+) -> tuple[int, int, Measured]:
+    """Depth and number of the trees, or of one in so many, and their large nodes."""
     depth = settings.depth(classes.count())
-    trees = settings.trees(depth)
-    return depth, trees, _heavy(_paths(classes, depth, trees, ""), settings)
+    trees = -(-settings.trees(depth) // one_in)
+    return depth, trees, _heavy(_paths(classes, depth, trees, "", settings), settings)
 
 
 def _walk_on(rows: DataFrame, settings: Settings) -> list[DataFrame]:
     found = []
-    for _ in range(ROUNDS):
-        rows = materialize(_one_step(rows, 2), "heavy-steps")
+    for n in range(ROUNDS):
+        rows = materialize(_one_step(rows, 2, settings, 2 * n < OWN_STEPS), "heavy-steps")
         heavy = _heavy(rows, settings)
         light = lookup_join(rows, heavy, "node", "left_anti")
-        found.append(_involved(_low_bytes(light), settings))
+        found.append(_involved(_compared(light, settings), settings))
         if not heavy.rows:
             return found
         rows = lookup_join(rows, heavy, "node", "left_semi")
-    return [*found, _involved(_low_bytes(rows), settings)]
+    return [*found, _involved(_compared(rows, settings), settings)]
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, settings: Settings = Settings()) -> DataFrame:

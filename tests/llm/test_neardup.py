@@ -2,11 +2,12 @@ import random
 import re
 from itertools import combinations
 
+import numpy as np
 import pytest
 from frames import awkward, docs, prose, rows
 from pyspark.sql import functions as F
 
-from alambique.llm import neardup
+from alambique.llm import neardup, shingles as sh
 from alambique.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -108,3 +109,30 @@ def test_other_limits(spark, percent):
     settings = neardup.Settings(percent=percent)
     found = neardup.near_duplicates(docs(spark, rows(texts)), settings).collect()
     assert sorted(map(tuple, found)) == brute(texts, 2, percent)
+
+
+def test_trees_allow_for_chance_in_sketches():
+    """Links at the limit meet in some tree, whatever steps large nodes take."""
+    np.seterr(over="ignore")
+    settings, pairs = neardup.Settings(), 2_000
+    draw = np.random.default_rng(3)
+    one = draw.integers(0, 1 << 16, (pairs, settings.coords), dtype=np.uint16)
+    equal = draw.random(one.shape) < settings.limit
+    both = np.concatenate([one, np.where(equal, one, one ^ np.uint16(1))])
+    trees, met = settings.trees(3), np.zeros(pairs, int)
+    width = settings.coords // trees
+    for t in range(trees):
+        node, row = np.full(2 * pairs, sh.mix(np.array([t + 1], np.uint64))[0]), np.arange(2 * pairs)
+        own = both[:, t * width : (t + 1) * width]
+        walks = [(3, own, settings.twice[0]), *[(1, own, settings.twice[1])] * neardup.OWN_STEPS]
+        for steps, coords, twice in [*walks, *[(1, both, settings.twice[1])] * 2]:
+            node, row = neardup._walk(node, row, coords, steps, twice)
+            # Only nodes that hold both of a pair matter.
+            left = set(zip(node[row < pairs].tolist(), row[row < pairs].tolist()))
+            held = {(n, r - pairs) for n, r in zip(node[row >= pairs].tolist(), row[row >= pairs].tolist())}
+            ends = left & held
+            node = np.array([n for n, _ in ends] * 2, np.uint64)
+            row = np.array([r for _, r in ends] + [r + pairs for _, r in ends])
+        met[np.unique([r for _, r in ends])] += 1
+    assert (met > 0).all()
+    assert (equal[:, : settings.compared].sum(axis=1) >= settings.maybe).all()
