@@ -19,13 +19,14 @@ from pyspark.sql import functions as F
 
 from alambique.llm.order import with_neighbours
 from alambique.llm.text import whole
-from alambique.storage import materialize
+from alambique.operators.joins import lookup_join
+from alambique.storage import materialize, materialize_measured
 
 
 @dataclass(frozen=True)
 class Band:
     """Terms are in the lexicon if they occur in ``low`` to ``high`` of all
-    documents. The lexicon has at most the mean number of distinct terms a
+    distinct texts. The lexicon has at most the mean number of distinct terms a
     document divided by ``low`` entries, whatever the size of the corpus."""
 
     low: float = 0.002
@@ -40,10 +41,19 @@ def terms(text: Column) -> Column:
 
 
 def lexicon(docs: DataFrame, band: Band = Band()) -> DataFrame:
-    """``term`` and ``docs`` of the terms within the band, over all documents."""
-    every = docs.select(F.explode(terms(whole())).alias("term"))
+    """``term`` and ``docs`` of the terms within the band, over all distinct texts.
+
+    Only texts with copies are shuffled, one of each from a task.
+    """
+    texts = docs.select(whole().alias("text"), F.xxhash64(whole()).alias("__text"))
+    rows = materialize(texts.groupBy("__text").agg(F.count(F.lit(1)).alias("n")), "texts")
+    copied = materialize_measured(rows.filter("n > 1").select("__text"), "copied-texts")
+    lone = lookup_join(texts, copied, "__text", "left_anti").select("text")
+    one = lookup_join(texts, copied, "__text", "left_semi").groupBy("__text")
+    distinct = lone.union(one.agg(F.max("text").alias("text")).select("text"))
+    every = distinct.select(F.explode(terms(F.col("text"))).alias("term"))
     counted = every.groupBy("term").agg(F.count(F.lit(1)).alias("docs"))
-    total = docs.count()
+    total = rows.count()
     return counted.filter(F.col("docs").between(max(1, total * band.low), total * band.high))
 
 
@@ -90,6 +100,12 @@ def within(found: str, member: np.ndarray) -> Column:
     return F.filter(found, known)
 
 
+def _known_or_all(found: str, member: np.ndarray) -> Column:
+    """The terms of a column in the lexicon, or all if none is."""
+    known = within(found, member)
+    return F.when(F.size(known) > 0, known).otherwise(F.col(found))
+
+
 def level_of(kept: Column) -> Column:
     """The level at which a subset keeps one or two of the terms on average."""
     return F.greatest(F.lit(0), F.ceil(F.log2(F.size(kept) / 2.0))).cast("int")
@@ -108,8 +124,8 @@ def fingerprint(kept: str, subset: str, level: str, lone: str) -> Column:
     """Fingerprint of a column of sorted term hashes from the lexicon.
 
     ``level:`` with the signatures of the subsets at that level and the next,
-    then the signature of the whole lexicon. A text without a term of the
-    lexicon has ``lone`` alone, a hash of all its terms.
+    then the signature of the whole lexicon. A text without a term has ``lone``
+    alone.
     """
     sign = (
         "CASE WHEN size({a}) = 0 THEN '-' "
@@ -218,8 +234,8 @@ def fingerprint_edits(docs: DataFrame, band: Band = Band()) -> DataFrame:
         )
         .withColumn("__x0", F.xxhash64("__t0"))
         .withColumn("__x1", F.xxhash64("__t1"))
-        .withColumn("__kept0", within("__t0", member))
-        .withColumn("__kept1", within("__t1", member))
+        .withColumn("__kept0", _known_or_all("__t0", member))
+        .withColumn("__kept1", _known_or_all("__t1", member))
         .drop("__t0", "__t1")
     )
     for side in ("0", "1"):

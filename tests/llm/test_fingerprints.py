@@ -51,3 +51,18 @@ def test_few_rows(spark, n):
     found = fingerprint_edits(docs(spark, rows([prose(1, 40)])).limit(n)).collect()
     assert len(found) == n
     assert all(r.near_next == 1 for r in found)  # a lone document is its own next
+
+
+def test_copies_do_not_push_their_terms_out(spark):
+    """Half of all rows are copies of one text; its terms are in few distinct texts."""
+    texts = [prose(999, 120)] * 60 + [prose(i, 120) for i in range(60)]
+    found = {r.doc_id: r for r in fingerprint_edits(docs(spark, rows(texts))).collect()}
+    assert len({found[i].fingerprint for i in range(60)}) == 1
+    assert not found[0].fingerprint.startswith("x:")
+    assert found[59].near_edited > 0  # the last copy, edited by another text
+
+
+def test_texts_without_terms_of_the_lexicon_have_subsets(spark):
+    texts = [f"all {'same ' * i}words here" for i in range(60)]
+    found = fingerprint_edits(docs(spark, rows(texts))).collect()
+    assert not any(r.fingerprint.startswith("x:") for r in found)
