@@ -116,7 +116,7 @@ def _binomial(n: int, share: float) -> list[float]:
 
 def described(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``doc_id``, size ``n``, signature ``sig`` and sketch ``coords`` of each
-    row's set; of an empty set the last two are NULL."""
+    row's set, NULL for an empty set, and ``text_hash``."""
     words, seed, coords = settings.words, settings.seed, settings.coords
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,12 +132,15 @@ def described(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
                 sketches.append(sketch.tobytes() if len(own) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(sigs, pa.int64()),
-                 pa.array(sketches, pa.binary())],
-                ["doc_id", "n", "sig", "coords"],
+                 pa.array(sketches, pa.binary()), batch.column(2)],
+                ["doc_id", "n", "sig", "coords", "text_hash"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, n long, sig long, coords binary")
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long"), text, F.xxhash64(text))
+    return rows.mapInArrow(
+        run, "doc_id long, n long, sig long, coords binary, text_hash long"
+    )
 
 
 def _choose(
@@ -641,16 +644,9 @@ def _labels(links: DataFrame) -> DataFrame:
     return components(links).select(F.col("node").alias("sig"), "label")
 
 
-def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Component of each document: ``doc_id, n_shingles, component_id, kept``.
-
-    ``docs`` needs ``doc_id`` and ``text``; other columns are ignored. A row for
-    each row. The component's id is the smallest id of its documents, and the
-    document with that id is kept. NULL and empty texts, and those without a
-    word, have no shingles and are linked with nothing. Rows that repeat are
-    linked by their texts like any other. A row with a NULL id belongs to the
-    component of its text but never stands for it. An empty table gives no rows.
-    """
+def _placed(docs: DataFrame, settings: Settings) -> DataFrame:
+    """``doc_id, n, sig, text_hash`` of each row, and ``label`` and
+    ``component_id`` of its component."""
     rows = materialize(described(docs, settings), "shingle-sets")
     classes = materialize(
         rows.filter(F.col("sig").isNotNull())
@@ -676,8 +672,21 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     label = F.coalesce("label", "sig")
     grouped = lookup_join(named, labels, "sig", "left").withColumn("label", label)
     least = grouped.groupBy("label").agg(F.min("first").alias("component_id"))
-    placed = lookup_join(grouped, least, "label", "inner").select("sig", "component_id")
-    return lookup_join(rows.select("doc_id", "n", "sig"), placed, "sig", "left").select(
+    placed = lookup_join(grouped, least, "label", "inner").select("sig", "label", "component_id")
+    return lookup_join(rows.select("doc_id", "n", "sig", "text_hash"), placed, "sig", "left")
+
+
+def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Component of each document: ``doc_id, n_shingles, component_id, kept``.
+
+    ``docs`` needs ``doc_id`` and ``text``; other columns are ignored. A row for
+    each row. The component's id is the smallest id of its documents, and the
+    document with that id is kept. NULL and empty texts, and those without a
+    word, have no shingles and are linked with nothing. Rows that repeat are
+    linked by their texts like any other. A row with a NULL id belongs to the
+    component of its text but never stands for it. An empty table gives no rows.
+    """
+    return _placed(docs, settings).select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias(
@@ -690,18 +699,34 @@ def deduplicated(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One document of each component, with the columns of ``docs``.
 
     It is the one with the smallest id; rows that share that id leave the one
-    whose text comes first. Rows with a NULL id go.
+    whose text comes first. Components without any id leave one row, and rows
+    with neither an id nor shingles stay.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), settings)
-    kept = found.filter("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    kept = materialize(kept, "kept-documents")
-    once = kept.filter("n = 1").select("doc_id")
-    more = kept.filter("n > 1").select("doc_id")
-    own = Window.partitionBy("doc_id").orderBy("text")
-    first = (
-        lookup_join(docs, more, "doc_id", "left_semi")
-        .withColumn("__nth", F.row_number().over(own))
-        .filter("__nth = 1")
+    found = _placed(docs.select("doc_id", "text"), settings)
+    found = materialize(found.select("doc_id", "sig", "text_hash", "label", "component_id"), "placed")
+    own_id = F.col("sig").isNull() | (F.col("doc_id") == F.col("component_id"))
+    first = found.filter(F.col("doc_id").isNotNull() & own_id)
+    kept = materialize(
+        first.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")), "kept-documents"
+    )
+    shared = kept.groupBy("doc_id").agg(F.sum("n").alias("n")).filter("n > 1").select("doc_id")
+    hashed = docs.withColumn("text_hash", F.xxhash64(F.col("text").cast("string")))
+    named = lookup_join(
+        hashed, kept.select("doc_id", "text_hash"), ["doc_id", "text_hash"], "left_semi"
     )
-    single = lookup_join(docs, once, "doc_id", "left_semi")
-    return single.select(*docs.columns).union(first.select(*docs.columns))
+    shared = materialize_measured(shared, "shared-ids")
+    own = Window.partitionBy("doc_id").orderBy("text")
+    several = lookup_join(named, shared, "doc_id", "left_semi")
+    several = several.withColumn("__nth", F.row_number().over(own)).filter("__nth = 1")
+    single = lookup_join(named, shared, "doc_id", "left_anti")
+    # Rows without an id: one of each component that has no id at all.
+    lone = found.filter("doc_id IS NULL AND component_id IS NULL AND sig IS NOT NULL")
+    lone = lone.groupBy("label").agg(F.min("text_hash").alias("text_hash")).select("text_hash")
+    empty = found.filter("doc_id IS NULL AND sig IS NULL").select("text_hash").distinct()
+    nameless = hashed.filter("doc_id IS NULL")
+    each = Window.partitionBy("text_hash").orderBy("text_hash")
+    alone = lookup_join(nameless, lone, "text_hash", "left_semi")
+    alone = alone.withColumn("__nth", F.row_number().over(each)).filter("__nth = 1")
+    blank = lookup_join(nameless, empty, "text_hash", "left_semi")
+    parts = [x.select(*docs.columns) for x in (single, several, alone, blank)]
+    return reduce(DataFrame.union, parts)

@@ -136,3 +136,13 @@ def test_trees_allow_for_chance_in_sketches():
         met[np.unique([r for _, r in ends])] += 1
     assert (met > 0).all()
     assert (equal[:, : settings.compared].sum(axis=1) >= settings.maybe).all()
+
+
+def test_rows_without_an_id_stay_once(spark):
+    texts = [prose(1, 80), prose(2, 80), prose(3, 80), prose(3, 80), None]
+    data = [(i, *r[1:]) for i, r in zip([1, None, None, None, None], rows(texts))]
+    # Of two rows with one id, one is a copy of the first document.
+    data += [(7, *data[0][1:]), (7, *rows([prose(4, 80)])[0][1:]), (None, *data[0][1:])]
+    kept = neardup.deduplicated(docs(spark, data)).select("doc_id", "text").collect()
+    expected = [(1, texts[0]), (None, texts[1]), (None, texts[2]), (None, None), (7, prose(4, 80))]
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, expected))
