@@ -8,9 +8,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alambique.llm import chat, fingerprints, langid, licenses, mixing, neardup, packing, pages, quality, toxicity
+from alambique.llm import (
+    bpe,
+    chat,
+    fingerprints,
+    langid,
+    licenses,
+    manifest,
+    mixing,
+    neardup,
+    packing,
+    pages,
+    quality,
+    spelling,
+    toxicity,
+)
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,6 +103,18 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(_table(spark, sf_dir, "documents"), WORD_TOKENIZER)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_document_fingerprints": op1_document_fingerprints,
     "op2_chat_format": op2_chat_format,
@@ -99,4 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_bpe_round_trip": op12_bpe_round_trip,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
