@@ -73,7 +73,7 @@ def corpus(seed, letters, bases, rows_):
 @pytest.mark.parametrize("indexed", [1 << 13, 5])
 @pytest.mark.parametrize("letters", ["ab", "abcdefgé"])
 def test_against_brute_force(spark, letters, indexed):
-    texts = corpus(1, letters, 30, 60)
+    texts = corpus(1, letters, 30, 150)
     assert check(docs(spark, rows(texts)), indexed=indexed) > 300
 
 
