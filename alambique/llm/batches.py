@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -40,3 +41,21 @@ def to_batch(rows: Sequence[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows)) if rows else [()] * len(schema)
     arrays = [pa.array(c, f.type) for c, f in zip(columns, schema)]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int, size: int) -> Iterator[None]:
+    """Jobs run within hand at most so many rows or bytes to Python at once."""
+    limits = {"Records": rows, "Bytes": size}
+    names = {f"spark.sql.execution.arrow.max{k}PerBatch": v for k, v in limits.items()}
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, str(value))
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)

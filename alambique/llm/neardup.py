@@ -18,28 +18,30 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alambique.llm import shingles as sh
+from alambique.llm.batches import batches_of
 from alambique.llm.components import components
+from alambique.llm.text import WORD, whole
 from alambique.operators.joins import lookup_join, skew_join
 from alambique.storage import Measured, materialize, materialize_measured
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``words`` a shingle, links from ``percent`` similarity on. ``trees`` and
-    ``maybe`` are set so that a link at the limit is missed with a chance of
-    ``miss``, over all that a sketch of ``coords`` may happen to be and with the
-    steps of large nodes. Each tree has coordinates of its own for its first
-    steps and OWN_STEPS more, and takes any after these; pairs in a node are
-    compared by the first ``compared``."""
+    """``words`` a shingle, links from ``percent`` similarity on. ``trees``,
+    ``maybe`` and ``likely`` are set so that a link at the limit is missed with a
+    chance of ``miss``, over all that a sketch of ``coords`` may happen to be and
+    with the steps of large nodes. Each tree has coordinates of its own for its
+    first steps and OWN_STEPS more, and takes any after these; pairs in a node are
+    compared by the first ``compared``, and those left by all coordinates."""
 
     words: int = 2
     percent: int = 80
@@ -86,19 +88,41 @@ class Settings:
         return float(np.dot(_binomial(self.coords, self.limit), missed))
 
     def trees(self, depth: int) -> int:
-        """Trees that miss a link at the limit in ``miss``, less a fifth; if the
-        limit is too low for that, as many as leave each six coordinates."""
-        most = self.coords // 6
-        enough = (n for n in range(1, most) if self.missed(depth, n) <= 0.8 * self.miss)
-        return next(enough, most)
-
-    @property
-    def maybe(self) -> int:
+        """Trees that miss a link at the limit in three fifths of ``miss``."""
+        low, high = 0, self.coords // 6
+        if self.missed(depth, high) > 0.6 * self.miss:
+            raise ValueError(f"{self.coords} coordinates are too few for {self.percent} percent")
+        while high - low > 1:
+            middle = (low + high) // 2
+            if self.missed(depth, middle) <= 0.6 * self.miss:
+                high = middle
+            else:
+                low = middle
+        return high
+
+    def fitted(self, depth: int) -> Settings:
+        """These settings, with as many coordinates as the limit takes."""
+        coords = self.coords
+        while replace(self, coords=coords).missed(depth, coords // 6) > 0.6 * self.miss:
+            coords *= 2
+            if coords > MOST_COORDS:
+                raise ValueError(f"no sketch of {MOST_COORDS} finds links of {self.percent} percent")
+        return replace(self, coords=coords)
+
+    def _least_equal(self, coords: int) -> int:
         """Equal coordinates that a link at the limit falls below in a fifth of
         ``miss``."""
-        chances = np.cumsum(_binomial(self.compared, self.limit))
+        chances = np.cumsum(_binomial(coords, self.limit))
         return int(np.searchsorted(chances, 0.2 * self.miss, "right"))
 
+    @property
+    def maybe(self) -> int:
+        return self._least_equal(self.compared)
+
+    @property
+    def likely(self) -> int:
+        return self._least_equal(self.coords)
+
     @property
     def clear(self) -> int:
         """Equal coordinates that few pairs below the limit reach."""
@@ -109,6 +133,9 @@ class Settings:
 #: number of trees allows for.
 OWN_STEPS, STEPS = 8, 88
 
+#: Longest sketch that limits far below 80 percent may take.
+MOST_COORDS = 1536
+
 
 def _binomial(n: int, share: float) -> list[float]:
     return [math.comb(n, x) * share**x * (1 - share) ** (n - x) for x in range(n + 1)]
@@ -215,16 +242,19 @@ def _paths(
 
 
 def _compare_nodes(
-    rows: DataFrame, settings: Settings, spanning: bool | None
+    rows: DataFrame, settings: Settings, grouped: bool, width: int = 1
 ) -> DataFrame:
-    """Pairs of classes of different labels that may be alike in one node.
+    """Classes of different labels that may be alike in one node.
 
-    All classes of a node are compared, at each distance in turn. ``spanning``
-    keeps of a node's pairs those that connect it; None gives the rows of the
-    classes that are in a pair instead. ``payload`` has one byte of each
-    coordinate.
+    All classes of a node are compared, at each distance in turn, by the ``width``
+    bytes that ``payload`` has of each coordinate. The result has the pairs that
+    connect what is alike in a node, or, ``grouped``, the classes by what is so
+    connected: ``node`` is then a hash of the group's classes, so that a group
+    found in several nodes comes as equal rows.
     """
-    maybe, clear = settings.maybe, settings.clear
+    kind = np.dtype(f"u{width}")
+    maybe = settings.maybe if width == 1 else settings.likely
+    clear = settings.clear
 
     def pairs(node, cls, label, held) -> pa.RecordBatch:
         left, right, score = [], [], []
@@ -240,25 +270,22 @@ def _compare_nodes(
                 left.append(found)
                 right.append(found + apart)
                 score.append(equal[equal >= maybe])
-        if spanning is None:
-            at = np.unique(np.concatenate([*left, *right])) if left else np.zeros(0, np.int64)
-            columns = [pa.array(x[at]) for x in (node, cls, label)]
-            return pa.RecordBatch.from_arrays(
-                [*columns, _binary(held[at])], ["node", "cls", "label", "payload"]
-            )
+        if grouped:
+            none = [np.zeros(0, np.int64)]
+            at, group = _groups(np.concatenate(left or none), np.concatenate(right or none), cls)
+            columns = [pa.array(x) for x in (group, cls[at], label[at])]
+            return pa.RecordBatch.from_arrays(columns, ["node", "cls", "label"])
         if not left:
             return _pairs([], [])
         a, b, equal = map(np.concatenate, (left, right, score))
-        if spanning:
-            keep = _connecting(node, a, b, equal, clear)
-            a, b = a[keep], b[keep]
-        return _pairs(cls[a], cls[b])
+        keep = _connecting(node, a, b, equal, clear)
+        return _pairs(cls[a[keep]], cls[b[keep]])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
             now = [batch.column(i).to_numpy() for i in range(3)]
-            now.append(_matrix(batch.column(3)))
+            now.append(_matrix(batch.column(3), kind))
             if rest is not None and len(rest[0]):
                 now = [np.concatenate(x) for x in zip(rest, now)] if len(now[0]) else rest
             if not len(now[0]):
@@ -271,27 +298,66 @@ def _compare_nodes(
             yield pairs(*rest)
 
     dealt = rows.repartition("node").sortWithinPartitions("node", "cls")
-    result = "a long, b long"
-    if spanning is None:
-        result = "node long, cls long, label long, payload binary"
+    result = "node long, cls long, label long" if grouped else "a long, b long"
     return dealt.mapInArrow(run, result)
 
 
-def _involved(rows: DataFrame, settings: Settings) -> DataFrame:
-    """Rows of the classes that may be linked with another label in their node."""
-    return _compare_nodes(rows, settings, spanning=None)
+def _groups(a: np.ndarray, b: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the rows that the pairs connect, and for each a hash of the classes
+    of its group."""
+    if not len(a):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    left, right = np.split(ends, 2)
+    root = np.arange(len(at))
+    while True:
+        low = np.minimum(root[left], root[right])
+        before = root.copy()
+        np.minimum.at(root, left, low)
+        np.minimum.at(root, right, low)
+        root = root[root]
+        if (root == before).all():
+            break
+    named = np.zeros(len(at), np.uint64)
+    np.add.at(named, root, sh.mix(cls[at].view(np.uint64)))
+    return at, sh.mix(named)[root].view(np.int64)
+
+
+def _cut(rows: DataFrame, size: Column, most: int) -> DataFrame:
+    """Rows with ``side`` and a ``node`` of their own for each two parts of nodes
+    whose ``size`` adds up to more than ``most``; other nodes have one part, of side
+    0. Classes of two parts meet in the node of these, on different sides."""
+    sizes = rows.groupBy("node").agg(F.sum(size).alias("size")).filter(F.col("size") > most)
+    parts = sizes.select("node", F.ceil(F.col("size") / most).cast("int").alias("parts"))
+    parts = materialize_measured(parts, "cut-nodes")
+    if not parts.rows:
+        return rows.withColumn("side", F.lit(0))
+    joined = lookup_join(rows, parts, "node", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    own = F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("__other")
+    spread = joined.withColumn("__own", own).select("*", other)
+    low, high = F.least("__own", "__other"), F.greatest("__own", "__other")
+    return spread.withColumns(
+        {
+            "node": F.when(F.col("parts") > 1, F.xxhash64("node", low, high)).otherwise(F.col("node")),
+            # The node of one part with itself has all its rows on side 0.
+            "side": (F.col("__own") > F.col("__other")).cast("int"),
+            "both": F.col("__own") != F.col("__other"),
+        }
+    ).drop("parts", "__own", "__other", "both")
 
 
 def _confirm_nodes(rows: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
-    """Links between different labels within each node, by full sets.
+    """Links between different labels within each node, by full sets (``sig``, ``n``,
+    ``coords`` and ``shingles``).
 
-    A class's set comes once for each node it is involved in, not once a pair. A
-    node's classes are compared until their labels are connected: what is left
-    out would connect nothing.
+    A node's classes are compared until their labels are connected: what is left
+    out would connect nothing. Nodes whose sets have more than SET_BYTES are cut, so
+    a task holds two parts at most.
     """
-    maybe, percent = settings.maybe, settings.percent
+    likely, percent = settings.likely, settings.percent
 
-    def links(label, cls, held, own) -> list[tuple[int, int]]:
+    def links(label, cls, side, held, own) -> list[tuple[int, int]]:
         group = {x: x for x in label.tolist()}
 
         def find(x: int) -> int:
@@ -299,10 +365,9 @@ def _confirm_nodes(rows: DataFrame, sets: DataFrame, settings: Settings) -> Data
                 group[x] = x = group[group[x]]
             return x
 
-        sets = [np.frombuffer(x, np.uint64) for x in own]
-        sizes = np.array([len(x) for x in sets])
-        every, found = np.concatenate(sets), []
-        starts = np.cumsum(sizes) - sizes
+        sizes = np.array([len(x) for x in own])
+        two = len(np.unique(side)) > 1
+        found = []
         # Labels with few classes first: each is held against all the others.
         counts = dict(zip(*np.unique(label, return_counts=True)))
         done = np.zeros(len(cls), bool)
@@ -310,22 +375,19 @@ def _confirm_nodes(rows: DataFrame, sets: DataFrame, settings: Settings) -> Data
             done[i] = True
             mine = find(int(label[i]))
             open_ = ~done & (np.array([find(x) for x in label.tolist()]) != mine)
+            if two:
+                open_ &= side != side[i]
             other = np.flatnonzero(open_)
-            other = other[(held[other] == held[i]).sum(axis=1) >= maybe]
-            if not len(other):
-                continue
-            if len(other) * 4 > len(sets):
-                at = np.searchsorted(sets[i], every)
-                at[at == sizes[i]] = 0
-                shared = np.add.reduceat(sets[i][at] == every, starts, dtype=np.int64)[other]
-            else:
-                shared = np.array(
-                    [len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for j in other]
-                )
-            linked = 100 * shared >= percent * (sizes[i] + sizes[other] - shared)
-            for j in other[linked].tolist():
+            other = other[(held[other] == held[i]).sum(axis=1) >= likely]
+            for j in other.tolist():
                 x, y = find(int(label[i])), find(int(label[j]))
-                if x != y:
+                if x == y:
+                    continue
+                few, many = (own[i], own[j]) if sizes[i] <= sizes[j] else (own[j], own[i])
+                at = np.searchsorted(many, few)
+                at[at == len(many)] = 0
+                shared = int((many[at] == few).sum())
+                if 100 * shared >= percent * (sizes[i] + sizes[j] - shared):
                     group[max(x, y)] = min(x, y)
                     found.append((int(cls[i]), int(cls[j])))
         return found
@@ -352,20 +414,24 @@ def _confirm_nodes(rows: DataFrame, sets: DataFrame, settings: Settings) -> Data
         pairs = []
         for start, end in zip(edges, [*edges[1:], len(node)]):
             part = table.slice(start, end - start)
-            pairs += links(
-                part.column("label").to_numpy(),
-                part.column("cls").to_numpy(),
-                _matrix(part.column("payload")),
-                part.column("shingles").to_pylist(),
-            )
+            # The sets are read where Arrow holds them.
+            own = [np.frombuffer(x.as_buffer(), np.uint64) for x in part.column("shingles")]
+            names = [part.column(c).to_numpy() for c in ("label", "cls", "side")]
+            pairs += links(*names, _matrix(part.column("coords"), np.uint16), own)
         yield _pairs([a for a, _ in pairs], [b for _, b in pairs])
 
-    full = sets.select(F.col("sig").alias("cls"), "shingles")
-    joined = skew_join(rows, full, ["cls"], "inner")
-    dealt = joined.select("node", "cls", "label", "payload", "shingles").repartition("node")
+    sized = lookup_join(rows, sets.select(F.col("sig").alias("cls"), "n"), "cls", "inner")
+    parts = _cut(sized, F.col("n") * 8, SET_BYTES).select("node", "cls", "label", "side")
+    full = sets.select(F.col("sig").alias("cls"), "coords", "shingles")
+    joined = skew_join(materialize(parts, "cut-rows"), full, ["cls"], "inner")
+    dealt = joined.select("node", "cls", "label", "side", "coords", "shingles").repartition("node")
     return dealt.sortWithinPartitions("node", "cls").mapInArrow(run, "a long, b long")
 
 
+#: Bytes of the full sets of a node's part, and of what a task is handed at once.
+SET_BYTES, HANDED = 32 << 20, 8 << 20
+
+
 def _pairs(a: Iterable[int], b: Iterable[int]) -> pa.RecordBatch:
     low, high = np.minimum(a, b), np.maximum(a, b)
     columns = [pa.array(np.asarray(x, np.int64)) for x in (low, high)]
@@ -522,7 +588,7 @@ def _heavy(rows: DataFrame, settings: Settings) -> Measured:
     return materialize_measured(large.select("node"), "heavy-nodes")
 
 
-#: Rounds of two steps after which nodes are compared whatever their size.
+#: Rounds of two steps, after which large nodes are compared two parts at a time.
 ROUNDS = 48
 
 
@@ -532,7 +598,7 @@ def first_pairs(classes: DataFrame, settings: Settings) -> DataFrame:
     enough here: ``open_rows`` finds in all of them what is not connected yet."""
     depth, trees, heavy = _shape(classes, settings, 2)
     light = lookup_join(_paths(classes, depth, trees, "sketch", settings), heavy, "node", "left_anti")
-    found = _compare_nodes(light, settings, spanning=True)
+    found = _compare_nodes(light, settings, grouped=False)
     if heavy.rows:
         paths = _paths(classes, depth, trees, "sketch", settings)
         rows = lookup_join(paths, heavy, "node", "left_semi")
@@ -541,17 +607,27 @@ def first_pairs(classes: DataFrame, settings: Settings) -> DataFrame:
 
 
 def open_rows(classes: DataFrame, settings: Settings) -> DataFrame:
-    """Rows of small nodes whose classes may be linked though their labels
-    differ. Large nodes walk on until they are small; those of one label are
-    done."""
+    """``node``, ``cls`` and ``label`` of classes that may be linked though their
+    labels differ; a node is a group of such classes.
+
+    Large nodes walk on until they are small; those of one label are done. Groups
+    found in several trees are one. They are compared again by all coordinates.
+    """
     depth, trees, heavy = _shape(classes, settings)
     light = lookup_join(_paths(classes, depth, trees, "sketch", settings), heavy, "node", "left_anti")
-    found = _involved(light, settings)
+    found = _compare_nodes(light, settings, grouped=True)
     if heavy.rows:
         paths = _paths(classes, depth, trees, "walk", settings)
         rows = lookup_join(paths, heavy, "node", "left_semi")
         found = reduce(DataFrame.union, _walk_on(rows, settings), found)
-    return materialize(found, "open-rows")
+    found = materialize(found.distinct(), "open-groups")
+    named = materialize_measured(found.select(F.col("cls").alias("sig")).distinct(), "open-classes")
+    coords = lookup_join(classes.select("sig", "coords"), named, "sig", "left_semi")
+    coords = coords.select(F.col("sig").alias("cls"), F.col("coords").alias("payload"))
+    whole_ = lookup_join(found, coords, "cls", "inner").select("node", "cls", "label", "payload")
+    return materialize(
+        _compare_nodes(whole_, settings, grouped=True, width=2).distinct(), "open-rows"
+    )
 
 
 def _shape(
@@ -569,11 +645,13 @@ def _walk_on(rows: DataFrame, settings: Settings) -> list[DataFrame]:
         rows = materialize(_one_step(rows, 2, settings, 2 * n < OWN_STEPS), "heavy-steps")
         heavy = _heavy(rows, settings)
         light = lookup_join(rows, heavy, "node", "left_anti")
-        found.append(_involved(_compared(light, settings), settings))
+        found.append(_compare_nodes(_compared(light, settings), settings, grouped=True))
         if not heavy.rows:
             return found
         rows = lookup_join(rows, heavy, "node", "left_semi")
-    return [*found, _involved(_compared(rows, settings), settings)]
+    parts = _cut(_compared(rows, settings), F.lit(1), settings.node_rows // 2)
+    parts = parts.select("node", "cls", "label", "payload")
+    return [*found, _compare_nodes(parts, settings, grouped=True)]
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -601,9 +679,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame, settings: Settings = Settings()
 def _full_sets(
     docs: DataFrame, named: DataFrame, ends: DataFrame, settings: Settings
 ) -> DataFrame:
-    """``sig`` and ``shingles`` of the classes in ``ends``, from one text of each.
+    """``sig`` and ``shingles`` of the classes in ``ends``, from one text of each,
+    with ``n`` and ``coords``.
 
-    ``named`` has the ``first`` document of each class.
+    ``named`` has the ``first`` document of each class, and those two.
     """
     words = settings.words
     sigs = materialize_measured(ends.distinct(), "ends")
@@ -637,7 +716,8 @@ def _full_sets(
     read = texts.mapInArrow(run, "sig long, shingles binary")
     # Rows that share an id may have other texts, or the same one again.
     own = lookup_join(read, sigs, "sig", "left_semi").dropDuplicates(["sig"])
-    return materialize(own, "full-sets")
+    described_ = lookup_join(named.select("sig", "n", "coords"), sigs, "sig", "left_semi")
+    return materialize(lookup_join(own, described_, "sig", "inner"), "full-sets")
 
 
 def _labels(links: DataFrame) -> DataFrame:
@@ -647,19 +727,22 @@ def _labels(links: DataFrame) -> DataFrame:
 def _placed(docs: DataFrame, settings: Settings) -> DataFrame:
     """``doc_id, n, sig, text_hash`` of each row, and ``label`` and
     ``component_id`` of its component."""
+    settings = settings.fitted(settings.depth(docs.count()))
     rows = materialize(described(docs, settings), "shingle-sets")
     classes = materialize(
         rows.filter(F.col("sig").isNotNull())
         .groupBy("sig")
-        .agg(F.min("doc_id").alias("first"), F.max("coords").alias("coords")),
+        .agg(F.min("doc_id").alias("first"), F.max("n").alias("n"), F.max("coords").alias("coords")),
         "shingle-classes",
     )
-    named = classes.select("sig", "first")
+    named = classes.select("sig", "first", "n", "coords")
     alone = classes.withColumn("label", F.col("sig"))
     pairs = first_pairs(alone, settings)
     ends = pairs.select(F.explode(F.array("a", "b")).alias("sig"))
     sets = _full_sets(docs, named, ends, settings)
-    links = materialize(confirmed(pairs, sets, settings), "links")
+    spark = docs.sparkSession
+    with batches_of(spark, 1000, HANDED):
+        links = materialize(confirmed(pairs, sets, settings), "links")
     labels = _labels(links)
     known = lookup_join(classes, labels, "sig", "left").withColumn(
         "label", F.coalesce("label", "sig")
@@ -667,10 +750,11 @@ def _placed(docs: DataFrame, settings: Settings) -> DataFrame:
     known = materialize(known, "labelled-classes")
     rest = open_rows(known, settings)
     sets = _full_sets(docs, named, rest.select(F.col("cls").alias("sig")), settings)
-    more = materialize(_confirm_nodes(rest, sets, settings), "more-links")
+    with batches_of(spark, 1000, HANDED):
+        more = materialize(_confirm_nodes(rest, sets, settings), "more-links")
     labels = _labels(links.union(more))
     label = F.coalesce("label", "sig")
-    grouped = lookup_join(named, labels, "sig", "left").withColumn("label", label)
+    grouped = lookup_join(named.select("sig", "first"), labels, "sig", "left").withColumn("label", label)
     least = grouped.groupBy("label").agg(F.min("first").alias("component_id"))
     placed = lookup_join(grouped, least, "label", "inner").select("sig", "label", "component_id")
     return lookup_join(rows.select("doc_id", "n", "sig", "text_hash"), placed, "sig", "left")
@@ -698,35 +782,29 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 def deduplicated(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One document of each component, with the columns of ``docs``.
 
-    It is the one with the smallest id; rows that share that id leave the one
-    whose text comes first. Components without any id leave one row, and rows
-    with neither an id nor shingles stay.
+    It is the one with the smallest id, of those with one id the one whose text has
+    the smallest hash, of equal ones any. Only what is linked goes: texts that share
+    an id, have none, or have no word stay unless they are linked with another. An
+    empty table gives no rows; other columns stay as they are, whatever their names.
     """
-    found = _placed(docs.select("doc_id", "text"), settings)
-    found = materialize(found.select("doc_id", "sig", "text_hash", "label", "component_id"), "placed")
-    own_id = F.col("sig").isNull() | (F.col("doc_id") == F.col("component_id"))
-    first = found.filter(F.col("doc_id").isNotNull() & own_id)
-    kept = materialize(
-        first.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")), "kept-documents"
+    found = _placed(docs.select("doc_id", "text"), settings).filter(F.col("sig").isNotNull())
+    keys = ["__near_id", "__near_hash"]
+    id_ = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")).alias(keys[0])
+    counts = found.groupBy("label", "doc_id", F.col("text_hash").alias(keys[1])).agg(
+        F.count(F.lit(1)).alias("n")
     )
-    shared = kept.groupBy("doc_id").agg(F.sum("n").alias("n")).filter("n > 1").select("doc_id")
-    hashed = docs.withColumn("text_hash", F.xxhash64(F.col("text").cast("string")))
-    named = lookup_join(
-        hashed, kept.select("doc_id", "text_hash"), ["doc_id", "text_hash"], "left_semi"
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", keys[1])
+    best = counts.groupBy("label").agg(F.min_by(F.struct("doc_id", keys[1], "n"), order).alias("best"))
+    kept = materialize(best.select("best.*").select(id_, keys[1], "n"), "kept-documents")
+    text = F.col("text").cast("string")
+    hashed = docs.select("*", id_, F.xxhash64(text).alias(keys[1]))
+    worded = hashed.filter(whole(text).rlike(WORD))
+    one = lookup_join(worded, kept.filter("n = 1").select(*keys), keys, "left_semi")
+    several = materialize_measured(kept.filter("n > 1").select(*keys), "repeated-documents")
+    # Rows that repeat are combined where they are read, however many there are.
+    repeated = lookup_join(worded, several, keys, "left_semi").groupBy(*keys).agg(
+        F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row")
     )
-    shared = materialize_measured(shared, "shared-ids")
-    own = Window.partitionBy("doc_id").orderBy("text")
-    several = lookup_join(named, shared, "doc_id", "left_semi")
-    several = several.withColumn("__nth", F.row_number().over(own)).filter("__nth = 1")
-    single = lookup_join(named, shared, "doc_id", "left_anti")
-    # Rows without an id: one of each component that has no id at all.
-    lone = found.filter("doc_id IS NULL AND component_id IS NULL AND sig IS NOT NULL")
-    lone = lone.groupBy("label").agg(F.min("text_hash").alias("text_hash")).select("text_hash")
-    empty = found.filter("doc_id IS NULL AND sig IS NULL").select("text_hash").distinct()
-    nameless = hashed.filter("doc_id IS NULL")
-    each = Window.partitionBy("text_hash").orderBy("text_hash")
-    alone = lookup_join(nameless, lone, "text_hash", "left_semi")
-    alone = alone.withColumn("__nth", F.row_number().over(each)).filter("__nth = 1")
-    blank = lookup_join(nameless, empty, "text_hash", "left_semi")
-    parts = [x.select(*docs.columns) for x in (single, several, alone, blank)]
+    blank = hashed.filter(~whole(text).rlike(WORD))
+    parts = [x.select(*[F.col(f"`{c}`") for c in docs.columns]) for x in (one, repeated.select("row.*"), blank)]
     return reduce(DataFrame.union, parts)
