@@ -16,12 +16,12 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
-from collections.abc import Callable, Iterable, Iterator
+from array import array
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -36,11 +36,30 @@ PIECE = 8192
 MARGIN = 20
 
 #: Stretches kept with their ids, and the longest of them.
-KEPT, SHORT = 1 << 18, 64
+KEPT, SHORT = 1 << 19, 64
 
 #: No normalisation or word goes beyond these characters.
 _SPACE = re.compile("[\t-\r ]+")
 
+#: The words of the tokenizer's pattern, for lower-case Latin-1 text.
+_LETTER, _NUMBER, _BLANK = "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾", "\t-\r \x85\xa0"
+_WORDS = re.compile(
+    f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_BLANK}{_LETTER}{_NUMBER}]+"
+)
+
+
+def _byte_names() -> list[str]:
+    """The character for each byte: printable ones stand for themselves, the others
+    for the next ones from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    names = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+    return [names[b] for b in range(256)]
+
+
+#: Characters of the vocabulary for the UTF-8 bytes of each Latin-1 character.
+_BYTE_LEVEL = {c: "".join(_byte_names()[b] for b in chr(c).encode()) for c in range(256)}
+
 
 @dataclass
 class Chunk:
@@ -85,6 +104,7 @@ class Encoder:
         self.last = {i for i, name in self.names.items() if name.endswith(self.suffix) or i in added}
         self.window = window
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     @staticmethod
     def _load(path: str) -> Tokenizer:
@@ -102,7 +122,7 @@ class Encoder:
         for stretch in stretches:
             ids = known.get(stretch)
             if ids is None:
-                ids = np.array(self._encode(stretch).ids, "<u4").tobytes()
+                ids = self._stretch(stretch)
                 if len(stretch) <= SHORT:
                     if len(known) >= KEPT:
                         known.clear()
@@ -110,6 +130,24 @@ class Encoder:
             found.append(ids)
         return np.frombuffer(b"".join(found), "<u4")
 
+    def _stretch(self, text: str) -> bytes:
+        """Ids of a stretch. Latin-1 is as it is when composed, so its words are found
+        here, and those of several stretches are looked up once."""
+        if not text.isascii() and max(text) > "\xff" or any(name in text for name in self.added):
+            return array("I", self._encode(text).ids).tobytes()
+        found = []
+        for word in _WORDS.findall(text.lower()):
+            ids = self.words.get(word)
+            if ids is None:
+                named = word if word.isalnum() and word.isascii() else word.translate(_BYTE_LEVEL)
+                ids = array("I", [t.id for t in self.ending.tokenize(named)]).tobytes()
+                if len(word) <= SHORT:
+                    if len(self.words) >= KEPT:
+                        self.words.clear()
+                    self.words[word] = ids
+            found.append(ids)
+        return b"".join(found)
+
     def _encode(self, text: str):
         return self.library.encode(text, add_special_tokens=False)
 

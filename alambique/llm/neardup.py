@@ -134,11 +134,16 @@ class Settings:
 OWN_STEPS, STEPS = 8, 88
 
 #: Longest sketch that limits far below 80 percent may take.
-MOST_COORDS = 1536
+MOST_COORDS = 1 << 13
 
 
-def _binomial(n: int, share: float) -> list[float]:
-    return [math.comb(n, x) * share**x * (1 - share) ** (n - x) for x in range(n + 1)]
+def _binomial(n: int, share: float) -> np.ndarray:
+    """Chances of 0 to n hits; in logarithms, as the numbers of choices are large."""
+    if share in (0, 1):
+        return (np.arange(n + 1) == n * share).astype(float)
+    log = np.append(0, np.cumsum(np.log(np.arange(1, n + 1))))
+    x = np.arange(n + 1)
+    return np.exp(log[n] - log - log[::-1] + x * math.log(share) + (n - x) * math.log(1 - share))
 
 
 def described(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -70,25 +70,16 @@ WITH d AS (
 ), lines AS (
   SELECT rid, source, line, len(lw) AS words,
     regexp_replace(translate(array_to_string(lw, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-      'abcdefghijklmnopqrstuvwxyz'), '[0-9]+', '0', 'g') AS norm,
-    list_max(list_transform(lw, lambda x: {'n': length(x), 'w': x})) AS top
+      'abcdefghijklmnopqrstuvwxyz'), '[0-9]+', '0', 'g') AS norm
   FROM worded
-), best AS (
-  SELECT rid, arg_max(norm, top) AS norm, max(top) AS top FROM lines GROUP BY rid
-), second AS (
-  SELECT l.rid, max(l.top) AS top FROM lines l JOIN best b ON l.rid = b.rid AND l.norm <> b.norm
-  GROUP BY l.rid
 ), held AS (
-  SELECT DISTINCT l.source, l.norm,
-    CASE WHEN l.norm = b.norm THEN s.top.w ELSE b.top.w END AS rest
-  FROM lines l JOIN best b ON l.rid = b.rid LEFT JOIN second s ON l.rid = s.rid
+  SELECT l.source, l.norm, count(DISTINCT d.t) AS docs FROM lines l JOIN d ON l.rid = d.rid
+  GROUP BY l.source, l.norm
 ), total AS (
-  SELECT source, count(*) AS n FROM d GROUP BY source
+  SELECT source, count(DISTINCT t) AS n FROM d GROUP BY source
 ), frequent AS (
-  SELECT h.source, h.norm FROM (
-    SELECT source, norm, count(*) AS docs FROM held GROUP BY source, norm
-  ) h JOIN total t ON h.source IS NOT DISTINCT FROM t.source
-  WHERE docs >= 10 AND docs > t.n * 0.02::DOUBLE
+  SELECT h.source, h.norm FROM held h JOIN total t ON h.source IS NOT DISTINCT FROM t.source
+  WHERE docs >= 10 AND docs > least(t.n * 0.05::DOUBLE, 5000)
 ), lost AS (
   SELECT l.rid, sum(l.words) AS n FROM lines l JOIN frequent f
     ON l.norm = f.norm AND l.source IS NOT DISTINCT FROM f.source GROUP BY l.rid
@@ -167,3 +158,140 @@ FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id JOIN r ON r.doc_id = d.doc_i
 """
 
 ORACLES["op10_near_duplicates"] = NEAR
+
+#: Unsigned CRC-32 of the UTF-8 bytes of a text, as a macro-free expression: the
+#: lists hold the 256 remainders and the text's bytes.
+_CRC_TABLE = """
+crc AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)),
+      lambda c, k: xor(c >> 1, 3988292384 * (c & 1))) AS v
+    FROM range(256) r(i)
+  )
+)
+"""
+
+
+def _crc(text: str) -> str:
+    whole = f"hex(encode({text}))"
+    octets = (
+        f"list_transform(range(0, length({whole}), 2), "
+        f"lambda p: CAST('0x' || substr({whole}, CAST(p AS INTEGER) + 1, 2) AS BIGINT))"
+    )
+    return (
+        f"xor(list_reduce(list_prepend(4294967295, {octets}), "
+        "lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])), 4294967295)"
+    )
+
+
+VARIANTS = rf"""
+WITH RECURSIVE {_CRC_TABLE}, d AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+    unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run
+  FROM documents
+), r AS (
+  SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run,
+    count(*) AS n
+  FROM d GROUP BY ALL HAVING length(run) >= 7
+), h AS (
+  SELECT run, n, {_crc("id || ':' || run")} AS h FROM r, crc
+), w AS (
+  SELECT CASE WHEN h % 31 = 0
+    THEN substr(run, 1, CAST(h % length(run) AS INTEGER))
+      || substr(run, CAST(h % length(run) AS INTEGER) + 2)
+    ELSE run END AS word, CAST(sum(n) AS BIGINT) AS n
+  FROM h GROUP BY 1 HAVING length(word) >= 7 AND sum(n) >= 2
+), cut AS (
+  SELECT word, n, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM
+    (SELECT word, n FROM w)) t
+), pairs AS (
+  SELECT a.word AS x, b.word AS y FROM cut a JOIN cut b
+    ON a.rest = b.rest AND a.p = b.p AND a.word <> b.word
+  UNION SELECT c.word, w.word FROM cut c JOIN w ON c.rest = w.word
+  UNION SELECT w.word, c.word FROM cut c JOIN w ON c.rest = w.word
+), near AS (
+  SELECT x AS word, count(*) AS n_near, arg_min(y, (-n, encode(y))) AS best, max(n) AS uses
+  FROM pairs JOIN w ON w.word = y GROUP BY x
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN uses >= 10 * w.n THEN best END AS form,
+    CASE WHEN uses >= 10 * w.n THEN uses END AS form_n
+  FROM w LEFT JOIN near ON w.word = near.word
+), chain AS (
+  SELECT word, word AS at FROM forms
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.at
+  WHERE f.form IS NOT NULL
+), root AS (
+  SELECT c.word, c.at AS root FROM chain c JOIN forms f ON f.word = c.at WHERE f.form IS NULL
+)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM forms f JOIN root r ON f.word = r.word
+"""
+
+ORACLES["op11_spelling_variants"] = VARIANTS
+
+
+def _hashed(text: str) -> str:
+    fields = ("doc_id", "source", "lang", "n_chars", text)
+    shown = (
+        f"coalesce(strlen(CAST({f} AS VARCHAR)) || ':' || CAST({f} AS VARCHAR), '-')" for f in fields
+    )
+    return "sha256(" + " || ".join(shown) + ")"
+
+
+MANIFEST = rf"""
+WITH RECURSIVE {_CRC_TABLE}, d AS (
+  SELECT doc_id, coalesce('s' || source, '') AS grp, {_hashed("text")} AS leaf,
+    CASE WHEN {_crc("CAST(doc_id AS VARCHAR)")} % 2 = 0
+      THEN {_hashed("replace(text, chr(10), '')")} ELSE {_hashed("text")} END AS changed
+  FROM documents, crc
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+    count(*) OVER (PARTITION BY grp) AS n
+  FROM d
+), inner_tree AS (
+  SELECT grp, 0 AS lvl, idx, leaf AS h, n FROM placed
+  UNION ALL
+  SELECT grp, lvl + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx)), (n + 2) // 3
+  FROM inner_tree WHERE n > 1 GROUP BY grp, lvl, idx // 3, n
+), subroots AS (
+  SELECT grp, h AS subroot, row_number() OVER (ORDER BY encode(grp)) - 1 AS idx,
+    count(*) OVER () AS n, lvl AS height
+  FROM inner_tree WHERE n = 1
+), outer_tree AS (
+  SELECT 0 AS lvl, idx, subroot AS h, n FROM subroots
+  UNION ALL
+  SELECT lvl + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx)), (n + 2) // 3
+  FROM outer_tree WHERE n > 1 GROUP BY lvl, idx // 3, n
+), steps AS (
+  SELECT p.grp, p.idx AS leaf_idx, t.lvl, t.idx AS node, p.idx // CAST(pow(3, t.lvl) AS BIGINT) AS own, t.h
+  FROM placed p JOIN inner_tree t ON t.grp = p.grp AND t.n > 1
+    AND t.idx // 3 = (p.idx // CAST(pow(3, t.lvl) AS BIGINT)) // 3
+  UNION ALL
+  SELECT p.grp, p.idx, s.height + t.lvl, t.idx, s.idx // CAST(pow(3, t.lvl) AS BIGINT), t.h
+  FROM placed p JOIN subroots s ON s.grp = p.grp JOIN outer_tree t ON t.n > 1
+    AND t.idx // 3 = (s.idx // CAST(pow(3, t.lvl) AS BIGINT)) // 3
+), sides AS (
+  SELECT grp, leaf_idx, lvl,
+    coalesce(string_agg(h, '' ORDER BY node) FILTER (WHERE node < own), '') AS left_,
+    coalesce(string_agg(h, '' ORDER BY node) FILTER (WHERE node > own), '') AS right_
+  FROM steps GROUP BY ALL
+), folded AS (
+  SELECT grp, idx, 0 AS lvl, changed AS h FROM placed
+  UNION ALL
+  SELECT f.grp, f.idx, f.lvl + 1, sha256(s.left_ || f.h || s.right_)
+  FROM folded f JOIN sides s ON s.grp = f.grp AND s.leaf_idx = f.idx AND s.lvl = f.lvl
+), ends AS (
+  SELECT grp, idx, arg_max(h, lvl) AS folded_root FROM folded GROUP BY ALL
+), proofs AS (
+  SELECT grp, leaf_idx AS idx, sha256(string_agg(left_ || right_, '' ORDER BY lvl)) AS proof_sha256
+  FROM sides GROUP BY ALL
+)
+SELECT p.doc_id, p.leaf, s.subroot, t.h AS root,
+  coalesce(q.proof_sha256, sha256('')) AS proof_sha256, e.folded_root, e.folded_root = t.h AS verified
+FROM placed p JOIN subroots s ON s.grp = p.grp JOIN outer_tree t ON t.n = 1
+JOIN ends e ON e.grp = p.grp AND e.idx = p.idx
+LEFT JOIN proofs q ON q.grp = p.grp AND q.idx = p.idx
+"""
+
+ORACLES["op13_merkle_manifest"] = MANIFEST

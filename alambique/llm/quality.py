@@ -1,11 +1,8 @@
 """Quality rules, with lines that many documents of a source share.
 
 Lines are normalised and hashed, and the distinct documents of each source that
-hold a line are counted. Copies of a document do not count anew, and near copies
-hardly: a document is known by the least hash of its windows of three words, and
-of several such hashes the one counts that tells most documents of a line apart.
-Lines above the limit are removed, and documents that lose most of their words
-are rejected.
+hold a line are counted: distinct whole texts, so copies count once. Lines above
+the limit are removed, and documents that lose most of their words are rejected.
 """
 
 from __future__ import annotations
@@ -30,17 +27,17 @@ class Limits:
     min_words: int = 50
     max_repeat_percent: int = 50
     min_docs: int = 10
-    doc_share: float = 0.02
+    doc_share: float = 0.05
     many_docs: int = 5000
     left_share: float = 0.3
 
 
-#: Numbers that change the order of the windows' hashes, one for each least hash.
-_ORDERS = (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179, 0x3C6EF372FE94F82B, 0x6A09E667F3BCC908)
-
 #: Up to so many frequent lines of all sources are looked up as lists.
 LISTED = 20_000
 
+#: Lists that these are dealt to by their hash, so that a line is looked for in one.
+BINS = 1024
+
 
 def normalised(line: Column) -> Column:
     """Words between single blanks, A-Z lower-cased, each number as 0."""
@@ -55,17 +52,8 @@ def _described(line: Column) -> Column:
     )
 
 
-def _least() -> Column:
-    """Least hash of the windows in each order; of all words if there is none."""
-    least = ", ".join(f"array_min(transform(__h, h -> h ^ {x}L))" for x in _ORDERS)
-    return F.expr(
-        f"CASE WHEN size(__h) > 0 THEN array({least}) "
-        f"ELSE array_repeat(xxhash64(__w), {len(_ORDERS)}) END"
-    )
-
-
 def measured(docs: DataFrame) -> DataFrame:
-    """``docs`` with the base figures of each text and its described lines."""
+    """``docs`` with the base figures of each text, its described lines and its hash."""
     text = whole()
     with_words = docs.withColumn("__w", words(text)).withColumn(
         "__lines",
@@ -113,7 +101,7 @@ def measured(docs: DataFrame) -> DataFrame:
             "__n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
             "__n_repeat_words": covered,
             "__described": F.transform(lines, _described),
-            "__least": _least(),
+            "__text": F.xxhash64(text),
         }
     ).drop("__w", "__lines", "__h", "__s", "__at")
 
@@ -122,64 +110,74 @@ def _source() -> Column:
     return F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("s"), "source"))
 
 
-def _distinct(rows: DataFrame, *keys: str) -> DataFrame:
-    """``docs``: the distinct documents of each key, from ``__least``."""
-    every = rows.select(*keys, F.posexplode("__least").alias("__order", "__doc")).distinct()
-    counts = every.groupBy(*keys, "__order").agg(F.count(F.lit(1)).alias("__n"))
-    return counts.groupBy(*keys).agg(F.max("__n").alias("__docs"))
-
-
 def frequent_lines(rows: DataFrame, limits: Limits) -> Measured:
     """``__source`` and ``__line``, a hash, of the frequent lines, from
-    ``__source``, ``__described`` and ``__least``."""
+    ``__source``, ``__described`` and ``__text``."""
+    keys = ["__source", "__line"]
     line = F.explode(F.array_distinct("__described.line")).alias("__line")
-    # What is in few rows is in few documents; other lines are counted exactly.
-    some = rows.select("__source", line).groupBy("__source", "__line").agg(
-        F.count(F.lit(1)).alias("__n")
+    held = rows.select("__source", "__text", line)
+    # What is in few rows is in few documents; of other lines the texts are counted.
+    some = held.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    some = some.filter(F.col("__n") >= limits.min_docs).select(*keys)
+    texts = lookup_join(held, some, keys, "left_semi").distinct()
+    counts = texts.groupBy(*keys).agg(F.count(F.lit(1)).alias("__docs"))
+    totals = (
+        rows.select("__source", "__text").distinct()
+        .groupBy("__source").agg(F.count(F.lit(1)).alias("__total"))
+    )
+    limit = F.least(F.col("__total") * limits.doc_share, F.lit(float(limits.many_docs)))
+    many = counts.filter(F.col("__docs") >= limits.min_docs)
+    frequent = lookup_join(many, totals, "__source", "inner").filter(F.col("__docs") > limit)
+    return materialize_measured(frequent.select(*keys), "frequent-lines")
+
+
+def _bin(line: Column) -> Column:
+    return F.pmod(line, F.lit(BINS)).cast("int")
+
+
+def _binned(lines: DataFrame, key: str) -> DataFrame:
+    """``__frequent``: the lines ``__line`` of each key, in the list of their bin."""
+    lists = lines.groupBy(key, _bin(F.col("__line")).alias("__bin")).agg(
+        F.collect_set("__line").alias("__lines")
     )
-    some = some.filter(F.col("__n") >= limits.min_docs).select("__source", "__line")
-    held = lookup_join(
-        rows.select("__source", "__least", line), some, ["__source", "__line"], "left_semi"
+    entries = F.map_from_entries(F.collect_list(F.struct("__bin", "__lines")))
+    every = F.sequence(F.lit(0), F.lit(BINS - 1))
+    named = lists.groupBy(key).agg(entries.alias("__map"))
+    return named.select(
+        key, F.transform(every, lambda i: F.try_element_at("__map", i)).alias("__frequent")
     )
-    counts = _distinct(held, "__source", "__line").filter(F.col("__docs") >= limits.min_docs)
-    totals = _distinct(rows, "__source").withColumnRenamed("__docs", "__total")
-    limit = F.least(F.col("__total") * limits.doc_share, F.lit(float(limits.many_docs)))
-    frequent = lookup_join(counts, totals, "__source", "inner").filter(F.col("__docs") > limit)
-    return materialize_measured(frequent.select("__source", "__line"), "frequent-lines")
+
+
+def _is_frequent(line: Column) -> Column:
+    one = F.get("__frequent", _bin(line))
+    return F.coalesce(F.array_contains(one, line), F.lit(False))
 
 
 def _with_lost(rows: DataFrame, frequent: Measured) -> DataFrame:
     """``rows`` with the frequent lines they hold in ``__frequent``, perhaps with
     others of their source, and the words in them."""
-    none = F.array().cast("array<bigint>")
     if frequent.rows <= LISTED:
-        lists = frequent.df.groupBy("__source").agg(F.collect_list("__line").alias("__frequent"))
         # Fewer rows and bytes than what was measured.
-        joined = lookup_join(rows, replace(frequent, df=lists), "__source", "left")
+        lists = replace(frequent, df=_binned(frequent.df, "__source"))
+        joined = lookup_join(rows, lists, "__source", "left")
     else:
         # Rows of a source with the same lines hold the same frequent lines.
         named = rows.withColumn("__same", F.xxhash64("__source", "__described"))
         lines = named.select("__same", "__source", F.explode("__described.line").alias("__line"))
         held = lookup_join(lines, frequent, ["__source", "__line"], "left_semi")
-        lists = held.groupBy("__same").agg(F.collect_set("__line").alias("__frequent"))
-        joined = lookup_join(named, lists, "__same", "left").drop("__same")
-    joined = joined.withColumn("__frequent", F.coalesce("__frequent", none))
-    lost = F.filter("__described", lambda x: F.array_contains(F.col("__frequent"), x["line"]))
+        joined = lookup_join(named, _binned(held, "__same"), "__same", "left").drop("__same")
+    lost = F.filter("__described", lambda x: _is_frequent(x["line"]))
     lost_words = F.aggregate(lost, F.lit(0).cast("long"), lambda s, x: s + x["words"])
     return joined.withColumn("__lost", lost_words)
 
 
-def _judged(rows: DataFrame, frequent: Measured, limits: Limits) -> DataFrame:
-    n = F.col("__n_words")
-    failed = (n < limits.min_words) | (
-        F.col("__n_repeat_words") * 100 > n * limits.max_repeat_percent
-    )
-    return _with_lost(rows, frequent).withColumns(
-        {
-            "__base_failed": failed,
-            "__kept": ~failed & ((n - F.col("__lost")) >= n * limits.left_share),
-        }
-    )
+def _failed(limits: Limits) -> Column:
+    n, repeats = F.col("__n_words"), F.col("__n_repeat_words")
+    return (n < limits.min_words) | (repeats * 100 > n * limits.max_repeat_percent)
+
+
+def _left(limits: Limits) -> Column:
+    return (F.col("__n_words") - F.col("__lost")) >= F.col("__n_words") * limits.left_share
 
 
 def judge(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
@@ -193,7 +191,7 @@ def judge(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """
     rows = measured(docs.select("doc_id", "text", _source().alias("__source")))
     stored = materialize(rows.drop("text"), "quality-rows")  # the only pass over texts
-    judged = _judged(stored, frequent_lines(stored, limits), limits)
+    judged = _with_lost(stored, frequent_lines(stored, limits))
     return judged.select(
         "doc_id",
         F.col("__n_words").alias("n_words"),
@@ -201,8 +199,8 @@ def judge(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
         F.col("__n_symbols").alias("n_symbols"),
         F.col("__n_dup_lines").alias("n_dup_lines"),
         F.col("__n_repeat_words").alias("n_repeat_words"),
-        F.col("__base_failed").alias("base_failed"),
-        F.col("__kept").alias("kept"),
+        _failed(limits).alias("base_failed"),
+        (~_failed(limits) & _left(limits)).alias("kept"),
         F.col("__lost").alias("words_lost"),
     )
 
@@ -210,28 +208,23 @@ def judge(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 def cleaned_documents(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The documents kept, with the columns of ``docs`` and without frequent lines.
 
-    ``n_chars``, if there is such a column, counts the text that is left. The
-    texts are read twice, and not shuffled unless there are more than LISTED
-    frequent lines. The rest is as in ``judge``.
+    ``n_chars``, if there is such a column, counts the text that is left. NULL and
+    empty texts fail, as in ``judge``; of rows that repeat all stay or none. Other
+    columns stay as they are, whatever their names. An empty table gives no rows.
+    The figures are taken once and stored with the texts that pass them.
     """
-    # The row number keeps the filter above the figures: pushed below them it
-    # would derive each word again within their inner loops.
-    rows = measured(docs.withColumn("__source", _source())).withColumn(
-        "__row", F.monotonically_increasing_id()
-    )
-    narrow = materialize(rows.select("__source", "__described", "__least"), "quality-lines")
-    judged = _judged(rows, frequent_lines(narrow, limits), limits)
-    kept = judged.filter(F.col("__kept") & (F.col("__row") >= 0))
-    shorter = F.array_join(
-        F.filter(
-            F.split("text", "\n"),
-            lambda x: ~F.array_contains(F.col("__frequent"), F.xxhash64(normalised(x))),
-        ),
-        "\n",
-    )
+    rows = measured(docs.withColumn("__source", _source())).withColumn("__failed", _failed(limits))
+    text = F.when(~F.col("__failed"), F.col("text")).alias("text")
+    own = [text if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+    figures = ["__source", "__n_words", "__failed", "__described", "__text"]
+    stored = materialize(rows.select(*own, *figures), "quality-texts")
+    passed = stored.filter(~F.col("__failed"))
+    kept = _with_lost(passed, frequent_lines(stored, limits)).filter(_left(limits))
+    lines = F.filter(F.split("text", "\n"), lambda x: ~_is_frequent(F.xxhash64(normalised(x))))
     lossy = F.col("__lost") > 0
-    out = kept.withColumn("text", F.when(lossy, shorter).otherwise(F.col("text")))
+    shorter = F.when(lossy, F.array_join(lines, "\n")).otherwise(F.col("text"))
+    out = kept.withColumn("__shorter", shorter)
     if "n_chars" in docs.columns:
-        counted = F.length("text").cast(docs.schema["n_chars"].dataType)
+        counted = F.length("__shorter").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(lossy, counted).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    return out.withColumn("text", F.col("__shorter")).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -99,7 +99,9 @@ def test_awkward_rows(spark):
     assert same == {5}
     assert [r.kept for r in found if r.doc_id is None] == [False, False]
     assert neardup.near_duplicates(table.limit(0)).isEmpty()
-    assert neardup.deduplicated(table).filter("doc_id = 5").count() == 1
+    # Two texts that are not linked share the id 5.
+    assert neardup.deduplicated(table).filter("doc_id = 5").count() == 2
+    assert neardup.deduplicated(table.limit(0)).isEmpty()
 
 
 @pytest.mark.parametrize("percent", [60, 95])
@@ -146,3 +148,49 @@ def test_rows_without_an_id_stay_once(spark):
     kept = neardup.deduplicated(docs(spark, data)).select("doc_id", "text").collect()
     expected = [(1, texts[0]), (None, texts[1]), (None, texts[2]), (None, None), (7, prose(4, 80))]
     assert sorted(map(str, map(tuple, kept))) == sorted(map(str, expected))
+
+
+def test_unlinked_texts_of_one_id_stay(spark):
+    texts = [prose(i, 60) for i in range(3)]
+    data = docs(spark, [(1, *r[1:]) for r in rows(texts)]).withColumn("text_hash", F.lit("own"))
+    kept = neardup.deduplicated(data).collect()
+    assert sorted(r.text for r in kept) == sorted(texts)
+    assert {r.text_hash for r in kept} == {"own"}
+
+
+@pytest.mark.parametrize("size", [64, 4096])
+def test_nodes_cut_into_parts(spark, corpus, monkeypatch, size):
+    monkeypatch.setattr(neardup, "SET_BYTES", size)
+    found = neardup.near_duplicates(docs(spark, rows(corpus))).collect()
+    assert sorted(map(tuple, found)) == brute(corpus, 2, 80)
+
+
+def test_nodes_that_stay_large_are_compared_in_parts(spark, corpus, monkeypatch):
+    monkeypatch.setattr(neardup, "ROUNDS", 1)
+    settings = neardup.Settings(node_rows=8)
+    found = neardup.near_duplicates(docs(spark, rows(corpus)), settings).collect()
+    assert sorted(map(tuple, found)) == brute(corpus, 2, 80)
+
+
+@pytest.mark.parametrize("percent", [50, 60, 80, 95])
+def test_trees_for_every_limit(percent):
+    settings = neardup.Settings(percent=percent).fitted(3)
+    assert settings.missed(3, settings.trees(3)) <= 0.6 * settings.miss
+
+
+def test_a_limit_without_trees_is_refused():
+    with pytest.raises(ValueError):
+        neardup.Settings(percent=20).fitted(3)
+    with pytest.raises(ValueError):
+        neardup.Settings(percent=50).trees(3)
+
+
+@pytest.mark.parametrize("percent", [50, 95])
+def test_links_near_the_limit(spark, percent):
+    """Pairs on both sides of the limit, against brute force."""
+    base = [prose(40 + g, 80) for g in range(60)]
+    share = {50: 0.16, 95: 0.012}[percent]
+    texts = [edited(b, 100 * g + j, share) for g, b in enumerate(base) for j in range(3)]
+    settings = neardup.Settings(percent=percent)
+    found = neardup.near_duplicates(docs(spark, rows(texts)), settings).collect()
+    assert sorted(map(tuple, found)) == brute(texts, 2, percent)

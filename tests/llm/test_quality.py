@@ -1,7 +1,10 @@
+import duckdb
 import pytest
+from compare import compare
 from frames import awkward, docs, prose, rows
 
 from alambique.llm import quality
+from alambique.llm.oracle import ORACLES
 from alambique.llm.quality import Limits, cleaned_documents, judge
 
 NOTICE = "Subscribe to our letter number 7 today"
@@ -95,6 +98,43 @@ def test_few_words_and_many_copies_hide_no_shared_line(spark):
     assert all(r.words_lost == (6 if r.doc_id < 40 else 0) for r in found)
 
 
+@pytest.mark.parametrize("own", [5, 20, 70])
+def test_shared_words_count_however_few_are_the_documents_own(spark, own):
+    """Sixty documents share eight lines of thirty words and have ``own`` others."""
+    shared = [prose(5000 + i, 30) for i in range(8)]
+    texts = ["\n".join([*shared, prose(i, own)]) for i in range(60)]
+    found = judge(docs(spark, rows(texts, source=lambda i: "a"))).collect()
+    assert all(r.words_lost == 240 and not r.kept for r in found)
+
+
+def test_verdict_against_sql(spark, tmp_path):
+    """Sources in which lines are frequent by their rows, by their distinct texts,
+    in some sources only, and not at all."""
+    texts, names = [], []
+    for i in range(300):
+        name = "abcd"[i % 4]
+        lines = [prose(i, 40)] * (1 + i % 2) + [prose(i + 1000, 30)]
+        if name in "ab":
+            lines += [SHARED[1], NOTICE.replace("7", str(i))]
+        if name == "c":
+            lines = [prose(7, 40), prose(8, 40), prose(9 + i % 3, 20)]
+        if name == "d" and i % 20 == 3:
+            lines += [SHARED[2]] * 60
+        texts.append("\n".join(lines) if i % 17 else None)
+        names.append(name if i % 29 else None)
+    table = docs(spark, rows(texts, source=lambda i: names[i])).union(
+        docs(spark, rows([texts[1]] * 200, source=lambda i: "d"))
+    )
+    table.select("doc_id", "text", "source").toPandas().to_parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet'")
+    run = lambda spark, path: judge(table)
+    assert compare(spark, con, run, ORACLES["op9_quality_rules"], str(tmp_path)) == ""
+    found = judge(table).collect()
+    assert {r.kept for r in found if not r.base_failed} == {True, False}
+    assert any(r.words_lost for r in found)
+
+
 def test_lines_in_many_documents_are_frequent(spark):
     texts = [f"{prose(i, 70)}\n{SHARED[1] if i < 30 else ''}" for i in range(400)]
     table = docs(spark, rows(texts, source=lambda i: "a"))
