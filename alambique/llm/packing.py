@@ -46,13 +46,13 @@ SCHEMA = (
 def _encoding(path: str):
     """The vocabulary of a byte-level BPE file of the ``tokenizers`` library.
 
-    ``tiktoken`` gives the same ids from it in a quarter of the time. Special
-    tokens' strings are ordinary text.
+    ``tiktoken`` gives the same ids from it in a quarter of the time. As in the
+    library, the string of an added token is one id, also within a text.
     """
     import tiktoken
 
     model = json.loads(Path(path).read_text(encoding="utf-8"))
-    special = {t["content"] for t in model["added_tokens"] if t["special"]}
+    special = {t["content"]: t["id"] for t in model["added_tokens"]}
     # Such files write a byte that is no visible Latin-1 sign as the next free
     # character from 256 on.
     visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -65,7 +65,7 @@ def _encoding(path: str):
         if token not in special
     }
     return tiktoken.Encoding(
-        Path(path).stem, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}
+        Path(path).stem, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special
     )
 
 
@@ -221,7 +221,7 @@ def pack(
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256).to_pydict()
                 for doc_id, text in zip(part["doc_id"], part["text"]):
-                    found = [*encoding.encode_ordinary(text or ""), end_id]
+                    found = [*encoding.encode(text or "", allowed_special="all"), end_id]
                     ids, total = array("I", found).tobytes(), len(found)
                     for start in range(0, total, longest):
                         own = ids[4 * start : 4 * (start + longest)]

@@ -11,7 +11,6 @@ from alambique.llm.queries import TOKENIZER
 @pytest.fixture(scope="module")
 def reference():
     tokenizer = Tokenizer.from_file(TOKENIZER)
-    tokenizer.encode_special_tokens = True
     return lambda text: [*tokenizer.encode(text or "", add_special_tokens=False).ids, END_ID]
 
 
@@ -75,3 +74,10 @@ def test_awkward_rows(spark, reference):
     assert pack(table.limit(0), TOKENIZER).isEmpty()
     again = pack(table.coalesce(1), TOKENIZER).collect()
     assert again == pieces
+
+
+def test_strings_of_added_tokens_are_one_id(spark, reference):
+    texts = ["x <|endoftext|> y", "<|endoftext|>" * 3, "<|endoftext|", "a<|endoftext|>\n b"]
+    assert reference(texts[0]) == [87, 220, 50256, 331, END_ID]
+    expected = {i: reference(t) for i, t in enumerate(texts)}
+    check(pack(docs(spark, rows(texts)).coalesce(1), TOKENIZER).collect(), expected)
