@@ -43,7 +43,8 @@ NOTICE_PHRASES = {
     "redistribution and use in source and binary forms": "bsd",
     "proprietary and confidential": "proprietary",
 }
-#: Words of the tags that a license expression follows.
+#: Words of the tags that a license expression follows. After the first one, which
+#: no prose has, names of unknown licenses are taken too if a colon comes between.
 TAGS = ("spdx license identifier", "license identifier", "license expression")
 
 #: How far a license opens a text for reuse; unknown names count as closed.
@@ -106,6 +107,20 @@ def to_postfix(expression: str) -> list[str]:
     return out + stack[::-1]
 
 
+#: What tells the name of an unknown license from a word.
+_NAME = re.compile("[A-Z0-9.-]")
+
+
+def is_expression(postfix: list[str], tagged: bool) -> bool:
+    """Whether all licenses of an expression are known, or, ``tagged``, look like
+    names; what comes after a mention of a tag in prose does not."""
+    if not postfix:
+        return False
+    unknown = evaluate(postfix).names - set(OPENNESS)
+    written = {license_family(t): t for t in postfix}
+    return not unknown or (tagged and all(_NAME.search(written[n]) for n in unknown))
+
+
 @dataclass(frozen=True)
 class Term:
     openness: float
@@ -138,7 +153,7 @@ class Scanner:
         self._automaton = ahocorasick.Automaton()
         patterns = {p: ("base", label) for p, label in BASE_PHRASES.items()}
         patterns |= {p: ("notice", label) for p, label in phrases.items()}
-        patterns |= {p: ("tag", "") for p in TAGS}
+        patterns |= {p: ("tag", p) for p in TAGS}
         for phrase, (kind, label) in patterns.items():
             self._automaton.add_word(f" {phrase} ", (phrase, kind, label))
         self._automaton.make_automaton()
@@ -155,13 +170,14 @@ class Scanner:
         )
         if not hits:
             return len(found), 0, None, None, "", "", 0.0, None, None
-        base, labels, tag_ends = [], set(), set()
+        base, labels, tag_ends = [], set(), {}
         word, upto = -1, 0
         for at, kind, label, last in hits:
             word += joined.count(" ", upto, at)
             upto = at
             if kind == "tag":
-                tag_ends.add(word + last)
+                full = label == TAGS[0]
+                tag_ends[word + last] = full or tag_ends.get(word + last, False)
                 continue
             labels.add(label)
             if kind == "base":
@@ -170,8 +186,10 @@ class Scanner:
         if tag_ends:
             letters = np.frombuffer(flat, np.uint8) != 32
             ends = np.flatnonzero(letters & ~np.append(letters[1:], False)) + 1
-            terms = [to_postfix(_after_tag(raw, ends[w])) for w in sorted(tag_ends)]
-        postfix = [p for p in terms if p]
+            for w, full in sorted(tag_ends.items()):
+                colon, rest = _after_tag(raw, ends[w])
+                terms.append((to_postfix(rest), full and colon))
+        postfix = [p for p, tagged in terms if is_expression(p, tagged)]
         values = [evaluate(p) for p in postfix]
         labels |= {n for v in values for n in v.names}
         openness = [OPENNESS[x] for x in labels if x in OPENNESS]
@@ -192,10 +210,11 @@ class Scanner:
         )
 
 
-def _after_tag(raw: bytes, at: int) -> str:
-    """The rest of the line after a tag's last word."""
-    line = _LINE.match(raw, at).group()
-    return line.decode("utf-8", "replace").lstrip(" \t:=\"'")
+def _after_tag(raw: bytes, at: int) -> tuple[bool, str]:
+    """Whether a colon follows a tag's last word, and the rest of its line."""
+    line = _LINE.match(raw, at).group().decode("utf-8", "replace")
+    rest = line.lstrip(" \t:=\"'")
+    return ":" in line[: len(line) - len(rest)], rest
 
 
 def scan_licenses(

@@ -70,6 +70,21 @@ def test_tags_are_read(spark):
     assert three.expression is None and three.labels == ""
 
 
+def test_prose_after_a_tag_gives_no_label(spark):
+    texts = [
+        "the license identifier is missing here",
+        "a license expression of the author",
+        "SPDX license identifier The usual one",
+        "SPDX-License-Identifier: is missing",
+        "SPDX-License-Identifier: WTFPL OR MIT",
+        "License identifier: MIT",
+        "license expression GPL-2.0 and more",
+        "license identifier: Beerware",
+    ]
+    found = [r.labels for r in scan_licenses(docs(spark, rows(texts))).orderBy("doc_id").collect()]
+    assert found == ["", "", "", "", "mit,wtfpl", "mit", "", ""]
+
+
 def test_awkward_rows(spark):
     table = awkward(spark)
     found = scan_licenses(table).collect()
