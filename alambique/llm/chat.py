@@ -15,6 +15,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from alambique.llm.order import numbered
+from alambique.storage import materialize
+
 START, END = "<|im_start|>", "<|im_end|>\n"
 CONTROL = "<|"
 BLOCK = 64
@@ -115,6 +118,38 @@ def fold(events: DataFrame) -> DataFrame:
     )
 
 
+def replayed(rows: DataFrame) -> DataFrame:
+    """An event log that ends in the given turns: ``conv_id, turn, role, text``.
+
+    Each row is a message of its own, in the order of turns and then of roles and
+    texts, NULLs first; rows that repeat are repeated messages. A message first says
+    something else, which an edit replaces, or for the assistant a regeneration
+    voids; what it says in the end comes in two deltas.
+    """
+    group = F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("grp")
+    # Rows that repeat are alike in all but the draw, so they share out evenly.
+    drawn = rows.select(group, "conv_id", "turn", "role", "text", F.rand(1).alias("draw"))
+    placed = numbered(materialize(drawn, "turns"), ["turn", "role", "text", "draw"], "turn-places")
+    half = F.floor(F.length("text") / 2).cast("int")
+    replaces = F.when(F.col("role") == "assistant", REGENERATE).otherwise(EDIT)
+    said = [
+        (F.lit(DELTA), F.lit("one moment")),
+        (replaces, F.substring("text", F.lit(1), half)),
+        (F.lit(DELTA), F.substring("text", half + 1, F.length("text"))),
+    ]
+    events = F.array(
+        *[
+            F.struct(F.lit(i).alias("nth"), kind.alias("kind"), text.alias("text"))
+            for i, (kind, text) in enumerate(said)
+        ]
+    )
+    each = placed.df.select("conv_id", "at", "role", F.explode(events).alias("event"))
+    seq = F.col("at") * len(said) + F.col("event.nth")
+    return each.select(
+        "conv_id", seq.alias("seq"), F.col("at").alias("message"), "event.kind", "role", "event.text"
+    )
+
+
 def render(messages: DataFrame, trained: str = "assistant") -> DataFrame:
     """One row per conversation: ``conv_id, n_turns, formatted, loss_spans``.
 

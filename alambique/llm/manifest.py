@@ -16,11 +16,12 @@ import hashlib
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from alambique.llm.order import numbered
 from alambique.operators.joins import lookup_join
-from alambique.storage import Measured, materialize, materialize_measured
+from alambique.storage import materialize
 
 #: Nodes of a run, levels of a superblock, and its leaves.
 RUN, HEIGHT = 3, 7
@@ -71,40 +72,6 @@ def leaves(docs: DataFrame) -> DataFrame:
     )
 
 
-def numbered(rows: DataFrame, order: Sequence[str], label: str) -> Measured:
-    """``rows`` with ``at``, their place in their ``grp`` by ``order``, from 0, and
-    ``n``, the rows of ``grp``; NULLs come first.
-
-    Rows are dealt out by ranges. A row's place is its place in its range, plus
-    the rows of the group in earlier ranges: a table with a row for each range
-    and group in it.
-    """
-    keys = ["grp", *order]
-    ranged = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    stored = materialize(
-        ranged.withColumns({"range": F.spark_partition_id(), "nth": F.monotonically_increasing_id()}),
-        f"{label}-ranges",
-    )
-    counts = stored.groupBy("grp", "range").agg(
-        F.count(F.lit(1)).alias("rows"), F.min("nth").alias("first")
-    )
-    whole = Window.partitionBy("grp")
-    before = F.sum("rows").over(
-        whole.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    starts = counts.select(
-        "grp",
-        "range",
-        (F.coalesce(before, F.lit(0)) - F.col("first")).alias("shift"),
-        F.sum("rows").over(whole).alias("n"),
-    )
-    placed = lookup_join(stored, starts, ["grp", "range"], "inner")
-    return materialize_measured(
-        placed.withColumn("at", F.col("nth") + F.col("shift")).drop("range", "nth", "shift"),
-        label,
-    )
-
-
 def _levels(nodes: list[bytes], n: int) -> list[list[bytes]]:
     """The nodes of a superblock and all above them within it. A superblock of a
     larger group has all its levels, also where it has few nodes."""

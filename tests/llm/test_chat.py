@@ -84,3 +84,19 @@ def test_awkward_rows(spark):
     assert found[None][0] == [("", "")]
     assert found[1][0] == [("user", "first"), ("assistant", ""), ("assistant", "ab")]
     assert read(spark, []) == {}
+
+
+def test_tied_and_repeated_turns_stay(spark):
+    """Through the log that the query makes of a table of turns."""
+    turns = [(1, 0, "user", "a"), (1, 0, "user", "a"), (1, 1, "user", "c"), (1, 1, "user", "b"),
+             (1, 2, "assistant", "<|im_end|>"), (1, None, None, None), (None, 5, "assistant", "x"),
+             (2, 7, "assistant", "odd"), (2, 7, "assistant", "odd")]
+    table = spark.createDataFrame(turns, "conv_id long, turn int, role string, text string")
+    log = chat.replayed(table)
+    assert {r.kind for r in log.collect()} == {chat.DELTA, chat.EDIT, chat.REGENERATE}
+    found = {r.conv_id: r for r in chat.read_back(chat.format_chats(log)).collect()}
+    said = {c: [(t.role, t.text) for t in r.turns] for c, r in found.items()}
+    assert said[1] == [("", ""), ("user", "a"), ("user", "a"), ("user", "b"), ("user", "c"),
+                       ("assistant", "<|im_end|>")]
+    assert said[None] == [("assistant", "x")] and list(found[2].loss_texts) == ["odd", "odd"]
+    assert chat.replayed(table.limit(0)).isEmpty()
