@@ -158,9 +158,8 @@ def test_unlinked_texts_of_one_id_stay(spark):
     assert {r.text_hash for r in kept} == {"own"}
 
 
-@pytest.mark.parametrize("size", [64, 4096])
-def test_nodes_cut_into_parts(spark, corpus, monkeypatch, size):
-    monkeypatch.setattr(neardup, "SET_BYTES", size)
+def test_nodes_cut_into_parts(spark, corpus, monkeypatch):
+    monkeypatch.setattr(neardup, "SET_BYTES", 4096)
     found = neardup.near_duplicates(docs(spark, rows(corpus))).collect()
     assert sorted(map(tuple, found)) == brute(corpus, 2, 80)
 

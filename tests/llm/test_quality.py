@@ -117,7 +117,7 @@ def test_verdict_against_sql(spark, tmp_path):
         if name in "ab":
             lines += [SHARED[1], NOTICE.replace("7", str(i))]
         if name == "c":
-            lines = [prose(7, 40), prose(8, 40), prose(9 + i % 3, 20)]
+            lines = [prose(7, 40), prose(8, 40), prose(2000 + i, 20)]
         if name == "d" and i % 20 == 3:
             lines += [SHARED[2]] * 60
         texts.append("\n".join(lines) if i % 17 else None)
