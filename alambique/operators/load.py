@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from alambique.functions.rules import CLASSES
+from alambique.operators.bloom import prune
 from alambique.operators.dedup import keep_one
 from alambique.operators.joins import anti_join_unknown, lookup_join, skew_join
 from alambique.operators.profile import long_form
 from alambique.schemas import LENGTHS, LOAD_STATES, target_schema
-from alambique.storage import materialize
+from alambique.storage import Measured, materialize, materialize_measured
 
 NEW, EXISTING, KEYLESS = "NUEVO", "EXISTENTE", "SIN_CLAVE"
 STATE = "estado_carga"
@@ -42,21 +43,31 @@ def restrict_target(
     return lookup_join(target, values, column, "left_semi")
 
 
+def _stored(staging: DataFrame | Measured) -> Measured:
+    """Staged rows, written once if they are not yet."""
+    return staging if isinstance(staging, Measured) else materialize_measured(staging, "staged")
+
+
 def new_rows(
-    staging: DataFrame,
+    staging: DataFrame | Measured,
     target: DataFrame,
     keys: Sequence[str],
     policy: str = KEEP_ALL,
     prune_by: str | None = None,
 ) -> DataFrame:
-    """Staged rows to insert; ``keep_first`` takes one row per new key."""
+    """Staged rows to insert; ``keep_first`` takes one row per new key.
+
+    With ``prune_by`` the target is taken to be large, as in ``mark_staging``.
+    """
     if policy not in (KEEP_ALL, KEEP_FIRST):
         raise ValueError(f"unknown policy {policy!r}")
-    keyed = staging.filter(_has_key(keys))
     if prune_by:
-        target = restrict_target(target, staging, prune_by)
-        new = anti_join_unknown(keyed, target, keys)
+        staged = _stored(staging)
+        near = prune(target, staged, keys)
+        new = anti_join_unknown(staged.df.filter(_has_key(keys)), near, keys)
     else:
+        staging = staging.df if isinstance(staging, Measured) else staging
+        keyed = staging.filter(_has_key(keys))
         new = lookup_join(keyed, _known(target, keys), list(keys), "left_anti")
     return keep_one(new, keys) if policy == KEEP_FIRST else new
 
@@ -66,19 +77,23 @@ def _known(target: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def mark_staging(
-    staging: DataFrame,
+    staging: DataFrame | Measured,
     target: DataFrame,
     keys: Sequence[str],
     prune_by: str | None = None,
 ) -> DataFrame:
     """Staged rows with ``estado_carga``: new, existing or without a key.
 
-    With ``prune_by`` the target is taken to be large: its keys are shuffled,
-    and staging is read twice more for its values and its hot keys alone.
-    Otherwise the target's keys are measured and broadcast if they fit.
+    With ``prune_by`` the target is taken to be large: staging is stored once, and
+    of the target only the keys that pass a filter of the staged ones are shuffled,
+    whatever days they are of. Otherwise the target's keys are measured and
+    broadcast if they fit.
     """
     if prune_by:
-        target = restrict_target(target, staging, prune_by)
+        staged = _stored(staging)
+        staging, target = staged.df, prune(target, staged, keys)
+    elif isinstance(staging, Measured):
+        staging = staging.df
     known = _known(target, keys).withColumn("__known", F.lit(True))
     join = skew_join if prune_by else lookup_join
     marked = join(staging, known, list(keys), "left")
@@ -99,10 +114,11 @@ def existing_rows(
 
 
 def purge_loaded(
-    staging: DataFrame, target: DataFrame, keys: Sequence[str]
+    staging: DataFrame | Measured, target: DataFrame, keys: Sequence[str]
 ) -> DataFrame:
     """Staged rows left after a load: those the target does not have."""
-    return anti_join_unknown(staging, target, keys)
+    staged = _stored(staging)
+    return anti_join_unknown(staged.df, prune(target, staged, keys), keys)
 
 
 def load_counts(

@@ -15,11 +15,15 @@ from pyspark.sql import functions as F
 from alambique.functions import dates, rules, text
 from alambique.functions.draws import uniform
 from alambique.operators import integrity, load, profile, stats, synth
+from alambique.operators.bloom import FALSE_POSITIVES, prune
 from alambique.operators.dedup import duplicate_keys, keep_one
+from alambique.operators.joins import skew_join
 from alambique.operators.quantiles import exact_quantile, exact_quantiles
 from alambique.plans import cleaning, reports
+from alambique.plans.cube import Cube
 from alambique.plans.loading import run_load
 from alambique.plans.star_views import VIEW_REGIONS, star, table, view
+from alambique.plans.versioned_load import VersionedTarget
 from alambique.schemas import (
     DATE_DIM,
     FACT,
@@ -34,7 +38,7 @@ from alambique.schemas import (
 from alambique.session import tune
 from alambique.sinks import export
 from alambique.sources import files
-from alambique.storage import materialize_all, scratch_path
+from alambique.storage import materialize_all, materialize_measured, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -91,7 +95,7 @@ def _clean_star(spark, sf_dir):
 def csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "csv")
     fact = view(spark, sf_dir, FACT)
-    export.export_to_csv(fact, path, compression="bzip2")
+    export.export_to_csv(fact, path, compression="gzip")
     return files.load_table(spark, FACT, path)
 
 
@@ -566,7 +570,9 @@ def _fact_load(spark, sf_dir):
     group, product = F.col("Producto_ID") % 3, F.col("Producto_ID")
     target = fact.filter(group != 2)
     staged = fact.filter(F.coalesce(group != 0, F.lit(True)))
-    return staged.unionByName(staged.filter(product % 100 == 0)), target
+    staged = staged.unionByName(staged.filter(product % 100 == 0))
+    # Derived from the fact once, however often a load reads it.
+    return materialize_measured(staged, "staged-facts"), target
 
 
 def _dim_loads(spark, sf_dir):
@@ -619,11 +625,35 @@ def load_fact_first(spark, sf_dir):
 @query
 def staging_remainder(spark, sf_dir):
     staging, target = _fact_load(spark, sf_dir)
-    loaded = target.unionByName(load.new_rows(staging, target, FACT_KEY))
+    loaded = target.unionByName(load.new_rows(staging, target, FACT_KEY, prune_by="Fecha_ID"))
     rest = load.purge_loaded(staging, loaded, FACT_KEY)
     return rest.select(*FACT_KEY, "Ventas_Volumen")
 
 
+@query
+def load_key_filter(spark, sf_dir):
+    """How many target rows the staged keys' filter lets pass to the shuffle."""
+    staged, target = _fact_load(spark, sf_dir)
+    keyed = target.select(*FACT_KEY).dropna()
+    passed = prune(keyed, staged, FACT_KEY)
+    known = staged.df.select(*FACT_KEY).dropna().distinct()
+    matches = skew_join(keyed, known, FACT_KEY, "left_semi")
+    kept = skew_join(passed, known, FACT_KEY, "left_semi")
+    frames = {"filas": keyed, "pasan": passed, "coinciden": matches, "quedan": kept}
+    named = [df.select(F.lit(name).alias("tipo")) for name, df in frames.items()]
+    counts = reduce(DataFrame.union, named).agg(
+        *[F.count_if(F.col("tipo") == name).alias(name) for name in frames]
+    )
+    others = F.col("filas") - F.col("coinciden")
+    extra = F.col("pasan") - F.col("coinciden")
+    return counts.select(
+        "filas",
+        "coinciden",
+        (F.col("coinciden") - F.col("quedan")).alias("perdidas"),
+        (extra <= others * FALSE_POSITIVES).alias("dentro_del_limite"),
+    )
+
+
 @query
 def load_log(spark, sf_dir):
     loads = _dim_loads(spark, sf_dir)
@@ -675,7 +705,8 @@ def contract_violations(spark, sf_dir):
 
 @query
 def error_detail(spark, sf_dir):
-    (staging, _), dims = _fact_load(spark, sf_dir), _clean_dims(spark, sf_dir)
+    (staged, _), dims = _fact_load(spark, sf_dir), _clean_dims(spark, sf_dir)
+    staging = staged.df
     sample = list(FACT_KEY)
     missing = integrity.orphans(staging, dims)
     repeated = duplicate_keys(staging.dropna(subset=sample), sample)
@@ -786,3 +817,66 @@ def risk_products(spark, sf_dir):
 @query
 def risk_map(spark, sf_dir):
     return _digits(reports.risk_map(_clean_star(spark, sf_dir)), "tasa_impacto")
+
+
+# -- Versions and the cube ----------------------------------------------------
+
+
+@query
+def versioned_load(spark, sf_dir):
+    """The target after two drains: facts of a product group that both bring, and of
+    the second one only those with a new key."""
+    fact = cleaning.conform(_clean_star(spark, sf_dir)[FACT], FACT)
+    group = F.col("Producto_ID") % 3
+    base = scratch_path(spark, "versions")
+    target = VersionedTarget(spark, f"{base}/target")
+    for name, part in {"first": fact.filter(group != 2), "second": fact.filter(group != 0)}.items():
+        part.write.parquet(f"{base}/{name}")
+        target.drain(f"{base}/{name}")
+    return target.read().select(*FACT_KEY, "Ventas_Volumen")
+
+
+def _cube(spark, sf_dir):
+    """The cube after a first load and one more, and the dimensions."""
+    clean = _clean_star(spark, sf_dir)
+    cube = Cube(spark, scratch_path(spark, "cube"))
+    first = F.col("Producto_ID") % 3 != 2
+    cube.add(clean[FACT].filter(first))
+    cube.add(clean[FACT].filter(~first))
+    return cube, clean
+
+
+@query
+def cube_impact_rate(spark, sf_dir):
+    cube, _ = _cube(spark, sf_dir)
+    return _digits(cube.impact_rate(), "tasa_impacto")
+
+
+@query
+def cube_impact_by_month(spark, sf_dir):
+    cube, dims = _cube(spark, sf_dir)
+    return _digits(cube.impact_by_month(dims), "tasa_impacto")
+
+
+@query
+def cube_loss_by_cause(spark, sf_dir):
+    cube, _ = _cube(spark, sf_dir)
+    return _digits(cube.loss_by_cause(), "participacion")
+
+
+@query
+def cube_risk_stores(spark, sf_dir):
+    cube, dims = _cube(spark, sf_dir)
+    return _digits(cube.risk_stores(dims), "tasa_impacto")
+
+
+@query
+def cube_risk_products(spark, sf_dir):
+    cube, dims = _cube(spark, sf_dir)
+    return _digits(cube.risk_products(dims), "tasa_impacto")
+
+
+@query
+def cube_risk_map(spark, sf_dir):
+    cube, dims = _cube(spark, sf_dir)
+    return _digits(cube.risk_map(dims), "tasa_impacto")

@@ -38,7 +38,7 @@ from alambique.schemas import (
     TARGET_NAMES,
     target_schema,
 )
-from alambique.storage import delete, materialize
+from alambique.storage import delete, materialize, materialize_measured
 
 #: Column whose staged values limit how much of a target is read.
 PRUNE_BY = {FACT: "Fecha_ID"}
@@ -54,7 +54,7 @@ def load_key(table: str) -> tuple[str, ...]:
     return FACT_KEY if table == FACT else (KEYS[table],)
 
 
-def _month(column: str) -> Column:
+def month_of(column: str) -> Column:
     return F.coalesce(F.substring(column, 1, 6), F.lit("")).alias(MONTH)
 
 
@@ -83,7 +83,7 @@ def staged_months(staging: DataFrame, table: str) -> list[str] | None:
     """Months that staged rows fall in; None if there are too many to name."""
     if table not in PRUNE_BY:
         return None
-    months = staging.select(_month(PRUNE_BY[table])).distinct()
+    months = staging.select(month_of(PRUNE_BY[table])).distinct()
     found = [row[0] for row in months.limit(MONTHS + 1).collect()]
     return found if len(found) <= MONTHS else None
 
@@ -97,7 +97,7 @@ def insert_marked(marked: DataFrame, table: str, path: str, policy: str) -> None
     if table not in PRUNE_BY:
         rows.write.mode("append").parquet(path)
         return
-    dated = rows.select("*", _month(PRUNE_BY[table])).hint("rebalance", F.col(MONTH))
+    dated = rows.select("*", month_of(PRUNE_BY[table])).hint("rebalance", F.col(MONTH))
     dated.write.mode("append").partitionBy(MONTH).parquet(path)
 
 
@@ -106,12 +106,13 @@ def load_table_into(
 ) -> tuple[DataFrame, DataFrame]:
     """Insert a table's new rows; returns its marked staging and its counts.
 
-    Staging meets the target once: the marked rows are written, and the insert,
-    the counts, the errors and the remainder all read them.
+    Staging is read once and meets the target once: the marked rows are written,
+    and the insert, the counts, the errors and the remainder all read them.
     """
     spark, keys = staging.sparkSession, load_key(table)
-    target = read_target(spark, target_path, table, staged_months(staging, table))
-    marked = mark_staging(staging, target, keys, PRUNE_BY.get(table))
+    staged = materialize_measured(staging, f"staged-{table}")
+    target = read_target(spark, target_path, table, staged_months(staged.df, table))
+    marked = mark_staging(staged, target, keys, PRUNE_BY.get(table))
     marked = materialize(marked, f"marked-{table}")
     insert_marked(marked, table, target_path, policy)
     return marked, load_counts(marked, keys, policy)

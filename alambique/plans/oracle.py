@@ -766,6 +766,10 @@ nuevas AS MATERIALIZED (SELECT DISTINCT {", ".join(f"s.{k}" for k in FACT_KEY)}
   FROM guardado s ANTI JOIN viejas t ON {_SAME} WHERE {_KEYED})
 SELECT s.* FROM guardado s ANTI JOIN viejas t ON {_SAME} ANTI JOIN nuevas u
   ON {_SAME.replace("t.", "u.")}""",
+    "load_key_filter": f"""
+SELECT count(*) AS filas, count(*) FILTER (EXISTS (SELECT 1 FROM etapa s WHERE {_SAME}))
+  AS coinciden, CAST(0 AS BIGINT) AS perdidas, true AS dentro_del_limite
+FROM destino t WHERE {_KEYED.replace("s.", "t.")}""",
     "load_log": _union(
         [
             *[
@@ -856,6 +860,22 @@ FROM ({_sums('''(SELECT f.*, Region, Segmento FROM f_integro f
   JOIN c_tienda USING (Tienda_ID) JOIN c_producto USING (Producto_ID))''', "Region, Segmento")})""",
 }
 
+# The cube's reports are the same ones.
+_TEXTS.update(
+    {
+        f"cube_{name}": _TEXTS[name]
+        for name in (
+            "impact_rate", "impact_by_month", "loss_by_cause", "risk_stores", "risk_products",
+            "risk_map",
+        )
+    }
+)
+_TEXTS["versioned_load"] = f"""
+SELECT {", ".join(FACT_KEY)}, Ventas_Volumen FROM f_integro WHERE Producto_ID % 3 <> 2
+UNION ALL SELECT {", ".join(FACT_KEY)}, Ventas_Volumen FROM f_integro s
+WHERE Producto_ID % 3 <> 0 AND NOT EXISTS (
+  SELECT 1 FROM f_integro t WHERE t.Producto_ID % 3 <> 2 AND {_SAME})"""
+
 
 def _with_own_ctes(text: str) -> str:
     """Merge a text that starts with WITH into the common tables it needs."""

@@ -32,12 +32,12 @@ CAUSES = {RETURN: "Calidad", ADJUSTMENT: "Proceso", ANOMALY: "Dato"}
 Star = Mapping[str, DataFrame]
 
 
-def _cost() -> Column:
+def cost() -> Column:
     value = F.abs(F.col("Ventas_Valor")).cast(_MONEY)
     return F.when(F.col("Tipo_Transaccion").isin(*COST_CLASSES), value)
 
 
-def _sales() -> Column:
+def sales() -> Column:
     value = F.col("Ventas_Valor").cast(_MONEY)
     return F.when(F.col("Tipo_Transaccion") == NORMAL_SALE, value)
 
@@ -45,8 +45,8 @@ def _sales() -> Column:
 def totals(fact: DataFrame, *by: str) -> DataFrame:
     """Cost and sales, per key if given."""
     return fact.groupBy(*by).agg(
-        F.coalesce(F.sum(_cost()), F.lit(0).cast(_MONEY)).alias("costo"),
-        F.coalesce(F.sum(_sales()), F.lit(0).cast(_MONEY)).alias("ventas"),
+        F.coalesce(F.sum(cost()), F.lit(0).cast(_MONEY)).alias("costo"),
+        F.coalesce(F.sum(sales()), F.lit(0).cast(_MONEY)).alias("ventas"),
     )
 
 
@@ -70,21 +70,31 @@ def impact_rate(star: Star) -> DataFrame:
 
 
 def impact_by_month(star: Star) -> DataFrame:
-    months = star[DATE_DIM].select("Fecha_ID", "Anio", "Mes")
-    dated = lookup_join(totals(star[FACT], "Fecha_ID"), months, "Fecha_ID", "inner")
+    return by_month(totals(star[FACT], "Fecha_ID"), star[DATE_DIM])
+
+
+def by_month(days: DataFrame, dates: DataFrame) -> DataFrame:
+    """Rate by month, from the sums of each day."""
+    months = dates.select("Fecha_ID", "Anio", "Mes")
+    dated = lookup_join(days, months, "Fecha_ID", "inner")
     return with_rate(_again(dated, "Anio", "Mes")).orderBy("Anio", "Mes")
 
 
 def loss_by_cause(star: Star) -> DataFrame:
     """Cost per cost class with its cause and its share of all cost."""
-    cost = F.col("costo").cast("double")
-    # At most as many rows as there are cost classes meet in the window.
-    whole = F.sum("costo").over(Window.partitionBy()).cast("double")
     classes = star[FACT].filter(F.col("Tipo_Transaccion").isin(*COST_CLASSES))
     per_class = classes.groupBy("Tipo_Transaccion").agg(
         F.count("*").alias("transacciones"),
-        F.coalesce(F.sum(_cost()), F.lit(0).cast(_MONEY)).alias("costo"),
+        F.coalesce(F.sum(cost()), F.lit(0).cast(_MONEY)).alias("costo"),
     )
+    return by_cause(per_class)
+
+
+def by_cause(per_class: DataFrame) -> DataFrame:
+    """Causes and shares, from the rows and the cost of each cost class."""
+    cost = F.col("costo").cast("double")
+    # At most as many rows as there are cost classes meet in the window.
+    whole = F.sum("costo").over(Window.partitionBy()).cast("double")
     cause = F.lit(None).cast("string")
     for kind, name in CAUSES.items():
         cause = F.when(F.col("Tipo_Transaccion") == kind, name).otherwise(cause)
@@ -98,36 +108,50 @@ def loss_by_cause(star: Star) -> DataFrame:
 
 
 def worst(star: Star, dim: str, key: str, attributes: list[str], n: int) -> DataFrame:
-    """The ``n`` members of a dimension with the highest cost, smallest key first.
+    """The ``n`` members of a dimension with the highest cost, smallest key first."""
+    return ranked(totals(star[FACT], key), star[dim], key, attributes, n)
 
-    Only those ``n`` rows are ranked and sent to the dimension.
-    """
+
+def ranked(
+    sums: DataFrame, members: DataFrame, key: str, attributes: list[str], n: int
+) -> DataFrame:
+    """The ``n`` keys with the highest cost; only those meet their dimension."""
     order = [F.desc("costo"), F.col(key)]
-    top = totals(star[FACT], key).orderBy(*order).limit(n)
+    top = sums.orderBy(*order).limit(n)
     top = top.withColumn("posicion", F.row_number().over(Window.orderBy(*order)))
-    members = star[dim].select(key, *attributes)
-    return with_rate(members.join(F.broadcast(top), key)).orderBy("posicion")
+    named = members.select(key, *attributes).join(F.broadcast(top), key)
+    return with_rate(named).orderBy("posicion")
+
+
+#: Labels that the worst stores and products are shown with.
+STORE_LABELS = ["Region", "Formato_Tienda"]
+PRODUCT_LABELS = ["Marca", "Segmento"]
 
 
 def risk_stores(star: Star, n: int = 20) -> DataFrame:
-    return worst(star, STORE_DIM, "Tienda_ID", ["Region", "Formato_Tienda"], n)
+    return worst(star, STORE_DIM, "Tienda_ID", STORE_LABELS, n)
 
 
 def risk_products(star: Star, n: int = 20) -> DataFrame:
-    return worst(star, PRODUCT_DIM, "Producto_ID", ["Marca", "Segmento"], n)
+    return worst(star, PRODUCT_DIM, "Producto_ID", PRODUCT_LABELS, n)
 
 
 def risk_map(star: Star) -> DataFrame:
-    """Cost per region and segment in quartiles, 1 the highest.
+    """Cost per region and segment in quartiles, 1 the highest."""
+    return mapped(totals(star[FACT], "Tienda_ID", "Producto_ID"), star)
+
+
+def mapped(pairs: DataFrame, star: Star) -> DataFrame:
+    """Quartiles of regions and segments, from the sums of stores with products.
 
     The ranking sees one row per pair of labels, however many facts there are.
     """
     regions = star[STORE_DIM].select("Tienda_ID", "Region")
     segments = star[PRODUCT_DIM].select("Producto_ID", "Segmento")
     sides = materialize_all({"regions": regions, "segments": segments})
-    placed = lookup_join(star[FACT], sides["regions"], "Tienda_ID", "inner")
+    placed = lookup_join(pairs, sides["regions"], "Tienda_ID", "inner")
     placed = lookup_join(placed, sides["segments"], "Producto_ID", "inner")
-    sums = totals(placed, "Region", "Segmento")
+    sums = _again(placed, "Region", "Segmento")
     order = Window.orderBy(
         F.desc("costo"),
         F.col("Region").asc_nulls_last(),
