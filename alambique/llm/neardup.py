@@ -48,7 +48,7 @@ class Settings:
     miss: float = 1e-5
     coords: int = 192
     compared: int = 64
-    node_rows: int = 2048
+    node_rows: int = 1024
     leaders: int = 8
     seed: int = 1
 
@@ -263,26 +263,34 @@ def _compare_nodes(
 
     def pairs(node, cls, label, held) -> pa.RecordBatch:
         left, right, score = [], [], []
+        root = np.arange(len(node), dtype=np.int32)
         for apart in range(1, len(node)):
             same = node[:-apart] == node[apart:]
             if not same.any():
                 break
-            other = np.flatnonzero(same & (label[:-apart] != label[apart:]))
-            for at in range(0, len(other), 1 << 16):
-                i = other[at : at + (1 << 16)]
-                equal = (held[i] == held[i + apart]).sum(axis=1)
+            open_ = same & (label[:-apart] != label[apart:])
+            if grouped:
+                # What is connected already needs no further pair.
+                open_ &= root[:-apart] != root[apart:]
+            other = np.flatnonzero(open_).astype(np.int32)
+            for at in range(0, len(other), CHUNK):
+                i = other[at : at + CHUNK]
+                equal = (held[i] == held[i + apart]).sum(axis=1, dtype=np.int16)
                 found = i[equal >= maybe]
+                if grouped:
+                    root = _joined(root, found, found + apart)
+                    continue
                 left.append(found)
                 right.append(found + apart)
                 score.append(equal[equal >= maybe])
         if grouped:
-            none = [np.zeros(0, np.int64)]
-            at, group = _groups(np.concatenate(left or none), np.concatenate(right or none), cls)
+            at, group = _named(root, cls)
             columns = [pa.array(x) for x in (group, cls[at], label[at])]
             return pa.RecordBatch.from_arrays(columns, ["node", "cls", "label"])
         if not left:
             return _pairs([], [])
         a, b, equal = map(np.concatenate, (left, right, score))
+        del left, right, score
         keep = _connecting(node, a, b, equal, clear)
         return _pairs(cls[a[keep]], cls[b[keep]])
 
@@ -307,25 +315,30 @@ def _compare_nodes(
     return dealt.mapInArrow(run, result)
 
 
-def _groups(a: np.ndarray, b: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the rows that the pairs connect, and for each a hash of the classes
-    of its group."""
-    if not len(a):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    at, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
-    left, right = np.split(ends, 2)
-    root = np.arange(len(at))
-    while True:
-        low = np.minimum(root[left], root[right])
-        before = root.copy()
-        np.minimum.at(root, left, low)
-        np.minimum.at(root, right, low)
-        root = root[root]
-        if (root == before).all():
-            break
-    named = np.zeros(len(at), np.uint64)
-    np.add.at(named, root, sh.mix(cls[at].view(np.uint64)))
-    return at, sh.mix(named)[root].view(np.int64)
+#: Pairs that are compared at once.
+CHUNK = 1 << 14
+
+
+def _joined(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least member of each row's group, once ``a`` and ``b`` are connected."""
+    while len(a):
+        low = np.minimum(root[a], root[b])
+        for ends in (a, b):
+            np.minimum.at(root, root[ends], low)
+        while not (root == root[root]).all():
+            root = root[root]
+        apart = root[a] != root[b]
+        a, b = a[apart], b[apart]
+    return root
+
+
+def _named(root: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the rows in groups of several, and a hash of each one's group."""
+    sizes = np.bincount(root, minlength=len(root))
+    at = np.flatnonzero(sizes[root] > 1)
+    named = np.zeros(len(root), np.uint64)
+    np.add.at(named, root[at], sh.mix(cls[at].view(np.uint64)))
+    return at, sh.mix(named)[root[at]].view(np.int64)
 
 
 def _cut(rows: DataFrame, size: Column, most: int) -> DataFrame:
@@ -363,37 +376,34 @@ def _confirm_nodes(rows: DataFrame, sets: DataFrame, settings: Settings) -> Data
     likely, percent = settings.likely, settings.percent
 
     def links(label, cls, side, held, own) -> list[tuple[int, int]]:
-        group = {x: x for x in label.tolist()}
-
-        def find(x: int) -> int:
-            while group[x] != x:
-                group[x] = x = group[group[x]]
-            return x
-
         sizes = np.array([len(x) for x in own])
+        starts = np.cumsum(sizes) - sizes
+        # Shingles as small numbers, so that a set is held against all others at once.
+        _, every = np.unique(np.concatenate(own), return_inverse=True)
+        every = every.astype(np.int32)
+        mine = np.zeros(int(every.max()) + 1, bool)
         two = len(np.unique(side)) > 1
+        _, group, counts = np.unique(label, return_inverse=True, return_counts=True)
         found = []
-        # Labels with few classes first: each is held against all the others.
-        counts = dict(zip(*np.unique(label, return_counts=True)))
         done = np.zeros(len(cls), bool)
-        for i in sorted(range(len(cls)), key=lambda i: (counts[label[i]], cls[i])):
+        # Labels with few classes first: each is held against all the others.
+        for i in np.lexsort((cls, counts[group])).tolist():
             done[i] = True
-            mine = find(int(label[i]))
-            open_ = ~done & (np.array([find(x) for x in label.tolist()]) != mine)
+            open_ = ~done & (group != group[i])
             if two:
                 open_ &= side != side[i]
             other = np.flatnonzero(open_)
             other = other[(held[other] == held[i]).sum(axis=1) >= likely]
-            for j in other.tolist():
-                x, y = find(int(label[i])), find(int(label[j]))
-                if x == y:
-                    continue
-                few, many = (own[i], own[j]) if sizes[i] <= sizes[j] else (own[j], own[i])
-                at = np.searchsorted(many, few)
-                at[at == len(many)] = 0
-                shared = int((many[at] == few).sum())
-                if 100 * shared >= percent * (sizes[i] + sizes[j] - shared):
-                    group[max(x, y)] = min(x, y)
+            if not len(other):
+                continue
+            shingles = every[starts[i] : starts[i] + sizes[i]]
+            mine[shingles] = True
+            shared = np.add.reduceat(mine[every], starts, dtype=np.int32)[other]
+            mine[shingles] = False
+            linked = 100 * shared >= percent * (sizes[i] + sizes[other] - shared)
+            for j in other[linked].tolist():
+                if group[i] != group[j]:
+                    group[group == group[j]] = group[i]
                     found.append((int(cls[i]), int(cls[j])))
         return found
 
@@ -434,7 +444,7 @@ def _confirm_nodes(rows: DataFrame, sets: DataFrame, settings: Settings) -> Data
 
 
 #: Bytes of the full sets of a node's part, and of what a task is handed at once.
-SET_BYTES, HANDED = 32 << 20, 8 << 20
+SET_BYTES, HANDED = 12 << 20, 4 << 20
 
 
 def _pairs(a: Iterable[int], b: Iterable[int]) -> pa.RecordBatch:
@@ -456,7 +466,7 @@ def _connecting(
     most alike to the others, and the NEAREST pairs of each row that is not
     clearly alike to that one.
     """
-    order = np.lexsort((b, a, -equal, node[a]))
+    order = np.lexsort((b, a, -equal, node[a])).astype(np.int32)
     of = node[a[order]]
     edges = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
     kept = []
