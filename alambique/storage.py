@@ -6,6 +6,7 @@ its lineage and survives the loss of any executor.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -20,13 +21,18 @@ from pyspark.sql import types as T
 def scratch_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, else the warehouse.
 
-    Executors share both; a folder of the driver's machine is never used.
+    Executors share both. A warehouse that is a plain folder, as by default, is one
+    of the driver's machine: it is used in local mode alone.
     """
-    for setting in ("spark.checkpoint.dir", "spark.sql.warehouse.dir"):
-        root = spark.conf.get(setting, None)
-        if root:
-            return root.rstrip("/")
-    raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", None) or ""
+        local = re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", None) or "")
+        if local or re.match(r"(?!file:)[a-z][a-z0-9+.-]*:", warehouse):
+            root = warehouse
+    if not root:
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return root.rstrip("/")
 
 
 def run_folder(spark: SparkSession) -> str:

@@ -27,6 +27,19 @@ def test_the_warehouse_where_none_is_named():
         scratch_root(Session(spark_master="yarn"))
 
 
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[2,1,1024]", None])
+@pytest.mark.parametrize("warehouse", ["file:/home/user/spark-warehouse", "spark-warehouse", "/w", None])
+def test_a_folder_of_the_drivers_machine_is_refused(master, warehouse):
+    settings = {"spark_master": master, "spark_sql_warehouse_dir": warehouse}
+    with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
+        scratch_root(Session(**{k: v for k, v in settings.items() if v}))
+
+
+def test_local_mode_has_one_machine():
+    session = Session(spark_master="local[8]", spark_sql_warehouse_dir="file:/home/user/warehouse")
+    assert scratch_root(session) == "file:/home/user/warehouse"
+
+
 def test_a_runs_folder_is_cleared(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(storage, "run_folder", lambda _: str(tmp_path / "run"))
     stored = storage.materialize(spark.range(3), "x")
