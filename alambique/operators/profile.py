@@ -93,6 +93,46 @@ def distinct_counts(df: DataFrame, *columns: str) -> DataFrame:
     return long_form(df, counts, "columna", "distintos")
 
 
+#: Bits of the row number of a distinct-count sketch, and how far it may be off.
+SKETCH_BITS, SKETCH_ERROR = 14, 0.03
+
+
+def distinct_sketches(df: DataFrame, *columns: str) -> DataFrame:
+    """One row: for each column a sketch of its distinct values, and whether it has
+    a NULL. Rows are read once and not multiplied; sketches of parts can be merged."""
+    found = []
+    for c in columns:
+        found += [
+            F.hll_sketch_agg(F.col(c).cast("string"), SKETCH_BITS).alias(c),
+            F.max(F.col(c).isNull()).alias(f"{c}__nulo"),
+        ]
+    return df.agg(*found)
+
+
+def merged_sketches(parts: DataFrame, *columns: str) -> DataFrame:
+    """One row from the rows of several parts."""
+    found = []
+    for c in columns:
+        found += [F.hll_union_agg(c).alias(c), F.max(f"{c}__nulo").alias(f"{c}__nulo")]
+    return parts.agg(*found)
+
+
+def sketched_counts(sketches: DataFrame, *columns: str) -> DataFrame:
+    """Number of distinct values per column, NULL counted as one, off by
+    SKETCH_ERROR at most in all but rare cases."""
+    counts = [
+        F.struct(
+            F.lit(c).alias("columna"),
+            (
+                F.coalesce(F.hll_sketch_estimate(c), F.lit(0))
+                + F.coalesce(F.col(f"{c}__nulo"), F.lit(False)).cast("long")
+            ).alias("distintos"),
+        )
+        for c in columns
+    ]
+    return sketches.select(F.inline(F.array(*counts)))
+
+
 def frequencies(df: DataFrame, column: str, by_value: bool = False) -> DataFrame:
     """Rows per value, most frequent first or in order of the values."""
     counts = df.groupBy(column).agg(F.count("*").alias("filas"))

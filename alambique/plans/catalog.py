@@ -21,6 +21,7 @@ from alambique.operators.joins import skew_join
 from alambique.operators.quantiles import exact_quantile, exact_quantiles
 from alambique.plans import cleaning, reports
 from alambique.plans.cube import Cube
+from alambique.plans.fit_state import RANK_ERROR, FitState, rank_errors
 from alambique.plans.loading import run_load
 from alambique.plans.star_views import VIEW_REGIONS, star, table, view
 from alambique.plans.versioned_load import VersionedTarget
@@ -880,3 +881,54 @@ def cube_risk_products(spark, sf_dir):
 def cube_risk_map(spark, sf_dir):
     cube, dims = _cube(spark, sf_dir)
     return _digits(cube.risk_map(dims), "tasa_impacto")
+
+
+def _fit_state(spark, sf_dir):
+    """States of all months; one of them was first measured with other volumes."""
+    fact, month = view(spark, sf_dir, FACT), F.substring("Fecha_ID", 1, 6)
+    one = F.coalesce(month == "199502", F.lit(False))
+    state = FitState(spark, scratch_path(spark, "fit-state"))
+    state.update(fact.withColumn("Ventas_Volumen", F.when(one, 9).otherwise(F.col("Ventas_Volumen"))))
+    state.update(fact.filter(one))
+    return state
+
+
+@query
+def state_bounds(spark, sf_dir):
+    bounds = _fit_state(spark, sf_dir).bounds_frame(3.0)
+    return _digits(bounds, *bounds.columns)
+
+
+@query
+def state_price_avg(spark, sf_dir):
+    return _digits(_fit_state(spark, sf_dir).average_prices(), "Precio_Promedio_Producto")
+
+
+@query
+def state_median_price(spark, sf_dir):
+    """The exact median, and whether the sketches' median is as near as stated."""
+    priced = view(spark, sf_dir, FACT).filter(F.col("Precio") > 0)
+    found = exact_quantiles(priced, "Precio", [0.5])
+    errors = rank_errors(priced, "Precio", _fit_state(spark, sf_dir).price_quantiles([0.5]))
+    return errors.select(
+        F.lit(found.rows).cast("long").alias("filas"),
+        F.lit(found.values[0.5]).cast("double").alias("mediana"),
+        (F.col("error") <= RANK_ERROR).alias("dentro_del_limite"),
+    )
+
+
+@query
+def profile_distinct_sketch(spark, sf_dir):
+    """Exact distinct counts, and whether merged sketches come as near as stated."""
+    columns = ["Tienda_ID", "Producto_ID", "Fecha_ID"]
+    fact = view(spark, sf_dir, FACT)
+    parts = [fact.filter(F.col("Out_Of_Stock_Flag") == flag) for flag in (0, 1)]
+    sketches = reduce(DataFrame.union, [profile.distinct_sketches(p, *columns) for p in parts])
+    near = profile.sketched_counts(profile.merged_sketches(sketches, *columns), *columns)
+    exact = profile.distinct_counts(fact, *columns)
+    apart = F.abs(F.col("cerca") - F.col("distintos"))
+    return exact.join(near.withColumnRenamed("distintos", "cerca"), "columna").select(
+        "columna",
+        "distintos",
+        (apart <= F.col("distintos") * profile.SKETCH_ERROR).alias("dentro_del_limite"),
+    )

@@ -870,6 +870,13 @@ _TEXTS.update(
         )
     }
 )
+# So are the fits from states; a sketch has to come as near as its bound.
+_TEXTS["state_bounds"] = _TEXTS["outlier_bounds"]
+_TEXTS["state_price_avg"] = _TEXTS["price_avg"]
+_TEXTS["state_median_price"] = f"SELECT *, true AS dentro_del_limite FROM ({_TEXTS['median_price']})"
+_TEXTS["profile_distinct_sketch"] = (
+    f"SELECT *, true AS dentro_del_limite FROM ({_TEXTS['profile_distinct_counts']})"
+)
 _TEXTS["versioned_load"] = f"""
 SELECT {", ".join(FACT_KEY)}, Ventas_Volumen FROM f_integro WHERE Producto_ID % 3 <> 2
 UNION ALL SELECT {", ".join(FACT_KEY)}, Ventas_Volumen FROM f_integro s
