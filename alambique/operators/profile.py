@@ -1,6 +1,6 @@
 """Profiling: statistics, NULLs, key patterns, values and business scenarios.
 
-Every function is one pass over its table, with results as rows.
+Every function but ``heavy_values`` is one pass over its table, with results as rows.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from alambique.functions.dates import key_class
+from alambique.operators.joins import lookup_join
+from alambique.storage import materialize, materialize_measured
 
 
 def long_form(df: DataFrame, values: dict[str, Column], name: str, value: str):
@@ -140,6 +142,43 @@ def frequencies(df: DataFrame, column: str, by_value: bool = False) -> DataFrame
     return counts.orderBy(*([value] if by_value else [F.desc("filas"), value]))
 
 
+#: Values that the summary of heavy values tracks; one of more than ERROR / TRACKED of
+#: all rows is always among them.
+TRACKED, TRACK_ERROR = 1 << 16, 3.5
+
+
+def heavy_values(df: DataFrame, column: str, n: int, tracked: int = TRACKED) -> DataFrame:
+    """The ``n`` most frequent values with their exact counts, ties in order of the
+    values, NULL left out; for columns of very many values.
+
+    A summary of counters, of bounded size in each task and merged, gives the
+    candidates, and a second pass counts only those. If the last of the ``n`` is too
+    rare for the summary to be sure of it, every value is counted instead.
+    """
+    order = [F.desc("filas"), F.col(column)]
+    known = df.select(column).filter(F.col(column).isNotNull())
+    summary = F.expr(f"approx_top_k(`{column}`, {tracked}, {tracked})")
+    summed = known.agg(F.count(F.lit(1)).alias("rows"), summary.alias("items"))
+    found = materialize(summed, "summary")
+    rows = found.first().rows
+    candidates = materialize_measured(
+        found.select(F.explode("items").alias("item")).select(F.col("item.item").alias(column)),
+        "candidates",
+    )
+    counts = lookup_join(known, candidates, column, "inner").groupBy(column).agg(
+        F.count(F.lit(1)).alias("filas")
+    )
+    counts = materialize(counts, "candidate-counts")
+    top = counts.orderBy(*order).limit(n)
+    last = top.agg(F.count(F.lit(1)).alias("n"), F.min("filas").alias("filas")).first()
+    covered = counts.agg(F.coalesce(F.sum("filas"), F.lit(0))).first()[0]
+    sure = last.n == n and last.filas * tracked > TRACK_ERROR * rows
+    if not sure and covered < rows:
+        every = known.groupBy(column).agg(F.count(F.lit(1)).alias("filas"))
+        return every.orderBy(*order).limit(n)
+    return top.select(column, "filas").orderBy(*order)
+
+
 def scenarios() -> dict[str, Column]:
     """Business scenarios of a raw sales row. They overlap: see ``scenario_shares``.
 

@@ -932,3 +932,8 @@ def profile_distinct_sketch(spark, sf_dir):
         "distintos",
         (apart <= F.col("distintos") * profile.SKETCH_ERROR).alias("dentro_del_limite"),
     )
+
+
+@query
+def profile_heavy_values(spark, sf_dir):
+    return profile.heavy_values(view(spark, sf_dir, FACT), "Producto_ID", 20)

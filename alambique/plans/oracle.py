@@ -877,6 +877,9 @@ _TEXTS["state_median_price"] = f"SELECT *, true AS dentro_del_limite FROM ({_TEX
 _TEXTS["profile_distinct_sketch"] = (
     f"SELECT *, true AS dentro_del_limite FROM ({_TEXTS['profile_distinct_counts']})"
 )
+_TEXTS["profile_heavy_values"] = """
+SELECT Producto_ID, count(*) AS filas FROM fact_ventas WHERE Producto_ID IS NOT NULL
+GROUP BY Producto_ID ORDER BY filas DESC, Producto_ID LIMIT 20"""
 _TEXTS["versioned_load"] = f"""
 SELECT {", ".join(FACT_KEY)}, Ventas_Volumen FROM f_integro WHERE Producto_ID % 3 <> 2
 UNION ALL SELECT {", ".join(FACT_KEY)}, Ventas_Volumen FROM f_integro s
