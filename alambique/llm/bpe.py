@@ -35,7 +35,7 @@ PIECE = 8192
 #: Code points that decide where a word ends, also the strings of added tokens.
 MARGIN = 20
 
-#: Stretches kept with their ids, and the longest of them.
+#: Words and stretches kept with their ids, and the longest of them.
 KEPT, SHORT = 1 << 19, 64
 
 #: No normalisation or word goes beyond these characters.
@@ -85,6 +85,20 @@ class Part:
         return np.concatenate([ends[0], *self.middle, ends[1]])
 
 
+class Known(dict):
+    """Ids by text; long texts are encoded anew each time."""
+
+    def __init__(self, encode: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self._encode = encode
+
+    def __missing__(self, text: str) -> bytes:
+        ids = self._encode(text)
+        if len(text) <= SHORT:
+            self[text] = ids
+        return ids
+
+
 class Encoder:
     """Encodes stretches as the library does, and joins them."""
 
@@ -102,9 +116,10 @@ class Encoder:
         added = self.library.get_added_tokens_decoder()
         self.added = [added[i].content for i in added]
         self.last = {i for i, name in self.names.items() if name.endswith(self.suffix) or i in added}
+        #: Whether ids fit into two bytes where they travel.
+        self.narrow = max(self.names) < 1 << 16
         self.window = window
-        self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.words, self.stretches = Known(self._word), Known(self._stretch)
 
     @staticmethod
     def _load(path: str) -> Tokenizer:
@@ -114,39 +129,27 @@ class Encoder:
         return library
 
     def plain(self, text: str) -> np.ndarray:
-        """Ids of a text of any kind, stretch by stretch between white space."""
-        return self._ids(_SPACE.split(text))
-
-    def _ids(self, stretches: list[str]) -> np.ndarray:
-        known, found = self.known, []
-        for stretch in stretches:
-            ids = known.get(stretch)
-            if ids is None:
-                ids = self._stretch(stretch)
-                if len(stretch) <= SHORT:
-                    if len(known) >= KEPT:
-                        known.clear()
-                    known[stretch] = ids
-            found.append(ids)
-        return np.frombuffer(b"".join(found), "<u4")
+        """Ids of a text of any kind, each word or stretch looked up once."""
+        return np.frombuffer(self._ids(text), "<u4")
+
+    def _ids(self, text: str) -> bytes:
+        latin = text.isascii() or max(text) <= "\xff"
+        if latin and not any(name in text for name in self.added):
+            # Such text is as it is when composed, and its words are known here.
+            parts, known = _WORDS.findall(text.lower()), self.words
+        else:
+            parts, known = _SPACE.split(text), self.stretches
+        found = b"".join(map(known.__getitem__, parts))
+        if len(known) > KEPT:
+            known.clear()
+        return found
+
+    def _word(self, word: str) -> bytes:
+        named = word if word.isalnum() and word.isascii() else word.translate(_BYTE_LEVEL)
+        return array("I", [t.id for t in self.ending.tokenize(named)]).tobytes()
 
     def _stretch(self, text: str) -> bytes:
-        """Ids of a stretch. Latin-1 is as it is when composed, so its words are found
-        here, and those of several stretches are looked up once."""
-        if not text.isascii() and max(text) > "\xff" or any(name in text for name in self.added):
-            return array("I", self._encode(text).ids).tobytes()
-        found = []
-        for word in _WORDS.findall(text.lower()):
-            ids = self.words.get(word)
-            if ids is None:
-                named = word if word.isalnum() and word.isascii() else word.translate(_BYTE_LEVEL)
-                ids = array("I", [t.id for t in self.ending.tokenize(named)]).tobytes()
-                if len(word) <= SHORT:
-                    if len(self.words) >= KEPT:
-                        self.words.clear()
-                    self.words[word] = ids
-            found.append(ids)
-        return b"".join(found)
+        return array("I", self._encode(text).ids).tobytes()
 
     def _encode(self, text: str):
         return self.library.encode(text, add_special_tokens=False)
@@ -299,8 +302,10 @@ def _parts(path: str) -> Callable:
         def row(row, doc_id, piece, text):
             stretches = _SPACE.split(text)
             tail = stretches[-1] if len(stretches) > 1 else None
-            middle = encoder._ids(stretches[1:-1]).astype("<u4").tobytes()
-            yield row, doc_id, piece, stretches[0], middle, tail
+            middle = encoder.plain(" ".join(stretches[1:-1]))
+            if encoder.narrow:
+                middle = middle.astype("<u2")
+            yield row, doc_id, piece, stretches[0], middle.tobytes(), tail
 
         return row
 
@@ -315,9 +320,10 @@ def _joined(parts: DataFrame, path: str) -> DataFrame:
         if path not in encoders:
             encoders[path] = Encoder(path)
         encoder, rows = encoders[path], rows.sort_values("piece")
+        kind = "<u2" if encoder.narrow else "<u4"
         whole_ = encoder.concatenate(
             [
-                encoder.part(head, np.frombuffer(middle, "<u4"), tail)
+                encoder.part(head, np.frombuffer(middle, kind), tail)
                 for head, middle, tail in zip(rows["head"], rows["middle"], rows["tail"])
             ]
         )

@@ -31,7 +31,7 @@ def joined(encoder, text, size):
     parts = []
     for at in range(0, len(text), size):
         own = bpe._SPACE.split(text[at : at + size])
-        parts.append(encoder.part(own[0], encoder._ids(own[1:-1]), own[-1] if len(own) > 1 else None))
+        parts.append(encoder.part(own[0], encoder.plain(" ".join(own[1:-1])), own[-1] if len(own) > 1 else None))
     return encoder.concatenate(parts).ids().tolist()
 
 
