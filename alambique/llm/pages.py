@@ -1,9 +1,10 @@
 """Main text of web pages: page structure, then differencing of nearest URLs.
 
-Each page is read once into blocks of text with the zone they stand in. Where
-the page marks its article, that is the main text. Elsewhere the page is paired
-with its nearest neighbour by URL path within its host, the lines of both are
-aligned by longest common subsequence, and lines that both share are deleted.
+Each page is read once into blocks of text with the zone they stand in. Every page
+is paired with its nearest neighbour by URL path within its host, and the lines of
+both are aligned by longest common subsequence. Lines that both share are deleted:
+all of them where the page marks no article, and within a marked article those that
+also recur over the host. Equal pages of a host are paired as one.
 """
 
 from __future__ import annotations
@@ -14,13 +15,15 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from os.path import commonprefix
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from alambique.llm.batches import map_rows
 from alambique.llm.order import with_neighbours
-from alambique.storage import scratch_path
+from alambique.operators.joins import lookup_join
+from alambique.storage import materialize, scratch_path
 
 #: Elements whose content is no text of the page.
 RAW = "script style noscript template title textarea select option button svg math iframe object canvas audio video datalist".split()
@@ -48,8 +51,12 @@ CONTENT_WORDS = frozenset("article content entry post story".split())
 #: How surely a zone is the main text.
 OPEN, NAMED, MAIN, ARTICLE = range(4)
 
-#: Lines of a page that are aligned at once.
-ALIGNED = 8192
+#: Bits of the rows that an alignment keeps; longer ones are halved first.
+KEPT_BITS = 1 << 28
+
+#: A line recurs over a host if it is in so many of its distinct pages, and in this
+#: share of them.
+RECURS_PAGES, RECURS_SHARE = 5, 0.3
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -158,17 +165,39 @@ def blocks(page: str) -> Iterator[tuple[str, int, bool]]:
     yield from flush()
 
 
-def _common(a: Sequence[int], b: Sequence[int]) -> list[int]:
-    """Places in ``a`` of a longest common subsequence, by rows of bits."""
+def _rows(a: Sequence[int], b: Sequence[int]) -> Iterator[int]:
+    """For each beginning of ``a`` a number whose cleared bits are the places of
+    ``b`` at which the longest common subsequence grows."""
     full = (1 << len(b)) - 1
     holds: dict[int, int] = {}
     for j, x in enumerate(b):
         holds[x] = holds.get(x, 0) | 1 << j
-    row, rows = full, []
+    row = full
     for x in a:
         same = row & holds.get(x, 0)
         row = ((row + same) | (row - same)) & full
-        rows.append(row)
+        yield row
+
+
+def _lengths(a: Sequence[int], b: Sequence[int]) -> np.ndarray:
+    """Length of the longest common subsequence of ``a`` with each beginning of ``b``."""
+    row = 0
+    for row in _rows(a, b):
+        pass
+    raw = np.frombuffer(row.to_bytes(len(b) // 8 + 1, "little"), np.uint8)
+    grows = 1 - np.unpackbits(raw, bitorder="little")[: len(b)]
+    return np.append(0, np.cumsum(grows.astype(np.int64))) if len(a) else np.zeros(len(b) + 1, np.int64)
+
+
+def _common(a: Sequence[int], b: Sequence[int]) -> list[int]:
+    """Places in ``a`` of a longest common subsequence, by rows of bits; in memory
+    that grows with the lines, as long pages are halved where both halves align best."""
+    if len(a) > 1 and len(a) * len(b) > KEPT_BITS:
+        half = len(a) // 2
+        best = _lengths(a[:half], b) + _lengths(a[half:][::-1], b[::-1])[::-1]
+        cut = int(best.argmax())
+        return _common(a[:half], b[:cut]) + [half + i for i in _common(a[half:], b[cut:])]
+    rows = list(_rows(a, b))
     found, i, j = [], len(a), len(b)
     while i and j:
         if rows[i - 1] >> (j - 1) & 1:
@@ -184,19 +213,14 @@ def _common(a: Sequence[int], b: Sequence[int]) -> list[int]:
 def shared_lines(own: Sequence[int], other: Sequence[int]) -> list[int]:
     """Places in ``own`` of the lines that align with lines of ``other``.
 
-    Equal beginnings and ends are set apart first; what lies between is aligned
-    in stretches of at most ALIGNED lines.
+    Equal beginnings and ends are set apart first.
     """
     least = min(len(own), len(other))
     head = next((i for i in range(least) if own[i] != other[i]), least)
     rest = least - head
     tail = next((i for i in range(rest) if own[-1 - i] != other[-1 - i]), rest)
-    mine, others = own[head : len(own) - tail], other[head : len(other) - tail]
-    between = []
-    for at in range(0, len(mine), ALIGNED):
-        part = _common(mine[at : at + ALIGNED], others[at : at + ALIGNED])
-        between += [head + at + i for i in part]
-    return [*range(head), *between, *range(len(own) - tail, len(own))]
+    between = _common(own[head : len(own) - tail], other[head : len(other) - tail])
+    return [*range(head), *[head + i for i in between], *range(len(own) - tail, len(own))]
 
 
 def _reader():
@@ -216,17 +240,17 @@ def _signed(value: int) -> int:
 
 
 def _pairer():
-    def shared(row, host, path, lines, before, after):
+    def shared(host, page, path, lines, recurring, before, after):
         near = [
-            (len(commonprefix([path, x["__path"]])), x["__lines"])
+            (len(commonprefix([path, x["path"]])), x["lines"])
             for x in (before, after)
-            if x is not None and x["__host"] == host
+            if x is not None and x["host"] == host
         ]
-        # A page with the same lines is a copy, not a page of the same make.
-        near = [(n, other) for n, other in near if other != lines]
         if not near:
             return []
-        return [(row, shared_lines(lines, max(near, key=lambda x: x[0])[1]))]
+        at = shared_lines(lines, max(near, key=lambda x: x[0])[1])
+        often = set(recurring or ())
+        return [(host, page, at, [i for i in at if lines[i] in often])]
 
     return shared
 
@@ -240,15 +264,51 @@ def _path() -> Column:
     return F.coalesce(F.regexp_extract("url", r"^(?:[a-zA-Z][\w+.-]*://[^/?#]*)?([^?#]*)", 1), F.lit(""))
 
 
+def _recurring(pages: DataFrame) -> DataFrame:
+    """``host, page, recurring``: the lines of each distinct page that recur over its
+    host, for pages that have any."""
+    lines = pages.select("host", "page", F.explode(F.array_distinct("lines")).alias("line"))
+    counts = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
+    many = counts.filter(F.col("n") >= RECURS_PAGES)
+    sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    often = lookup_join(many, sizes, "host", "inner")
+    often = often.filter(F.col("n") >= F.col("pages") * RECURS_SHARE).select("host", "line")
+    held = lookup_join(lines, often, ["host", "line"], "left_semi")
+    return held.groupBy("host", "page").agg(F.collect_set("line").alias("recurring"))
+
+
+def shared_with_nearest(pages: DataFrame) -> DataFrame:
+    """``host, page, shared, often``: places of the lines that a distinct page shares
+    with its nearest one, and of those that also recur over the host.
+
+    ``pages`` has ``host``, ``path``, ``page`` (a hash of the lines) and ``lines``, a
+    row for each page; equal pages of a host are one, with the first of their paths.
+    """
+    distinct = materialize(
+        pages.groupBy("host", "page").agg(F.min("path").alias("path"), F.first("lines").alias("lines")),
+        "distinct-pages",
+    )
+    recurring = lookup_join(distinct, _recurring(distinct), ["host", "page"], "left")
+    near = with_neighbours(
+        recurring, ["host", "path", "page"], ["host", "path", "lines"], "page-order"
+    )
+    return map_rows(
+        near.select("host", "page", "path", "lines", "recurring", "prev", "next"),
+        "host string, page long, shared array<int>, often array<int>",
+        _pairer,
+    )
+
+
 def extract(pages: DataFrame) -> DataFrame:
-    """Main text of each page: ``page_id, url, text, n_chars, certainty``.
+    """Main text of each page: ``page_id, url, text, n_chars, certainty, n_deleted``.
 
     ``pages`` needs ``page_id``, ``url`` and ``html``; other columns are ignored.
     A row for each row, repeats and NULL ids too. A NULL or empty page has the
     text "". A NULL URL has the empty host. ``certainty`` tells what marked the
     main text: 3 an article element, 2 a main element, 1 a class or id, 0 nothing.
-    From 2 on the marked part is taken as it is; below, lines shared with the
-    nearest page are deleted. A page without such a neighbour loses none.
+    Below 2 all lines shared with the nearest page are deleted, from 2 on those that
+    recur over the host too; ``n_deleted`` of the main text's. A page whose host has
+    no other page loses none, and equal pages have equal texts.
     """
     source = pages.select(
         F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")
@@ -259,40 +319,28 @@ def extract(pages: DataFrame) -> DataFrame:
         _reader,
     )
     # Read once: texts are kept for the result, hashes of lines for the pairs.
-    numbered = read.withColumn("__row", F.monotonically_increasing_id())
+    named = read.withColumns(
+        {"host": _host(), "path": _path(), "page": F.xxhash64("lines")}
+    )
     path = scratch_path(pages.sparkSession, "pages")
-    numbered.write.option("compression", "zstd").parquet(path)
-    stored = pages.sparkSession.read.schema(numbered.schema).parquet(path)
-    marked = stored.filter(F.col("sure") >= MAIN).select(
-        "page_id", "url", F.array_join("main", "\n").alias("text"), "sure"
+    named.write.option("compression", "zstd").parquet(path)
+    stored = pages.sparkSession.read.schema(named.schema).parquet(path)
+    shared = materialize(
+        shared_with_nearest(stored.select("host", "path", "page", "lines")), "shared-lines"
     )
-    lines = stored.select(
-        "__row",
-        _host().alias("__host"),
-        _path().alias("__path"),
-        F.col("lines").alias("__lines"),
-        "sure",
+    paired = lookup_join(stored.drop("lines", "path"), shared, ["host", "page"], "left")
+    gone = F.coalesce(
+        F.when(F.col("sure") < MAIN, F.col("shared")).otherwise(F.col("often")), F.array().cast("array<int>")
     )
-    near = with_neighbours(
-        lines, ["__host", "__path", "__row"], ["__host", "__path", "__lines"], "page-order"
-    ).filter(F.col("sure") < MAIN)
-    shared = map_rows(
-        near.select("__row", "__host", "__path", "__lines", "prev", "next"),
-        "__row long, shared array<int>",
-        _pairer,
-    )
-    open_pages = stored.filter(F.col("sure") < MAIN).join(shared, "__row", "left")
     own = F.filter(
-        F.arrays_zip("main", "at"),
-        lambda x: ~F.coalesce(F.array_contains("shared", x["at"]), F.lit(False)),
-    )
-    differenced = open_pages.select(
-        "page_id", "url", F.array_join(F.transform(own, lambda x: x["main"]), "\n").alias("text"), "sure"
+        F.arrays_zip("main", "at"), lambda x: ~F.array_contains(F.col("__gone"), x["at"])
     )
-    return marked.union(differenced).select(
+    left = paired.withColumn("__gone", gone).withColumn("__own", F.transform(own, lambda x: x["main"]))
+    return left.withColumn("text", F.array_join("__own", "\n")).select(
         "page_id",
         "url",
         "text",
         F.length("text").cast("long").alias("n_chars"),
         F.col("sure").alias("certainty"),
+        (F.size("main") - F.size("__own")).alias("n_deleted"),
     )

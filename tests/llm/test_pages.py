@@ -1,9 +1,12 @@
 import html
 import random
 import re
+from os.path import commonprefix
 
+import pytest
 from pyspark.sql import functions as F
 
+from alambique.llm import pages
 from alambique.llm.pages import ARTICLE, OPEN, blocks, extract, shared_lines
 
 SCHEMA = "page_id long, url string, html string, text string, lines int"
@@ -81,6 +84,84 @@ def test_alignment_is_a_longest_common_subsequence():
         assert len(found) == longest(a, b) and all(a[i] in rest for i in found)
 
 
+@pytest.mark.parametrize("bits", [1, 40, 1 << 28])
+def test_halved_alignments_are_as_long(monkeypatch, bits):
+    draw = random.Random(2)
+    pairs = [([draw.randrange(4) for _ in range(draw.randrange(40))], [draw.randrange(4) for _ in range(30)]) for _ in range(60)]
+    expected = [len(shared_lines(a, b)) for a, b in pairs]
+    monkeypatch.setattr(pages, "KEPT_BITS", bits)
+    for (a, b), n in zip(pairs, expected):
+        found, rest = shared_lines(a, b), iter(b)
+        assert len(found) == n and all(a[i] in rest for i in found)
+
+
+def test_a_block_that_moved_far_is_aligned():
+    block, own, other = (list(range(k, k + 5000)) for k in (0, 10_000, 20_000))
+    assert len(shared_lines([*own[:4000], *block], [*block, *other[:4000]])) == 5000
+
+
+def test_equal_pages_have_equal_texts(spark):
+    def page(body):
+        return f"<body><p>Welcome to us</p>{body}<div>Call 555</div></body>"
+
+    data = [(1, "http://h/a", page("<p>Alpha</p>")), (9, "http://h/z", page("<p>Omega</p>"))]
+    data += [(2 + i, f"http://h/m{i}", page("<p>Twin</p>")) for i in range(4)]
+    found = texts(spark, data)
+    assert {found[i].text for i in range(2, 6)} == {"Twin"}
+    assert (found[1].text, found[9].text) == ("Alpha", "Omega")
+
+
+def test_lines_of_articles_that_recur_over_the_host(spark):
+    def page(i):
+        more = "<p>Read more in our app</p>" if i != 3 else ""
+        twice = "<p>Told by two pages</p>" if i in (4, 5) else ""
+        return f"<body><nav>Menu {i}</nav><article><p>Story {i}</p>{more}{twice}</article></body>"
+
+    data = [(i, f"http://h/{i}", page(i)) for i in range(8)]
+    found = texts(spark, data)
+    assert all(found[i].text.startswith(f"Story {i}") for i in found)
+    # The neighbours of page 3 are compared with the other one beside them.
+    assert all("app" not in found[i].text for i in (0, 1, 5, 6, 7))
+    assert "Told by two pages" in found[4].text and "Told by two pages" in found[5].text
+    assert found[0].n_deleted == 1 and found[3].n_deleted == 0
+
+
+def brute(table):
+    """Whole texts of pages by the definition, host by host on plain lists."""
+    hosts = {}
+    for r in table:
+        read = list(blocks(r.html or ""))
+        hosts.setdefault(re.sub(r"^https?://([^/?#]*).*", r"\1", r.url).lower(), []).append((r, read))
+    for rows_ in hosts.values():
+        path = lambda r: re.sub(r"^https?://[^/?#]*([^?#]*).*", r"\1", r.url)
+        distinct = {}
+        for r, read in rows_:
+            key = tuple(t for t, *_ in read)
+            distinct[key] = min(distinct.get(key, path(r)), path(r))
+        order = sorted(distinct, key=lambda k: (distinct[k].encode(),))
+        often = {t for t in {t for k in distinct for t in k}
+                 if sum(t in k for k in distinct) >= max(5, 0.3 * len(distinct))}
+        for r, read in rows_:
+            key = tuple(t for t, *_ in read)
+            i = order.index(key)
+            near = [order[j] for j in (i - 1, i + 1) if 0 <= j < len(order)]
+            same = lambda k: len(commonprefix([distinct[k], distinct[key]]))
+            at = set(shared_lines(key, max(near, key=same))) if near else set()
+            best = max((s for _, s, noise in read if not noise), default=0)
+            lost = {j for j in at if best < 2 or key[j] in often}
+            main = [t for j, (t, s, noise) in enumerate(read) if not noise and s == best and j not in lost]
+            yield r.page_id, "\n".join(main)
+
+
+@pytest.mark.parametrize("marked", [True, False])
+def test_against_brute_force(spark, small_dir, marked):
+    table = spark.read.parquet(f"{small_dir}/pages.parquet")
+    if not marked:
+        table = table.withColumn("html", F.regexp_replace("html", "<(/?)article>", "<$1div>"))
+    found = {(r.page_id, r.text) for r in extract(table).collect()}
+    assert found == set(brute(table.collect()))
+
+
 def test_broken_markup():
     assert [t for t, *_ in blocks("<p>a <b>b<p>c</b> d</div> <unclosed 'x> e < f")]
     assert list(blocks("<!-- never closed <p>x</p>")) == []
