@@ -1,11 +1,13 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Words are read as symbols: insults, threats, targets, negations, reporting verbs
-and others. Small transducers that follow one of these each are composed into
-one automaton, which is run over every clause with an insult or threat and tells
-how it was said. A clause scores by its pattern and its context; clauses combine
-as independent causes. Patterns and the weights of contexts are learned from
-labelled rows, starting from a few common words.
+Two lexical transducers read insults and threats, phrases of any number of words
+in four languages, with a weight on each arc; the other words of a clause become
+targets, negations, reporting verbs or others. Small transducers that follow one
+of these each are composed into one automaton, which is run over every clause with
+an insult or threat and tells how it was said. A clause scores by its phrase and
+its context; clauses combine as independent causes. Phrases, beginnings of words
+and the weights of contexts are learned from labelled rows, starting from a few
+common phrases.
 """
 
 from __future__ import annotations
@@ -23,12 +25,28 @@ from alambique.llm.langid import remainder
 
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
-#: Words the grammar knows before it learns.
+#: Insults and threats the grammar knows before it learns, by language.
 INSULTS = (
-    "idiot idiots moron morons stupid dumb scum trash loser losers pathetic "
-    "worthless disgusting clown bastard jerk imbecile fool filth vermin"
-).split()
-THREATS = "kill killing hurt destroy shoot strangle stab".split()
+    # English
+    "idiot", "idiots", "moron", "morons", "stupid", "dumb", "scum", "trash", "loser", "losers",
+    "pathetic", "worthless", "disgusting", "clown", "bastard", "jerk", "imbecile", "fool", "filth",
+    "vermin", "piece of garbage", "piece of dirt", "waste of space", "sick in the head", "good for nothing",
+    # German
+    "idioten", "trottel", "dummkopf", "abschaum", "versager", "widerlich", "erbärmlich", "wertlos",
+    "blödmann", "arschloch", "stück dreck", "dumm wie brot", "zu nichts zu gebrauchen",
+    # French
+    "imbécile", "crétin", "débile", "abruti", "connard", "salaud", "ordure", "minable", "pauvre type",
+    "sale con", "tas de merde", "bon à rien",
+    # Spanish
+    "idiota", "imbécil", "estúpido", "estúpida", "basura", "escoria", "patético", "asqueroso",
+    "pedazo de mierda", "hijo de puta", "inútil de mierda", "no vales nada",
+)
+THREATS = (
+    "kill", "killing", "hurt", "destroy", "shoot", "strangle", "stab", "beat up", "hunt down", "burn alive",
+    "umbringen", "töten", "verprügeln", "fertig machen", "kalt machen", "in stücke reißen",
+    "tuer", "buter", "égorger", "casser la gueule", "faire la peau", "mettre en pièces",
+    "matar", "degollar", "partir la cara", "romper la cara", "hacer pedazos", "acabar contigo",
+)
 TARGETS = "you your yourself u du dich dir ihr euch tu toi vous usted ustedes vosotros".split()
 NEGATIONS = "not never no nobody isn't aren't don't nicht kein keine pas jamais nunca".split()
 REPORTS = "said says saying called claimed claims wrote quoted sagte schrieb dit dijo".split()
@@ -51,12 +69,10 @@ _WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 
 @dataclass(frozen=True)
 class Settings:
-    """``rows`` bounds the training texts of each label, ``patterns`` those
-    learned. ``stems`` are the lengths of the word beginnings that may be
-    patterns, besides whole words."""
+    """``rows`` bounds the training texts of each label. ``stems`` are the lengths
+    of the word beginnings that may be patterns, besides words and pairs of words."""
 
     rows: int = 10_000
-    patterns: int = 20_000
     stems: tuple[int, ...] = (4, 5)
     least_docs: int = 4
     false_patterns: float = 2.0
@@ -116,10 +132,53 @@ class Automaton:
             yield i, " ".join([kind, *said[:1]])
 
 
+class Phrases:
+    """A transducer from words to one symbol, with a weight on each arc.
+
+    An arc's weight is the best that phrases over it can still have, divided by what
+    the arcs before it have taken; so the weights along a phrase multiply to its own,
+    and a path is never worse than its last arc.
+    """
+
+    def __init__(self, weights: Mapping[str, float]) -> None:
+        #: State 0 is the start; (state, word) leads to (state, weight of the arc).
+        self.arcs: dict[tuple[int, str], tuple[int, float]] = {}
+        self.final: set[int] = set()
+        best: dict[tuple[str, ...], float] = {}
+        named = {tuple(p.split()): w for p, w in weights.items() if p.split() and w > 0}
+        for phrase, weight in named.items():
+            for n in range(len(phrase) + 1):
+                best[phrase[:n]] = max(best.get(phrase[:n], 0.0), weight)
+        best[()] = 1.0
+        states = {prefix: i for i, prefix in enumerate(sorted(best, key=lambda x: (len(x), x)))}
+        for prefix, state in states.items():
+            if prefix:
+                before = prefix[:-1]
+                self.arcs[states[before], prefix[-1]] = state, best[prefix] / best[before]
+        #: What is left of a phrase's weight where it ends before longer ones.
+        self.rest: dict[int, float] = {}
+        for phrase, weight in named.items():
+            self.final.add(states[phrase])
+            self.rest[states[phrase]] = weight / best[phrase]
+
+    def match(self, words: Sequence[str], at: int) -> tuple[int, float]:
+        """Length and weight of the longest phrase that starts here; 0 without one."""
+        state, weight, found = 0, 1.0, (0, 0.0)
+        for n, word in enumerate(words[at:], 1):
+            arc = self.arcs.get((state, word))
+            if arc is None:
+                break
+            state, weight = arc[0], weight * arc[1]
+            if state in self.final:
+                found = n, weight * self.rest[state]
+        return found
+
+
 @dataclass(frozen=True)
 class Grammar:
-    """``words`` and ``stems`` have the weight of each pattern, ``contexts`` that
-    of each context; ``quiet`` is the score of a text without a match."""
+    """``words`` has the weight of each insult, of one word or several, and ``stems``
+    that of each beginning of a word, ``contexts`` that of each context; ``quiet`` is
+    the score of a text without a match."""
 
     words: Mapping[str, float]
     stems: Mapping[str, float]
@@ -132,31 +191,53 @@ class Scorer:
     def __init__(self, grammar: Grammar):
         self._grammar = grammar
         self._automaton = Automaton()
+        self._insults = Phrases(grammar.words)
+        self._threats = Phrases(dict.fromkeys(THREATS, 1.0))
+        self._starts = {w for part in (self._insults, self._threats) for s, w in part.arcs if s == 0}
         self._kinds = {w: "target" for w in TARGETS}
         self._kinds |= {w: "negation" for w in NEGATIONS}
         self._kinds |= {w: "report" for w in REPORTS}
-        self._kinds |= {w: "threat" for w in THREATS}
-        self._weight = lru_cache(1 << 16)(self._weigh)
+        self._stem = lru_cache(1 << 16)(self._of_stem)
 
-    def _weigh(self, word: str) -> float:
+    def _of_stem(self, word: str) -> float:
+        """Weight of a word by its beginnings; -1 where phrases may start."""
+        if word in self._starts:
+            return -1.0
         g = self._grammar
-        if word in g.words:
-            return g.words[word]
         stems = (g.stems.get(word[:n], 0.0) for n in g.stem_lengths if len(word) >= n)
         return max(stems, default=0.0)
 
+    def symbols(self, words: Sequence[str], weights: Sequence[float]) -> list[tuple[str, float]]:
+        """The symbols of a clause, one for each phrase or other word, and weights;
+        of an insult and a threat that start together the longer one, else the insult."""
+        found, at = [], 0
+        while at < len(words):
+            word, weight = words[at], weights[at]
+            length, kind = 0, "insult"
+            if weight < 0:
+                length, weight = self._insults.match(words, at)
+                threat, certain = self._threats.match(words, at)
+                if threat > length:
+                    length, weight, kind = threat, certain, "threat"
+            elif weight > 0:
+                length = 1
+            if not length and weight <= 0:
+                kind = self._kinds.get(word, "other")
+            found.append((kind, weight))
+            at += max(length, 1)
+        return found
+
     def clauses(self, text: str) -> Iterator[list[tuple[float, str]]]:
         """Weight and context of the matches in each clause that has any."""
-        weigh, kinds = self._weight, self._kinds
         for clause in _CLAUSE.split(text.lower()):
             words = _WORD.findall(clause)
-            weights = [weigh(w) for w in words]
-            if not any(weights) and not any(w in THREATS for w in words):
+            weights = [self._stem(w) for w in words]
+            if not any(weights):
                 continue
-            symbols = [
-                "insult" if v else kinds.get(w, "other") for w, v in zip(words, weights)
-            ]
-            yield [(weights[i] or 1.0, c) for i, c in self._automaton.run(symbols)]
+            read = self.symbols(words, weights)
+            found = [(read[i][1], c) for i, c in self._automaton.run([x for x, _ in read])]
+            if found:
+                yield found
 
     def score(self, text: str) -> float:
         doubt = 1.0
@@ -184,16 +265,21 @@ def _sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> tuple[Dat
 
 
 def _patterns(text: Column, settings: Settings) -> Column:
-    """Distinct words, and their beginnings with a star."""
-    words = F.array_distinct(F.regexp_extract_all(text, F.lit(r"(\p{L}+(?:'\p{L}+)?)"), F.lit(1)))
+    """Distinct words, pairs of words, and beginnings of words with a star."""
+    words = F.regexp_extract_all(text, F.lit(r"(\p{L}+(?:'\p{L}+)?)"), F.lit(1))
+    pairs = F.zip_with(
+        words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.concat_ws(" ", a, b)
+    )
+    pairs = F.filter(pairs, lambda p: F.contains(p, F.lit(" ")))
+    distinct = F.array_distinct(words)
     stems = [
         F.transform(
-            F.filter(words, lambda w, n=n: F.length(w) >= n),
+            F.filter(distinct, lambda w, n=n: F.length(w) >= n),
             lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*")),
         )
         for n in settings.stems
     ]
-    return F.array_distinct(F.concat(words, *stems))
+    return F.array_distinct(F.concat(distinct, pairs, *stems))
 
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Grammar:
@@ -201,8 +287,10 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
 
     A pattern is learned where the share of toxic texts among those that have it
     is at least ``least_rate``, and where chance would raise the share that far
-    in at most ``false_patterns`` of all patterns tried (Chernoff's bound). At
-    most ``settings.patterns`` rows reach the driver.
+    in at most ``false_patterns`` of all patterns tried (Chernoff's bound). What
+    reaches the driver are the patterns that pass, of at most about two times
+    ``settings.rows`` training texts; a pair of words that holds a learned word says
+    no more than that and is left out.
     """
     sample, weight = _sample(docs, labels, settings)
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -226,18 +314,20 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     rate = (F.col("hits") + 0.0) / F.col("all")
     p, q = F.least(rate, F.lit(1 - 1e-9)), F.lit(base)
     gain = p * F.log(p / q) + (F.lit(1.0) - p) * F.log((F.lit(1.0) - p) / (F.lit(1.0) - q))
-    seeded = F.col("pattern").isin(INSULTS)
+    seeded = F.col("pattern").isin(*INSULTS)
+    chance = F.col("n") * gain > F.log(tried / settings.false_patterns)
     learned = (
         counted.filter(F.col("hits") > 0)
-        .filter(((rate >= settings.least_rate) & (F.col("n") * gain > F.log(tried / settings.false_patterns))) | seeded)
-        .orderBy(F.desc("hits"), "pattern")
-        .limit(settings.patterns)
+        .filter(((rate >= settings.least_rate) & chance) | seeded)
+        .select("pattern", "hits", "all")
         .collect()
     )
-    words, stems = dict(seeds), {}
+    words, stems, pairs = dict(seeds), {}, {}
     for r in learned:
         name, star, _ = r["pattern"].partition("*")
-        (stems if star else words)[name] = (r["hits"] + 2 * KNOWN) / (r["all"] + 2)
+        to = stems if star else pairs if " " in name and name not in seeds else words
+        to[name] = (r["hits"] + 2 * KNOWN) / (r["all"] + 2)
+    words |= {p: w for p, w in pairs.items() if not set(p.split()) & set(words)}
     first = Grammar(words, stems, settings.stems, dict(CONTEXTS))
     return _with_contexts(sample, first, weight)
 

@@ -30,6 +30,78 @@ def test_contexts(text, contexts):
     assert [c for clause in found for _, c in clause] == contexts
 
 
+@pytest.mark.parametrize(
+    ("text", "contexts"),
+    [
+        ("you piece of garbage", ["insult target"]),
+        ("a piece of cake", []),
+        ("du bist zu nichts zu gebrauchen", ["insult target"]),
+        ("er ist kein stück dreck", ["insult negated"]),
+        ("tu es bon à rien", ["insult target"]),
+        ("te voy a partir la cara, hijo de puta", ["threat", "insult"]),
+        ("je vais te casser la gueule toi", ["threat target"]),
+        ("partir la ropa", []),
+        ("hunt down the vermin", ["threat", "insult"]),
+    ],
+)
+def test_phrases_in_four_languages(text, contexts):
+    known = toxicity.Grammar(dict.fromkeys(toxicity.INSULTS, 0.9), {}, (4, 5), toxicity.CONTEXTS)
+    found = toxicity.Scorer(known).clauses(text)
+    assert [c for clause in found for _, c in clause] == contexts
+
+
+def test_arcs_multiply_to_the_weight_of_the_longest_phrase():
+    draw = random.Random(4)
+    for _ in range(200):
+        letters = "abc"
+        weights = {
+            " ".join(draw.choices(letters, k=draw.randrange(1, 5))): draw.choice([0.2, 0.5, 0.9])
+            for _ in range(draw.randrange(1, 9))
+        }
+        phrases = toxicity.Phrases(weights)
+        assert all(0 < w <= 1 for _, w in phrases.arcs.values())
+        words = draw.choices(letters, k=7)
+        for at in range(7):
+            found = [(n, weights[" ".join(words[at : at + n])]) for n in range(1, 8 - at)
+                     if " ".join(words[at : at + n]) in weights]
+            length, weight = phrases.match(words, at)
+            assert (length, pytest.approx(weight)) == max(found, default=(0, 0.0))
+
+
+def test_the_composition_against_its_parts():
+    """Each transducer run by itself over random clauses marks the same matches."""
+    draw, automaton = random.Random(5), toxicity.Automaton()
+    for _ in range(2000):
+        symbols = draw.choices(toxicity.SYMBOLS, k=draw.randrange(12))
+        expected = []
+        for i, x in enumerate(symbols):
+            if x not in ("insult", "threat"):
+                continue
+            negated = "negation" in symbols[max(0, i - 3) : i]
+            reported = "report" in symbols[:i]
+            mark = "negated" if negated else "reported" if reported else "target" if "target" in symbols else ""
+            expected.append((i, f"{x} {mark}".strip()))
+        assert list(automaton.run(symbols)) == expected
+
+
+def test_pairs_of_words_are_learned(spark):
+    """Two words that are harmless by themselves and toxic side by side."""
+    draw, texts, labels = random.Random(6), [], []
+    for i in range(900):
+        toxic = int(draw.random() < 1 / 6)
+        words = prose(i, 40).split()
+        at = draw.randrange(38)
+        words[at:at] = ["go", "home"] if toxic else draw.choice([["go"], ["home"], ["home", "go"]])
+        texts.append(" ".join(words))
+        labels.append((i, 1, toxic))
+    table = docs(spark, rows(texts))
+    truth = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.fit(table, truth)
+    assert "go home" in model.words and "home" not in model.words
+    found = toxicity.score(table, model).collect()
+    assert all(r.predicted == labels[r.doc_id][2] for r in found)
+
+
 def test_clauses_and_not_words_are_scored():
     score = toxicity.Scorer(grammar()).score
     assert score("you idiot") > score("an idiot") > 0.5 > score("he is not an idiot")
