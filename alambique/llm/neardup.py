@@ -305,8 +305,9 @@ def _compare_nodes(
                 continue
             # The last node may go on in the next batch.
             end = int(np.searchsorted(now[0], now[0][-1]))
-            yield pairs(*(x[:end] for x in now))
-            rest = [x[end:] for x in now]
+            for start, stop in _stretches(now[0][:end]):
+                yield pairs(*(x[start:stop] for x in now))
+            rest = [x[end:].copy() for x in now]
         if rest is not None:
             yield pairs(*rest)
 
@@ -315,8 +316,22 @@ def _compare_nodes(
     return dealt.mapInArrow(run, result)
 
 
-#: Pairs that are compared at once.
-CHUNK = 1 << 14
+#: Pairs that are compared at once, and that the nodes looked at together may have
+#: beyond those of one node.
+CHUNK, TOGETHER = 1 << 14, 1 << 18
+
+
+def _stretches(node: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Beginnings and ends of stretches of whole nodes with few pairs."""
+    edges = np.flatnonzero(np.append(True, node[1:] != node[:-1])) if len(node) else []
+    start, held = 0, 0
+    for at, end in zip(edges, [*edges[1:], len(node)]):
+        held += int(end - at) ** 2 // 2
+        if held > TOGETHER:
+            yield start, int(end)
+            start, held = int(end), 0
+    if start < len(node):
+        yield start, len(node)
 
 
 def _joined(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -443,8 +458,9 @@ def _confirm_nodes(rows: DataFrame, sets: DataFrame, settings: Settings) -> Data
     return dealt.sortWithinPartitions("node", "cls").mapInArrow(run, "a long, b long")
 
 
-#: Bytes of the full sets of a node's part, and of what a task is handed at once.
-SET_BYTES, HANDED = 12 << 20, 4 << 20
+#: Bytes of the full sets of a node's part, and rows and bytes that a task is handed
+#: at once.
+SET_BYTES, BATCH, HANDED = 12 << 20, 4000, 4 << 20
 
 
 def _pairs(a: Iterable[int], b: Iterable[int]) -> pa.RecordBatch:
@@ -559,8 +575,8 @@ def _leader_pairs(rows: DataFrame, settings: Settings) -> DataFrame:
 
 def _one_step(rows: DataFrame, steps: int, settings: Settings, own: bool) -> DataFrame:
     """Rows that take more steps down their trees, see ``Settings.twice``, on
-    coordinates of the tree or on any."""
-    whole, twice = settings.coords, settings.twice[1]
+    coordinates of the tree or on any; ``low`` is what they are compared by."""
+    whole, twice, compared = settings.coords, settings.twice[1], settings.compared
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
@@ -569,29 +585,24 @@ def _one_step(rows: DataFrame, steps: int, settings: Settings, own: bool) -> Dat
                 continue
             held = _matrix(batch.column(3), np.uint16)
             coords = held[:, :-whole] if own else held[:, -whole:]
+            low = _binary(held[:, -whole:][:, :compared].astype(np.uint8))
             node = batch.column(0).to_numpy().view(np.uint64)
             child, owner = _walk(node, np.arange(len(node)), coords, steps, twice)
             taken = pa.array(owner)
-            columns = [batch.column(i).take(taken) for i in (1, 2, 3)]
+            columns = [x.take(taken) for x in (*(batch.column(i) for i in (1, 2, 3)), low)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(child.view(np.int64)), *columns], ["node", "cls", "label", "payload"]
+                [pa.array(child.view(np.int64)), *columns],
+                ["node", "cls", "label", "payload", "low"],
             )
 
-    return rows.mapInArrow(run, "node long, cls long, label long, payload binary")
+    return rows.select("node", "cls", "label", "payload").mapInArrow(
+        run, "node long, cls long, label long, payload binary, low binary"
+    )
 
 
-def _compared(rows: DataFrame, settings: Settings) -> DataFrame:
+def _compared(rows: DataFrame) -> DataFrame:
     """Rows of ``walk`` as rows of ``sketch``."""
-    whole, compared = settings.coords, settings.compared
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                held = _matrix(batch.column(3), np.uint16)[:, -whole:][:, :compared]
-                low = _binary(held.astype(np.uint8))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:3], low], batch.schema.names)
-
-    return rows.mapInArrow(run, "node long, cls long, label long, payload binary")
+    return rows.select("node", "cls", "label", F.col("low").alias("payload"))
 
 
 def _heavy(rows: DataFrame, settings: Settings) -> Measured:
@@ -660,11 +671,11 @@ def _walk_on(rows: DataFrame, settings: Settings) -> list[DataFrame]:
         rows = materialize(_one_step(rows, 2, settings, 2 * n < OWN_STEPS), "heavy-steps")
         heavy = _heavy(rows, settings)
         light = lookup_join(rows, heavy, "node", "left_anti")
-        found.append(_compare_nodes(_compared(light, settings), settings, grouped=True))
+        found.append(_compare_nodes(_compared(light), settings, grouped=True))
         if not heavy.rows:
             return found
         rows = lookup_join(rows, heavy, "node", "left_semi")
-    parts = _cut(_compared(rows, settings), F.lit(1), settings.node_rows // 2)
+    parts = _cut(_compared(rows), F.lit(1), settings.node_rows // 2)
     parts = parts.select("node", "cls", "label", "payload")
     return [*found, _compare_nodes(parts, settings, grouped=True)]
 
@@ -743,6 +754,19 @@ def _placed(docs: DataFrame, settings: Settings) -> DataFrame:
     """``doc_id, n, sig, text_hash`` of each row, and ``label`` and
     ``component_id`` of its component."""
     settings = settings.fitted(settings.depth(docs.count()))
+    # All Python runs in jobs within: what is left is a join of stored tables.
+    with batches_of(docs.sparkSession, BATCH, HANDED):
+        rows, classes, labels = _found(docs, settings)
+    label = F.coalesce("label", "sig")
+    named = classes.select("sig", "first")
+    grouped = lookup_join(named, labels, "sig", "left").withColumn("label", label)
+    least = grouped.groupBy("label").agg(F.min("first").alias("component_id"))
+    placed = lookup_join(grouped, least, "label", "inner").select("sig", "label", "component_id")
+    return lookup_join(rows.select("doc_id", "n", "sig", "text_hash"), placed, "sig", "left")
+
+
+def _found(docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Stored rows and classes, and the labels of the classes that are linked."""
     rows = materialize(described(docs, settings), "shingle-sets")
     classes = materialize(
         rows.filter(F.col("sig").isNotNull())
@@ -755,9 +779,7 @@ def _placed(docs: DataFrame, settings: Settings) -> DataFrame:
     pairs = first_pairs(alone, settings)
     ends = pairs.select(F.explode(F.array("a", "b")).alias("sig"))
     sets = _full_sets(docs, named, ends, settings)
-    spark = docs.sparkSession
-    with batches_of(spark, 1000, HANDED):
-        links = materialize(confirmed(pairs, sets, settings), "links")
+    links = materialize(confirmed(pairs, sets, settings), "links")
     labels = _labels(links)
     known = lookup_join(classes, labels, "sig", "left").withColumn(
         "label", F.coalesce("label", "sig")
@@ -765,14 +787,8 @@ def _placed(docs: DataFrame, settings: Settings) -> DataFrame:
     known = materialize(known, "labelled-classes")
     rest = open_rows(known, settings)
     sets = _full_sets(docs, named, rest.select(F.col("cls").alias("sig")), settings)
-    with batches_of(spark, 1000, HANDED):
-        more = materialize(_confirm_nodes(rest, sets, settings), "more-links")
-    labels = _labels(links.union(more))
-    label = F.coalesce("label", "sig")
-    grouped = lookup_join(named.select("sig", "first"), labels, "sig", "left").withColumn("label", label)
-    least = grouped.groupBy("label").agg(F.min("first").alias("component_id"))
-    placed = lookup_join(grouped, least, "label", "inner").select("sig", "label", "component_id")
-    return lookup_join(rows.select("doc_id", "n", "sig", "text_hash"), placed, "sig", "left")
+    more = materialize(_confirm_nodes(rest, sets, settings), "more-links")
+    return rows, classes, _labels(links.union(more))
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
