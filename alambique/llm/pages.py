@@ -56,7 +56,7 @@ KEPT_BITS = 1 << 28
 
 #: A line recurs over a host if it is in so many of its distinct pages, and in this
 #: share of them.
-RECURS_PAGES, RECURS_SHARE = 5, 0.3
+RECURS_PAGES, RECURS_SHARE = 5, 0.5
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"

@@ -140,7 +140,7 @@ def brute(table):
             distinct[key] = min(distinct.get(key, path(r)), path(r))
         order = sorted(distinct, key=lambda k: (distinct[k].encode(),))
         often = {t for t in {t for k in distinct for t in k}
-                 if sum(t in k for k in distinct) >= max(5, 0.3 * len(distinct))}
+                 if sum(t in k for k in distinct) >= max(pages.RECURS_PAGES, pages.RECURS_SHARE * len(distinct))}
         for r, read in rows_:
             key = tuple(t for t, *_ in read)
             i = order.index(key)
