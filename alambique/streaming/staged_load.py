@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from alambique.operators.load import KEEP_ALL
 from alambique.plans.loading import load_table_into
 from alambique.schemas import FACT, target_schema
+from alambique.sinks.versions import Version, VersionedTable
 
 BATCH = "lote"
 
@@ -31,10 +32,11 @@ def drain_staging(
     """Load all files now in staging; returns the counts, None if none is new.
 
     New files wait for the next call. A call that failed while loading is made
-    good by the next one: batches are recorded as loaded after the insert, and
-    rows that already arrived are in the target by then.
+    good by the next one: the last batch loaded is recorded after the insert, and
+    rows that already arrived are in the target by then. Rows of loaded batches are
+    deleted, so a call reads and keeps what is new, however many came before.
     """
-    kept, loaded = f"{checkpoint_path}/rows", f"{checkpoint_path}/loaded"
+    kept, ledger = f"{checkpoint_path}/rows", VersionedTable(spark, f"{checkpoint_path}/loaded")
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{kept}/{BATCH}={number}")
@@ -51,27 +53,37 @@ def drain_staging(
         .start()
     )
     query.awaitTermination()
+    done = ledger.latest()
+    _forget(spark, kept, done)
     rows = _read(spark, kept)
-    if rows is None:
-        return None
-    done = _read(spark, loaded)
-    seen = [] if done is None else [r[0] for r in done.distinct().collect()]
-    pending = rows.filter(~F.col(BATCH).isin(seen)) if seen else rows
-    batches = [r[0] for r in pending.select(BATCH).distinct().collect()]
-    if not batches:
+    last = None if rows is None else rows.agg(F.max(BATCH)).first()[0]
+    if last is None:
         return None
     columns = target_schema(table).names
-    _, counts = load_table_into(pending.select(*columns), table, target_path, policy)
+    _, counts = load_table_into(rows.select(*columns), table, target_path, policy)
     counts = spark.createDataFrame(counts.collect(), counts.schema)
-    numbers = spark.createDataFrame([(b,) for b in batches], f"{BATCH} long")
-    numbers.write.mode("append").parquet(loaded)
+    _forget(spark, kept, ledger.publish(done, note=str(last)))
+    ledger.vacuum()
     return counts
 
 
+def _forget(spark: SparkSession, kept: str, done: Version) -> None:
+    """Delete the rows of batches that are loaded."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(kept)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not done.note or not files.exists(path):
+        return
+    for status in files.listStatus(path):
+        name = status.getPath().getName()
+        if name.startswith(f"{BATCH}=") and int(name.partition("=")[2]) <= int(done.note):
+            files.delete(status.getPath(), True)
+
+
 def _read(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        # The folder is there without a batch once all of them are loaded.
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return None

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -6,6 +8,7 @@ from alambique.operators import load
 from alambique.plans import loading
 from alambique.plans.loading import read_target, run_load, staged_months
 from alambique.schemas import FACT, FACT_KEY, PRODUCT_DIM, target_schema
+from alambique.sinks.versions import KEPT
 from alambique.streaming.staged_load import drain_staging
 
 KEYS = ("k",)
@@ -223,3 +226,15 @@ def test_a_drain_that_failed_is_made_good(spark, tmp_path, monkeypatch):
     counts = drain_staging(spark, staging, target, state).first()
     assert (counts.Registros_Insertados, counts.Registros_Existentes) == (1, 1)
     assert read_target(spark, target, FACT).count() == 9
+
+
+def test_a_drain_keeps_nothing_of_loaded_batches(spark, tmp_path):
+    staging, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    for i in range(11):
+        facts(spark, [(i, 1, "20240101", "A", i)]).coalesce(1).write.mode("append").parquet(staging)
+        assert drain_staging(spark, staging, target, state).first().Registros_Insertados == 1
+        assert not [n for n in os.listdir(f"{state}/rows") if n.startswith("lote=")]
+        records = [n for n in os.listdir(f"{state}/loaded/versiones") if n.isdigit()]
+        assert len(records) == min(i + 1, KEPT)
+    assert drain_staging(spark, staging, target, state) is None
+    assert read_target(spark, target, FACT).count() == 11
