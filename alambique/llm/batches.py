@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator, Sequence
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +44,19 @@ def to_batch(rows: Sequence[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
+def trimmed(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """The same function; when a task's rows end, the worker, which waits for the next
+    task, gives the memory it needed back to the system."""
+
+    def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with suppress(OSError, AttributeError):  # not every C library can
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return whole
+
+
 @contextmanager
 def batches_of(spark: SparkSession, rows: int, size: int) -> Iterator[None]:
     """Jobs run within hand at most so many rows or bytes to Python at once."""

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alambique.llm import shingles as sh
-from alambique.llm.batches import batches_of
+from alambique.llm.batches import batches_of, trimmed
 from alambique.llm.components import components
 from alambique.llm.text import WORD, whole
 from alambique.operators.joins import lookup_join, skew_join
@@ -171,7 +171,7 @@ def described(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long"), text, F.xxhash64(text))
     return rows.mapInArrow(
-        run, "doc_id long, n long, sig long, coords binary, text_hash long"
+        trimmed(run), "doc_id long, n long, sig long, coords binary, text_hash long"
     )
 
 
@@ -222,8 +222,8 @@ def _paths(
         np.seterr(over="ignore")
         roots = sh.mix(np.arange(1, trees + 1, dtype=np.uint64))
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
                 coords, n = _matrix(part.column(2), np.uint16), part.num_rows
                 width = coords.shape[1] // trees
                 own = coords[:, : width * trees].reshape(n, trees, width)
@@ -243,7 +243,7 @@ def _paths(
 
     extra = ", payload binary" if payload else ""
     rows = classes.select("sig", "label", "coords")
-    return rows.mapInArrow(run, "node long, cls long, label long" + extra)
+    return rows.mapInArrow(trimmed(run), "node long, cls long, label long" + extra)
 
 
 def _compare_nodes(
@@ -313,7 +313,7 @@ def _compare_nodes(
 
     dealt = rows.repartition("node").sortWithinPartitions("node", "cls")
     result = "node long, cls long, label long" if grouped else "a long, b long"
-    return dealt.mapInArrow(run, result)
+    return dealt.mapInArrow(trimmed(run), result)
 
 
 #: Pairs that are compared at once, and that the nodes looked at together may have
@@ -455,12 +455,12 @@ def _confirm_nodes(rows: DataFrame, sets: DataFrame, settings: Settings) -> Data
     full = sets.select(F.col("sig").alias("cls"), "coords", "shingles")
     joined = skew_join(materialize(parts, "cut-rows"), full, ["cls"], "inner")
     dealt = joined.select("node", "cls", "label", "side", "coords", "shingles").repartition("node")
-    return dealt.sortWithinPartitions("node", "cls").mapInArrow(run, "a long, b long")
+    return dealt.sortWithinPartitions("node", "cls").mapInArrow(trimmed(run), "a long, b long")
 
 
 #: Bytes of the full sets of a node's part, and rows and bytes that a task is handed
 #: at once.
-SET_BYTES, BATCH, HANDED = 12 << 20, 4000, 4 << 20
+SET_BYTES, BATCH, HANDED = 12 << 20, 2000, 2 << 20
 
 
 def _pairs(a: Iterable[int], b: Iterable[int]) -> pa.RecordBatch:
@@ -570,7 +570,7 @@ def _leader_pairs(rows: DataFrame, settings: Settings) -> DataFrame:
             alike = equal[best, at] >= maybe
             yield _pairs(cls[alike], names[best, at][alike])
 
-    return joined.mapInArrow(run, "a long, b long")
+    return joined.mapInArrow(trimmed(run), "a long, b long")
 
 
 def _one_step(rows: DataFrame, steps: int, settings: Settings, own: bool) -> DataFrame:
@@ -596,7 +596,7 @@ def _one_step(rows: DataFrame, steps: int, settings: Settings, own: bool) -> Dat
             )
 
     return rows.select("node", "cls", "label", "payload").mapInArrow(
-        run, "node long, cls long, label long, payload binary, low binary"
+        trimmed(run), "node long, cls long, label long, payload binary, low binary"
     )
 
 
@@ -699,7 +699,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, settings: Settings = Settings()
                 [batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"]
             )
 
-    return both.select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "of_a", "of_b").mapInArrow(trimmed(run), "a long, b long")
 
 
 def _full_sets(
@@ -719,10 +719,10 @@ def _full_sets(
         np.seterr(over="ignore")
         hasher = sh.WordHasher()
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
+            for at in range(0, batch.num_rows, 64):
                 sets = [
                     sh.shingle_set(hasher(t.as_py() or ""), words)
-                    for t in batch.column(0).slice(at, 256)
+                    for t in batch.column(0).slice(at, 64)
                 ]
                 sets = [s for s in sets if len(s)]
                 yield pa.RecordBatch.from_arrays(
@@ -739,7 +739,7 @@ def _full_sets(
         "doc_id",
         "left_semi",
     ).select("text")
-    read = texts.mapInArrow(run, "sig long, shingles binary")
+    read = texts.mapInArrow(trimmed(run), "sig long, shingles binary")
     # Rows that share an id may have other texts, or the same one again.
     own = lookup_join(read, sigs, "sig", "left_semi").dropDuplicates(["sig"])
     described_ = lookup_join(named.select("sig", "n", "coords"), sigs, "sig", "left_semi")

@@ -8,7 +8,7 @@ import numpy as np
 
 #: Bytes of a text, and shingles of a set, that are looked at together.
 BYTES = 1 << 22
-SHINGLES = 1 << 13
+SHINGLES = 1 << 10
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
