@@ -23,7 +23,7 @@ from xxhash import xxh3_64_intdigest
 from alambique.llm.batches import map_rows
 from alambique.llm.order import with_neighbours
 from alambique.operators.joins import lookup_join
-from alambique.storage import materialize, scratch_path
+from alambique.storage import materialize, materialize_measured, scratch_path
 
 #: Elements whose content is no text of the page.
 RAW = "script style noscript template title textarea select option button svg math iframe object canvas audio video datalist".split()
@@ -328,7 +328,16 @@ def extract(pages: DataFrame) -> DataFrame:
     shared = materialize(
         shared_with_nearest(stored.select("host", "path", "page", "lines")), "shared-lines"
     )
-    paired = lookup_join(stored.drop("lines", "path"), shared, ["host", "page"], "left")
+    # Texts that lose nothing are not shuffled: marked ones without recurring lines.
+    losing = materialize_measured(
+        shared.filter(F.size("often") > 0).select("host", "page"), "losing-pages"
+    )
+    texts, keys = stored.drop("lines", "path"), ["host", "page"]
+    marked, open_ = texts.filter(F.col("sure") >= MAIN), texts.filter(F.col("sure") < MAIN)
+    some = open_.union(lookup_join(marked, losing, keys, "left_semi"))
+    none = F.lit(None).cast("array<int>")
+    whole = lookup_join(marked, losing, keys, "left_anti").withColumns({"shared": none, "often": none})
+    paired = whole.unionByName(lookup_join(some, shared, keys, "left"))
     gone = F.coalesce(
         F.when(F.col("sure") < MAIN, F.col("shared")).otherwise(F.col("often")), F.array().cast("array<int>")
     )
