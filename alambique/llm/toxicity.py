@@ -194,6 +194,16 @@ class Scorer:
         self._insults = Phrases(grammar.words)
         self._threats = Phrases(dict.fromkeys(THREATS, 1.0))
         self._starts = {w for part in (self._insults, self._threats) for s, w in part.arcs if s == 0}
+        #: Words that may follow the first of a phrase, with it, and those that are one.
+        self._seconds: dict[str, set[str]] = {}
+        self._alone: set[str] = set()
+        for part in (self._insults, self._threats):
+            firsts = {s: w for (before, w), (s, _) in part.arcs.items() if before == 0}
+            self._alone |= {w for s, w in firsts.items() if s in part.final}
+            for (before, w), _ in part.arcs.items():
+                if before in firsts:
+                    self._seconds.setdefault(firsts[before], set()).add(w)
+        self._needed = self._alone.union(self._seconds, *self._seconds.values())
         self._kinds = {w: "target" for w in TARGETS}
         self._kinds |= {w: "negation" for w in NEGATIONS}
         self._kinds |= {w: "report" for w in REPORTS}
@@ -207,6 +217,20 @@ class Scorer:
         stems = (g.stems.get(word[:n], 0.0) for n in g.stem_lengths if len(word) >= n)
         return max(stems, default=0.0)
 
+    def may_match(self, words: Sequence[str]) -> bool:
+        """Whether there may be an insult or threat among words: one of them is a phrase,
+        or the first two words of one are there, or one begins with a stem.
+
+        Sets are compared whole, so most texts need no step for each of their words.
+        """
+        held = self._needed.intersection(words)
+        if held and (not self._alone.isdisjoint(held) or any(
+            not self._seconds[w].isdisjoint(held) for w in held if w in self._seconds
+        )):
+            return True
+        stems, lengths = self._grammar.stems, self._grammar.stem_lengths
+        return bool(stems) and any(not stems.keys().isdisjoint({w[:n] for w in words}) for n in lengths)
+
     def symbols(self, words: Sequence[str], weights: Sequence[float]) -> list[tuple[str, float]]:
         """The symbols of a clause, one for each phrase or other word, and weights;
         of an insult and a threat that start together the longer one, else the insult."""
@@ -229,11 +253,15 @@ class Scorer:
 
     def clauses(self, text: str) -> Iterator[list[tuple[float, str]]]:
         """Weight and context of the matches in each clause that has any."""
-        for clause in _CLAUSE.split(text.lower()):
+        text = text.lower()
+        # No word reaches over the end of a clause, so a text has those of its clauses.
+        if not self.may_match(_WORD.findall(text)):
+            return
+        for clause in _CLAUSE.split(text):
             words = _WORD.findall(clause)
-            weights = [self._stem(w) for w in words]
-            if not any(weights):
+            if not self.may_match(words):
                 continue
+            weights = [self._stem(w) for w in words]
             read = self.symbols(words, weights)
             found = [(read[i][1], c) for i, c in self._automaton.run([x for x, _ in read])]
             if found:

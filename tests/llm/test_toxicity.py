@@ -102,6 +102,38 @@ def test_pairs_of_words_are_learned(spark):
     assert all(r.predicted == labels[r.doc_id][2] for r in found)
 
 
+def test_texts_without_a_match_need_no_step_for_each_word():
+    known = toxicity.Grammar(dict.fromkeys(toxicity.INSULTS, 0.9), {"grob": 0.8}, (4, 5), toxicity.CONTEXTS)
+    scorer = toxicity.Scorer(known)
+    steps, of_stem = [], scorer._stem
+    scorer._stem = lambda w: steps.append(w) or of_stem(w)
+    words = [f"w{'abcdefghij'[i % 10]}{chr(0x4E00 + i)}" for i in range(2000)]
+    # Words that only begin phrases, all in one clause, and such that end one.
+    text = " ".join([*words, "piece", "in", "zu", "good"]) + ". " + " ".join(words) + " of stücke"
+    assert list(scorer.clauses(text)) == [] and not steps
+    assert scorer.score(text + ". in stücke reißen. grober") > 0.5
+    assert set(steps) == {"in", "stücke", "reißen", "grober"}
+
+
+def test_clauses_left_out_have_no_match():
+    """Texts of words that phrases consist of, read with and without leaving any out."""
+    draw = random.Random(8)
+    known = toxicity.Grammar(
+        {**dict.fromkeys(toxicity.INSULTS, 0.9), "a b": 0.7, "a": 0.2, "b c a": 0.6}, {"ab": 0.8, "cab": 0.9}, (2, 3), toxicity.CONTEXTS
+    )
+    parts = sorted({w for p in (*toxicity.INSULTS, *toxicity.THREATS) for w in p.split()})
+    parts += ["a", "b", "c", "abc", "cabin", "ca", "you", "not", "said", "x1y", "it's"] * 4
+    quick, slow = toxicity.Scorer(known), toxicity.Scorer(known)
+    slow.may_match = lambda words: True
+    matched = 0
+    for _ in range(3000):
+        text = "".join(draw.choice(parts) + draw.choice([" ", " ", " ", ". ", "\n", "-"]) for _ in range(draw.randrange(9)))
+        found = list(quick.clauses(text))
+        assert found == list(slow.clauses(text))
+        matched += bool(found)
+    assert 300 < matched < 2900
+
+
 def test_clauses_and_not_words_are_scored():
     score = toxicity.Scorer(grammar()).score
     assert score("you idiot") > score("an idiot") > 0.5 > score("he is not an idiot")
