@@ -28,7 +28,8 @@ STATE = "estado_carga"
 KEEP_ALL, KEEP_FIRST = "keep_all", "keep_first"
 
 
-def _has_key(keys: Sequence[str]) -> Column:
+def has_key(keys: Sequence[str]) -> Column:
+    """Whether no column of a row's key is NULL."""
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
@@ -64,10 +65,10 @@ def new_rows(
     if prune_by:
         staged = _stored(staging)
         near = prune(target, staged, keys)
-        new = anti_join_unknown(staged.df.filter(_has_key(keys)), near, keys)
+        new = anti_join_unknown(staged.df.filter(has_key(keys)), near, keys)
     else:
         staging = staging.df if isinstance(staging, Measured) else staging
-        keyed = staging.filter(_has_key(keys))
+        keyed = staging.filter(has_key(keys))
         new = lookup_join(keyed, _known(target, keys), list(keys), "left_anti")
     return keep_one(new, keys) if policy == KEEP_FIRST else new
 
@@ -98,7 +99,7 @@ def mark_staging(
     join = skew_join if prune_by else lookup_join
     marked = join(staging, known, list(keys), "left")
     state = (
-        F.when(~_has_key(keys), KEYLESS)
+        F.when(~has_key(keys), KEYLESS)
         .when(F.col("__known").isNotNull(), EXISTING)
         .otherwise(NEW)
     )

@@ -14,20 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from alambique.operators.dedup import keep_one
-from alambique.operators.load import (
-    KEEP_ALL,
-    KEEP_FIRST,
-    KEYLESS,
-    NEW,
-    STATE,
-    load_counts,
-    mark_staging,
-)
+from alambique.operators.load import KEEP_ALL, KEEP_FIRST, has_key, new_rows
 from alambique.plans.cleaning import conform
 from alambique.plans.loading import MONTH, PRUNE_BY, load_key, month_of, staged_months
 from alambique.schemas import FACT, target_schema
 from alambique.sinks.versions import Conflict, Part, Version, VersionedTable
-from alambique.storage import materialize, materialize_measured
+from alambique.storage import UNMEASURED, Measured, materialize_measured
 
 ROWS, REST = "filas", "restos"
 
@@ -84,28 +76,57 @@ class VersionedTarget:
         files = self.store.waiting(staging_path, before)[:most_files]
         if not files:
             return None
-        keys, prune_by = load_key(self.table), PRUNE_BY.get(self.table)
-        staged = materialize_measured(self._staged(files), f"staged-{self.table}")
-        target = self.read(before, staged_months(staged.df, self.table))
-        marked = materialize(
-            mark_staging(staged, target, keys, prune_by), f"marked-{self.table}"
-        )
-        counts = load_counts(marked, keys, policy)
-        parts = (*before.parts, *self._write(marked, policy))
+        try:
+            written, counts = self._insert(files, before, policy)
+        except Exception as error:
+            # A load that has taken the same files in deletes them, even while they are read.
+            if self.store.latest().number != before.number:
+                raise Conflict(f"another load was published after {before.number}") from error
+            raise
+        parts = (*before.parts, *written)
         after = self.store.publish(before, parts=parts, taken=(*before_taken, *files), note=policy)
         self.store.delete_taken(after)
         return counts
 
-    def _write(self, marked: DataFrame, policy: str) -> list[Part]:
-        new = marked.filter(F.col(STATE) == NEW).drop(STATE)
+    def _insert(
+        self, files: list[str], before: Version, policy: str
+    ) -> tuple[list[Part], DataFrame]:
+        """Write the new rows and those without a key; returns their folders and counts.
+
+        Staged files do not change, so they are read as they are, and rows go from the
+        join to their folder. Written files know their number of rows.
+        """
+        keys, rows = load_key(self.table), self._staged(files)
+        staged = Measured(rows, rows.count(), UNMEASURED)
+        if before.of(ROWS):
+            target = self.read(before, staged_months(rows, self.table))
+            new = new_rows(staged, target, keys, KEEP_ALL, PRUNE_BY.get(self.table))
+        else:
+            new = rows.filter(has_key(keys))
+        found = None
         if policy == KEEP_FIRST:
-            new = keep_one(new, load_key(self.table))
-        rest = marked.filter(F.col(STATE) == KEYLESS).drop(STATE)
-        written = []
-        for rows, kind in ((conform(new, self.table), ROWS), (rest, REST)):
-            if not rows.isEmpty():
-                written.append(self.store.write(_with_month(rows, self.table), kind))
-        return written
+            stored = materialize_measured(new, f"new-{self.table}")
+            found, new = stored.rows, keep_one(stored.df, keys)
+        written, inserted = self._write(conform(new, self.table), ROWS)
+        rest, keyless = self._write(rows.filter(~has_key(keys)), REST)
+        found = inserted if found is None else found
+        counts = {
+            "Registros_Procesados": staged.rows,
+            "Registros_Insertados": inserted,
+            "Registros_Existentes": staged.rows - found - keyless,
+            "Registros_Duplicados": found - inserted,
+            "Registros_Errores": keyless,
+        }
+        schema = ", ".join(f"{name} long" for name in counts)
+        return written + rest, self.spark.createDataFrame([tuple(counts.values())], schema)
+
+    def _write(self, rows: DataFrame, kind: str) -> tuple[list[Part], int]:
+        """The folder that rows are written to, none without any, and their number."""
+        part = self.store.write(_with_month(rows, self.table), kind)
+        n = self.store.count(part)
+        if not n:
+            self.store.remove(part)
+        return [part] if n else [], n
 
     def tidy(self) -> None:
         """Merge small folders and delete what no kept version needs."""

@@ -128,6 +128,14 @@ class VersionedTable:
         rows.write.partitionBy(*self.partition_by).parquet(self._folder(part))
         return part
 
+    def count(self, part: Part) -> int:
+        """Rows of a folder, as its files state them."""
+        return self.spark.read.schema(T.StructType()).parquet(self._folder(part)).count()
+
+    def remove(self, part: Part) -> None:
+        """Delete a folder that belongs to no version."""
+        delete(self.spark, self._folder(part))
+
     def _folder(self, part: Part) -> str:
         return f"{self.root}/partes/{_PART}={part.name}"
 

@@ -11,6 +11,7 @@ from alambique.operators import load
 from alambique.plans.versioned_load import VersionedTarget
 from alambique.sinks import versions
 from alambique.sinks.versions import Conflict, Part, Version, VersionedTable
+from alambique.storage import run_folder
 
 SCHEMA = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("m", T.StringType())])
 
@@ -222,3 +223,49 @@ def test_drain_in_batches(spark, tmp_path, monkeypatch, policy):
     assert state(target, staged) == (list(range(7)), list(range(70, 77)))
     assert len(target.store.latest().of("filas")) <= 5
     assert target.drain(staged, policy) == 0
+
+
+def test_a_load_writes_rows_once(spark, tmp_path):
+    """Neither staged rows nor all of them with their state are stored besides the target."""
+    staged, target = str(tmp_path / "in"), VersionedTarget(spark, str(tmp_path / "out"))
+
+    def copies():
+        folder = run_folder(spark)
+        names = os.listdir(folder) if os.path.isdir(folder) else []
+        return sorted(n for n in names if n.startswith(("staged-", "marked-", "new-")))
+
+    before = copies()
+    for rows in (OLD, NEW):
+        stage(spark, staged, rows)
+        target.load(staged)
+    assert copies() == before
+    assert state(target, staged) == ([1, 2, 3], [7])
+
+
+@pytest.mark.parametrize(
+    ("policy", "expected"), [(load.KEEP_ALL, (6, 3, 2, 0, 1)), (load.KEEP_FIRST, (6, 2, 2, 1, 1))]
+)
+def test_counts_of_a_load(spark, tmp_path, policy, expected):
+    staged, target = str(tmp_path / "in"), VersionedTarget(spark, str(tmp_path / "out"))
+    stage(spark, staged, OLD)
+    target.load(staged)
+    twice = [NEW[0], NEW[0], NEW[1], NEW[1], (4, 1, "20240301", "A", 5), NEW[2]]
+    stage(spark, staged, twice)
+    assert tuple(target.load(staged, policy).first()) == expected
+
+
+def test_files_deleted_by_another_load_while_they_are_read(spark, tmp_path, monkeypatch):
+    staged, root = str(tmp_path / "in"), str(tmp_path / "out")
+    one, other = VersionedTarget(spark, root), VersionedTarget(spark, root)
+    stage(spark, staged, OLD)
+    write = one.store.write
+
+    def late(*args, **more):
+        other.load(staged)
+        return write(*args, **more)
+
+    monkeypatch.setattr(one.store, "write", late)
+    with pytest.raises(Conflict):
+        one.load(staged)
+    monkeypatch.undo()
+    assert state(one, staged) == ([1, 2], [])
