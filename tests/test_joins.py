@@ -98,3 +98,18 @@ def test_wide_sides_are_not_broadcast(spark):
     measured = materialize_measured(df, "test")
     assert joins.fits_broadcast(measured)
     assert measured.size > 300
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_tasks_grow_with_the_rows(spark, sales, products, how, monkeypatch):
+    """Of four shuffle partitions none would hold less than a quarter of the rows."""
+    monkeypatch.setattr(joins, "TASK_ROWS", 1000)
+    for hot_rows in (1_000_000, 1000):
+        joined = skew_join(sales, products, ["k"], how, hot_rows=hot_rows)
+        expected = sales.join(products, "k", how)
+        assert rows(joined) == rows(expected.select(*joined.columns))
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count(", 30), REPARTITION_BY_NUM") >= 2 or how == "left_anti"
+    monkeypatch.setattr(joins, "TASK_ROWS", 1_000_000)
+    few = skew_join(sales, products, ["k"], how)
+    assert "REPARTITION_BY_NUM" not in few._jdf.queryExecution().executedPlan().toString()
