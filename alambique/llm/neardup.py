@@ -385,7 +385,7 @@ def _confirm_nodes(rows: DataFrame, sets: DataFrame, settings: Settings) -> Data
     ``coords`` and ``shingles``).
 
     A node's classes are compared until their labels are connected: what is left
-    out would connect nothing. Nodes whose sets have more than SET_BYTES are cut, so
+    out would connect nothing. Nodes of more than SETS sets, or SET_BYTES, are cut, so
     a task holds two parts at most.
     """
     likely, percent = settings.likely, settings.percent
@@ -451,16 +451,17 @@ def _confirm_nodes(rows: DataFrame, sets: DataFrame, settings: Settings) -> Data
         yield _pairs([a for a, _ in pairs], [b for _, b in pairs])
 
     sized = lookup_join(rows, sets.select(F.col("sig").alias("cls"), "n"), "cls", "inner")
-    parts = _cut(sized, F.col("n") * 8, SET_BYTES).select("node", "cls", "label", "side")
+    size = F.greatest(F.col("n") * 8, F.lit(SET_BYTES // SETS))
+    parts = _cut(sized, size, SET_BYTES).select("node", "cls", "label", "side")
     full = sets.select(F.col("sig").alias("cls"), "coords", "shingles")
     joined = skew_join(materialize(parts, "cut-rows"), full, ["cls"], "inner")
     dealt = joined.select("node", "cls", "label", "side", "coords", "shingles").repartition("node")
     return dealt.sortWithinPartitions("node", "cls").mapInArrow(trimmed(run), "a long, b long")
 
 
-#: Bytes of the full sets of a node's part, and rows and bytes that a task is handed
-#: at once.
-SET_BYTES, BATCH, HANDED = 12 << 20, 2000, 2 << 20
+#: Bytes and number of the full sets of a node's part, and rows and bytes that a task
+#: is handed at once.
+SET_BYTES, SETS, BATCH, HANDED = 12 << 20, 1024, 2000, 2 << 20
 
 
 def _pairs(a: Iterable[int], b: Iterable[int]) -> pa.RecordBatch:
@@ -614,8 +615,9 @@ def _heavy(rows: DataFrame, settings: Settings) -> Measured:
     return materialize_measured(large.select("node"), "heavy-nodes")
 
 
-#: Rounds of two steps, after which large nodes are compared two parts at a time.
-ROUNDS = 48
+#: Rounds of two steps, after which large nodes are compared two parts at a time, and
+#: rows of a part of other large nodes and groups.
+ROUNDS, DENSE_ROWS = 48, 1 << 15
 
 
 def first_pairs(classes: DataFrame, settings: Settings) -> DataFrame:
@@ -637,7 +639,8 @@ def open_rows(classes: DataFrame, settings: Settings) -> DataFrame:
     labels differ; a node is a group of such classes.
 
     Large nodes walk on until they are small; those of one label are done. Groups
-    found in several trees are one. They are compared again by all coordinates.
+    found in several trees are one, see ``_merged``. They are compared again by all
+    coordinates.
     """
     depth, trees, heavy = _shape(classes, settings)
     light = lookup_join(_paths(classes, depth, trees, "sketch", settings), heavy, "node", "left_anti")
@@ -646,7 +649,8 @@ def open_rows(classes: DataFrame, settings: Settings) -> DataFrame:
         paths = _paths(classes, depth, trees, "walk", settings)
         rows = lookup_join(paths, heavy, "node", "left_semi")
         found = reduce(DataFrame.union, _walk_on(rows, settings), found)
-    found = materialize(found.distinct(), "open-groups")
+    found = _merged(materialize(found.distinct(), "open-groups"))
+    found = _cut(found, F.lit(1), DENSE_ROWS).select("node", "cls", "label")
     named = materialize_measured(found.select(F.col("cls").alias("sig")).distinct(), "open-classes")
     coords = lookup_join(classes.select("sig", "coords"), named, "sig", "left_semi")
     coords = coords.select(F.col("sig").alias("cls"), F.col("coords").alias("payload"))
@@ -656,6 +660,29 @@ def open_rows(classes: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
+def _merged(groups: DataFrame) -> DataFrame:
+    """Groups that share classes as one, where this has no more pairs than they have.
+
+    Classes that are much alike meet in most trees, with others each time; merged, a
+    class of theirs is in one group and a pair is compared once.
+    """
+    links = groups.select(F.col("node").alias("a"), F.col("cls").alias("b"))
+    wholes = components(links).select("node", F.col("label").alias("whole"))
+    named = lookup_join(groups, wholes, "node", "left").withColumn("whole", F.coalesce("whole", "node"))
+    named = materialize(named, "whole-groups")
+    pairs = F.col("n").cast("double") * F.col("n")
+    apart = named.groupBy("whole", "node").agg(F.count(F.lit(1)).alias("n"))
+    apart = apart.groupBy("whole").agg(F.sum(pairs).alias("apart"))
+    distinct = named.select(F.col("whole").alias("node"), "cls", "label").distinct()
+    sizes = distinct.groupBy(F.col("node").alias("whole")).agg(F.count(F.lit(1)).alias("n"))
+    large = sizes.join(apart, "whole").filter(pairs > F.col("apart")).select("whole")
+    large = materialize_measured(large, "large-wholes")
+    kept = lookup_join(named, large, "whole", "left_semi").select("node", "cls", "label")
+    large = Measured(large.df.withColumnRenamed("whole", "node"), large.rows, large.size)
+    merged = lookup_join(distinct, large, "node", "left_anti")
+    return materialize(merged.union(kept), "merged-groups")
+
+
 def _shape(
     classes: DataFrame, settings: Settings, one_in: int = 1
 ) -> tuple[int, int, Measured]:
@@ -667,7 +694,15 @@ def _shape(
 
 def _walk_on(rows: DataFrame, settings: Settings) -> list[DataFrame]:
     found = []
+    rows = materialize(_one_step(rows, 0, settings, False), "heavy-steps")
     for n in range(ROUNDS):
+        mixed = _mixed(rows, settings)
+        dense = _cut(_compared(lookup_join(rows, mixed, "node", "left_anti")), F.lit(1), DENSE_ROWS)
+        dense = dense.select("node", "cls", "label", "payload")
+        found.append(_compare_nodes(dense, settings, grouped=True))
+        if not mixed.rows:
+            return found
+        rows = lookup_join(rows, mixed, "node", "left_semi")
         rows = materialize(_one_step(rows, 2, settings, 2 * n < OWN_STEPS), "heavy-steps")
         heavy = _heavy(rows, settings)
         light = lookup_join(rows, heavy, "node", "left_anti")
@@ -680,6 +715,19 @@ def _walk_on(rows: DataFrame, settings: Settings) -> list[DataFrame]:
     return [*found, _compare_nodes(parts, settings, grouped=True)]
 
 
+def _mixed(rows: DataFrame, settings: Settings) -> Measured:
+    """Nodes in which a row may differ in label from more rows than may be compared.
+
+    Other large nodes have one label, but for a few rows. Their classes are much alike
+    and would stay together for many steps, in ever more nodes.
+    """
+    labels = rows.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = labels.groupBy("node").agg((F.sum("n") - F.max("n")).alias("others"))
+    return materialize_measured(
+        sizes.filter(F.col("others") >= settings.node_rows).select("node"), "mixed-nodes"
+    )
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The pairs that are linked by their full sets (``sig``, ``shingles``)."""
     percent = settings.percent

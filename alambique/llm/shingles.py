@@ -8,7 +8,7 @@ import numpy as np
 
 #: Bytes of a text, and shingles of a set, that are looked at together.
 BYTES = 1 << 22
-SHINGLES = 1 << 10
+SHINGLES = 1 << 9
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
@@ -91,13 +91,15 @@ def _fold(rows: np.ndarray) -> np.ndarray:
 
 
 def sketch(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
-    """Minimum of each of several hashes of the set, 32 bits each."""
-    least = np.full(len(factors), 0xFFFFFFFF, np.uint64)
-    for at in range(0, len(shingles), SHINGLES):
-        part = shingles[at : at + SHINGLES]
-        hashed = (part[None, :] * factors[:, None]) >> np.uint64(32)
+    """Minimum of each of several hashes of the set, 32 bits each, of the upper halves
+    of shingles and factors."""
+    upper = (shingles >> np.uint64(32)).astype(np.uint32)
+    odd = (factors >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    least = np.full(len(odd), 0xFFFFFFFF, np.uint32)
+    for at in range(0, len(upper), SHINGLES):
+        hashed = upper[None, at : at + SHINGLES] * odd[:, None]
         np.minimum(least, hashed.min(axis=1), out=least)
-    return least.astype(np.uint32)
+    return least
 
 
 def signature(shingles: np.ndarray) -> int:

@@ -191,3 +191,45 @@ def test_links_near_a_low_limit(spark):
     settings = neardup.Settings(percent=50)
     found = neardup.near_duplicates(docs(spark, rows(texts)), settings).collect()
     assert sorted(map(tuple, found)) == brute(texts, 2, 50)
+
+
+def test_a_class_is_in_one_open_group(spark):
+    center = prose(5000, 150)
+    texts = [edited(center, j, 0.0003 * j) for j in range(400)]
+    described = neardup.described(docs(spark, rows(texts)))
+    classes = described.select("sig", "coords").distinct().withColumn("label", F.col("sig"))
+    found = neardup.open_rows(classes, neardup.Settings()).select("cls")
+    assert found.count() == found.distinct().count() > 300
+
+
+def test_large_nodes_of_one_label_but_for_a_few_rows_do_not_walk(spark, monkeypatch):
+    steps, one_step = [], neardup._one_step
+    monkeypatch.setattr(
+        neardup, "_one_step", lambda rows, n, *a: steps.append(n) or one_step(rows, n, *a)
+    )
+    center = prose(5000, 150)
+    texts = [edited(center, j, 0.02) for j in range(300)]
+    described = neardup.described(docs(spark, rows(texts)))
+    own = F.when(F.col("sig") % 25 == 0, F.col("sig")).otherwise(F.lit(0))
+    classes = described.select("sig", "coords").distinct().withColumn("label", own)
+    few = classes.filter("label <> 0").count()
+    found = neardup.open_rows(classes, neardup.Settings(node_rows=32))
+    assert 0 < few < 32 and sum(steps) == 0
+    assert found.filter("label <> 0").select("cls").distinct().count() == few
+    assert found.filter("label = 0").select("cls").distinct().count() == classes.count() - few
+
+
+def test_nodes_of_many_sets_are_cut(spark, corpus, monkeypatch):
+    monkeypatch.setattr(neardup, "SETS", 8)
+    found = neardup.near_duplicates(docs(spark, rows(corpus))).collect()
+    assert sorted(map(tuple, found)) == brute(corpus, 2, 80)
+
+
+def test_sketches_tell_the_similarity_of_sets():
+    np.seterr(over="ignore")
+    draw, factors = np.random.default_rng(5), sh.factors(192, 1)
+    for size in (20, 700):
+        both = sh.mix(draw.integers(0, 1 << 63, (40, 5 * size // 4), dtype=np.uint64))
+        one = [sh.sketch(x[:size], factors) for x in both]
+        other = [sh.sketch(x[size // 4 :], factors) for x in both]
+        assert abs(np.mean(np.equal(one, other)) - 0.6) < 0.02
